@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from stellata.functions.numbers import avg_half_up
 
+READING_SCALE = 6  # decimals kept from a reading before exact averaging
+
 
 def hourly_to_daily(hourly: DataFrame, station: str = "codigo_estacao", day: str = "data",
                     first_seen: Sequence[str] = ("ano", "nome_estacao", "latitude", "longitude", "altitude"),
@@ -21,16 +23,19 @@ def hourly_to_daily(hourly: DataFrame, station: str = "codigo_estacao", day: str
     temperature and humidity and total rain (mean/sum rounded to 2). NULL readings
     are ignored; an all-NULL measure is NULL. Station metadata comes from the
     first reading seen in (year, file, line) order — deterministic, unlike
-    ``first()``. Rounding is half-up (the source rounds binary floats half-even)."""
+    ``first()``. Means and sums are exact on the readings taken to
+    ``READING_SCALE`` decimals and rounded half-up (the source rounds binary
+    floats half-even, which differs only on exact ties)."""
     meta = F.min_by(F.struct(*[F.col(c) for c in first_seen]),
                     F.struct(*[F.col(c) for c in seen_order])).alias("_m")
     daily = hourly.groupBy(station, day).agg(
         meta,
         F.max("temp_max_c").alias("temp_max_c"),
         F.min("temp_min_c").alias("temp_min_c"),
-        F.round(F.avg("temp_med_c"), 2).alias("temp_med_c"),
-        F.round(F.avg("umidade_pct"), 2).alias("umidade_med_pct"),
-        F.round(F.sum("precipitacao_mm"), 2).alias("precipitacao_mm"))
+        avg_half_up("temp_med_c", 2, READING_SCALE).alias("temp_med_c"),
+        avg_half_up("umidade_pct", 2, READING_SCALE).alias("umidade_med_pct"),
+        F.round(F.sum(F.col("precipitacao_mm").cast(f"decimal(38,{READING_SCALE})")), 2)
+        .alias("precipitacao_mm"))
     return daily.select(
         F.col("_m.ano").alias("ano"), station, "_m.nome_estacao", "_m.latitude", "_m.longitude",
         "_m.altitude", day, "temp_max_c", "temp_min_c", "temp_med_c", "umidade_med_pct",
@@ -51,9 +56,16 @@ def yearly_summary(daily: DataFrame, keys: Sequence[str], t_max: str, t_min: str
         F.count(F.when(F.col(rain) > 0, F.lit(1))).alias("dias_chuva"))
 
 
-def rows_per_group(df: DataFrame, key: str, label: str) -> DataFrame:
-    """Rows per station and a name for it (the smallest, so the result is stable)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("linhas"), F.min(label).alias(label))
+def rows_per_group(df: DataFrame, key: str, label: str, names: DataFrame | None = None) -> DataFrame:
+    """Rows per station and a name for it (the smallest, so the result is stable).
+
+    With ``names`` (key, label) the rows are counted first and the names joined
+    to the counts, so the big side is never shuffled for the join."""
+    if names is None:
+        return df.groupBy(key).agg(F.count(F.lit(1)).alias("linhas"), F.min(label).alias(label))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("linhas"))
+    named = names.groupBy(key).agg(F.min(label).alias(label))
+    return counts.join(named, key, "left")
 
 
 def observed_counts(df: DataFrame, name: str = "load", **conditions) -> tuple[DataFrame, Observation]:

@@ -47,7 +47,7 @@ def top_k_rank_quartile_share(totals: DataFrame, value: str, tiebreak: Sequence[
                          F.sum(value).alias("_total"))
     w = Window.orderBy(*order)  # over k rows only
     ranked = (top.crossJoin(F.broadcast(scalars))  # one row
-              .withColumn("ranking", F.rank().over(w))
+              .withColumn("ranking", F.rank().over(Window.orderBy(order[0])))
               .withColumn("_pos", F.row_number().over(w)))
     # NTILE over N rows: the first N % b buckets hold q+1 rows, the rest q rows.
     n, p = F.col("_n"), F.col("_pos")

@@ -65,6 +65,10 @@ GDP_EXCLUDED_NAMES = ("Estado do Paraná", "MUNICÍPIOS")
 STATE = "PR"
 # ---------------------------------------------------------------------------
 
+# Radix of the time part in (parent key, time key) composite keys; time keys are
+# either small seeds or calendar years, both below it.
+TIME_RADIX = 10000
+
 
 @dataclass
 class Star:
@@ -124,15 +128,25 @@ def dim_clima(daily: DataFrame, estacao: DataFrame, tempo: DataFrame) -> DataFra
          .join(F.broadcast(tempo.select("sk_tempo", "ano")), "ano"))
     y = yearly_summary(d, ["sk_estacao", "sk_tempo"], "temp_max_c", "temp_min_c", "temp_med_c",
                        "umidade_med_pct", "precipitacao_mm", in_scale=2)
-    return y.select(grain_key(("sk_estacao", 1), ("sk_tempo", 100)).alias("sk_clima"), "*")
+    return y.select(grain_key(("sk_estacao", 1), ("sk_tempo", TIME_RADIX)).alias("sk_clima"), "*")
+
+
+def year_grid(df: DataFrame, years) -> DataFrame:
+    """Every row once per year: ``years`` is a short list of (sk_tempo, ano) —
+    the calendar of the time dimension, known on the driver — so the grid is a
+    ``Generate`` (explode) in the plan, linear in the rows, with no join."""
+    pairs = F.array(*[F.struct(F.lit(sk).cast("bigint").alias("sk_tempo"),
+                               F.lit(y).cast("int").alias("ano")) for sk, y in years])
+    return df.select("*", F.inline(pairs))
 
 
-def dim_socioeconomico(municipio: DataFrame, tempo: DataFrame, gdp: DataFrame,
+def dim_socioeconomico(municipio: DataFrame, years, gdp: DataFrame,
                        density: DataFrame, mode: str = "correct") -> DataFrame:
     """Municipality × year grid with GDP per capita, GDP total and density for
-    that year (wide year columns unpivoted, then joined on (name key, year))."""
-    grid = (municipio.select("sk_municipio", accent_key("nm_municipio", mode).alias("_k"))
-            .crossJoin(F.broadcast(tempo.select("sk_tempo", "ano"))))  # a handful of years
+    that year (wide year columns unpivoted, then joined on (name key, year)).
+    ``years``: (sk_tempo, ano) pairs of the time dimension."""
+    grid = year_grid(municipio.select("sk_municipio", accent_key("nm_municipio", mode).alias("_k")),
+                     years)
     g = gdp.where(~F.col("municipio").isin(*GDP_EXCLUDED_NAMES)).withColumn(
         "_k", accent_key("municipio", mode))
     gdp_long = unpivot_measures(g, ["_k"], {
@@ -145,7 +159,7 @@ def dim_socioeconomico(municipio: DataFrame, tempo: DataFrame, gdp: DataFrame,
     dens_long = unpivot_years(density.withColumn("_k", accent_key("municipio", mode)), ["_k"],
                               {y: f"dens_{y}" for y in YEARS}, "ano", "dens_demografica")
     s = grid.join(gdp_long, ["_k", "ano"], "left").join(dens_long, ["_k", "ano"], "left")
-    return s.select(grain_key(("sk_municipio", 1), ("sk_tempo", 100)).alias("sk_socioeconomico"),
+    return s.select(grain_key(("sk_municipio", 1), ("sk_tempo", TIME_RADIX)).alias("sk_socioeconomico"),
                     "sk_municipio", "sk_tempo", "pib_per_capita", "pib_total",
                     F.col("dens_demografica").cast("decimal(10,2)").alias("dens_demografica"))
 
@@ -158,17 +172,18 @@ def cases_long(cases: DataFrame) -> DataFrame:
                        dash_to_zero("casos_raw").alias("casos_tb"))
 
 
-def fact(cases: DataFrame, municipio: DataFrame, tempo: DataFrame, region_map: DataFrame,
+def fact(counts: DataFrame, municipio: DataFrame, tempo: DataFrame, region_map: DataFrame,
          estacao: DataFrame, clima: DataFrame, socio: DataFrame,
          keep_unmapped: bool = False) -> DataFrame:
-    """Final fact load: each (municipality, year) case count with its region's
+    """Final fact load: each (municipality, year) case count — ``counts`` has
+    (cd_ibge, ano, casos_tb), e.g. :func:`cases_long` — with its region's
     station, that station's climate of the year and the socio-economic row.
 
     As in the source, the station/climate lookups are inner joins, so rows whose
     region has no station (or whose station has no climate that year) are
     dropped; ``keep_unmapped=True`` keeps them with NULL keys instead."""
     how = "left" if keep_unmapped else "inner"
-    f = (cases_long(cases)
+    f = (counts
          .join(municipio.select("sk_municipio", "cd_ibge", "nm_regiao"), "cd_ibge")
          .join(F.broadcast(tempo.select("sk_tempo", "ano")), "ano"))
     f = lookup(f, region_map, "nm_regiao", how, bounded=True)  # literal table
@@ -176,7 +191,7 @@ def fact(cases: DataFrame, municipio: DataFrame, tempo: DataFrame, region_map: D
     f = lookup(f, clima.select("sk_clima", "sk_estacao", "sk_tempo"), ["sk_estacao", "sk_tempo"], how)
     f = f.join(socio.select("sk_socioeconomico", "sk_municipio", "sk_tempo"),
                ["sk_municipio", "sk_tempo"])
-    return f.select(grain_key(("sk_municipio", 1), ("sk_tempo", 100)).alias("sk_fat"),
+    return f.select(grain_key(("sk_municipio", 1), ("sk_tempo", TIME_RADIX)).alias("sk_fat"),
                     "sk_municipio", "sk_tempo", "sk_estacao", "sk_socioeconomico", "sk_clima",
                     "casos_tb")
 
@@ -211,7 +226,7 @@ def build_star(spark: SparkSession, cases: DataFrame, density: DataFrame, statio
     m = dim_municipio(cases, density, mode)
     e = dim_estacao(stations)
     c = dim_clima(daily_weather, e, t)
-    s = dim_socioeconomico(m, t, gdp, density, mode)
+    s = dim_socioeconomico(m, [(sk, y) for sk, y, _ in TIME_SEED], gdp, density, mode)
     rmap = region_station_map(spark)
-    f = fact(cases, m, t, rmap, e, c, s, keep_unmapped)
+    f = fact(cases_long(cases), m, t, rmap, e, c, s, keep_unmapped)
     return Star(t, m, e, c, s, f, extras={"aux_regiao_estacao": rmap})
