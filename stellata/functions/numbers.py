@@ -64,29 +64,71 @@ def locale_number(c, precision: int = 10, scale: int = 2) -> Column:
 # rounding with integer arithmetic, which is exact for any group size.
 
 def _int_div(num: Column, den: Column) -> Column:
-    """Exact floor division of non-negative integral decimals."""
+    """Exact floor division of non-negative integral values (the numerator is
+    made an exact multiple before dividing)."""
     return (num - F.pmod(num, den)) / den
 
 
+def _ratio_long(n: Column, d: Column, scale: int) -> Column:
+    """Half-up ratio on bigints whose every intermediate stays below 2^53, so
+    long and double arithmetic are exact (no per-row BigDecimal work)."""
+    an, ad = F.abs(n), F.abs(d)
+    q = _int_div(an * (2 * 10 ** scale) + ad, ad * 2)
+    signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
+    # |signed| < 10^15: the double k / 10^scale prints as the exact decimal
+    return (signed / (10 ** scale)).cast(f"decimal(38,{scale})")
+
+
+def _ratio_decimal(n: Column, d: Column, scale: int) -> Column:
+    an, ad = F.abs(n), F.abs(d)
+    q = _int_div(an * (2 * 10 ** scale) + ad, ad * 2).cast("decimal(38,0)")
+    signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
+    return (signed / (10 ** scale)).cast(f"decimal(38,{scale})")
+
+
 def ratio_half_up(num, den, scale: int = 2, in_scale: int = 0) -> Column:
     """``ROUND(num / den, scale)`` exactly, half away from zero, as
     ``decimal(38, scale)``. ``num`` and ``den`` hold at most ``in_scale``
-    fractional digits. NULL when ``den`` is NULL or 0 (the ``NULLIF`` guard)."""
+    fractional digits. NULL when ``den`` is NULL or 0 (the ``NULLIF`` guard).
+
+    Integral inputs below ``10^(13 - scale)`` take a bigint path; larger ones
+    (or fractional inputs) a decimal(38) path — both exact."""
     m = 10 ** in_scale
     n = (_col(num).cast(f"decimal(38,{in_scale})") * m).cast("decimal(38,0)")
     d = (_col(den).cast(f"decimal(38,{in_scale})") * m).cast("decimal(38,0)")
-    an, ad = F.abs(n), F.abs(d)
-    q = _int_div(an * (2 * 10 ** scale) + ad, ad * 2).cast("decimal(38,0)")
-    neg = (n < 0) != (d < 0)
-    signed = F.when(neg, -q).otherwise(q)
-    return F.when(d != 0, (signed / (10 ** scale)).cast(f"decimal(38,{scale})"))
+    slow = F.when(d != 0, _ratio_decimal(n, d, scale))
+    if in_scale:
+        return slow
+    limit = 10 ** (13 - scale)
+    nl, dl = _col(num).cast("bigint"), _col(den).cast("bigint")
+    small = (F.abs(_col(num)) < limit) & (F.abs(_col(den)) < limit)
+    return (F.when(_col(den) == 0, F.lit(None).cast(f"decimal(38,{scale})"))
+            .when(small, _ratio_long(nl, dl, scale))
+            .otherwise(slow))
+
+
+def units(c, in_scale: int = 0) -> Column:
+    """Per-row value in integer units of ``10^-in_scale`` (bigint), for exact
+    sums that stay on Spark's fast long arithmetic. Exact for values with at
+    most ``in_scale`` decimals and ``|value| * 10^in_scale < 2^50``."""
+    x = _col(c)
+    if in_scale == 0:
+        return x.cast("bigint")
+    return F.round(x.cast("double") * (10 ** in_scale)).cast("bigint")
 
 
 def avg_half_up(c, scale: int = 2, in_scale: int = 0) -> Column:
     """``ROUND(AVG(c), scale)`` exactly (aggregate expression); NULLs skipped,
-    NULL for a group with no values."""
+    NULL for a group with no values. Rows add bigint units; the one division
+    per group is exact."""
     x = _col(c)
-    return ratio_half_up(F.sum(x.cast(f"decimal(38,{in_scale})")), F.count(x), scale, in_scale)
+    return ratio_half_up(F.sum(units(x, in_scale)), F.count(x) * (10 ** in_scale), scale)
+
+
+def sum_exact(c, in_scale: int = 2) -> Column:
+    """``SUM(c)`` exactly as ``decimal(38, in_scale)`` (aggregate expression)."""
+    total = F.sum(units(c, in_scale)).cast("decimal(38,0)")
+    return (total / (10 ** in_scale)).cast(f"decimal(38,{in_scale})")
 
 
 def round_half_up(c, scale: int = 2, in_scale: int = 6) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from stellata.functions.numbers import avg_half_up
+from stellata.functions.numbers import avg_half_up, sum_exact
 
 READING_SCALE = 6  # decimals kept from a reading before exact averaging
 
@@ -34,8 +34,7 @@ def hourly_to_daily(hourly: DataFrame, station: str = "codigo_estacao", day: str
         F.min("temp_min_c").alias("temp_min_c"),
         avg_half_up("temp_med_c", 2, READING_SCALE).alias("temp_med_c"),
         avg_half_up("umidade_pct", 2, READING_SCALE).alias("umidade_med_pct"),
-        F.round(F.sum(F.col("precipitacao_mm").cast(f"decimal(38,{READING_SCALE})")), 2)
-        .alias("precipitacao_mm"))
+        F.round(sum_exact("precipitacao_mm", READING_SCALE), 2).alias("precipitacao_mm"))
     return daily.select(
         F.col("_m.ano").alias("ano"), station, "_m.nome_estacao", "_m.latitude", "_m.longitude",
         "_m.altitude", day, "temp_max_c", "temp_min_c", "temp_med_c", "umidade_med_pct",
@@ -51,7 +50,7 @@ def yearly_summary(daily: DataFrame, keys: Sequence[str], t_max: str, t_min: str
         F.min(t_min).alias("temp_min_anual"),
         avg_half_up(t_med, 2, in_scale).alias("temp_med_anual"),
         avg_half_up(humidity, 2, in_scale).alias("umidade_med_anual"),
-        F.round(F.sum(F.coalesce(F.col(rain).cast(f"decimal(38,{in_scale})"), F.lit(0))), 2)
+        F.round(F.coalesce(sum_exact(rain, in_scale), F.lit(0).cast(f"decimal(38,{in_scale})")), 2)
         .alias("precipitacao_total"),
         F.count(F.when(F.col(rain) > 0, F.lit(1))).alias("dias_chuva"))
 

@@ -65,7 +65,7 @@ def moving_average_running_sum(df: DataFrame, entity: str, period: str, value: s
     average 2 values) rounded to 2, and the running sum, per entity."""
     w = Window.partitionBy(entity).orderBy(period)
     centred = w.rowsBetween(-1, 1)
-    s = F.sum(F.col(value).cast("decimal(38,0)")).over(centred)
+    s = F.sum(F.col(value).cast("bigint")).over(centred)
     c = F.count(F.col(value)).over(centred)
     return df.select(
         "*",

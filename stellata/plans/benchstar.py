@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellata.functions.numbers import avg_half_up
+from stellata.functions.numbers import avg_half_up, sum_exact
 from stellata.operators.aggregates import yearly_summary
 from stellata.operators.keys import grain_key
 from stellata.plans.star import TIME_RADIX, Star, fact, year_grid
@@ -104,18 +104,17 @@ def bench_dim_estacao(supplier: DataFrame) -> DataFrame:
 
 def bench_daily(lineitem: DataFrame) -> DataFrame:
     """Per (supplier, ship day): the daily staging shape with decimal(6,2)/(8,2)
-    measures."""
-    q = F.col("l_quantity").cast("decimal(6,2)")
-    disc = F.col("l_discount").cast("decimal(6,2)")
-    tax = F.col("l_tax").cast("decimal(6,2)")
+    measures. Rows only add bigint units (two-decimal inputs); decimals are
+    formed once per group."""
     return lineitem.groupBy(F.col("l_suppkey").alias("sk_estacao"),
                             F.to_date("l_shipdate").alias("dia"),
                             F.year("l_shipdate").alias("ano")).agg(
-        F.max(q).alias("temp_max_c"), F.min(q).alias("temp_min_c"),
-        avg_half_up(disc * 100, 2, 2).cast("decimal(6,2)").alias("temp_med_c"),
-        avg_half_up(tax * 100, 2, 2).cast("decimal(6,2)").alias("umidade_med_pct"),
-        F.sum(F.col("l_quantity").cast("decimal(8,2)") * F.col("l_discount").cast("decimal(4,2)"))
-        .cast("decimal(8,2)").alias("precipitacao_mm"))
+        F.max("l_quantity").cast("decimal(6,2)").alias("temp_max_c"),
+        F.min("l_quantity").cast("decimal(6,2)").alias("temp_min_c"),
+        avg_half_up(F.col("l_discount") * 100, 2, 2).cast("decimal(6,2)").alias("temp_med_c"),
+        avg_half_up(F.col("l_tax") * 100, 2, 2).cast("decimal(6,2)").alias("umidade_med_pct"),
+        sum_exact(F.col("l_quantity") * F.col("l_discount"), 4).cast("decimal(8,2)")
+        .alias("precipitacao_mm"))
 
 
 def bench_dim_clima(daily: DataFrame, tempo: DataFrame) -> DataFrame:
@@ -126,10 +125,11 @@ def bench_dim_clima(daily: DataFrame, tempo: DataFrame) -> DataFrame:
 
 
 def bench_counts(municipio: DataFrame, years: list[int], cy: DataFrame) -> DataFrame:
-    """(cd_ibge, ano, casos_tb) over the full customer × year grid."""
-    grid = year_grid(municipio.select("sk_municipio", "cd_ibge"), [(y, y) for y in years])
+    """(sk_municipio, nm_regiao, ano, casos_tb) over the full customer × year grid."""
+    grid = year_grid(municipio.select("sk_municipio", "nm_regiao"), [(y, y) for y in years])
     g = grid.join(cy.select("sk_municipio", "ano", "casos"), ["sk_municipio", "ano"], "left")
-    return g.select("cd_ibge", "ano", F.coalesce(F.col("casos"), F.lit(0)).cast("int").alias("casos_tb"))
+    return g.select("sk_municipio", "nm_regiao", "ano",
+                    F.coalesce(F.col("casos"), F.lit(0)).cast("int").alias("casos_tb"))
 
 
 def bench_star(spark: SparkSession, sf_dir: str, keep_unmapped: bool = True,
@@ -144,7 +144,25 @@ def bench_star(spark: SparkSession, sf_dir: str, keep_unmapped: bool = True,
     clima = bench_dim_clima(bench_daily(t["lineitem"]), tempo)
     rmap = spark.createDataFrame(BENCH_REGION_STATION, "nm_regiao string, cd_estacao string")
     dim_m = municipio.drop("c_acctbal")
-    f = fact(bench_counts(dim_m, years, cy), dim_m, tempo, rmap, estacao, clima, socio, keep_unmapped)
+    f = fact(bench_counts(dim_m, years, cy), dim_m, tempo, rmap, estacao, clima, keep_unmapped)
     return Star(tempo, dim_m, estacao, clima, socio, f,
                 extras={"aux_regiao_estacao": rmap, "years": years, "tables": t,
                         "customer_year": cy})
+
+
+def stored_bench_star(spark: SparkSession, sf_dir: str, keep_unmapped: bool = True) -> Star:
+    """The benchmark star, built once per input version and read from storage."""
+    from stellata.plans.warehouse import stored_star
+
+    def build():
+        s = bench_star(spark, sf_dir, keep_unmapped)
+        return s, {"aux_regiao_estacao": s.extras["aux_regiao_estacao"],
+                   "customer_year": s.extras["customer_year"]}
+
+    names = ("region", "nation", "customer", "supplier", "orders", "lineitem")
+    star = stored_star(spark, [f"{sf_dir}/{t}.parquet" for t in names],
+                       f"bench-{'keep' if keep_unmapped else 'drop'}", build,
+                       ("aux_regiao_estacao", "customer_year"))
+    star.extras["years"] = [r[0] for r in star.tempo.select("ano").orderBy("ano").collect()]
+    return star
+

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from stellata.functions.numbers import dash_to_zero, to_decimal
 from stellata.functions.text import accent_key, ibge_code, ibge_name, starts_with_code
 from stellata.operators.aggregates import yearly_summary
-from stellata.operators.joins import lookup, nearest_lookup, update_where_exists
+from stellata.operators.joins import nearest_lookup, update_where_exists
 from stellata.operators.keys import dense_key, grain_key
 from stellata.operators.reshape import unpivot_measures, unpivot_years
 from stellata.sources.tables import YEARS
@@ -172,28 +172,43 @@ def cases_long(cases: DataFrame) -> DataFrame:
                        dash_to_zero("casos_raw").alias("casos_tb"))
 
 
+def region_lookups(region_map: DataFrame, estacao: DataFrame, clima: DataFrame):
+    """(nm_regiao -> sk_estacao) and ((nm_regiao, sk_tempo) -> sk_clima).
+
+    Both are at most (rows of the literal region map) × (years) — a bound fixed
+    by the map, not by the data — so the fact can broadcast them."""
+    rs = region_map.join(estacao.select("sk_estacao", "cd_estacao"), "cd_estacao").select(
+        "nm_regiao", "sk_estacao")
+    rc = rs.join(clima.select("sk_clima", "sk_estacao", "sk_tempo"), "sk_estacao").select(
+        "nm_regiao", "sk_tempo", "sk_clima")
+    return rs, rc
+
+
 def fact(counts: DataFrame, municipio: DataFrame, tempo: DataFrame, region_map: DataFrame,
-         estacao: DataFrame, clima: DataFrame, socio: DataFrame,
-         keep_unmapped: bool = False) -> DataFrame:
-    """Final fact load: each (municipality, year) case count — ``counts`` has
-    (cd_ibge, ano, casos_tb), e.g. :func:`cases_long` — with its region's
-    station, that station's climate of the year and the socio-economic row.
+         estacao: DataFrame, clima: DataFrame, keep_unmapped: bool = False) -> DataFrame:
+    """Final fact load: each (municipality, year) case count with its region's
+    station, that station's climate of the year and the socio-economic key.
+
+    ``counts`` has (cd_ibge, ano, casos_tb), e.g. :func:`cases_long`; when it
+    already carries ``sk_municipio`` and ``nm_regiao`` the municipality join is
+    skipped. The socio-economic dimension is built on the full municipality ×
+    year grid, so its key is computed, not looked up.
 
     As in the source, the station/climate lookups are inner joins, so rows whose
     region has no station (or whose station has no climate that year) are
-    dropped; ``keep_unmapped=True`` keeps them with NULL keys instead."""
+    dropped; ``keep_unmapped=True`` keeps them with NULL keys instead. Both
+    lookups are broadcast joins against tables bounded by the region map."""
     how = "left" if keep_unmapped else "inner"
-    f = (counts
-         .join(municipio.select("sk_municipio", "cd_ibge", "nm_regiao"), "cd_ibge")
-         .join(F.broadcast(tempo.select("sk_tempo", "ano")), "ano"))
-    f = lookup(f, region_map, "nm_regiao", how, bounded=True)  # literal table
-    f = lookup(f, estacao.select("sk_estacao", "cd_estacao"), "cd_estacao", how)
-    f = lookup(f, clima.select("sk_clima", "sk_estacao", "sk_tempo"), ["sk_estacao", "sk_tempo"], how)
-    f = f.join(socio.select("sk_socioeconomico", "sk_municipio", "sk_tempo"),
-               ["sk_municipio", "sk_tempo"])
+    f = counts
+    if not {"sk_municipio", "nm_regiao"} <= set(counts.columns):
+        f = f.join(municipio.select("sk_municipio", "cd_ibge", "nm_regiao"), "cd_ibge")
+    f = f.join(F.broadcast(tempo.select("sk_tempo", "ano")), "ano")  # calendar years
+    rs, rc = region_lookups(region_map, estacao, clima)
+    f = f.join(F.broadcast(rs), "nm_regiao", how).join(F.broadcast(rc), ["nm_regiao", "sk_tempo"], how)
     return f.select(grain_key(("sk_municipio", 1), ("sk_tempo", TIME_RADIX)).alias("sk_fat"),
-                    "sk_municipio", "sk_tempo", "sk_estacao", "sk_socioeconomico", "sk_clima",
-                    "casos_tb")
+                    "sk_municipio", "sk_tempo", "sk_estacao",
+                    grain_key(("sk_municipio", 1), ("sk_tempo", TIME_RADIX)).alias("sk_socioeconomico"),
+                    "sk_clima", "casos_tb")
 
 
 def nearest_climate(clima: DataFrame, estacao: DataFrame,
@@ -228,5 +243,5 @@ def build_star(spark: SparkSession, cases: DataFrame, density: DataFrame, statio
     c = dim_clima(daily_weather, e, t)
     s = dim_socioeconomico(m, [(sk, y) for sk, y, _ in TIME_SEED], gdp, density, mode)
     rmap = region_station_map(spark)
-    f = fact(cases_long(cases), m, t, rmap, e, c, s, keep_unmapped)
+    f = fact(cases_long(cases), m, t, rmap, e, c, keep_unmapped)
     return Star(t, m, e, c, s, f, extras={"aux_regiao_estacao": rmap})
