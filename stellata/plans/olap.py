@@ -265,7 +265,8 @@ def json_rows(star: Star) -> DataFrame:
 def with_region_mean(view: DataFrame, region: str = EXAMPLE_REGION) -> DataFrame:
     """Municipalities of one region with the regional mean of the year beside."""
     v = view.where(F.col("nm_regiao") == region)
-    v = with_group_mean(v, ["nm_regiao", "ano"], "casos_tb", "media_regiao")
+    # one region: at most one group per calendar year
+    v = with_group_mean(v, ["nm_regiao", "ano"], "casos_tb", "media_regiao", bounded_groups=True)
     return (v.select("nm_municipio", "ano", "casos_tb", "media_regiao", "pib_per_capita",
                      "temp_med_anual")
             .orderBy(F.col("ano").asc_nulls_last(), F.col("casos_tb").desc_nulls_first(),

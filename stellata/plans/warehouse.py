@@ -78,3 +78,23 @@ def stored_star(spark: SparkSession, inputs: Sequence[str], tag: str,
         star, extra = build()
         save_star(star, root, {n: extra[n] for n in extra_names})
     return load_star(spark, root, extra_names)
+
+
+def load_warehouse(spark: SparkSession, *, cases_csv: str, density_csv: str, stations_json: str,
+                   daily_weather_csv: str, gdp_xml: str, out_root: str,
+                   mode: str = "correct") -> Star:
+    """Files -> staging DataFrames -> star tables written under ``out_root`` ->
+    refreshed region × year summary. Returns the star read back from storage.
+    ``mode`` picks the accent map used to match names (see ``accent_key``)."""
+    from stellata.plans.star import build_star
+    from stellata.plans.views import SUMMARY_NAME, refresh_summary
+    from stellata.sources.tables import (read_cases, read_daily_weather, read_density,
+                                         read_gdp_xml, read_stations)
+
+    star = build_star(spark, read_cases(spark, cases_csv), read_density(spark, density_csv),
+                      read_stations(spark, stations_json), read_daily_weather(spark, daily_weather_csv),
+                      read_gdp_xml(spark, gdp_xml), mode=mode)
+    save_star(star, out_root, {"aux_regiao_estacao": star.extras["aux_regiao_estacao"]})
+    stored = load_star(spark, out_root, ("aux_regiao_estacao",))
+    refresh_summary(spark, stored, path=f"{out_root.rstrip('/')}/{SUMMARY_NAME}")
+    return stored

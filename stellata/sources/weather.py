@@ -69,11 +69,11 @@ def read_files(spark: SparkSession, root: str, years=YEARS) -> DataFrame:
     """(arquivo, ano, texto) — one row per matching file, decoded from Latin-1.
 
     The name filter runs in the file listing; the year is the folder right under
-    the root. Unreadable files are skipped when ``spark.sql.files.ignoreCorruptFiles``
-    is set."""
+    the root. Unreadable files are skipped (``ignoreCorruptFiles``)."""
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", True)
              .option("pathGlobFilter", NAME_GLOB)
+             .option("ignoreCorruptFiles", True)  # a broken file is skipped, not fatal
              .load(root)
              .select(F.col("path").alias("arquivo"), "content"))
     tail = re.escape(root.rstrip("/").split("/")[-1])
@@ -153,3 +153,22 @@ def hourly_from_files(files: DataFrame) -> DataFrame:
         tolerant_float(cell("precipitacao")).alias("precipitacao_mm"),
         "arquivo", "linha",
     )
+
+
+def load_report(spark: SparkSession, root: str, years=YEARS) -> dict:
+    """Counts the source tool printed: files found under the year folders, files
+    of the state that produced readings, hourly readings and daily rows. One
+    aggregate over the hourly readings; the file listing is metadata only."""
+    from stellata.operators.aggregates import hourly_to_daily
+
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.{csv,CSV}").load(root).select("path"))
+    tail = re.escape(root.rstrip("/").split("/")[-1])
+    year = F.regexp_extract("path", f"{tail}/([0-9]{{4}})/", 1)
+    n_found = found.where(year.isin(*[str(y) for y in years])).count()
+    hourly = read_weather_hourly(spark, root, years)
+    h = hourly.agg(F.count_distinct("arquivo").alias("arquivos"), F.count(F.lit(1)).alias("horas")).first()
+    n_daily = hourly_to_daily(hourly).count()
+    return {"arquivos_encontrados": n_found, "arquivos_lidos": h["arquivos"],
+            "registros_horarios": h["horas"], "registros_diarios": n_daily}
+

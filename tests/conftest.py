@@ -119,12 +119,17 @@ def real_star_inputs(spark, real_files, scratch):
     folder = tempfile.mkdtemp(prefix="inputs-", dir=scratch)
     density = read_density(spark, density_csv)
     names = [r[0] for r in density.select("municipio").orderBy("municipio").collect()]
+    paths = {"cases_csv": cases_csv, "density_csv": density_csv,
+             "stations_json": write_stations(folder),
+             "daily_weather_csv": write_daily_weather(folder),
+             "gdp_xml": write_gdp_xml(folder, names)}
     return {
         "cases": read_cases(spark, cases_csv),
         "density": density,
-        "stations": read_stations(spark, write_stations(folder)),
-        "daily": read_daily_weather(spark, write_daily_weather(folder)),
-        "gdp": read_gdp_xml(spark, write_gdp_xml(folder, names)),
+        "stations": read_stations(spark, paths["stations_json"]),
+        "daily": read_daily_weather(spark, paths["daily_weather_csv"]),
+        "gdp": read_gdp_xml(spark, paths["gdp_xml"]),
+        "paths": paths,
     }
 
 

@@ -188,3 +188,19 @@ def test_remap_and_nearest_and_quality(spark, star_correct):
     nulls = {r["coluna"]: r["nulos"] for r in quality.null_counts(
         s.fato, ["sk_municipio", "sk_tempo", "sk_estacao"]).collect()}
     assert nulls == {"sk_municipio": 0, "sk_tempo": 0, "sk_estacao": 0}
+
+
+def test_load_warehouse_from_files(spark, real_star_inputs, scratch):
+    import os
+    import tempfile
+
+    from stellata.plans.warehouse import load_warehouse
+    out = os.path.join(tempfile.mkdtemp(dir=scratch), "dw")
+    star = load_warehouse(spark, out_root=out, mode="compat", **real_star_inputs["paths"])
+    assert star.fato.count() == 1710
+    assert spark.read.parquet(os.path.join(out, "mv_regiao_ano")).agg(F.sum("total_casos")).first()[0] == 13327
+    assert star.clima.count() == 20 * 6
+    # the climate year with no rain readings sums to 0 and has no rainy days
+    dry = star.clima.join(star.estacao.where(F.col("cd_estacao") == "A875"), "sk_estacao") \
+        .where(F.col("sk_tempo") == 2).first()
+    assert str(dry["precipitacao_total"]) == "0.00" and dry["dias_chuva"] == 0

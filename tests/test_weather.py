@@ -107,3 +107,23 @@ def test_stream_matches_batch(spark, folder, daily, scratch):
     q = start_daily_ingest(spark, folder, os.path.join(base, "daily"), os.path.join(base, "ckpt"))
     q.awaitTermination(120)
     assert spark.read.parquet(os.path.join(base, "daily")).count() == len(daily)
+
+
+def test_load_report(spark, folder):
+    from stellata.sources.weather import load_report
+    rep = load_report(spark, folder)
+    # 6 csv files under 2018-2023 (the 2017 one is outside), 3 read, 10 hourly, 6 daily
+    assert rep == {"arquivos_encontrados": 6, "arquivos_lidos": 3, "registros_horarios": 10,
+                   "registros_diarios": 6}
+
+
+def test_broken_file_is_skipped(spark, scratch):
+    import shutil
+    root = os.path.join(tempfile.mkdtemp(dir=scratch), "inmet")
+    write_weather_folder(root)
+    bad = os.path.join(root, "2021", "INMET_S_PR_A807_QUEBRADO.CSV")
+    os.makedirs(os.path.dirname(bad), exist_ok=True)
+    with open(bad, "wb") as f:
+        f.write(b"\xff\xfe\x00garbage;;\r\n\x00\x01")
+    assert read_weather_hourly(spark, root).count() == 10
+    shutil.rmtree(os.path.dirname(bad))
