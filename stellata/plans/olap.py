@@ -50,6 +50,16 @@ def _ft(star: Star, fact: DataFrame | None = None) -> DataFrame:
     return f.join(F.broadcast(star.tempo), "sk_tempo")
 
 
+# The socio-economic row of a fact row is the one of its (municipality, year):
+# its key is built from that pair, so joining on the pair is the same join and
+# lets the bucketed star tables meet without a shuffle.
+SOCIO_KEYS = ["sk_municipio", "sk_tempo"]
+
+
+def _socio(star: Star, *cols: str) -> DataFrame:
+    return star.socio.select(*SOCIO_KEYS, *cols)
+
+
 def _income_band(pib, labels=INCOME_LABELS):
     lo, hi = INCOME_LIMITS
     return (F.when(pib.isNull(), F.lit(labels[0])).when(pib < lo, F.lit(labels[1]))
@@ -83,8 +93,8 @@ def top_places(star: Star, k: int = 10) -> DataFrame:
 def risk_and_income_bands(star: Star) -> DataFrame:
     """Risk band of total cases, income band of the highest GDP per capita and
     the mean density as text ('N/D' when unknown)."""
-    f = _fm(star).join(star.socio.select("sk_socioeconomico", "pib_per_capita", "dens_demografica"),
-                       "sk_socioeconomico", "left")
+    f = _fm(star).join(_socio(star, "pib_per_capita", "dens_demografica"),
+                       SOCIO_KEYS, "left")
     total = F.sum("casos_tb")
     risk = (F.when(total == 0, F.lit(RISK_LABELS[0]))
             .when(total.between(1, 5), F.lit(RISK_LABELS[1]))
@@ -152,8 +162,8 @@ def rollup_region_year(star: Star) -> DataFrame:
 # 8 --------------------------------------------------------------------------
 def cube_period_band(star: Star) -> DataFrame:
     """CUBE(period, income band): cases and distinct municipalities."""
-    f = _ft(star).join(star.socio.select("sk_socioeconomico", "pib_per_capita"),
-                       "sk_socioeconomico", "left")
+    f = _ft(star).join(_socio(star, "pib_per_capita"),
+                       SOCIO_KEYS, "left")
     f = f.select("sk_municipio", F.col("casos_tb").alias("total_casos"),
                  F.when(F.col("pandemia") == "S", F.lit(PERIOD_LABELS[0]))
                  .otherwise(F.lit(PERIOD_LABELS[1])).alias("periodo"),
@@ -187,8 +197,8 @@ def grouping_sets_year_region(star: Star) -> DataFrame:
 def wide_view(star: Star) -> DataFrame:
     """Fact with every dimension attribute (the view ``vw_municipio_tb``)."""
     f = (_ft(star, _fm(star))
-         .join(star.socio.select("sk_socioeconomico", "pib_per_capita", "pib_total",
-                                 "dens_demografica"), "sk_socioeconomico", "left")
+         .join(_socio(star, "pib_per_capita", "pib_total",
+                                 "dens_demografica"), SOCIO_KEYS, "left")
          .join(star.clima.select("sk_clima", F.col("sk_estacao").alias("_clima_estacao"),
                                  "temp_max_anual", "temp_min_anual", "temp_med_anual",
                                  "umidade_med_anual", "precipitacao_total", "dias_chuva"),
@@ -206,8 +216,8 @@ def wide_view(star: Star) -> DataFrame:
 def region_year_summary(star: Star) -> DataFrame:
     """Region × year summary (the materialized view ``mv_regiao_ano``)."""
     f = (_ft(star, _fm(star))
-         .join(star.socio.select("sk_socioeconomico", "pib_per_capita", "dens_demografica"),
-               "sk_socioeconomico", "left")
+         .join(_socio(star, "pib_per_capita", "dens_demografica"),
+               SOCIO_KEYS, "left")
          .join(star.clima.select("sk_clima", "temp_med_anual", "umidade_med_anual",
                                  "precipitacao_total"), "sk_clima", "left"))
     return f.groupBy(F.coalesce("nm_regiao", F.lit(NO_REGION)).alias("regiao"), "ano",
@@ -225,8 +235,8 @@ def region_year_summary(star: Star) -> DataFrame:
 # 12 -------------------------------------------------------------------------
 def xml_report(star: Star, k: int = 10) -> DataFrame:
     """One XML document with the k municipalities with most cases."""
-    f = _fm(star).join(star.socio.select("sk_socioeconomico", "pib_per_capita"),
-                       "sk_socioeconomico", "left")
+    f = _fm(star).join(_socio(star, "pib_per_capita"),
+                       SOCIO_KEYS, "left")
     g = f.groupBy("nm_municipio", "nm_regiao").agg(
         F.sum("casos_tb").alias("total_casos"),
         avg_half_up("pib_per_capita", 0, 2).alias("pib_medio"))

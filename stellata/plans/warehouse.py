@@ -7,11 +7,16 @@ Parquet under a warehouse folder (by default inside the shared
 size, modification time), so a changed input builds a new version and an
 unchanged one is reused. Writing also cuts the lineage: a lost executor
 recomputes from the stored tables, not from the raw inputs.
+
+The fact and the two dimensions at municipality grain are bucketed by
+``sk_municipio`` (same bucket count), so the star joins between them read
+co-located buckets instead of shuffling the fact for every query.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -23,6 +28,9 @@ from stellata.session import checkpoint_dir
 STAR_TABLES = ("dim_tempo", "dim_municipio", "dim_estacao", "dim_clima", "dim_socioeconomico",
                "fato_tuberculose")
 WAREHOUSE_CONF = "stellata.warehouse.dir"
+BUCKETS_CONF = "stellata.warehouse.buckets"
+BUCKET_KEY = "sk_municipio"
+BUCKETED = ("fato_tuberculose", "dim_municipio", "dim_socioeconomico")
 
 
 def warehouse_root(spark: SparkSession) -> str:
@@ -48,18 +56,59 @@ def input_fingerprint(spark: SparkSession, paths: Sequence[str], refresh: bool =
     return _FINGERPRINTS[key]
 
 
-def save_star(star: Star, root: str, extra: dict[str, DataFrame] | None = None) -> None:
-    """Write every table; the fact is written last, so its presence marks a
-    complete version."""
-    tables = dict(star.tables())
-    fact = tables.pop("fato_tuberculose")
-    for name, df in {**tables, **(extra or {})}.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-    fact.write.mode("overwrite").parquet(f"{root}/fato_tuberculose")
+def _table_name(attempt: str, name: str) -> str:
+    return "stellata_" + hashlib.sha256(attempt.encode()).hexdigest()[:12] + "_" + name
+
+
+def bucket_count(spark: SparkSession) -> int:
+    conf = spark.conf.get(BUCKETS_CONF, None)
+    return int(conf or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def save_star(star: Star, root: str, extra: dict[str, DataFrame] | None = None,
+              buckets: int | None = None) -> str:
+    """Write every table into a fresh attempt folder under ``root``, then commit
+    by writing the pointer ``root/CURRENT`` last (a reader never sees a half
+    written version). The fact, municipality and socio-economic tables are
+    bucketed and sorted by ``sk_municipio`` into the same number of buckets, so
+    the joins between them need no shuffle. Returns the attempt folder."""
+    spark = star.fato.sparkSession
+    n = buckets or bucket_count(spark)
+    attempt = f"{root.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
+    for name, df in {**star.tables(), **(extra or {})}.items():
+        path = f"{attempt}/{name}"
+        if name in BUCKETED:
+            (df.repartition(n, BUCKET_KEY).write.mode("overwrite").option("path", path)
+             .bucketBy(n, BUCKET_KEY).sortBy(BUCKET_KEY).saveAsTable(_table_name(attempt, name)))
+        else:
+            df.write.mode("overwrite").parquet(path)
+    spark.createDataFrame([(attempt, n)], "attempt string, buckets int") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/CURRENT")
+    return attempt
+
+
+def _bucketed_table(spark: SparkSession, attempt: str, name: str, buckets: int) -> DataFrame:
+    """The catalog table over a bucketed folder; registered again (external
+    table, same bucket spec) when this session's catalog does not know it."""
+    tname = _table_name(attempt, name)
+    if not spark.catalog.tableExists(tname):
+        schema = spark.read.parquet(f"{attempt}/{name}").schema
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {tname} ({cols}) USING parquet "
+                  f"CLUSTERED BY ({BUCKET_KEY}) SORTED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS "
+                  f"LOCATION '{attempt}/{name}'")
+    return spark.table(tname)
 
 
 def load_star(spark: SparkSession, root: str, extra_names: Sequence[str] = ()) -> Star:
-    t = {n: spark.read.parquet(f"{root}/{n}") for n in (*STAR_TABLES, *extra_names)}
+    """Read the committed version under ``root``. Lets joins on
+    (sk_municipio, …) use the tables bucketed by ``sk_municipio`` as they are."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    attempt, buckets = spark.read.parquet(f"{root.rstrip('/')}/CURRENT").first()
+    t = {}
+    for n in (*STAR_TABLES, *extra_names):
+        t[n] = (_bucketed_table(spark, attempt, n, buckets) if n in BUCKETED
+                else spark.read.parquet(f"{attempt}/{n}"))
     extras = {n: t[n] for n in extra_names}
     return Star(t["dim_tempo"], t["dim_municipio"], t["dim_estacao"], t["dim_clima"],
                 t["dim_socioeconomico"], t["fato_tuberculose"], extras=extras)
@@ -69,11 +118,11 @@ def stored_star(spark: SparkSession, inputs: Sequence[str], tag: str,
                 build: Callable[[], tuple[Star, dict[str, DataFrame]]],
                 extra_names: Sequence[str] = ()) -> Star:
     """Load the stored star for these inputs, building and writing it first if
-    no complete version exists. ``build`` returns the star and the extra tables
+    no committed version exists. ``build`` returns the star and the extra tables
     (named ``extra_names``) to store beside it."""
     root = f"{warehouse_root(spark)}/{tag}-{input_fingerprint(spark, inputs)}"
     try:
-        spark.read.parquet(f"{root}/fato_tuberculose").schema  # noqa: B018  complete version?
+        spark.read.parquet(f"{root}/CURRENT").schema  # noqa: B018  committed version?
     except AnalysisException:
         star, extra = build()
         save_star(star, root, {n: extra[n] for n in extra_names})

@@ -18,6 +18,9 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a join on (sk_municipio, sk_tempo) may use tables bucketed by sk_municipio
+    # as they are, without re-shuffling on both keys
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

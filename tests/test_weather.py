@@ -100,12 +100,14 @@ def test_stream_matches_batch(spark, folder, daily, scratch):
     from stellata.streaming.weather_stream import start_daily_ingest
     base = tempfile.mkdtemp(dir=scratch)
     q = start_daily_ingest(spark, folder, os.path.join(base, "daily"), os.path.join(base, "ckpt"))
-    q.awaitTermination(120)
+    assert q.awaitTermination(300), "stream did not finish"
+    assert q.exception() is None, q.exception()
     got = spark.read.parquet(os.path.join(base, "daily"))
     assert sorted((r["codigo_estacao"], r["data"]) for r in got.collect()) == sorted(daily)
     # a second run over the same files commits nothing new
     q = start_daily_ingest(spark, folder, os.path.join(base, "daily"), os.path.join(base, "ckpt"))
-    q.awaitTermination(120)
+    assert q.awaitTermination(300), "stream did not finish"
+    assert q.exception() is None, q.exception()
     assert spark.read.parquet(os.path.join(base, "daily")).count() == len(daily)
 
 
