@@ -65,28 +65,49 @@ def bucket_count(spark: SparkSession) -> int:
     return int(conf or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def save_star(star: Star, root: str, extra: dict[str, DataFrame] | None = None,
-              buckets: int | None = None) -> str:
-    """Write every table into a fresh attempt folder under ``root``, then commit
-    by writing the pointer ``root/CURRENT`` last (a reader never sees a half
-    written version). The fact, municipality and socio-economic tables are
-    bucketed and sorted by ``sk_municipio`` into the same number of buckets, so
-    the joins between them need no shuffle. Returns the attempt folder."""
-    spark = star.fato.sparkSession
+def _write_table(spark: SparkSession, attempt: str, name: str, df: DataFrame, buckets: int) -> None:
+    path = f"{attempt}/{name}"
+    if name in BUCKETED:
+        (df.repartition(buckets, BUCKET_KEY).write.mode("overwrite").option("path", path)
+         .bucketBy(buckets, BUCKET_KEY).sortBy(BUCKET_KEY).saveAsTable(_table_name(attempt, name)))
+    else:
+        df.write.mode("overwrite").parquet(path)
+
+
+def _read_table(spark: SparkSession, attempt: str, name: str, buckets: int) -> DataFrame:
+    if name in BUCKETED:
+        return _bucketed_table(spark, attempt, name, buckets)
+    return spark.read.parquet(f"{attempt}/{name}")
+
+
+def build_stages(spark: SparkSession, root: str,
+                 stages: Sequence[tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]],
+                 buckets: int | None = None) -> str:
+    """Staged load: each stage builds one table from the tables already stored
+    (passed in as a dict), is written, and is read back for the stages after it
+    — no table recomputes its inputs, and lineage is cut at every stage. The
+    version becomes visible when ``root/CURRENT`` is written, last."""
     n = buckets or bucket_count(spark)
     attempt = f"{root.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
-    for name, df in {**star.tables(), **(extra or {})}.items():
-        path = f"{attempt}/{name}"
-        if name in BUCKETED:
-            (df.repartition(n, BUCKET_KEY).write.mode("overwrite").option("path", path)
-             .bucketBy(n, BUCKET_KEY).sortBy(BUCKET_KEY).saveAsTable(_table_name(attempt, name)))
-        else:
-            df.write.mode("overwrite").parquet(path)
+    stored: dict[str, DataFrame] = {}
+    for name, make in stages:
+        _write_table(spark, attempt, name, make(stored), n)
+        stored[name] = _read_table(spark, attempt, name, n)
     spark.createDataFrame([(attempt, n)], "attempt string, buckets int") \
         .coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/CURRENT")
     return attempt
 
 
+def save_star(star: Star, root: str, extra: dict[str, DataFrame] | None = None,
+              buckets: int | None = None) -> str:
+    """Write an already planned star (every table, fact last) and commit it."""
+    tables = {**star.tables(), **(extra or {})}
+    fact = tables.pop("fato_tuberculose")
+    stages = [(n, (lambda _s, d=d: d)) for n, d in tables.items()]
+    stages.append(("fato_tuberculose", lambda _s: fact))
+    return build_stages(star.fato.sparkSession, root, stages, buckets)
+
+
 def _bucketed_table(spark: SparkSession, attempt: str, name: str, buckets: int) -> DataFrame:
     """The catalog table over a bucketed folder; registered again (external
     table, same bucket spec) when this session's catalog does not know it."""
@@ -115,35 +136,46 @@ def load_star(spark: SparkSession, root: str, extra_names: Sequence[str] = ()) -
 
 
 def stored_star(spark: SparkSession, inputs: Sequence[str], tag: str,
-                build: Callable[[], tuple[Star, dict[str, DataFrame]]],
+                stages: Sequence[tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]],
                 extra_names: Sequence[str] = ()) -> Star:
-    """Load the stored star for these inputs, building and writing it first if
-    no committed version exists. ``build`` returns the star and the extra tables
-    (named ``extra_names``) to store beside it."""
+    """Load the stored star for these inputs, running the staged load first if
+    no committed version exists."""
     root = f"{warehouse_root(spark)}/{tag}-{input_fingerprint(spark, inputs)}"
     try:
         spark.read.parquet(f"{root}/CURRENT").schema  # noqa: B018  committed version?
     except AnalysisException:
-        star, extra = build()
-        save_star(star, root, {n: extra[n] for n in extra_names})
+        build_stages(spark, root, stages)
     return load_star(spark, root, extra_names)
 
 
 def load_warehouse(spark: SparkSession, *, cases_csv: str, density_csv: str, stations_json: str,
                    daily_weather_csv: str, gdp_xml: str, out_root: str,
                    mode: str = "correct") -> Star:
-    """Files -> staging DataFrames -> star tables written under ``out_root`` ->
+    """Files -> staging DataFrames -> star tables loaded stage by stage under
+    ``out_root`` (dimensions first, the fact from the stored dimensions) ->
     refreshed region × year summary. Returns the star read back from storage.
     ``mode`` picks the accent map used to match names (see ``accent_key``)."""
-    from stellata.plans.star import build_star
+    from stellata.plans import star as st
     from stellata.plans.views import SUMMARY_NAME, refresh_summary
     from stellata.sources.tables import (read_cases, read_daily_weather, read_density,
                                          read_gdp_xml, read_stations)
 
-    star = build_star(spark, read_cases(spark, cases_csv), read_density(spark, density_csv),
-                      read_stations(spark, stations_json), read_daily_weather(spark, daily_weather_csv),
-                      read_gdp_xml(spark, gdp_xml), mode=mode)
-    save_star(star, out_root, {"aux_regiao_estacao": star.extras["aux_regiao_estacao"]})
+    cases, density = read_cases(spark, cases_csv), read_density(spark, density_csv)
+    years = [(sk, y) for sk, y, _ in st.TIME_SEED]
+    stages = [
+        ("dim_tempo", lambda d: st.dim_tempo(spark)),
+        ("aux_regiao_estacao", lambda d: st.region_station_map(spark)),
+        ("dim_municipio", lambda d: st.dim_municipio(cases, density, mode)),
+        ("dim_estacao", lambda d: st.dim_estacao(read_stations(spark, stations_json))),
+        ("dim_clima", lambda d: st.dim_clima(read_daily_weather(spark, daily_weather_csv),
+                                             d["dim_estacao"], d["dim_tempo"])),
+        ("dim_socioeconomico", lambda d: st.dim_socioeconomico(
+            d["dim_municipio"], years, read_gdp_xml(spark, gdp_xml), density, mode)),
+        ("fato_tuberculose", lambda d: st.fact(
+            st.cases_long(cases), d["dim_municipio"], d["dim_tempo"], d["aux_regiao_estacao"],
+            d["dim_estacao"], d["dim_clima"])),
+    ]
+    build_stages(spark, out_root, stages)
     stored = load_star(spark, out_root, ("aux_regiao_estacao",))
     refresh_summary(spark, stored, path=f"{out_root.rstrip('/')}/{SUMMARY_NAME}")
     return stored

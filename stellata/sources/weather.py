@@ -56,13 +56,16 @@ HOURLY_COLUMNS = ["ano", "codigo_estacao", "nome_estacao", "latitude", "longitud
                   "precipitacao_mm", "arquivo", "linha"]
 
 
-def _cells(line, sep: str):
-    parsed = F.from_csv(line, _CELLS_DDL, {"sep": sep, "mode": "PERMISSIVE"})
-    return F.array(*[parsed[f"c{i}"] for i in range(MAX_CELLS)])
+def _parse(line, sep_col):
+    """One CSV parse of a line with the file's separator (a struct of MAX_CELLS
+    strings; the separator must be a literal, so one parser per separator)."""
+    opts = {"mode": "PERMISSIVE"}
+    return F.when(sep_col == ";", F.from_csv(line, _CELLS_DDL, {**opts, "sep": ";"})).otherwise(
+        F.from_csv(line, _CELLS_DDL, {**opts, "sep": ","}))
 
 
-def _split_cells(line, sep_col):
-    return F.when(sep_col == ";", _cells(line, ";")).otherwise(_cells(line, ","))
+def _cells_of(struct_col):
+    return F.array(*[struct_col[f"c{i}"] for i in range(MAX_CELLS)])
 
 
 def read_files(spark: SparkSession, root: str, years=YEARS) -> DataFrame:
@@ -83,44 +86,66 @@ def read_files(spark: SparkSession, root: str, years=YEARS) -> DataFrame:
     return files.select("arquivo", "ano", F.decode("content", "ISO-8859-1").alias("texto"))
 
 
+# The header is the first line from the ninth on whose text contains DATA (any
+# case): group 1 = everything before it, group 2 = the header line.
+_HEADER_RE = r"^((?:[^\n]*\n){%d}(?:[^\n]*\n)*?)([^\n]*(?i:data)[^\n]*)" % PREAMBLE_LINES
+# the eight preamble lines are read from a bounded prefix of the file
+_PREFIX = 16384
+
+
 def file_facts(files: DataFrame) -> DataFrame:
     """Per file: station metadata, header line number, separator and the position
-    of every logical column, all as expressions over the file's own line array
-    (no shuffle). Keeps files whose UF is the wanted state and whose header has a
-    date column."""
-    lines = F.split(F.col("texto"), "\r?\n")
-    indexed = F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    pre = F.transform(
-        F.filter(F.slice(indexed, 1, PREAMBLE_LINES), lambda s: strip_ws(s["x"]).contains(";")),
-        lambda s: F.struct(
-            F.upper(F.trim(F.replace(F.split(strip_ws(s["x"]), ";")[0], F.lit(":"), F.lit("")))).alias("k"),
-            F.coalesce(F.trim(F.get(F.split(strip_ws(s["x"]), ";"), 1)), F.lit("")).alias("v")))
+    of every logical column. Keeps files whose UF is the wanted state and whose
+    header has a date column.
+
+    Every fact reads only the top of the file — the preamble from a bounded
+    prefix, the header with one lazy regex that stops at it — so the facts stay
+    cheap wherever the optimizer places them (filters on them are pushed below
+    these projections with the expressions inlined). The whole file is split
+    into lines exactly once, for the body."""
+    text = F.col("texto")
+    prefix = F.substring(text, 1, _PREFIX)
+    pre = F.slice(F.split(prefix, "\r?\n"), 1, PREAMBLE_LINES)
+    kv = F.transform(F.filter(pre, lambda x: strip_ws(x).contains(";")),
+                     lambda x: F.split(strip_ws(x), ";"))
+    kv = F.transform(kv, lambda p: F.struct(
+        F.upper(F.trim(F.replace(p[0], F.lit(":"), F.lit("")))).alias("k"),
+        F.coalesce(F.trim(F.get(p, 1)), F.lit("")).alias("v")))
 
     def meta(key):  # the last line with the key wins
-        return F.try_element_at(F.filter(pre, lambda s: s["k"] == key), F.lit(-1))["v"]
-
-    hdr = F.try_element_at(
-        F.filter(indexed, lambda s: (s["i"] >= PREAMBLE_LINES) & F.upper(s["x"]).contains("DATA")),
-        F.lit(1))
+        return F.try_element_at(F.filter(kv, lambda s: s["k"] == key), F.lit(-1))["v"]
+
+    # the header is searched in the prefix; the whole text only if it is not there
+    # (regex functions copy their input to a Java string, so this matters)
+    in_prefix = F.regexp_extract(prefix, _HEADER_RE, 2) != ""
+    source = F.when(in_prefix, prefix).otherwise(text)
+    before = F.regexp_extract(source, _HEADER_RE, 1)
+    header = F.regexp_replace(F.regexp_extract(source, _HEADER_RE, 2), "\r$", "")
     df = files.select(
-        "arquivo", "ano", lines.alias("_lines"),
-        meta("UF").alias("uf"),
+        "arquivo", "ano", "texto",
+        meta("UF").alias("_uf"),
         F.trim(F.coalesce(meta("CODIGO (WMO)"), meta("CODIGO"), F.lit(""))).alias("codigo_estacao"),
         F.trim(F.coalesce(meta("ESTACAO"), F.lit(""))).alias("nome_estacao"),
         tolerant_float(F.coalesce(meta("LATITUDE"), F.lit("")), null_sentinel=False).alias("latitude"),
         tolerant_float(F.coalesce(meta("LONGITUDE"), F.lit("")), null_sentinel=False).alias("longitude"),
         tolerant_float(F.coalesce(meta("ALTITUDE"), F.lit("")), null_sentinel=False).alias("altitude"),
-        hdr["i"].alias("h_linha"), hdr["x"].alias("h_texto"))
-    df = df.where(F.upper(F.trim(F.coalesce("uf", F.lit("")))) == STATE).drop("uf")
+        F.when(F.length(header) > 0, header).alias("h_texto"),
+        # header line number (0-based) = newlines before it
+        (F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit("")))).cast("int")
+        .alias("h_linha"))
+    df = df.where(F.upper(F.trim(F.coalesce("_uf", F.lit("")))) == STATE).drop("_uf")
     df = df.withColumn("sep", F.when(F.col("h_texto").contains(";"), F.lit(";")).otherwise(F.lit(",")))
-    norm = F.transform(_split_cells(F.col("h_texto"), F.col("sep")), lambda c: F.upper(F.trim(c)))
-    df = df.withColumn("_norm", norm)
+    df = df.withColumn("_norm", F.transform(_cells_of(_parse(F.col("h_texto"), F.col("sep"))),
+                                            lambda c: F.upper(F.trim(c))))
     for logical, aliases in HEADER_ALIASES.items():
         # first alias (in priority order) present in the header; its first position
         pos = [F.when(F.array_position("_norm", a.strip().upper()) > 0,
                       F.array_position("_norm", a.strip().upper()) - 1) for a in aliases]
         df = df.withColumn(f"p_{logical}", F.coalesce(*pos).cast("int"))
-    return df.drop("_norm", "h_texto").where(F.col("p_data").isNotNull())
+    # a file without a date column yields no rows: the row filter of
+    # hourly_from_files needs a non-empty date cell (no file-level filter here,
+    # which the optimizer would push down with the header parse inlined)
+    return df.drop("_norm", "h_texto")
 
 
 def read_weather_hourly(spark: SparkSession, root: str, years=YEARS) -> DataFrame:
@@ -128,12 +153,18 @@ def read_weather_hourly(spark: SparkSession, root: str, years=YEARS) -> DataFram
 
 
 def hourly_from_files(files: DataFrame) -> DataFrame:
-    """Hourly readings: every line after the header, split with the file's
-    separator; rows with an empty first cell or an empty date are skipped."""
+    """Hourly readings: every line after the header, parsed with the file's
+    separator; rows with an empty first cell or an empty date are skipped (so a
+    file without a date column yields nothing).
+
+    Each line is parsed inside the generator (``posexplode`` of the parsed line
+    array): the row filters then read generator output and stay above it, so
+    a line is parsed exactly once."""
     facts = file_facts(files)
-    body = (facts.select("*", F.posexplode("_lines").alias("linha", "texto")).drop("_lines")
+    parsed = F.transform(F.split(F.col("texto"), "\r?\n"), lambda line: _parse(line, F.col("sep")))
+    body = (facts.select("*", F.posexplode(parsed).alias("linha", "_p")).drop("texto")
             .where(F.col("linha") > F.col("h_linha")))
-    body = body.withColumn("_c", _split_cells(F.col("texto"), F.col("sep")))
+    body = body.withColumn("_c", _cells_of(F.col("_p"))).drop("_p")
 
     def cell(logical):
         p = F.col(f"p_{logical}")
@@ -171,4 +202,3 @@ def load_report(spark: SparkSession, root: str, years=YEARS) -> dict:
     n_daily = hourly_to_daily(hourly).count()
     return {"arquivos_encontrados": n_found, "arquivos_lidos": h["arquivos"],
             "registros_horarios": h["horas"], "registros_diarios": n_daily}
-

@@ -21,7 +21,8 @@ TESTDATA = "/root/testdata"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("local[4]", shuffle_partitions=8, app_name="stellata-tests")
+    s = get_spark("local[4]", shuffle_partitions=8, app_name="stellata-tests",
+                  extra={"spark.driver.memory": "2g"})
     checkpoint_dir(s)
     yield s
 
