@@ -28,7 +28,7 @@ from stellata.operators.reshape import union_all_slices, unpivot_measures, unpiv
 from stellata.plans import olap
 from stellata.plans.bench_sql import QUERIES as _SQL
 from stellata.plans.benchstar import (BENCH_LATITUDE, BENCH_REGION, BENCH_REGION_STATION,
-                                      REGION_WITHOUT_NAME, customer_year_orders, order_years,
+                                      customer_year_orders, order_years,
                                       read_tables, stored_bench_star)
 from stellata.plans.star import nearest_climate, remap_climate, year_grid
 from stellata.session import checkpoint_dir
@@ -181,10 +181,15 @@ def _station_lookup_chain(spark, sf_dir):
 
 
 def _literal_mapping(spark, sf_dir):
-    region = read_tables(spark, sf_dir, ["region"])["region"]
+    """The literal region -> station map (VALUES) applied to every customer
+    through its nation and region."""
+    t = read_tables(spark, sf_dir, ["customer", "nation", "region"])
     rmap = spark.createDataFrame(BENCH_REGION_STATION, "nm_regiao string, cd_estacao string")
-    return _out(region.join(F.broadcast(rmap), region.r_name == rmap.nm_regiao)
-                .select("r_regionkey", "r_name", "cd_estacao"))
+    geo = (F.broadcast(t["nation"]).join(F.broadcast(t["region"]),
+                                         F.col("n_regionkey") == F.col("r_regionkey"))
+           .join(F.broadcast(rmap), F.col("r_name") == F.col("nm_regiao")))  # fixed sizes
+    out = t["customer"].join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+    return _out(out.select("c_custkey", "r_name", "cd_estacao"))
 
 
 # --- text and number cleaning ------------------------------------------------
@@ -204,13 +209,14 @@ def _json_expand(spark, sf_dir):
 
 
 def _xml_expand(spark, sf_dir):
-    nation = read_tables(spark, sf_dir, ["nation"])["nation"]
+    """One XML document per customer, parsed back into rows (XMLTABLE)."""
+    cust = read_tables(spark, sf_dir, ["customer"])["customer"]
     doc = F.concat(
-        F.lit("<pib_municipios><municipio><municipio>"), xml_escape("n_name"),
-        F.lit("</municipio><per_capita_2018>"), F.col("n_nationkey").cast("string"),
-        F.lit("</per_capita_2018><pib_total_2018>"), F.col("n_regionkey").cast("string"),
+        F.lit("<pib_municipios><municipio><municipio>"), xml_escape("c_name"),
+        F.lit("</municipio><per_capita_2018>"), F.col("c_custkey").cast("string"),
+        F.lit("</per_capita_2018><pib_total_2018>"), F.col("c_nationkey").cast("string"),
         F.lit("</pib_total_2018></municipio></pib_municipios>"))
-    rows = explode_xml_column(nation.select(doc.alias("doc")), "doc", "municipio", GDP_FIELDS)
+    rows = explode_xml_column(cust.select(doc.alias("doc")), "doc", "municipio", GDP_FIELDS)
     return _out(rows.select("municipio", "per_capita_2018", "pib_total_2018"))
 
 
@@ -292,13 +298,13 @@ def _distinct_names(spark, sf_dir):
 
 
 def _sorted_nulls_last(spark, sf_dir):
-    from pyspark.sql import Window
-    region = read_tables(spark, sf_dir, ["region"])["region"]
-    r = region.select("r_regionkey", F.when(F.col("r_name") == REGION_WITHOUT_NAME, F.lit(None))
-                      .otherwise(F.col("r_name")).alias("nome"))
-    # the region table is a fixed list of five rows
-    return _out(r.withColumn("posicao", F.row_number().over(
-        Window.orderBy(F.col("nome").asc_nulls_last()))))
+    """ORDER BY segment ASC NULLS LAST (one segment made NULL), ties by key; the
+    position is written out by the dense-key operator (no single-task sort)."""
+    checkpoint_dir(spark)
+    cust = read_tables(spark, sf_dir, ["customer"])["customer"]
+    c = cust.select("c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None))
+                    .otherwise(F.col("c_mktsegment")).alias("segmento"))
+    return _out(dense_key(c, ["segmento", "c_custkey"], "posicao"))
 
 
 def _dense_keys(spark, sf_dir):
