@@ -30,10 +30,30 @@ def xml_document(df: DataFrame, root_tag: str, attrs: dict[str, str], element: C
                                F.lit(f"</{root_tag}>")).alias(out))
 
 
-def json_object(fields: Sequence[tuple[str, Column]]) -> Column:
+def json_number(c: Column) -> Column:
+    """A number as JSON text in its shortest decimal form, as Oracle writes
+    NUMBER values (``18.50`` -> ``18.5``, ``7.00`` -> ``7``, ``0.50`` -> ``0.5``).
+    Give exact decimals or integers (a double's text may use an exponent)."""
+    s = c.cast("string")
+    return F.when(s.contains("."), F.regexp_replace(s, r"\.?0+$", "")).otherwise(s)
+
+
+def json_object(fields: Sequence[tuple[str, Column]], numeric: Sequence[str] = ()) -> Column:
     """``JSON_OBJECT(k VALUE v, …)``: keys in the given order, NULL values kept
-    as ``null`` (Spark's default would drop them)."""
-    return F.to_json(F.struct(*[v.alias(k) for k, v in fields]), {"ignoreNullFields": "false"})
+    as ``null``. Keys listed in ``numeric`` are written as JSON numbers in
+    shortest decimal form; other values are written by Spark's JSON writer
+    (strings quoted and escaped)."""
+    parts = []
+    for i, (k, v) in enumerate(fields):
+        if k in numeric:
+            text = json_number(v)
+        else:
+            # Spark's writer on a one-element array ('["..."]' or '[null]'), brackets cut
+            text = F.regexp_extract(F.to_json(F.array(v)), r"^\[(.*)\]$", 1)
+        sep = "{" if i == 0 else ","
+        parts += [F.lit(f'{sep}"{k}":'), F.coalesce(text, F.lit("null"))]
+    parts.append(F.lit("}"))
+    return F.concat(*parts)
 
 
 __all__ = ["json_object", "xml_document", "xml_escape", "xml_rows"]

@@ -262,12 +262,14 @@ def json_rows(star: Star) -> DataFrame:
         avg_half_up("temp_med_anual", 2, 2).alias("temp_media_pr"),
         avg_half_up("umidade_med_anual", 2, 2).alias("umidade_media_pr"),
         avg_half_up("precipitacao_total", 2, 2).alias("precipitacao_media"))
+    numbers = ("ano", "total_casos", "municipios_afetados", "temp_media_pr", "umidade_media_pr",
+               "precipitacao_media")
     doc = json_object([("ano", F.col("ano")), ("pandemia", F.col("pandemia")),
                        ("total_casos", F.col("total_casos")),
                        ("municipios_afetados", F.col("municipios_afetados")),
-                       ("temp_media_pr", F.col("temp_media_pr").cast("double")),
-                       ("umidade_media_pr", F.col("umidade_media_pr").cast("double")),
-                       ("precipitacao_media", F.col("precipitacao_media").cast("double"))])
+                       ("temp_media_pr", F.col("temp_media_pr")),
+                       ("umidade_media_pr", F.col("umidade_media_pr")),
+                       ("precipitacao_media", F.col("precipitacao_media"))], numeric=numbers)
     return g.orderBy("ano").select(doc.alias("resumo_json"))
 
 

@@ -133,5 +133,13 @@ def test_xml_and_json_rendering(spark):
     doc = xml_document(df, "r", {"titulo": "T"}, el, [-F.col("t")]).first()[0]
     assert doc == ('<r titulo="T"><m><nome>A&lt;1&gt;</nome><t>9</t></m>'
                    '<m><nome>B &amp; C</nome><t>5</t></m></r>')
-    js = [r[0] for r in df.select(json_object([("n", F.col("n")), ("p", F.col("p"))])).collect()]
-    assert js == ['{"n":"B & C","p":null}', '{"n":"A<1>","p":2.5}']
+    js = [r[0] for r in df.select(json_object(
+        [("n", F.col("n")), ("p", F.col("p").cast("decimal(10,2)")), ("t", F.col("t"))],
+        numeric=("p", "t"))).collect()]
+    assert js == ['{"n":"B & C","p":null,"t":5}', '{"n":"A<1>","p":2.5,"t":9}']
+    quoted = spark.createDataFrame([('say "hi"\n', 0.5)], "n string, p double")
+    js = quoted.select(json_object([("n", F.col("n")), ("p", F.col("p").cast("decimal(4,2)"))],
+                                   numeric=("p",))).first()[0]
+    assert js == '{"n":"say \\"hi\\"\\n","p":0.5}'
+    import json as _json
+    assert _json.loads(js) == {"n": 'say "hi"\n', "p": 0.5}
