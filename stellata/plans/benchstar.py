@@ -192,7 +192,8 @@ def stored_bench_star(spark: SparkSession, sf_dir: str, keep_unmapped: bool = Tr
             return iter(bench_stages(spark, t, order_years(t["orders"])))
 
     star = stored_star(spark, inputs, "bench", _Lazy(), ("aux_regiao_estacao", "customer_year"))
-    star.extras["years"] = [r[0] for r in star.tempo.select("ano").orderBy("ano").collect()]
+    if "years" not in star.extras:  # the calendar: one small read, once per loaded star
+        star.extras["years"] = [r[0] for r in star.tempo.select("ano").orderBy("ano").collect()]
     if not keep_unmapped:
         star = replace(star, fato=star.fato.where(F.col("sk_clima").isNotNull()))
     return star

@@ -135,17 +135,26 @@ def load_star(spark: SparkSession, root: str, extra_names: Sequence[str] = ()) -
                 t["dim_socioeconomico"], t["fato_tuberculose"], extras=extras)
 
 
+_LOADED: dict[tuple, Star] = {}
+
+
 def stored_star(spark: SparkSession, inputs: Sequence[str], tag: str,
                 stages: Sequence[tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]],
                 extra_names: Sequence[str] = ()) -> Star:
     """Load the stored star for these inputs, running the staged load first if
-    no committed version exists."""
+    no committed version exists. The loaded star (lazy DataFrames over one
+    committed version's files) is remembered per application and version root;
+    a changed input has another fingerprint, hence another root."""
     root = f"{warehouse_root(spark)}/{tag}-{input_fingerprint(spark, inputs)}"
+    key = (spark.sparkContext.applicationId, root, tuple(extra_names))
+    if key in _LOADED:
+        return _LOADED[key]
     try:
         spark.read.parquet(f"{root}/CURRENT").schema  # noqa: B018  committed version?
     except AnalysisException:
         build_stages(spark, root, stages)
-    return load_star(spark, root, extra_names)
+    _LOADED[key] = load_star(spark, root, extra_names)
+    return _LOADED[key]
 
 
 def load_warehouse(spark: SparkSession, *, cases_csv: str, density_csv: str, stations_json: str,
