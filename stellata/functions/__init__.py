@@ -7,7 +7,6 @@ from stellata.functions.numbers import (
     is_bad_number,
     locale_number,
     ratio_half_up,
-    round_half_up,
     to_decimal,
     tolerant_float,
 )
@@ -28,6 +27,6 @@ from stellata.functions.text import (
 __all__ = [
     "accent_key", "avg_half_up", "clean_clock", "dash_to_zero", "fold_accents", "ibge_code",
     "ibge_name", "is_bad_number", "locale_number", "number_text", "parse_mixed_date",
-    "ratio_half_up", "round_half_up", "starts_with_code", "strip_dot_zero", "strip_ws",
+    "ratio_half_up", "starts_with_code", "strip_dot_zero", "strip_ws",
     "to_decimal", "tolerant_float", "xml_element", "xml_escape",
 ]

@@ -129,8 +129,3 @@ def sum_exact(c, in_scale: int = 2) -> Column:
     """``SUM(c)`` exactly as ``decimal(38, in_scale)`` (aggregate expression)."""
     total = F.sum(units(c, in_scale)).cast("decimal(38,0)")
     return (total / (10 ** in_scale)).cast(f"decimal(38,{in_scale})")
-
-
-def round_half_up(c, scale: int = 2, in_scale: int = 6) -> Column:
-    """``ROUND(c, scale)`` on a decimal value, half away from zero."""
-    return F.round(_col(c).cast(f"decimal(38,{in_scale})"), scale)

@@ -1,4 +1,4 @@
-"""Join operators: dimension lookups, nearest-row lookup, update-as-join.
+"""Join operators: nearest-row lookup, update-as-join, semi-join to a top-k.
 
 Broadcast policy: a side is hinted for broadcast only when its size has a proven
 bound (calendar years, a literal mapping, one row per partition, a top-k result).
@@ -16,12 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-           bounded: bool = False) -> DataFrame:
-    """Fact -> dimension join; ``bounded=True`` only for dimensions of fixed size."""
-    return fact.join(F.broadcast(dim) if bounded else dim, on, how)
-
-
 def nearest_lookup(df: DataFrame, group_cols: Sequence[str], value: str | Column,
                    target: float, pick: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
     """Per group, the row whose ``value`` is nearest to ``target``

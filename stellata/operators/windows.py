@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stellata.functions.numbers import avg_half_up, ratio_half_up
@@ -89,11 +89,3 @@ def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
     total = df.agg(F.sum(value).alias("_total"))
     return (df.crossJoin(F.broadcast(total))
             .withColumn(name, ratio_half_up(F.col(value) * 100, F.col("_total"), 2)).drop("_total"))
-
-
-def order_nulls(cols: Sequence[tuple[str, str]]) -> list[Column]:
-    """Oracle default NULL placement: ASC -> NULLS LAST, DESC -> NULLS FIRST."""
-    out = []
-    for c, d in cols:
-        out.append(F.col(c).asc_nulls_last() if d == "asc" else F.col(c).desc_nulls_first())
-    return out

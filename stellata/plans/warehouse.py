@@ -185,6 +185,23 @@ def load_warehouse(spark: SparkSession, *, cases_csv: str, density_csv: str, sta
             d["dim_estacao"], d["dim_clima"])),
     ]
     build_stages(spark, out_root, stages)
+    # the source load stops on a GDP value its number mask rejects; here such
+    # values become NULL in the dimension and are listed in a rejects table
+    gdp_rejects(read_gdp_xml(spark, gdp_xml)).write.mode("overwrite").parquet(
+        f"{out_root.rstrip('/')}/rejeitos_pib")
     stored = load_star(spark, out_root, ("aux_regiao_estacao",))
     refresh_summary(spark, stored, path=f"{out_root.rstrip('/')}/{SUMMARY_NAME}")
     return stored
+
+
+def gdp_rejects(gdp: DataFrame) -> DataFrame:
+    """GDP rows with a value that is not a number of the dimension's precision:
+    (municipio, list of failing columns)."""
+    from stellata.functions.numbers import is_bad_number
+    from stellata.operators.quality import domain_violations
+    from stellata.sources.tables import YEARS
+
+    checks = {f"per_capita_{y}": is_bad_number(f"per_capita_{y}", 15, 2) for y in YEARS}
+    checks.update({f"pib_total_{y}": is_bad_number(f"pib_total_{y}", 20, 0) for y in YEARS})
+    return domain_violations(gdp, checks, ["municipio"])
+

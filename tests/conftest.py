@@ -89,7 +89,8 @@ def write_gdp_xml(folder: str, names) -> str:
         out.append("  <municipio>")
         out.append(f"    <municipio>{name}</municipio>")
         for j, y in enumerate(range(2018, 2024)):
-            out.append(f"    <per_capita_{y}>{pc + j * 100 if pc is not None else ''}</per_capita_{y}>")
+            value = '' if pc is None else (pc if isinstance(pc, str) else pc + j * 100)
+            out.append(f"    <per_capita_{y}>{value}</per_capita_{y}>")
         for j, y in enumerate(range(2018, 2024)):
             if tot is None and y == 2023:
                 continue  # missing element
@@ -98,6 +99,7 @@ def write_gdp_xml(folder: str, names) -> str:
 
     row("Estado do Paraná", 45000, 500000000)
     row("MUNICÍPIOS", 1, 1)
+    row("Município Sem Número", "n/d", 10)  # a value no number mask accepts
     for i, n in enumerate(names):
         if i % 7 == 3:
             row(n, None, 1000000 + i)      # empty per-capita elements

@@ -200,6 +200,8 @@ def test_load_warehouse_from_files(spark, real_star_inputs, scratch):
     assert star.fato.count() == 1710
     assert spark.read.parquet(os.path.join(out, "mv_regiao_ano")).agg(F.sum("total_casos")).first()[0] == 13327
     assert star.clima.count() == 20 * 6
+    rejects = spark.read.parquet(os.path.join(out, "rejeitos_pib")).collect()
+    assert [(r["municipio"], len(r["falhas"])) for r in rejects] == [("Município Sem Número", 6)]
     # the climate year with no rain readings sums to 0 and has no rainy days
     dry = star.clima.join(star.estacao.where(F.col("cd_estacao") == "A875"), "sk_estacao") \
         .where(F.col("sk_tempo") == 2).first()
