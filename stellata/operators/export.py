@@ -17,14 +17,16 @@ def xml_rows(df: DataFrame, row_tag: str, fields: Sequence[tuple[str, Column]])
 
 
 def xml_document(df: DataFrame, root_tag: str, attrs: dict[str, str], element: Column,
-                 order: Sequence[Column], out: str = "xml_resultado") -> DataFrame:
-    """``XMLELEMENT(root, XMLATTRIBUTES(…), XMLAGG(element ORDER BY …))`` as one
-    row with one string. Meant for bounded inputs (a top-k report): all rows of
-    the document meet in one aggregate, as they must to form one document."""
-    attr_text = "".join(f' {k}="{v}"' for k, v in attrs.items())
+                 order: Sequence[Column], k: int, out: str = "xml_resultado") -> DataFrame:
+    """``XMLELEMENT(root, XMLATTRIBUTES(…), XMLAGG(element ORDER BY …))`` over the
+    first ``k`` rows in ``order`` (``FETCH FIRST k``), as one row with one string.
+    The top-k is taken first (each task keeps k rows), so the single aggregate
+    that forms the document sees at most k rows."""
+    attr_text = "".join(f' {a}="{v}"' for a, v in attrs.items())
     sort_key = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
-    items = df.select(F.struct(sort_key.alias("k"), element.alias("e")).alias("_x"))
-    agg = items.agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
+    top = df.select(F.struct(sort_key.alias("k"), element.alias("e")).alias("_x")) \
+        .orderBy(F.col("_x.k")).limit(k)
+    agg = top.agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
     body = F.array_join(F.transform("_xs", lambda s: s["e"]), "")
     return agg.select(F.concat(F.lit(f"<{root_tag}{attr_text}>"), body,
                                F.lit(f"</{root_tag}>")).alias(out))

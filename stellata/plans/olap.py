@@ -240,15 +240,13 @@ def xml_report(star: Star, k: int = 10) -> DataFrame:
     g = f.groupBy("nm_municipio", "nm_regiao").agg(
         F.sum("casos_tb").alias("total_casos"),
         avg_half_up("pib_per_capita", 0, 2).alias("pib_medio"))
-    top = g.orderBy(F.col("total_casos").desc_nulls_first(), F.col("nm_municipio").asc_nulls_last(),
-                    F.col("nm_regiao").asc_nulls_last()).limit(k)
-    element = xml_rows(top, XML_ROW, [
+    element = xml_rows(g, XML_ROW, [
         ("nome", F.col("nm_municipio")),
         ("regiao", F.coalesce("nm_regiao", F.lit(NOT_AVAILABLE))),
         ("total_casos", number_text("total_casos")),
         ("pib_medio", F.coalesce(number_text("pib_medio"), F.lit(NOT_AVAILABLE)))])
-    return xml_document(top, XML_ROOT, {"titulo": XML_TITLE}, element,
-                        [-F.col("total_casos"), F.col("nm_municipio"), F.col("nm_regiao")])
+    return xml_document(g, XML_ROOT, {"titulo": XML_TITLE}, element,
+                        [-F.col("total_casos"), F.col("nm_municipio"), F.col("nm_regiao")], k)
 
 
 # 13 -------------------------------------------------------------------------

@@ -130,7 +130,9 @@ def test_quality_checks(spark):
 def test_xml_and_json_rendering(spark):
     df = spark.createDataFrame([("B & C", 5, None), ("A<1>", 9, 2.5)], "n string, t bigint, p double")
     el = xml_rows(df, "m", [("nome", F.col("n")), ("t", F.col("t").cast("string"))])
-    doc = xml_document(df, "r", {"titulo": "T"}, el, [-F.col("t")]).first()[0]
+    doc = xml_document(df, "r", {"titulo": "T"}, el, [-F.col("t")], 10).first()[0]
+    assert xml_document(df, "r", {}, el, [-F.col("t")], 1).first()[0] == \
+        "<r><m><nome>A&lt;1&gt;</nome><t>9</t></m></r>"
     assert doc == ('<r titulo="T"><m><nome>A&lt;1&gt;</nome><t>9</t></m>'
                    '<m><nome>B &amp; C</nome><t>5</t></m></r>')
     js = [r[0] for r in df.select(json_object(
