@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,8 +77,16 @@ def _ratio_long(n: Column, d: Column, scale: int) -> Column:
     an, ad = F.abs(n), F.abs(d)
     q = _int_div(an * (2 * 10 ** scale) + ad, ad * 2)
     signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
-    # |signed| < 10^15: the double k / 10^scale prints as the exact decimal
-    return (signed / (10 ** scale)).cast(f"decimal(38,{scale})")
+    return _shift(signed.cast("bigint"), scale)
+
+
+def _shift(unscaled: Column, scale: int) -> Column:
+    """``unscaled × 10^-scale`` as ``decimal(38, scale)``: a long-backed decimal
+    times an exact literal (cheaper than a division or a cast from double)."""
+    d = unscaled.cast("decimal(18,0)")
+    if scale:
+        d = d * F.lit(Decimal(1).scaleb(-scale))
+    return d.cast(f"decimal(38,{scale})")
 
 
 def _ratio_decimal(n: Column, d: Column, scale: int) -> Column:
@@ -128,4 +138,6 @@ def avg_half_up(c, scale: int = 2, in_scale: int = 0) -> Column:
 def sum_exact(c, in_scale: int = 2) -> Column:
     """``SUM(c)`` exactly as ``decimal(38, in_scale)`` (aggregate expression)."""
     total = F.sum(units(c, in_scale)).cast("decimal(38,0)")
-    return (total / (10 ** in_scale)).cast(f"decimal(38,{in_scale})")
+    if not in_scale:
+        return total
+    return (total * F.lit(Decimal(1).scaleb(-in_scale))).cast(f"decimal(38,{in_scale})")
