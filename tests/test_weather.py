@@ -116,7 +116,7 @@ def test_load_report(spark, folder):
     rep = load_report(spark, folder)
     # 6 csv files under 2018-2023 (the 2017 one is outside), 3 read, 10 hourly, 6 daily
     assert rep == {"arquivos_encontrados": 6, "arquivos_lidos": 3, "registros_horarios": 10,
-                   "registros_diarios": 6}
+                   "registros_diarios": 6, "anos_sem_arquivos": [2021, 2022, 2023]}
 
 
 def test_broken_file_is_skipped(spark, scratch):
