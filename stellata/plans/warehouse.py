@@ -31,6 +31,7 @@ WAREHOUSE_CONF = "stellata.warehouse.dir"
 BUCKETS_CONF = "stellata.warehouse.buckets"
 BUCKET_KEY = "sk_municipio"
 BUCKETED = ("fato_tuberculose", "dim_municipio", "dim_socioeconomico")
+BYTES_PER_BUCKET = 64 << 20
 
 
 def warehouse_root(spark: SparkSession) -> str:
@@ -38,31 +39,40 @@ def warehouse_root(spark: SparkSession) -> str:
     return root or f"{checkpoint_dir(spark).rstrip('/')}/stellata-warehouse"
 
 
-_FINGERPRINTS: dict[tuple, str] = {}
+_LISTINGS: dict[tuple, tuple[str, int]] = {}
 
 
-def input_fingerprint(spark: SparkSession, paths: Sequence[str], refresh: bool = False) -> str:
-    """Hash of (path, length, modification time) of every input file. The
-    listing is a Spark job over file metadata only (file contents are not read);
-    its result has one row per input file. Remembered per application, so a
-    session lists its inputs once (``refresh=True`` lists again)."""
+def _listing(spark: SparkSession, paths: Sequence[str], refresh: bool = False) -> tuple[str, int]:
+    """(fingerprint, total bytes) of the input files. The fingerprint hashes
+    (path, length, modification time) of every file. The listing is a Spark job
+    over file metadata only (contents are not read) with one row per input
+    file; it is remembered per application (``refresh=True`` lists again)."""
     key = (spark.sparkContext.applicationId, tuple(paths))
-    if key in _FINGERPRINTS and not refresh:
-        return _FINGERPRINTS[key]
+    if key in _LISTINGS and not refresh:
+        return _LISTINGS[key]
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
                .load(list(paths)).select("path", "length", "modificationTime"))
     rows = sorted((r[0], r[1], str(r[2])) for r in listing.collect())
-    _FINGERPRINTS[key] = hashlib.sha256(repr(rows).encode()).hexdigest()[:16]
-    return _FINGERPRINTS[key]
+    _LISTINGS[key] = (hashlib.sha256(repr(rows).encode()).hexdigest()[:16], sum(r[1] for r in rows))
+    return _LISTINGS[key]
 
 
-def _table_name(attempt: str, name: str) -> str:
-    return "stellata_" + hashlib.sha256(attempt.encode()).hexdigest()[:12] + "_" + name
+def input_fingerprint(spark: SparkSession, paths: Sequence[str], refresh: bool = False) -> str:
+    return _listing(spark, paths, refresh)[0]
 
 
-def bucket_count(spark: SparkSession) -> int:
+def buckets_for(spark: SparkSession, input_bytes: int) -> int:
+    """Bucket count: set by ``stellata.warehouse.buckets``, else one bucket per
+    64 MB of input, at least 8 and at most ``spark.sql.shuffle.partitions``."""
     conf = spark.conf.get(BUCKETS_CONF, None)
-    return int(conf or spark.conf.get("spark.sql.shuffle.partitions"))
+    if conf:
+        return int(conf)
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cap, max(8, -(-input_bytes // BYTES_PER_BUCKET))))
+
+
+def _table_name(attempt: str, name: str) -> str:
+    return "stellata_" + hashlib.sha256(attempt.encode()).hexdigest()[:12] + "_" + name
 
 
 def _write_table(spark: SparkSession, attempt: str, name: str, df: DataFrame, buckets: int) -> None:
@@ -87,7 +97,7 @@ def build_stages(spark: SparkSession, root: str,
     (passed in as a dict), is written, and is read back for the stages after it
     — no table recomputes its inputs, and lineage is cut at every stage. The
     version becomes visible when ``root/CURRENT`` is written, last."""
-    n = buckets or bucket_count(spark)
+    n = buckets or buckets_for(spark, 0)
     attempt = f"{root.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
     stored: dict[str, DataFrame] = {}
     for name, make in stages:
@@ -145,14 +155,15 @@ def stored_star(spark: SparkSession, inputs: Sequence[str], tag: str,
     no committed version exists. The loaded star (lazy DataFrames over one
     committed version's files) is remembered per application and version root;
     a changed input has another fingerprint, hence another root."""
-    root = f"{warehouse_root(spark)}/{tag}-{input_fingerprint(spark, inputs)}"
+    fingerprint, size = _listing(spark, inputs)
+    root = f"{warehouse_root(spark)}/{tag}-{fingerprint}"
     key = (spark.sparkContext.applicationId, root, tuple(extra_names))
     if key in _LOADED:
         return _LOADED[key]
     try:
         spark.read.parquet(f"{root}/CURRENT").schema  # noqa: B018  committed version?
     except AnalysisException:
-        build_stages(spark, root, stages)
+        build_stages(spark, root, stages, buckets_for(spark, size))
     _LOADED[key] = load_star(spark, root, extra_names)
     return _LOADED[key]
 
@@ -184,7 +195,8 @@ def load_warehouse(spark: SparkSession, *, cases_csv: str, density_csv: str, sta
             st.cases_long(cases), d["dim_municipio"], d["dim_tempo"], d["aux_regiao_estacao"],
             d["dim_estacao"], d["dim_clima"])),
     ]
-    build_stages(spark, out_root, stages)
+    inputs = [cases_csv, density_csv, stations_json, daily_weather_csv, gdp_xml]
+    build_stages(spark, out_root, stages, buckets_for(spark, _listing(spark, inputs)[1]))
     # the source load stops on a GDP value its number mask rejects; here such
     # values become NULL in the dimension and are listed in a rejects table
     gdp_rejects(read_gdp_xml(spark, gdp_xml)).write.mode("overwrite").parquet(
