@@ -177,10 +177,11 @@ def region_lookups(region_map: DataFrame, estacao: DataFrame, clima: DataFrame):
 
     Both are at most (rows of the literal region map) × (years) — a bound fixed
     by the map, not by the data — so the fact can broadcast them."""
-    rs = region_map.join(estacao.select("sk_estacao", "cd_estacao"), "cd_estacao").select(
-        "nm_regiao", "sk_estacao")
-    rc = rs.join(clima.select("sk_clima", "sk_estacao", "sk_tempo"), "sk_estacao").select(
-        "nm_regiao", "sk_tempo", "sk_clima")
+    # the map side is the bounded one: broadcast it, stream stations and climate
+    rs = estacao.select("sk_estacao", "cd_estacao").join(F.broadcast(region_map), "cd_estacao") \
+        .select("nm_regiao", "sk_estacao")
+    rc = clima.select("sk_clima", "sk_estacao", "sk_tempo").join(F.broadcast(rs), "sk_estacao") \
+        .select("nm_regiao", "sk_tempo", "sk_clima")
     return rs, rc
 
 

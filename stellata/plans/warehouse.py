@@ -30,7 +30,7 @@ STAR_TABLES = ("dim_tempo", "dim_municipio", "dim_estacao", "dim_clima", "dim_so
 WAREHOUSE_CONF = "stellata.warehouse.dir"
 BUCKETS_CONF = "stellata.warehouse.buckets"
 BUCKET_KEY = "sk_municipio"
-BUCKETED = ("fato_tuberculose", "dim_municipio", "dim_socioeconomico")
+BUCKETED = ("fato_tuberculose", "dim_municipio", "dim_socioeconomico", "customer_year")
 BYTES_PER_BUCKET = 64 << 20
 
 
