@@ -11,7 +11,7 @@ from weather_files import write_weather_folder
 
 def test_cli_weather_load_and_query(spark, scratch, real_star_inputs):
     base = tempfile.mkdtemp(dir=scratch)
-    root = write_weather_folder(os.path.join(base, "inmet"))
+    root = write_weather_folder(os.path.join(base, "horarios"))
     assert main(["weather", "--pasta", root, "--saida", os.path.join(base, "diario")], spark)["rows"] == 6
     assert main(["weather", "--pasta", root, "--saida", os.path.join(base, "horario"),
                  "--granularidade", "horario"], spark) == {"registros_horarios": 10}

@@ -78,7 +78,7 @@ def test_weather_reader_is_map_only(spark, scratch):
     from weather_files import write_weather_folder
 
     from stellata.sources.weather import read_weather_hourly
-    root = write_weather_folder(os.path.join(tempfile.mkdtemp(dir=scratch), "inmet"))
+    root = write_weather_folder(os.path.join(tempfile.mkdtemp(dir=scratch), "horarios"))
     p = plan_of(read_weather_hourly(spark, root)).split("\n\n")[0]
     assert "Exchange" not in p and "Generate" in p
 

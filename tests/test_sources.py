@@ -37,7 +37,7 @@ def test_density_raw_utf16(spark, scratch):
     assert rows["Abatiá"]["regiao"] == "RGI de Santo Antônio da Platina"
     assert rows["Abatiá"]["dens_2023"] == Decimal("32.04")
     # and back out as the processed ';' file, read by the processed-file reader
-    out = os.path.join(_tmp(scratch), "densidade_demografica")
+    out = os.path.join(_tmp(scratch), "densidade")
     write_csv(read_density_raw(spark, path), out, sep=";", single_file=True)
     again = {r["municipio"]: r["dens_2018"] for r in read_density(spark, out).collect()}
     assert again == {"Curitiba": Decimal("4406.96"), "Abatiá": Decimal("32.93")}
@@ -69,7 +69,7 @@ def test_gdp_sheet_xml_round_trip(spark, scratch):
     got = {r["municipio"]: r for r in clean.collect()}
     assert set(got) == {"Abatiá", "Curitiba & Região", "Ortigueira"}
     assert got["Abatiá"]["per_capita_2018"] == "20001" and got["Curitiba & Região"]["per_capita_2018"] == "50001.5"
-    out = os.path.join(_tmp(scratch), "pib_municipal")
+    out = os.path.join(_tmp(scratch), "pib")
     write_gdp_xml(clean, out)
     back = {r["municipio"]: r for r in read_gdp_xml(spark, out).collect()}
     assert set(back) == set(got)
@@ -78,7 +78,7 @@ def test_gdp_sheet_xml_round_trip(spark, scratch):
 
 
 def test_stations_json_and_dimension(spark, scratch):
-    path = os.path.join(_tmp(scratch), "apiTempo.json")
+    path = os.path.join(_tmp(scratch), "estacoes.json")
     data = [{"CD_ESTACAO": "A807", "DC_NOME": "CURITIBA", "SG_ESTADO": "PR", "TP_ESTACAO": "Automatica",
              "CD_SITUACAO": "Operante", "VL_LATITUDE": "-25.44805555", "VL_LONGITUDE": "-49.23055555",
              "VL_ALTITUDE": "923.5"},

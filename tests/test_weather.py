@@ -18,7 +18,7 @@ from weather_files import write_weather_folder
 
 @pytest.fixture(scope="module")
 def folder(scratch):
-    return write_weather_folder(os.path.join(tempfile.mkdtemp(dir=scratch), "inmet"))
+    return write_weather_folder(os.path.join(tempfile.mkdtemp(dir=scratch), "horarios"))
 
 
 @pytest.fixture(scope="module")
@@ -121,7 +121,7 @@ def test_load_report(spark, folder):
 
 def test_broken_file_is_skipped(spark, scratch):
     import shutil
-    root = os.path.join(tempfile.mkdtemp(dir=scratch), "inmet")
+    root = os.path.join(tempfile.mkdtemp(dir=scratch), "horarios")
     write_weather_folder(root)
     bad = os.path.join(root, "2021", "INMET_S_PR_A807_QUEBRADO.CSV")
     os.makedirs(os.path.dirname(bad), exist_ok=True)
