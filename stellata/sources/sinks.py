@@ -43,13 +43,18 @@ def write_daily_weather(daily: DataFrame, path: str) -> dict:
 
 
 def write_gdp_xml(df: DataFrame, path: str, root_tag: str = "pib_municipios",
-                  row_tag: str = "municipio") -> None:
+                  row_tag: str = "municipio", single_document: bool = True) -> None:
     """``<pib_municipios><municipio>…</municipio>…``: every column as a child
     element; NULL becomes an empty element; number text loses a trailing ``.0``;
-    ``&`` and ``<`` are escaped by the XML writer."""
+    ``&`` and ``<`` are escaped by the XML writer. One document by default (one
+    writer: the table has one row per municipality, a fixed administrative set);
+    ``single_document=False`` writes one document per partition."""
     cols = [F.coalesce(strip_dot_zero(F.col(c).cast("string")), F.lit("")).alias(c)
             for c in df.columns]
-    (df.select(*cols).write.mode("overwrite").format("xml")
+    out = df.select(*cols)
+    if single_document:
+        out = out.coalesce(1)
+    (out.write.mode("overwrite").format("xml")
      .option("rootTag", root_tag).option("rowTag", row_tag).save(path))
 
 
