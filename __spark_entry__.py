@@ -10,8 +10,15 @@ integers as bigint, exact decimals as double, dates as ISO text.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# importable however this file is loaded (by path, or from another working directory)
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
