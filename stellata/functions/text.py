@@ -42,9 +42,14 @@ def accent_key(c, mode: str = "correct") -> Column:
     return F.upper(fold_accents(F.trim(_col(c)), mode))
 
 
+# The ASCII whitespace set (what ``\s`` matches in Java regex).
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``: remove all leading/trailing whitespace, not only spaces."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """``str.strip()`` for ASCII whitespace: remove leading/trailing spaces, tabs,
+    line breaks, vertical tabs and form feeds (``btrim``, no regex)."""
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def ibge_code(raw) -> Column:
