@@ -11,6 +11,12 @@ restarted query skips files it already committed.
 
 ``trigger(availableNow=True)`` processes what is there and stops, which makes
 the same code usable as a scheduled incremental batch.
+
+Limit: a second copy of a station-year file under another path is merged with
+the first by the batch reader (as the source tool does) but, if it arrives in a
+later micro-batch, gives its own daily rows here. Re-run the batch job
+(``hourly_to_daily(read_weather_hourly(...))``) over folders where copies are
+possible.
 """
 
 from __future__ import annotations

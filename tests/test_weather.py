@@ -129,3 +129,19 @@ def test_broken_file_is_skipped(spark, scratch):
         f.write(b"\xff\xfe\x00garbage;;\r\n\x00\x01")
     assert read_weather_hourly(spark, root).count() == 10
     shutil.rmtree(os.path.dirname(bad))
+
+
+def test_copies_of_a_file_merge_into_the_same_days(spark, scratch):
+    import shutil
+    root = os.path.join(tempfile.mkdtemp(dir=scratch), "horarios")
+    write_weather_folder(root)
+    src = os.path.join(root, "2018", "INMET_S_PR_A807_CURITIBA_01-01-2018_A_31-12-2018.CSV")
+    os.makedirs(os.path.join(root, "2018", "copia"))
+    shutil.copy(src, os.path.join(root, "2018", "copia", os.path.basename(src)))
+    daily = {(r["codigo_estacao"], r["data"]): r
+             for r in hourly_to_daily(read_weather_hourly(spark, root)).collect()}
+    d = daily[("A807", "2018/01/01")]
+    # both copies read: extremes and means unchanged, the rain total counts twice
+    assert (d["temp_max_c"], d["temp_med_c"]) == (21.0, Decimal("20.00"))
+    assert d["precipitacao_mm"] == Decimal("2.40")
+    assert len(daily) == 6
