@@ -53,7 +53,8 @@ def weather_file_stream(spark: SparkSession, root: str, years=YEARS,
 
 def start_daily_ingest(spark: SparkSession, root: str, output: str,
                        checkpoint: str | None = None, available_now: bool = True,
-                       processing_time: str = "1 minute") -> StreamingQuery:
+                       processing_time: str = "1 minute",
+                       max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental hourly -> daily ingest; returns the running query."""
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/weather-daily-stream"
 
@@ -63,7 +64,7 @@ def start_daily_ingest(spark: SparkSession, root: str, output: str,
         daily = hourly_to_daily(hourly_from_files(batch))
         daily.write.mode("overwrite").parquet(f"{output.rstrip('/')}/lote={batch_id}")
 
-    writer = (weather_file_stream(spark, root).writeStream
+    writer = (weather_file_stream(spark, root, max_files_per_trigger=max_files_per_trigger).writeStream
               .foreachBatch(write_batch).option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time)

@@ -44,3 +44,17 @@ def test_cli_density_and_gdp(spark, scratch):
         f.write("MUNICÍPIOS" + ",2017,2018,2019,2020,2021,2022,2023" * 2 + "\n")
         f.write("Abatiá" + ",1.0" * 14 + "\n")
     assert main(["gdp", "--entrada", sheet, "--saida", os.path.join(base, "x")], spark) == {"municipios": 1}
+
+
+def test_cli_every_query(spark, scratch, real_star_inputs):
+    from stellata.cli import QUERIES
+    base = tempfile.mkdtemp(dir=scratch)
+    p = real_star_inputs["paths"]
+    dw = os.path.join(base, "dw")
+    main(["load", "--casos", p["cases_csv"], "--densidade", p["density_csv"],
+          "--estacoes", p["stations_json"], "--clima", p["daily_weather_csv"],
+          "--pib", p["gdp_xml"], "--dw", dw, "--modo", "compat"], spark)
+    for name in QUERIES:
+        out = os.path.join(base, name)
+        main(["query", name, "--dw", dw, "--saida", out], spark)
+        assert spark.read.parquet(out).count() > 0, name

@@ -145,3 +145,15 @@ def test_copies_of_a_file_merge_into_the_same_days(spark, scratch):
     assert (d["temp_max_c"], d["temp_med_c"]) == (21.0, Decimal("20.00"))
     assert d["precipitacao_mm"] == Decimal("2.40")
     assert len(daily) == 6
+
+
+def test_stream_one_file_per_batch(spark, folder, daily, scratch):
+    from stellata.streaming.weather_stream import start_daily_ingest
+    base = tempfile.mkdtemp(dir=scratch)
+    q = start_daily_ingest(spark, folder, os.path.join(base, "daily"), os.path.join(base, "ckpt"),
+                           max_files_per_trigger=1)
+    assert q.awaitTermination(300), "stream did not finish"
+    assert q.exception() is None, q.exception()
+    got = spark.read.parquet(os.path.join(base, "daily"))
+    assert got.select("lote").distinct().count() >= 3  # several micro-batches
+    assert sorted((r["codigo_estacao"], r["data"]) for r in got.collect()) == sorted(daily)
