@@ -16,6 +16,8 @@ co-located buckets instead of shuffling the fact for every query.
 from __future__ import annotations
 
 import hashlib
+import os
+import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -35,8 +37,16 @@ BYTES_PER_BUCKET = 64 << 20
 
 
 def warehouse_root(spark: SparkSession) -> str:
+    """``stellata.warehouse.dir`` if set; on a cluster, a folder inside the shared
+    ``spark.checkpoint.dir``; in local mode (one machine) a stable folder under
+    the machine's temp directory, so separate local sessions reuse a stored
+    version (versions are keyed by their input files)."""
     root = spark.conf.get(WAREHOUSE_CONF, None)
-    return root or f"{checkpoint_dir(spark).rstrip('/')}/stellata-warehouse"
+    if root:
+        return root
+    if spark.sparkContext.master.startswith("local"):
+        return os.path.join(tempfile.gettempdir(), "stellata-warehouse")
+    return f"{checkpoint_dir(spark).rstrip('/')}/stellata-warehouse"
 
 
 _LISTINGS: dict[tuple, tuple[str, int]] = {}
