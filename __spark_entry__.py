@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stellata.functions.dates import parse_mixed_date
-from stellata.functions.numbers import locale_number, to_decimal, tolerant_float
+from stellata.functions.numbers import dash_to_zero, locale_number, to_decimal, tolerant_float
 from stellata.functions.text import (fold_accents, ibge_code, ibge_name, starts_with_code,
                                      xml_escape)
 from stellata.operators import quality
@@ -106,14 +106,12 @@ def _wide_counts(spark, sf_dir):
 def _unpivot_years(spark, sf_dir):
     wide, years = _wide_counts(spark, sf_dir)
     long = unpivot_years(wide, ["sk_municipio"], {y: f"casos_{y}" for y in years}, "ano", "casos_raw")
-    from stellata.functions.numbers import dash_to_zero
     return _out(long.select("sk_municipio", "ano", dash_to_zero("casos_raw", "bigint").alias("casos_tb")))
 
 
 def _union_all_slices(spark, sf_dir):
     wide, years = _wide_counts(spark, sf_dir)
     long = union_all_slices(wide, ["sk_municipio"], {y: f"casos_{y}" for y in years}, "ano", "casos_raw")
-    from stellata.functions.numbers import dash_to_zero
     return _out(long.select("sk_municipio", "ano", dash_to_zero("casos_raw", "bigint").alias("casos_tb")))
 
 
@@ -122,7 +120,6 @@ def _unpivot_measures(spark, sf_dir):
     long = unpivot_measures(wide, ["sk_municipio"], {
         "pedidos": {y: f"casos_{y}" for y in years},
         "valor": {y: f"valor_{y}" for y in years}})
-    from stellata.functions.numbers import dash_to_zero
     return _out(long.select("sk_municipio", "ano", dash_to_zero("pedidos", "bigint").alias("pedidos"),
                             "valor"))
 
