@@ -60,6 +60,37 @@ def _socio(star: Star, *cols: str) -> DataFrame:
     return star.socio.select(*SOCIO_KEYS, *cols)
 
 
+def _clima(star: Star, *cols: str) -> tuple[DataFrame, bool]:
+    """Climate rows to join to the fact, and whether they are bounded.
+
+    A star built by ``star.fact`` (it carries its region map) takes every climate
+    key from the region -> station lookup, so the rows the fact can reference are
+    those of the mapped stations: at most (map rows × years), a bound fixed by
+    the literal map. They are found with a broadcast semi-join against the map
+    and then broadcast themselves. Without a map, the whole table is joined and
+    adaptive execution decides."""
+    c = star.clima.select("sk_clima", "sk_estacao", *cols)
+    mapped = _mapped_stations(star)
+    if mapped is None:
+        return c, False
+    return c.join(F.broadcast(mapped.select("sk_estacao")), "sk_estacao", "left_semi"), True
+
+
+def _mapped_stations(star: Star) -> DataFrame | None:
+    """Stations named by the star's literal region map (None without a map):
+    at most one per map row."""
+    rmap = star.extras.get("aux_regiao_estacao")
+    if rmap is None:
+        return None
+    return star.estacao.join(F.broadcast(rmap.select("cd_estacao")), "cd_estacao", "left_semi")
+
+
+def _join_clima(f: DataFrame, star: Star, *cols: str) -> DataFrame:
+    c, bounded = _clima(star, *cols)
+    c = c.drop("sk_estacao") if "sk_estacao" not in cols else c
+    return f.join(F.broadcast(c) if bounded else c, "sk_clima", "left")
+
+
 def _income_band(pib, labels=INCOME_LABELS):
     lo, hi = INCOME_LIMITS
     return (F.when(pib.isNull(), F.lit(labels[0])).when(pib < lo, F.lit(labels[1]))
@@ -198,14 +229,14 @@ def wide_view(star: Star) -> DataFrame:
     """Fact with every dimension attribute (the view ``vw_municipio_tb``)."""
     f = (_ft(star, _fm(star))
          .join(_socio(star, "pib_per_capita", "pib_total",
-                                 "dens_demografica"), SOCIO_KEYS, "left")
-         .join(star.clima.select("sk_clima", F.col("sk_estacao").alias("_clima_estacao"),
-                                 "temp_max_anual", "temp_min_anual", "temp_med_anual",
-                                 "umidade_med_anual", "precipitacao_total", "dias_chuva"),
-               "sk_clima", "left"))
-    st = star.estacao.select(F.col("sk_estacao").alias("_clima_estacao"),
-                             F.col("nm_estacao").alias("estacao_referencia"))
-    f = f.join(st, "_clima_estacao", "left")
+                                 "dens_demografica"), SOCIO_KEYS, "left"))
+    clima, bounded = _clima(star, "temp_max_anual", "temp_min_anual", "temp_med_anual",
+                            "umidade_med_anual", "precipitacao_total", "dias_chuva")
+    # station name of each climate row; with a map, only mapped stations can occur
+    st = _mapped_stations(star) if bounded else star.estacao
+    st = st.select("sk_estacao", F.col("nm_estacao").alias("estacao_referencia"))
+    clima = clima.join(F.broadcast(st) if bounded else st, "sk_estacao", "left")
+    f = f.join(F.broadcast(clima) if bounded else clima, "sk_clima", "left")
     return f.select("cd_ibge", "nm_municipio", "nm_regiao", "ano", "pandemia", "casos_tb",
                     "pib_per_capita", "pib_total", "dens_demografica", "temp_max_anual",
                     "temp_min_anual", "temp_med_anual", "umidade_med_anual",
@@ -216,10 +247,8 @@ def wide_view(star: Star) -> DataFrame:
 def region_year_summary(star: Star) -> DataFrame:
     """Region × year summary (the materialized view ``mv_regiao_ano``)."""
     f = (_ft(star, _fm(star))
-         .join(_socio(star, "pib_per_capita", "dens_demografica"),
-               SOCIO_KEYS, "left")
-         .join(star.clima.select("sk_clima", "temp_med_anual", "umidade_med_anual",
-                                 "precipitacao_total"), "sk_clima", "left"))
+         .join(_socio(star, "pib_per_capita", "dens_demografica"), SOCIO_KEYS, "left"))
+    f = _join_clima(f, star, "temp_med_anual", "umidade_med_anual", "precipitacao_total")
     return f.groupBy(F.coalesce("nm_regiao", F.lit(NO_REGION)).alias("regiao"), "ano",
                      "pandemia").agg(
         F.count_distinct("sk_municipio").alias("qtd_municipios"),
@@ -252,8 +281,7 @@ def xml_report(star: Star, k: int = 10) -> DataFrame:
 # 13 -------------------------------------------------------------------------
 def json_rows(star: Star) -> DataFrame:
     """One JSON object per year with cases and mean climate."""
-    f = _ft(star).join(star.clima.select("sk_clima", "temp_med_anual", "umidade_med_anual",
-                                         "precipitacao_total"), "sk_clima", "left")
+    f = _join_clima(_ft(star), star, "temp_med_anual", "umidade_med_anual", "precipitacao_total")
     g = f.groupBy("ano", "pandemia").agg(
         F.sum("casos_tb").alias("total_casos"),
         F.count(F.when(F.col("casos_tb") > 0, F.lit(1))).alias("municipios_afetados"),
