@@ -206,3 +206,12 @@ def test_load_warehouse_from_files(spark, real_star_inputs, scratch):
     dry = star.clima.join(star.estacao.where(F.col("cd_estacao") == "A875"), "sk_estacao") \
         .where(F.col("sk_tempo") == 2).first()
     assert str(dry["precipitacao_total"]) == "0.00" and dry["dias_chuva"] == 0
+
+
+def test_bounded_climate_lookup_equals_full_join(star_correct):
+    from dataclasses import replace
+    plain = replace(star_correct, extras={})  # no region map: whole climate table joined
+    for fn in (olap.wide_view, olap.region_year_summary, olap.json_rows):
+        a = sorted(map(tuple, fn(star_correct).collect()), key=repr)
+        b = sorted(map(tuple, fn(plain).collect()), key=repr)
+        assert a == b, fn.__name__
