@@ -71,6 +71,19 @@ def input_fingerprint(spark: SparkSession, paths: Sequence[str], refresh: bool =
     return _listing(spark, paths, refresh)[0]
 
 
+def code_fingerprint() -> str:
+    """Hash of this package's source files: a stored version built by other code
+    (an older or newer release) is never reused."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha256()
+    for folder, _, files in sorted(os.walk(root)):
+        for name in sorted(files):
+            if name.endswith(".py"):
+                with open(os.path.join(folder, name), "rb") as f:
+                    h.update(name.encode() + b"\0" + f.read())
+    return h.hexdigest()[:8]
+
+
 def buckets_for(spark: SparkSession, input_bytes: int) -> int:
     """Bucket count: set by ``stellata.warehouse.buckets``, else one bucket per
     64 MB of input, at least 8 and at most ``spark.sql.shuffle.partitions``."""
@@ -162,11 +175,12 @@ def stored_star(spark: SparkSession, inputs: Sequence[str], tag: str,
                 stages: Sequence[tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]],
                 extra_names: Sequence[str] = ()) -> Star:
     """Load the stored star for these inputs, running the staged load first if
-    no committed version exists. The loaded star (lazy DataFrames over one
-    committed version's files) is remembered per application and version root;
-    a changed input has another fingerprint, hence another root."""
+    no committed version exists. A version is keyed by the input files and by
+    this package's code. The loaded star (lazy DataFrames over one committed
+    version's files) is remembered per application and version root; a changed
+    input or code has another fingerprint, hence another root."""
     fingerprint, size = _listing(spark, inputs)
-    root = f"{warehouse_root(spark)}/{tag}-{fingerprint}"
+    root = f"{warehouse_root(spark)}/{tag}-{code_fingerprint()}-{fingerprint}"
     key = (spark.sparkContext.applicationId, root, tuple(extra_names))
     if key in _LOADED:
         return _LOADED[key]
