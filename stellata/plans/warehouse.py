@@ -40,7 +40,7 @@ def warehouse_root(spark: SparkSession) -> str:
     """``stellata.warehouse.dir`` if set; on a cluster, a folder inside the shared
     ``spark.checkpoint.dir``; in local mode (one machine) a stable folder under
     the machine's temp directory, so separate local sessions reuse a stored
-    version (versions are keyed by their input files)."""
+    version (versions are keyed by their input files and this package's code)."""
     root = spark.conf.get(WAREHOUSE_CONF, None)
     if root:
         return root
