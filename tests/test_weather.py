@@ -157,3 +157,16 @@ def test_stream_one_file_per_batch(spark, folder, daily, scratch):
     got = spark.read.parquet(os.path.join(base, "daily"))
     assert got.select("lote").distinct().count() >= 3  # several micro-batches
     assert sorted((r["codigo_estacao"], r["data"]) for r in got.collect()) == sorted(daily)
+
+
+def test_header_after_a_long_block_of_notes(spark, scratch):
+    """The header is searched in a bounded prefix first and in the whole text
+    when it is not there."""
+    from weather_files import _pre, _write
+    root = os.path.join(tempfile.mkdtemp(dir=scratch), "horarios")
+    notes = [f"nota {i};" + "x" * 120 for i in range(300)]  # ~38 KB before the header
+    _write(root, "2018/INMET_S_PR_A807_LONGO.CSV", _pre() + notes + [
+        "Data;Hora UTC;Temp. (°C)", "2018-01-01;0000 UTC;10,5", "2018-01-01;0100 UTC;11,5"])
+    rows = read_weather_hourly(spark, root).collect()
+    assert sorted((r["data"], r["hora_utc"], r["temp_med_c"]) for r in rows) == \
+        [("2018-01-01", "0000", 10.5), ("2018-01-01", "0100", 11.5)]
