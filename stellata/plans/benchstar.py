@@ -184,14 +184,11 @@ def stored_bench_star(spark: SparkSession, sf_dir: str, keep_unmapped: bool = Tr
     names = ("region", "nation", "customer", "supplier", "orders", "lineitem")
     inputs = [f"{sf_dir}/{n}.parquet" for n in names]
 
-    class _Lazy(list):
-        """Stages are planned only when a build is needed (the year span is a
-        small job over the orders)."""
-        def __iter__(self):
-            t = read_tables(spark, sf_dir, names)
-            return iter(bench_stages(spark, t, order_years(t["orders"])))
-
-    star = stored_star(spark, inputs, "bench", _Lazy(), ("aux_regiao_estacao", "customer_year"))
+    def stages():  # planned only when a build is needed (the year span is a small job)
+        t = read_tables(spark, sf_dir, names)
+        return bench_stages(spark, t, order_years(t["orders"]))
+
+    star = stored_star(spark, inputs, "bench", stages, ("aux_regiao_estacao", "customer_year"))
     if "years" not in star.extras:  # the calendar: one small read, once per loaded star
         star.extras["years"] = [r[0] for r in star.tempo.select("ano").orderBy("ano").collect()]
     if not keep_unmapped:

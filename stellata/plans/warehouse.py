@@ -171,11 +171,15 @@ def load_star(spark: SparkSession, root: str, extra_names: Sequence[str] = ()) -
 _LOADED: dict[tuple, Star] = {}
 
 
+Stage = tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]
+
+
 def stored_star(spark: SparkSession, inputs: Sequence[str], tag: str,
-                stages: Sequence[tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]],
+                stages: Callable[[], Sequence[Stage]],
                 extra_names: Sequence[str] = ()) -> Star:
     """Load the stored star for these inputs, running the staged load first if
-    no committed version exists. A version is keyed by the input files and by
+    no committed version exists (``stages()`` is planned only then). A version
+    is keyed by the input files and by
     this package's code. The loaded star (lazy DataFrames over one committed
     version's files) is remembered per application and version root; a changed
     input or code has another fingerprint, hence another root."""
@@ -187,7 +191,7 @@ def stored_star(spark: SparkSession, inputs: Sequence[str], tag: str,
     try:
         spark.read.parquet(f"{root}/CURRENT").schema  # noqa: B018  committed version?
     except AnalysisException:
-        build_stages(spark, root, stages, buckets_for(spark, size))
+        build_stages(spark, root, stages(), buckets_for(spark, size))
     _LOADED[key] = load_star(spark, root, extra_names)
     return _LOADED[key]
 
