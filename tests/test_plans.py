@@ -90,3 +90,16 @@ def test_top_k_report_has_no_global_sort(spark, bench):
     # the only single-partition step works on the k rows after TakeOrderedAndProject
     singles = p.count("SinglePartition")
     assert singles <= 2, p
+
+
+def test_bucket_count_and_version_key(spark):
+    from stellata.plans.warehouse import BUCKETS_CONF, buckets_for, code_fingerprint
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert buckets_for(spark, 0) == min(cap, 8)
+    assert buckets_for(spark, 10 ** 15) == cap  # grows with the input, capped
+    spark.conf.set(BUCKETS_CONF, "3")
+    try:
+        assert buckets_for(spark, 10 ** 15) == 3
+    finally:
+        spark.conf.unset(BUCKETS_CONF)
+    assert code_fingerprint() == code_fingerprint() and len(code_fingerprint()) == 8
