@@ -6,11 +6,13 @@ header line (the first line from the ninth on whose text contains ``DATA``), the
 rows separated by ``;`` or ``,`` (whichever the header uses).
 
 Spark plan: one ``binaryFile`` scan (name filter applied in the file listing),
-bytes decoded as Latin-1 and split into a line array (one file = one station-year,
-a few MB). The per-file facts — metadata, header line, separator, column
-positions — are array expressions over that line array, so no shuffle and no
-second scan; then the body lines are numbered with ``posexplode`` and cells parsed
-with ``from_csv`` (quotes honoured). Map-only; no Python per row.
+bytes decoded as Latin-1 (one file = one station-year, a few MB). The per-file
+facts — metadata, header line, separator, column positions — are expressions
+over the top of the file only (a bounded prefix, a lazy regex that stops at the
+header). The body is split into lines once and each line is parsed with
+``from_csv`` (quotes honoured) inside the generator that numbers the lines
+(``posexplode``), so row filters cannot make the optimizer parse a line twice.
+Map-only: no shuffle, no second scan, no Python per row.
 """
 
 from __future__ import annotations
@@ -95,8 +97,8 @@ _PREFIX = 16384
 
 def file_facts(files: DataFrame) -> DataFrame:
     """Per file: station metadata, header line number, separator and the position
-    of every logical column. Keeps files whose UF is the wanted state and whose
-    header has a date column.
+    of every logical column. Keeps files whose UF is the wanted state (a file
+    whose header has no date column yields no rows downstream).
 
     Every fact reads only the top of the file — the preamble from a bounded
     prefix, the header with one lazy regex that stops at it — so the facts stay
