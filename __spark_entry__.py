@@ -41,6 +41,20 @@ from stellata.plans.star import nearest_climate, remap_climate, year_grid
 from stellata.session import checkpoint_dir
 from stellata.sources.tables import GDP_FIELDS, GDP_SHEET_COLUMNS, clean_gdp_sheet, explode_xml_column
 
+# the training-data operators are an optional part: without their folder the rest works
+try:
+    import corpus_pipeline
+    from stellata.llm.queries import QUERIES as _LLM_QUERIES
+    from stellata.llm.queries import SQL as _LLM_SQL
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith(("stellata.llm", "corpus_pipeline")):
+        raise
+    _LLM_QUERIES, _LLM_SQL = {}, {}
+else:
+    _LLM_QUERIES = _LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        _LLM_SQL = _LLM_SQL | {"pipeline": corpus_pipeline.ORACLE_SQL}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -402,8 +416,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_foreign_keys": _quality_foreign_keys,
         "quality_domain": _quality_domain,
         "station_row_counts": _station_row_counts,
+        **_LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return {**_SQL, **_LLM_SQL}
