@@ -5,20 +5,48 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stellata.llm import bpe, exact_dedup, mixing, simhash, toxicity
+from stellata.llm import (ann, bpe, exact_dedup, linkrank, mixing, secrets, simhash, suffix_dedup,
+                          toxicity, warc)
+from stellata.llm.common import shared_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: (verdict, host, path) of the url rules.
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+         ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
 def _table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark, sf_dir):
+    path = shared_path(spark, "archives")
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    return warc.inventory(warc.read(spark, path))
+
+
 def op2_mixing(spark, sf_dir):
     return (mixing.mix(_table(spark, sf_dir, "documents"))
             .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"))
 
 
+def op3_url_verdicts(spark, sf_dir):
+    return linkrank.verdicts(_table(spark, sf_dir, "pages"), RULES).withColumnRenamed("id", "page_id")
+
+
+def op4_suffix_dedup(spark, sf_dir):
+    removed = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return suffix_dedup.report(removed).withColumnRenamed("id", "doc_id")
+
+
+def op5_secrets(spark, sf_dir):
+    return secrets.report(secrets.scan(_table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
+def op6_ann(spark, sf_dir):
+    return ann.search(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_bpe(spark, sf_dir):
     path = public_tokenizers.path(VOCABULARY)
     tokens = bpe.encode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -47,7 +75,12 @@ def op10_simhash(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
+    "op3_url_verdicts": op3_url_verdicts,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_secrets": op5_secrets,
+    "op6_ann": op6_ann,
     "op7_bpe": op7_bpe,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
@@ -55,6 +88,16 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_warc": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        g AS (SELECT page_id, strlen(html) AS n, sha1(html) AS digest,
+                     row_number() OVER (PARTITION BY html ORDER BY page_id DESC) AS place,
+                     max(page_id) OVER (PARTITION BY html) AS newest FROM p)
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+               CASE WHEN n >= 1000 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND place > 1 THEN newest END AS refers_to
+        FROM g
+    """,
     "op8_exact_dedup": r"""
         WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS clean
