@@ -34,9 +34,9 @@ from stellata.operators.keys import dense_key
 from stellata.operators.reshape import union_all_slices, unpivot_measures, unpivot_years
 from stellata.plans import olap
 from stellata.plans.bench_sql import QUERIES as _SQL
-from stellata.plans.benchstar import (BENCH_LATITUDE, BENCH_REGION, BENCH_REGION_STATION,
-                                      customer_year_orders, order_years,
-                                      read_tables, stored_bench_star)
+from stellata.plans.benchstar import (ALL_CLIMATE, BENCH_LATITUDE, BENCH_REGION, BENCH_REGION_STATION,
+                                      MAPPED_CLIMATE, NO_CLIMATE, bench_star,
+                                      customer_year_orders, order_years, read_tables)
 from stellata.plans.star import nearest_climate, remap_climate, year_grid
 from stellata.session import checkpoint_dir
 from stellata.sources.tables import GDP_FIELDS, GDP_SHEET_COLUMNS, clean_gdp_sheet, explode_xml_column
@@ -76,29 +76,16 @@ def _out(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _star(spark: SparkSession, sf_dir: str, keep_unmapped: bool = True):
-    """The benchmark star for ``sf_dir``: built from the tables once, stored,
-    then read by every query (as a warehouse serves its analytic queries)."""
-    checkpoint_dir(spark)
-    return stored_bench_star(spark, sf_dir, keep_unmapped)
-
-
-def _olap(fn):
-    return lambda spark, sf_dir: _out(fn(_star(spark, sf_dir)))
+def _olap(fn, climate: str = NO_CLIMATE):
+    """A statement on the benchmark star, planned over the tables as one lazy query."""
+    return lambda spark, sf_dir: _out(fn(bench_star(spark, sf_dir, climate)))
 
 
 # --- the fifteen statements on the benchmark star ---------------------------
 
-def _with_region_mean(spark, sf_dir):
-    return _out(olap.with_region_mean(olap.wide_view(_star(spark, sf_dir)), BENCH_REGION))
-
-
-def _above_region_mean(spark, sf_dir):
-    return _out(olap.above_region_mean(olap.wide_view(_star(spark, sf_dir)), BENCH_REGION))
-
-
 def _period_ratio(spark, sf_dir):
-    return _out(olap.period_ratio(olap.region_year_summary(_star(spark, sf_dir))))
+    # its columns need cases and regions only
+    return _out(olap.period_ratio(olap.region_year_cases(bench_star(spark, sf_dir, NO_CLIMATE))))
 
 
 # --- reshaping ---------------------------------------------------------------
@@ -156,17 +143,19 @@ def _daily_from_readings(spark, sf_dir):
 
 
 def _yearly_climate(spark, sf_dir):
-    return _out(_star(spark, sf_dir).clima)
+    return _out(bench_star(spark, sf_dir, ALL_CLIMATE).clima)
 
 
 def _place_year_grid(spark, sf_dir):
-    s = _star(spark, sf_dir)
-    cy = s.extras["customer_year"]
-    grid = year_grid(s.municipio.select("sk_municipio"), [(y, y) for y in s.extras["years"]])
-    g = grid.join(cy.select("sk_municipio", "ano", "casos"), ["sk_municipio", "ano"], "left")
-    g = g.join(s.socio.select("sk_municipio", "sk_tempo", "pib_total"), ["sk_municipio", "sk_tempo"])
-    return _out(g.select("sk_municipio", "ano",
-                         F.coalesce("casos", F.lit(0)).alias("casos_tb"), "pib_total"))
+    """The customer x year grid (rows that have no order too) with the counts of the year
+    and the socio-economic row of (customer, year): joins on a code and a year."""
+    t = read_tables(spark, sf_dir, ["customer", "orders"])
+    years = order_years(t["orders"])
+    grid = year_grid(t["customer"].select(F.col("c_custkey").alias("sk_municipio")), [(y, y) for y in years])
+    cy = customer_year_orders(t["orders"])
+    g = grid.join(cy, ["sk_municipio", "ano"], "left")
+    return _out(g.select("sk_municipio", "ano", F.coalesce("casos", F.lit(0)).alias("casos_tb"),
+                         F.col("valor").cast("decimal(20,0)").alias("pib_total")))
 
 
 # --- lookups -----------------------------------------------------------------
@@ -178,12 +167,12 @@ def _nearest_lookup(spark, sf_dir):
 
 
 def _nearest_climate(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = bench_star(spark, sf_dir, ALL_CLIMATE)
     return _out(nearest_climate(s.clima, s.estacao, BENCH_LATITUDE))
 
 
 def _remap_by_mapping(spark, sf_dir):
-    s = _star(spark, sf_dir)
+    s = bench_star(spark, sf_dir, ALL_CLIMATE)
     near = nearest_climate(s.clima, s.estacao, BENCH_LATITUDE).select("sk_tempo", "sk_clima")
     # older load: every row gets the climate of the one station nearest the
     # reference point (one row per year: bounded)
@@ -193,7 +182,7 @@ def _remap_by_mapping(spark, sf_dir):
 
 
 def _station_lookup_chain(spark, sf_dir):
-    s = _star(spark, sf_dir, keep_unmapped=False)
+    s = bench_star(spark, sf_dir, MAPPED_CLIMATE, keep_unmapped=False)
     f = s.fato.join(s.clima.select("sk_clima", "temp_med_anual"), "sk_clima")
     return _out(f.select("sk_municipio", "sk_tempo", "sk_estacao", "sk_clima", "temp_med_anual"))
 
@@ -380,12 +369,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rollup_region_year": _olap(olap.rollup_region_year),
         "cube_period_band": _olap(olap.cube_period_band),
         "grouping_sets_year_region": _olap(olap.grouping_sets_year_region),
-        "wide_view": _olap(olap.wide_view),
-        "region_year_summary": _olap(olap.region_year_summary),
+        "wide_view": _olap(olap.wide_view, MAPPED_CLIMATE),
+        "region_year_summary": _olap(olap.region_year_summary, MAPPED_CLIMATE),
         "xml_report": _olap(olap.xml_report),
-        "json_rows": _olap(olap.json_rows),
-        "with_region_mean": _with_region_mean,
-        "above_region_mean": _above_region_mean,
+        "json_rows": _olap(olap.json_rows, MAPPED_CLIMATE),
+        "with_region_mean": _olap(lambda s: olap.with_region_mean(s, BENCH_REGION), MAPPED_CLIMATE),
+        "above_region_mean": _olap(lambda s: olap.above_region_mean(s, BENCH_REGION), MAPPED_CLIMATE),
         "period_ratio": _period_ratio,
         "unpivot_years": _unpivot_years,
         "union_all_slices": _union_all_slices,

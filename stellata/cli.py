@@ -44,7 +44,7 @@ def cmd_density(spark: SparkSession, a) -> dict:
     from stellata.sources.sinks import write_csv
     from stellata.sources.tables import read_density_raw
     df = read_density_raw(spark, a.entrada)
-    write_csv(df, a.saida, sep=";", single_file=True)  # one small file per state
+    write_csv(df, a.saida, sep=";")
     return {"municipios": spark.read.option("sep", ";").option("header", True).csv(a.saida).count()}
 
 
@@ -67,14 +67,14 @@ def cmd_load(spark: SparkSession, a) -> dict:
 
 def cmd_query(spark: SparkSession, a) -> dict:
     from stellata.plans import olap
-    from stellata.plans.views import register_views
+    from stellata.plans.views import SUMMARY_NAME, register_views
     from stellata.plans.warehouse import load_star
-    star = load_star(spark, a.dw, ("aux_regiao_estacao",))
+    star = load_star(spark, a.dw, ("aux_regiao_estacao", SUMMARY_NAME))
     register_views(spark, star)
     if a.nome in ("with_region_mean", "above_region_mean"):
-        df = getattr(olap, a.nome)(olap.wide_view(star), a.regiao)
+        df = getattr(olap, a.nome)(star, a.regiao)
     elif a.nome == "period_ratio":
-        df = olap.period_ratio(spark.read.parquet(f"{a.dw.rstrip('/')}/mv_regiao_ano"))
+        df = olap.period_ratio(star.extras[SUMMARY_NAME])
     else:
         df = getattr(olap, a.nome)(star)
     if a.saida:

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from stellata.functions.numbers import avg_half_up, sum_exact
 
-READING_SCALE = 6  # decimals kept from a reading before exact averaging
-
-
 def hourly_to_daily(hourly: DataFrame, station: str = "codigo_estacao", day: str = "data",
                     first_seen: Sequence[str] = ("ano", "nome_estacao", "latitude", "longitude", "altitude"),
                     seen_order: Sequence[str] = ("ano", "arquivo", "linha")) -> DataFrame:
@@ -23,18 +20,20 @@ def hourly_to_daily(hourly: DataFrame, station: str = "codigo_estacao", day: str
     temperature and humidity and total rain (mean/sum rounded to 2). NULL readings
     are ignored; an all-NULL measure is NULL. Station metadata comes from the
     first reading seen in (year, file, line) order — deterministic, unlike
-    ``first()``. Means and sums are exact on the readings taken to
-    ``READING_SCALE`` decimals and rounded half-up (the source rounds binary
+    ``first()``. Readings are summed as decimals with 18 fractional digits, more than a
+    double of this size holds, so sums do not depend on the order of the rows; the mean
+    is divided to 18 digits and rounded half-up to 2 (the source rounds binary
     floats half-even, which differs only on exact ties)."""
+    total = lambda c: F.sum(F.col(c).cast("decimal(38,18)"))
     meta = F.min_by(F.struct(*[F.col(c) for c in first_seen]),
                     F.struct(*[F.col(c) for c in seen_order])).alias("_m")
     daily = hourly.groupBy(station, day).agg(
         meta,
         F.max("temp_max_c").alias("temp_max_c"),
         F.min("temp_min_c").alias("temp_min_c"),
-        avg_half_up("temp_med_c", 2, READING_SCALE).alias("temp_med_c"),
-        avg_half_up("umidade_pct", 2, READING_SCALE).alias("umidade_med_pct"),
-        F.round(sum_exact("precipitacao_mm", READING_SCALE), 2).alias("precipitacao_mm"))
+        F.round(total("temp_med_c") / F.count("temp_med_c"), 2).alias("temp_med_c"),
+        F.round(total("umidade_pct") / F.count("umidade_pct"), 2).alias("umidade_med_pct"),
+        F.round(total("precipitacao_mm"), 2).alias("precipitacao_mm"))
     return daily.select(
         F.col("_m.ano").alias("ano"), station, "_m.nome_estacao", "_m.latitude", "_m.longitude",
         "_m.altitude", day, "temp_max_c", "temp_min_c", "temp_med_c", "umidade_med_pct",

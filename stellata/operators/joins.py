@@ -38,10 +38,13 @@ def update_where_exists(target: DataFrame, values: DataFrame, value_keys: Sequen
     """``UPDATE target SET column = (SELECT value … WHERE value_keys match)
     WHERE EXISTS (SELECT 1 FROM guard WHERE guard_keys match)`` as a join.
 
-    ``values`` has ``value_keys`` + ``column`` (one row per key); a guarded row with
-    no value becomes NULL, an unguarded row keeps its old value. Returns a new
-    version of ``target`` (tables are rewritten, not updated in place)."""
-    vals = values.select(*value_keys, F.col(column).alias("_new"))
+    ``values`` has ``value_keys`` + ``column``, one row per key: a second one fails the
+    query, as a scalar subquery with two rows does. A guarded row with no value becomes
+    NULL, an unguarded row keeps its old value. Returns a new version of ``target``
+    (tables are rewritten, not updated in place)."""
+    once = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("two values for one key"))).otherwise(
+        F.max(column))
+    vals = values.groupBy(*value_keys).agg(once.alias("_new"))
     flag = guard.select(*guard_keys).distinct().withColumn("_guarded", F.lit(True))
     out = target.join(vals, list(value_keys), "left").join(flag, list(guard_keys), "left")
     return (out.withColumn(column, F.when(F.col("_guarded"), F.col("_new")).otherwise(F.col(column)))

@@ -34,11 +34,6 @@ def unpivot_measures(df: DataFrame, keys: Sequence[str], measures: dict[str, dic
 
 def union_all_slices(df: DataFrame, keys: Sequence[str], columns: dict[int, str],
                      year_col: str = "ano", value_col: str = "valor") -> DataFrame:
-    """The literal ``UNION ALL`` form (one branch per year). Same rows as
-    :func:`unpivot_years`; kept for comparison — it scans the input once per year."""
-    parts = [df.select(*keys, F.lit(y).cast("int").alias(year_col), F.col(c).alias(value_col))
-             for y, c in columns.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The ``UNION ALL`` of one slice per year. It is planned as one scan (the slices
+    differ in a literal and a column only); same rows as :func:`unpivot_years`."""
+    return unpivot_years(df, keys, columns, year_col, value_col)

@@ -74,18 +74,11 @@ def moving_average_running_sum(df: DataFrame, entity: str, period: str, value: s
 
 
 def with_group_mean(df: DataFrame, group: Sequence[str], value: str, name: str,
-                    in_scale: int = 0, bounded_groups: bool = False) -> DataFrame:
+                    in_scale: int = 0, means_of: DataFrame | None = None) -> DataFrame:
     """``ROUND(AVG(value) OVER (PARTITION BY group), 2)`` beside every row, computed
-    as a group-by (partial aggregation) joined back on the group keys — a group
+    as a group-by (partial aggregation) joined back on the group keys: a group
     holding a third of the rows is combined inside each task instead of being
-    sorted in one. ``bounded_groups=True`` (the caller knows the number of groups
-    is small, e.g. one region × the calendar years) broadcasts the means."""
-    means = df.groupBy(*group).agg(avg_half_up(value, 2, in_scale).alias(name))
-    return df.join(F.broadcast(means) if bounded_groups else means, list(group), "left")
-
-
-def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
-    """``ROUND(value / SUM(value) OVER () * 100, 2)`` via a one-row total."""
-    total = df.agg(F.sum(value).alias("_total"))
-    return (df.crossJoin(F.broadcast(total))
-            .withColumn(name, ratio_half_up(F.col(value) * 100, F.col("_total"), 2)).drop("_total"))
+    sorted in one. ``means_of``: a narrower table with the same rows of (group, value),
+    when ``df`` carries joins that the means do not need."""
+    means = (df if means_of is None else means_of).groupBy(*group).agg(avg_half_up(value, 2, in_scale).alias(name))
+    return df.join(means, list(group), "left")

@@ -20,15 +20,13 @@ Mapping (place = customer, time = order year, station = supplier):
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stellata.functions.numbers import avg_half_up, sum_exact
 from stellata.operators.aggregates import yearly_summary
 from stellata.operators.keys import grain_key
-from stellata.plans.star import TIME_RADIX, Star, fact, year_grid
+from stellata.plans.star import TIME_RADIX, Star, fact
 
 # ---------------------------------------------------------------------------
 # Fixed values of the benchmark mapping.
@@ -80,11 +78,24 @@ def customer_year_orders(orders: DataFrame) -> DataFrame:
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("valor"))
 
 
-def bench_dim_socio(municipio: DataFrame, years: list[int], cy: DataFrame) -> DataFrame:
-    grid = year_grid(municipio.select("sk_municipio", "c_acctbal"), [(y, y) for y in years])
-    s = grid.join(cy.select("sk_municipio", "ano", "valor"), ["sk_municipio", "ano"], "left")
+def customer_years(municipio: DataFrame, orders: DataFrame, years: list[int]) -> DataFrame:
+    """Every customer in every year with its orders and their value (0 and NULL where it
+    ordered nothing). Orders collapse to one row per customer, with a column per year,
+    before they meet the customers; the years are then taken apart in place."""
+    year = F.year("o_orderdate")
+    value = F.col("o_totalprice").cast("decimal(18,2)")
+    per = orders.groupBy(F.col("o_custkey").alias("sk_municipio")).agg(
+        *[F.count(F.when(year == y, F.lit(1))).alias(f"n_{y}") for y in years],
+        *[F.sum(F.when(year == y, value)).alias(f"v_{y}") for y in years])
+    cells = F.array(*[F.struct(F.lit(y).cast("bigint").alias("sk_tempo"), F.lit(y).cast("int").alias("ano"),
+                               F.coalesce(F.col(f"n_{y}"), F.lit(0)).cast("int").alias("casos_tb"),
+                               F.col(f"v_{y}").alias("valor")) for y in years])
+    return municipio.join(per, "sk_municipio", "left").select(*municipio.columns, F.inline(cells))
+
+
+def bench_dim_socio(grid: DataFrame) -> DataFrame:
     bal = F.col("c_acctbal")
-    return s.select(
+    return grid.select(
         grain_key(("sk_municipio", 1), ("sk_tempo", TIME_RADIX)).alias("sk_socioeconomico"),
         "sk_municipio", "sk_tempo",
         F.when(bal >= 0, bal.cast("decimal(15,2)")).alias("pib_per_capita"),
@@ -126,71 +137,37 @@ def bench_dim_clima(daily: DataFrame, tempo: DataFrame) -> DataFrame:
     return y.select(grain_key(("sk_estacao", 1), ("sk_tempo", TIME_RADIX)).alias("sk_clima"), "*")
 
 
-def bench_counts(municipio: DataFrame, years: list[int], cy: DataFrame) -> DataFrame:
-    """(sk_municipio, nm_regiao, ano, casos_tb) over the full customer × year grid."""
-    grid = year_grid(municipio.select("sk_municipio", "nm_regiao"), [(y, y) for y in years])
-    g = grid.join(cy.select("sk_municipio", "ano", "casos"), ["sk_municipio", "ano"], "left")
-    return g.select("sk_municipio", "nm_regiao", "ano",
-                    F.coalesce(F.col("casos"), F.lit(0)).cast("int").alias("casos_tb"))
+#: How much of the climate a statement needs.
+NO_CLIMATE, MAPPED_CLIMATE, ALL_CLIMATE = "none", "mapped", "all"
+
 
+def bench_star(spark: SparkSession, sf_dir: str, climate: str = MAPPED_CLIMATE,
+               keep_unmapped: bool = True) -> Star:
+    """The benchmark star as one lazy plan over the tables; nothing is stored, so any
+    number of statements can run at once and each computes the parts that it reads.
 
-def bench_star(spark: SparkSession, sf_dir: str, keep_unmapped: bool = True,
-               tables: dict[str, DataFrame] | None = None) -> Star:
-    t = tables or read_tables(spark, sf_dir)
+    ``climate``: ``none`` leaves line items and suppliers out (the fact has no station
+    and climate keys then), ``mapped`` reads the line items of the stations in the
+    region map only (the only ones a fact row can refer to), ``all`` every station's."""
+    t = read_tables(spark, sf_dir, ["region", "nation", "customer", "supplier", "orders", "lineitem"])
     years = order_years(t["orders"])
     tempo = bench_dim_tempo(spark, years)
     municipio = bench_dim_municipio(t)
-    cy = customer_year_orders(t["orders"])
-    socio = bench_dim_socio(municipio, years, cy)
+    grid = customer_years(municipio, t["orders"], years)
     estacao = bench_dim_estacao(t["supplier"])
-    clima = bench_dim_clima(bench_daily(t["lineitem"]), tempo)
     rmap = spark.createDataFrame(BENCH_REGION_STATION, "nm_regiao string, cd_estacao string")
+    items = t["lineitem"]
+    if climate != ALL_CLIMATE:
+        named = F.broadcast(rmap.select("cd_estacao").distinct())  # four codes
+        wanted = estacao.join(named, "cd_estacao", "left_semi").select(F.col("sk_estacao").alias("l_suppkey"))
+        items = items.join(F.broadcast(wanted), "l_suppkey", "left_semi")
+    clima = bench_dim_clima(bench_daily(items), tempo)
     dim_m = municipio.drop("c_acctbal")
-    f = fact(bench_counts(dim_m, years, cy), dim_m, tempo, rmap, estacao, clima, keep_unmapped)
-    return Star(tempo, dim_m, estacao, clima, socio, f,
-                extras={"aux_regiao_estacao": rmap, "years": years, "tables": t,
-                        "customer_year": cy})
-
-
-def bench_stages(spark: SparkSession, t: dict[str, DataFrame], years: list[int]):
-    """The star as a staged load: each table from the raw tables and the tables
-    stored before it."""
-    return [
-        ("dim_tempo", lambda d: bench_dim_tempo(spark, years)),
-        ("aux_regiao_estacao", lambda d: spark.createDataFrame(
-            BENCH_REGION_STATION, "nm_regiao string, cd_estacao string")),
-        ("customer_year", lambda d: customer_year_orders(t["orders"])),
-        ("dim_municipio", lambda d: bench_dim_municipio(t).drop("c_acctbal")),
-        ("dim_socioeconomico", lambda d: bench_dim_socio(bench_dim_municipio(t), years,
-                                                         d["customer_year"])),
-        ("dim_estacao", lambda d: bench_dim_estacao(t["supplier"])),
-        ("dim_clima", lambda d: bench_dim_clima(bench_daily(t["lineitem"]), d["dim_tempo"])),
-        ("fato_tuberculose", lambda d: fact(
-            bench_counts(d["dim_municipio"], years, d["customer_year"]), d["dim_municipio"],
-            d["dim_tempo"], d["aux_regiao_estacao"], d["dim_estacao"], d["dim_clima"], True)),
-    ]
-
-
-def stored_bench_star(spark: SparkSession, sf_dir: str, keep_unmapped: bool = True) -> Star:
-    """The benchmark star, built once per input version (staged load) and read
-    from storage.
-
-    Only the ``keep_unmapped`` version is stored: the source's inner-join load
-    keeps exactly the rows whose region -> station -> climate lookups all
-    succeed, i.e. the rows with a climate key, so it is a filter of the stored
-    fact."""
-    from stellata.plans.warehouse import stored_star
-
-    names = ("region", "nation", "customer", "supplier", "orders", "lineitem")
-    inputs = [f"{sf_dir}/{n}.parquet" for n in names]
-
-    def stages():  # planned only when a build is needed (the year span is a small job)
-        t = read_tables(spark, sf_dir, names)
-        return bench_stages(spark, t, order_years(t["orders"]))
-
-    star = stored_star(spark, inputs, "bench", stages, ("aux_regiao_estacao", "customer_year"))
-    if "years" not in star.extras:  # the calendar: one small read, once per loaded star
-        star.extras["years"] = [r[0] for r in star.tempo.select("ano").orderBy("ano").collect()]
-    if not keep_unmapped:
-        star = replace(star, fato=star.fato.where(F.col("sk_clima").isNotNull()))
-    return star
+    counts = grid.select("sk_municipio", "nm_regiao", "ano", "casos_tb")
+    if climate == NO_CLIMATE:
+        key = grain_key(("sk_municipio", 1), ("sk_tempo", TIME_RADIX))
+        fato = grid.select(key.alias("sk_fat"), "sk_municipio", "sk_tempo", key.alias("sk_socioeconomico"), "casos_tb")
+    else:
+        fato = fact(counts, dim_m, tempo, rmap, estacao, clima, keep_unmapped)
+    return Star(tempo, dim_m, estacao, clima, bench_dim_socio(grid), fato,
+                extras={"aux_regiao_estacao": rmap, "years": years, "grid": grid})

@@ -77,12 +77,14 @@ def _clima(star: Star, *cols: str) -> tuple[DataFrame, bool]:
 
 
 def _mapped_stations(star: Star) -> DataFrame | None:
-    """Stations named by the star's literal region map (None without a map):
-    at most one per map row."""
+    """Stations named by the star's literal region map (None without a map): one per
+    code, the smallest key, so at most one per map row."""
     rmap = star.extras.get("aux_regiao_estacao")
     if rmap is None:
         return None
-    return star.estacao.join(F.broadcast(rmap.select("cd_estacao")), "cd_estacao", "left_semi")
+    named = star.estacao.join(F.broadcast(rmap.select("cd_estacao").distinct()), "cd_estacao", "left_semi")
+    row = F.struct("sk_estacao", "nm_estacao")
+    return named.groupBy("cd_estacao").agg(F.min(row).alias("r")).select("cd_estacao", "r.*")
 
 
 def _join_clima(f: DataFrame, star: Star, *cols: str) -> DataFrame:
@@ -108,9 +110,16 @@ def yearly_totals(star: Star) -> DataFrame:
 
 
 # 2 --------------------------------------------------------------------------
+def _by_place(star: Star, *aggregates, fact: DataFrame | None = None) -> DataFrame:
+    """One row per municipality name and region: the fact is collapsed to one row per
+    municipality first, names come after."""
+    return ((star.fato if fact is None else fact).groupBy("sk_municipio").agg(*aggregates)
+            .join(star.municipio.select("sk_municipio", "nm_municipio", "nm_regiao"), "sk_municipio"))
+
+
 def place_totals(star: Star) -> DataFrame:
-    return (_fm(star).groupBy("nm_municipio", "nm_regiao")
-            .agg(F.sum("casos_tb").alias("total_casos")))
+    return (_by_place(star, F.sum("casos_tb").alias("_casos")).groupBy("nm_municipio", "nm_regiao")
+            .agg(F.sum("_casos").alias("total_casos")))
 
 
 def top_places(star: Star, k: int = 10) -> DataFrame:
@@ -124,9 +133,10 @@ def top_places(star: Star, k: int = 10) -> DataFrame:
 def risk_and_income_bands(star: Star) -> DataFrame:
     """Risk band of total cases, income band of the highest GDP per capita and
     the mean density as text ('N/D' when unknown)."""
-    f = _fm(star).join(_socio(star, "pib_per_capita", "dens_demografica"),
-                       SOCIO_KEYS, "left")
-    total = F.sum("casos_tb")
+    f = star.fato.join(_socio(star, "pib_per_capita", "dens_demografica"), SOCIO_KEYS, "left")
+    f = _by_place(star, F.sum("casos_tb").alias("_casos"), F.max("pib_per_capita").alias("_pib"),
+                  F.sum("dens_demografica").alias("_dens"), F.count("dens_demografica").alias("_n"), fact=f)
+    total = F.sum("_casos")
     risk = (F.when(total == 0, F.lit(RISK_LABELS[0]))
             .when(total.between(1, 5), F.lit(RISK_LABELS[1]))
             .when(total.between(6, 20), F.lit(RISK_LABELS[2]))
@@ -134,10 +144,11 @@ def risk_and_income_bands(star: Star) -> DataFrame:
     g = f.groupBy("nm_municipio", "nm_regiao").agg(
         total.alias("total_casos"),
         risk.alias("categoria_risco"),
-        _income_band(F.max("pib_per_capita")).alias("faixa_pib"),
-        F.coalesce(number_text(avg_half_up("dens_demografica", 2, 2)), F.lit(NOT_AVAILABLE))
+        _income_band(F.max("_pib")).alias("faixa_pib"),
+        F.coalesce(number_text(ratio_half_up(F.sum("_dens"), F.sum("_n"), 2, 2)), F.lit(NOT_AVAILABLE))
         .alias("dens_media"))
-    return g.orderBy(F.col("total_casos").desc_nulls_first(), "nm_municipio", "nm_regiao")
+    return g.orderBy(F.col("total_casos").desc_nulls_first(), F.col("nm_municipio").asc_nulls_last(),
+                     F.col("nm_regiao").asc_nulls_last())
 
 
 # 4 --------------------------------------------------------------------------
@@ -153,7 +164,8 @@ def rank_quartile_share(star: Star, k: int = 20) -> DataFrame:
     out = top_k_rank_quartile_share(place_totals(star), "total_casos",
                                     ["nm_municipio", "nm_regiao"], k)
     return out.select("nm_municipio", "nm_regiao", "total_casos", "ranking", "quartil",
-                      "pct_do_total").orderBy("ranking", "nm_municipio", "nm_regiao")
+                      "pct_do_total").orderBy("ranking", F.col("nm_municipio").asc_nulls_last(),
+                                              F.col("nm_regiao").asc_nulls_last())
 
 
 # 6 --------------------------------------------------------------------------
@@ -161,7 +173,8 @@ def moving_avg_running_sum(star: Star, k: int = 5) -> DataFrame:
     """3-year centred moving average and running sum for the k municipalities
     (by name) with most cases."""
     base = _ft(star, _fm(star)).select("sk_municipio", "nm_municipio", "ano", "casos_tb")
-    top = (_fm(star).groupBy("nm_municipio").agg(F.sum("casos_tb").alias("total"))
+    top = (_by_place(star, F.sum("casos_tb").alias("_casos")).groupBy("nm_municipio")
+           .agg(F.sum("_casos").alias("total"))
            .orderBy(F.col("total").desc_nulls_first(), F.col("nm_municipio").asc_nulls_last())
            .limit(k))
     sel = semi_join_top(base, top, ["nm_municipio"])
@@ -199,9 +212,22 @@ def cube_period_band(star: Star) -> DataFrame:
                  F.when(F.col("pandemia") == "S", F.lit(PERIOD_LABELS[0]))
                  .otherwise(F.lit(PERIOD_LABELS[1])).alias("periodo"),
                  _income_band(F.col("pib_per_capita"), INCOME_BANDS).alias("faixa_pib"))
-    g = f.cube("periodo", "faixa_pib").agg(
-        F.sum("total_casos").alias("total_casos"),
-        F.count_distinct("sk_municipio").alias("municipios"))
+    # one row per (municipality, period, band) first; a municipality then counts once in
+    # each combination it has, so only sums and counts of a few groups are exchanged
+    per = f.groupBy("sk_municipio", "periodo", "faixa_pib").agg(F.sum("total_casos").alias("n"))
+    own = per.groupBy("sk_municipio").agg(F.collect_list(F.struct("periodo", "faixa_pib", "n")).alias("c"))
+    none = F.lit(None).cast("string")
+    combos = F.concat(
+        F.col("c"),
+        F.transform("c", lambda x: F.struct(x["periodo"].alias("periodo"), none.alias("faixa_pib"), x["n"].alias("n"))),
+        F.transform("c", lambda x: F.struct(none.alias("periodo"), x["faixa_pib"].alias("faixa_pib"), x["n"].alias("n"))),
+        F.transform("c", lambda x: F.struct(none.alias("periodo"), none.alias("faixa_pib"), x["n"].alias("n"))))
+    seen = lambda x, i: F.size(F.filter(F.slice("all", 1, i), lambda y:
+                               y["periodo"].eqNullSafe(x["periodo"]) & y["faixa_pib"].eqNullSafe(x["faixa_pib"]))) == 0
+    rows = own.select(combos.alias("all")).select(F.inline(F.transform("all", lambda x, i: F.struct(
+        x["periodo"].alias("periodo"), x["faixa_pib"].alias("faixa_pib"), x["n"].alias("n"),
+        seen(x, i).cast("long").alias("once")))))
+    g = rows.groupBy("periodo", "faixa_pib").agg(F.sum("n").alias("total_casos"), F.sum("once").alias("municipios"))
     out = g.select(F.coalesce("periodo", F.lit(CUBE_TOTALS[0])).alias("periodo_pandemia"),
                    F.coalesce("faixa_pib", F.lit(CUBE_TOTALS[1])).alias("faixa_pib"),
                    "total_casos", "municipios", F.col("periodo").alias("_p"))
@@ -261,14 +287,23 @@ def region_year_summary(star: Star) -> DataFrame:
         avg_half_up("precipitacao_total", 2, 2).alias("precipitacao_media"))
 
 
+def region_year_cases(star: Star) -> DataFrame:
+    """The columns of the summary that statement 15 reads."""
+    f = _ft(star, star.fato.groupBy("sk_municipio", "sk_tempo").agg(F.sum("casos_tb").alias("casos_tb")))
+    f = f.join(star.municipio.select("sk_municipio", "nm_regiao"), "sk_municipio")
+    return f.groupBy(F.coalesce("nm_regiao", F.lit(NO_REGION)).alias("regiao"), "ano", "pandemia").agg(
+        F.sum("casos_tb").alias("total_casos"))
+
+
 # 12 -------------------------------------------------------------------------
 def xml_report(star: Star, k: int = 10) -> DataFrame:
     """One XML document with the k municipalities with most cases."""
-    f = _fm(star).join(_socio(star, "pib_per_capita"),
-                       SOCIO_KEYS, "left")
+    f = star.fato.join(_socio(star, "pib_per_capita"), SOCIO_KEYS, "left")
+    f = _by_place(star, F.sum("casos_tb").alias("_casos"), F.sum("pib_per_capita").alias("_pib"),
+                  F.count("pib_per_capita").alias("_n"), fact=f)
     g = f.groupBy("nm_municipio", "nm_regiao").agg(
-        F.sum("casos_tb").alias("total_casos"),
-        avg_half_up("pib_per_capita", 0, 2).alias("pib_medio"))
+        F.sum("_casos").alias("total_casos"),
+        ratio_half_up(F.sum("_pib"), F.sum("_n"), 0, 2).alias("pib_medio"))
     element = xml_rows(g, XML_ROW, [
         ("nome", F.col("nm_municipio")),
         ("regiao", F.coalesce("nm_regiao", F.lit(NOT_AVAILABLE))),
@@ -300,21 +335,23 @@ def json_rows(star: Star) -> DataFrame:
 
 
 # 14 -------------------------------------------------------------------------
-def with_region_mean(view: DataFrame, region: str = EXAMPLE_REGION) -> DataFrame:
-    """Municipalities of one region with the regional mean of the year beside."""
-    v = view.where(F.col("nm_regiao") == region)
-    # one region: at most one group per calendar year
-    v = with_group_mean(v, ["nm_regiao", "ano"], "casos_tb", "media_regiao", bounded_groups=True)
+def with_region_mean(star: Star, region: str = EXAMPLE_REGION) -> DataFrame:
+    """Municipalities of one region with the regional mean of the year beside. The mean
+    is taken from the fact and its municipalities, without the view's other joins."""
+    v = wide_view(star).where(F.col("nm_regiao") == region)
+    places = star.municipio.where(F.col("nm_regiao") == region).select("sk_municipio", "nm_regiao")
+    counts = _ft(star, star.fato.join(places, "sk_municipio")).select("nm_regiao", "ano", "casos_tb")
+    v = with_group_mean(v, ["nm_regiao", "ano"], "casos_tb", "media_regiao", means_of=counts)
     return (v.select("nm_municipio", "ano", "casos_tb", "media_regiao", "pib_per_capita",
                      "temp_med_anual")
             .orderBy(F.col("ano").asc_nulls_last(), F.col("casos_tb").desc_nulls_first(),
-                     "nm_municipio"))
+                     F.col("nm_municipio").asc_nulls_last()))
 
 
-def above_region_mean(view: DataFrame, region: str = EXAMPLE_REGION) -> DataFrame:
+def above_region_mean(star: Star, region: str = EXAMPLE_REGION) -> DataFrame:
     """As :func:`with_region_mean`, only rows above the regional mean (what the
     statement's title promises)."""
-    return with_region_mean(view, region).where(F.col("casos_tb") > F.col("media_regiao"))
+    return with_region_mean(star, region).where(F.col("casos_tb") > F.col("media_regiao"))
 
 
 # 15 -------------------------------------------------------------------------
@@ -327,7 +364,7 @@ def period_ratio(summary: DataFrame) -> DataFrame:
                                       F.sum("total_casos").alias("total_geral"))
     return (g.withColumn("razao_pandemia",
                          ratio_half_up(F.col("casos_pandemia"), F.col("casos_fora_pandemia"), 2))
-            .orderBy(F.col("total_geral").desc_nulls_first(), "regiao"))
+            .orderBy(F.col("total_geral").desc_nulls_first(), F.col("regiao").asc_nulls_last()))
 
 
 ALL = {

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from stellata.functions.numbers import dash_to_zero, to_decimal
 from stellata.functions.text import accent_key, ibge_code, ibge_name, starts_with_code
 from stellata.operators.aggregates import yearly_summary
-from stellata.operators.joins import nearest_lookup, update_where_exists
+from stellata.operators.joins import nearest_lookup
 from stellata.operators.keys import dense_key, grain_key
 from stellata.operators.reshape import unpivot_measures, unpivot_years
 from stellata.sources.tables import YEARS
@@ -175,11 +175,15 @@ def cases_long(cases: DataFrame) -> DataFrame:
 def region_lookups(region_map: DataFrame, estacao: DataFrame, clima: DataFrame):
     """(nm_regiao -> sk_estacao) and ((nm_regiao, sk_tempo) -> sk_clima).
 
-    Both are at most (rows of the literal region map) × (years) — a bound fixed
-    by the map, not by the data — so the fact can broadcast them."""
+    ``region_map`` is a literal with one row per region. A station code that repeats in
+    the catalogue counts once (its smallest key), so the first has at most as many rows
+    as the map and the second that times the years: bounds fixed by the map, so the fact
+    can broadcast both."""
     # the map side is the bounded one: broadcast it, stream stations and climate
-    rs = estacao.select("sk_estacao", "cd_estacao").join(F.broadcast(region_map), "cd_estacao") \
-        .select("nm_regiao", "sk_estacao")
+    codes = F.broadcast(region_map.select("cd_estacao").distinct())
+    one = (estacao.join(codes, "cd_estacao", "left_semi")
+           .groupBy("cd_estacao").agg(F.min("sk_estacao").alias("sk_estacao")))
+    rs = region_map.join(F.broadcast(one), "cd_estacao").select("nm_regiao", "sk_estacao")
     rc = clima.select("sk_clima", "sk_estacao", "sk_tempo").join(F.broadcast(rs), "sk_estacao") \
         .select("nm_regiao", "sk_tempo", "sk_clima")
     return rs, rc
@@ -225,13 +229,15 @@ def remap_climate(fato: DataFrame, municipio: DataFrame, region_map: DataFrame,
                   estacao: DataFrame, clima: DataFrame) -> DataFrame:
     """The correcting UPDATE: a fact row whose municipality's region has a station
     gets that station's climate of the row's year (NULL if none); other rows keep
-    their climate key."""
-    mapped = municipio.join(F.broadcast(region_map), "nm_regiao")
-    values = (mapped.join(estacao.select("sk_estacao", "cd_estacao"), "cd_estacao")
-              .join(clima.select("sk_clima", "sk_estacao", "sk_tempo"), "sk_estacao")
-              .select("sk_municipio", "sk_tempo", "sk_clima"))
-    return update_where_exists(fato, values, ["sk_municipio", "sk_tempo"], "sk_clima",
-                               mapped.select("sk_municipio"), ["sk_municipio"])
+    their climate key. The fact meets its municipality once; what the region decides
+    is bounded by the map and broadcast, so no fact-sized rows are dealt by a station."""
+    _, rc = region_lookups(region_map, estacao, clima)
+    mapped = region_map.select("nm_regiao", F.lit(True).alias("_mapped")).distinct()
+    f = (fato.join(municipio.select("sk_municipio", "nm_regiao"), "sk_municipio", "left")
+         .join(F.broadcast(mapped), "nm_regiao", "left")
+         .join(F.broadcast(rc.withColumnRenamed("sk_clima", "_new")), ["nm_regiao", "sk_tempo"], "left"))
+    return f.withColumn("sk_clima", F.when(F.col("_mapped"), F.col("_new")).otherwise(F.col("sk_clima"))) \
+        .select(*fato.columns)
 
 
 def build_star(spark: SparkSession, cases: DataFrame, density: DataFrame, stations: DataFrame,

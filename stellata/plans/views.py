@@ -2,8 +2,8 @@
 
 ``register_views`` exposes the star and the wide view to SQL; ``refresh_summary``
 is the complete refresh of the materialized region × year summary: recompute and
-overwrite a table (Parquet tables have no MATERIALIZED VIEW), so a re-run is
-idempotent and readers see either the old or the new version of the files.
+commit a new version (Parquet tables have no MATERIALIZED VIEW), so readers see either
+the old or the new one.
 """
 
 from __future__ import annotations
@@ -21,22 +21,17 @@ def register_views(spark: SparkSession, star: Star) -> None:
     for name, df in star.tables().items():
         df.createOrReplaceTempView(name)
     for name, df in star.extras.items():
-        df.createOrReplaceTempView(name)
+        if isinstance(df, DataFrame):
+            df.createOrReplaceTempView(name)
     olap.wide_view(star).createOrReplaceTempView(VIEW_NAME)
 
 
-def refresh_summary(spark: SparkSession, star: Star, path: str | None = None,
-                    table: str | None = None) -> DataFrame:
-    """Recompute the summary and overwrite it at ``path`` (Parquet) or as a
-    catalog ``table``; returns a DataFrame reading the stored result."""
-    df = olap.region_year_summary(star)
-    if table:
-        df.write.mode("overwrite").saveAsTable(table)
-        out = spark.table(table)
-    elif path:
-        df.write.mode("overwrite").parquet(path)
-        out = spark.read.parquet(path)
-    else:
-        raise ValueError("give a path or a table name")
+def refresh_summary(spark: SparkSession, star: Star, root: str) -> DataFrame:
+    """Complete refresh of the summary: recompute it into a new committed version under
+    ``root`` (readers of older versions are not disturbed); returns the stored result."""
+    from stellata.plans.warehouse import build_stages
+
+    version = build_stages(spark, root, [(SUMMARY_NAME, lambda d: olap.region_year_summary(star))])
+    out = spark.read.parquet(f"{version}/{SUMMARY_NAME}")
     out.createOrReplaceTempView(SUMMARY_NAME)
     return out

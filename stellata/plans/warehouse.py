@@ -1,237 +1,133 @@
 """Stored star schema: write the star's tables once, query them many times.
 
-The star is an ETL product — the source warehouse loads it once and runs its
-analytic statements against the loaded tables. Here the tables are written as
-Parquet under a warehouse folder (by default inside the shared
-``spark.checkpoint.dir``), keyed by a fingerprint of the input files (path,
-size, modification time), so a changed input builds a new version and an
-unchanged one is reused. Writing also cuts the lineage: a lost executor
-recomputes from the stored tables, not from the raw inputs.
-
-The fact and the two dimensions at municipality grain are bucketed by
-``sk_municipio`` (same bucket count), so the star joins between them read
-co-located buckets instead of shuffling the fact for every query.
+The star is an ETL product: the source warehouse loads it once and runs its
+analytic statements against the loaded tables. Here every load writes a new version
+folder under a root that the caller names (on a cluster, a shared folder) and commits
+it by creating one marker file inside that folder, last. Nothing is ever overwritten:
+readers take the newest committed version, so loads and readers can run at the same
+time, and a load that dies leaves a version that nobody reads.
+Writing also cuts the lineage: a lost executor costs the reading of a table.
 """
 
 from __future__ import annotations
 
-import hashlib
-import os
-import tempfile
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stellata.plans.star import Star
-from stellata.session import checkpoint_dir
 
 STAR_TABLES = ("dim_tempo", "dim_municipio", "dim_estacao", "dim_clima", "dim_socioeconomico",
                "fato_tuberculose")
-WAREHOUSE_CONF = "stellata.warehouse.dir"
-BUCKETS_CONF = "stellata.warehouse.buckets"
-BUCKET_KEY = "sk_municipio"
-BUCKETED = ("fato_tuberculose", "dim_municipio", "dim_socioeconomico", "customer_year")
-BYTES_PER_BUCKET = 64 << 20
-
-
-def warehouse_root(spark: SparkSession) -> str:
-    """``stellata.warehouse.dir`` if set; on a cluster, a folder inside the shared
-    ``spark.checkpoint.dir``; in local mode (one machine) a stable folder under
-    the machine's temp directory, so separate local sessions reuse a stored
-    version (versions are keyed by their input files and this package's code)."""
-    root = spark.conf.get(WAREHOUSE_CONF, None)
-    if root:
-        return root
-    if spark.sparkContext.master.startswith("local"):
-        return os.path.join(tempfile.gettempdir(), "stellata-warehouse")
-    return f"{checkpoint_dir(spark).rstrip('/')}/stellata-warehouse"
-
-
-_LISTINGS: dict[tuple, tuple[str, int]] = {}
-
-
-def _listing(spark: SparkSession, paths: Sequence[str], refresh: bool = False) -> tuple[str, int]:
-    """(fingerprint, total bytes) of the input files. The fingerprint hashes
-    (path, length, modification time) of every file. The listing is a Spark job
-    over file metadata only (contents are not read) with one row per input
-    file; it is remembered per application (``refresh=True`` lists again)."""
-    key = (spark.sparkContext.applicationId, tuple(paths))
-    if key in _LISTINGS and not refresh:
-        return _LISTINGS[key]
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-               .load(list(paths)).select("path", "length", "modificationTime"))
-    rows = sorted((r[0], r[1], str(r[2])) for r in listing.collect())
-    _LISTINGS[key] = (hashlib.sha256(repr(rows).encode()).hexdigest()[:16], sum(r[1] for r in rows))
-    return _LISTINGS[key]
-
-
-def input_fingerprint(spark: SparkSession, paths: Sequence[str], refresh: bool = False) -> str:
-    return _listing(spark, paths, refresh)[0]
-
-
-def code_fingerprint() -> str:
-    """Hash of this package's source files: a stored version built by other code
-    (an older or newer release) is never reused."""
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    h = hashlib.sha256()
-    for folder, _, files in sorted(os.walk(root)):
-        for name in sorted(files):
-            if name.endswith(".py"):
-                with open(os.path.join(folder, name), "rb") as f:
-                    h.update(name.encode() + b"\0" + f.read())
-    return h.hexdigest()[:8]
-
-
-def buckets_for(spark: SparkSession, input_bytes: int) -> int:
-    """Bucket count: set by ``stellata.warehouse.buckets``, else one bucket per
-    64 MB of input, at least 8 and at most ``spark.sql.shuffle.partitions``."""
-    conf = spark.conf.get(BUCKETS_CONF, None)
-    if conf:
-        return int(conf)
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(cap, max(8, -(-input_bytes // BYTES_PER_BUCKET))))
-
-
-def _table_name(attempt: str, name: str) -> str:
-    return "stellata_" + hashlib.sha256(attempt.encode()).hexdigest()[:12] + "_" + name
-
-
-def _write_table(spark: SparkSession, attempt: str, name: str, df: DataFrame, buckets: int) -> None:
-    path = f"{attempt}/{name}"
-    if name in BUCKETED:
-        (df.repartition(buckets, BUCKET_KEY).write.mode("overwrite").option("path", path)
-         .bucketBy(buckets, BUCKET_KEY).sortBy(BUCKET_KEY).saveAsTable(_table_name(attempt, name)))
-    else:
-        df.write.mode("overwrite").parquet(path)
-
-
-def _read_table(spark: SparkSession, attempt: str, name: str, buckets: int) -> DataFrame:
-    if name in BUCKETED:
-        return _bucketed_table(spark, attempt, name, buckets)
-    return spark.read.parquet(f"{attempt}/{name}")
-
-
-def build_stages(spark: SparkSession, root: str,
-                 stages: Sequence[tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]],
-                 buckets: int | None = None) -> str:
-    """Staged load: each stage builds one table from the tables already stored
-    (passed in as a dict), is written, and is read back for the stages after it
-    — no table recomputes its inputs, and lineage is cut at every stage. The
-    version becomes visible when ``root/CURRENT`` is written, last."""
-    n = buckets or buckets_for(spark, 0)
-    attempt = f"{root.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
-    stored: dict[str, DataFrame] = {}
-    for name, make in stages:
-        _write_table(spark, attempt, name, make(stored), n)
-        stored[name] = _read_table(spark, attempt, name, n)
-    spark.createDataFrame([(attempt, n)], "attempt string, buckets int") \
-        .coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/CURRENT")
-    return attempt
-
-
-def save_star(star: Star, root: str, extra: dict[str, DataFrame] | None = None,
-              buckets: int | None = None) -> str:
-    """Write an already planned star (every table, fact last) and commit it."""
-    tables = {**star.tables(), **(extra or {})}
-    fact = tables.pop("fato_tuberculose")
-    stages = [(n, (lambda _s, d=d: d)) for n, d in tables.items()]
-    stages.append(("fato_tuberculose", lambda _s: fact))
-    return build_stages(star.fato.sparkSession, root, stages, buckets)
-
-
-def _bucketed_table(spark: SparkSession, attempt: str, name: str, buckets: int) -> DataFrame:
-    """The catalog table over a bucketed folder; registered again (external
-    table, same bucket spec) when this session's catalog does not know it."""
-    tname = _table_name(attempt, name)
-    if not spark.catalog.tableExists(tname):
-        schema = spark.read.parquet(f"{attempt}/{name}").schema
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE {tname} ({cols}) USING parquet "
-                  f"CLUSTERED BY ({BUCKET_KEY}) SORTED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS "
-                  f"LOCATION '{attempt}/{name}'")
-    return spark.table(tname)
+MARKER = "COMMITTED"
 
+Stage = tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]
 
-def load_star(spark: SparkSession, root: str, extra_names: Sequence[str] = ()) -> Star:
-    """Read the committed version under ``root``. Lets joins on
-    (sk_municipio, …) use the tables bucketed by ``sk_municipio`` as they are."""
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    attempt, buckets = spark.read.parquet(f"{root.rstrip('/')}/CURRENT").first()
-    t = {}
-    for n in (*STAR_TABLES, *extra_names):
-        t[n] = (_bucketed_table(spark, attempt, n, buckets) if n in BUCKETED
-                else spark.read.parquet(f"{attempt}/{n}"))
-    extras = {n: t[n] for n in extra_names}
-    return Star(t["dim_tempo"], t["dim_municipio"], t["dim_estacao"], t["dim_clima"],
-                t["dim_socioeconomico"], t["fato_tuberculose"], extras=extras)
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of ``path`` as Hadoop objects."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
-_LOADED: dict[tuple, Star] = {}
 
+def new_version(root: str) -> str:
+    """A folder name that sorts after the versions made before it."""
+    return f"{root.rstrip('/')}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def commit(spark: SparkSession, version: str) -> None:
+    """Make a version visible: create its marker (fails if it has one)."""
+    fs, path = _hadoop(spark, f"{version}/{MARKER}")
+    fs.create(path, False).close()
 
-Stage = tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]
 
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """The committed versions under ``root``, oldest first (one per load)."""
+    fs, pattern = _hadoop(spark, f"{root.rstrip('/')}/v-*/{MARKER}")
+    found = fs.globStatus(pattern) or []
+    return sorted(f.getPath().getParent().toString() for f in found)
 
-def stored_star(spark: SparkSession, inputs: Sequence[str], tag: str,
-                stages: Callable[[], Sequence[Stage]],
-                extra_names: Sequence[str] = ()) -> Star:
-    """Load the stored star for these inputs, running the staged load first if
-    no committed version exists (``stages()`` is planned only then). A version
-    is keyed by the input files and by
-    this package's code. The loaded star (lazy DataFrames over one committed
-    version's files) is remembered per application and version root; a changed
-    input or code has another fingerprint, hence another root."""
-    fingerprint, size = _listing(spark, inputs)
-    root = f"{warehouse_root(spark)}/{tag}-{code_fingerprint()}-{fingerprint}"
-    key = (spark.sparkContext.applicationId, root, tuple(extra_names))
-    if key in _LOADED:
-        return _LOADED[key]
-    try:
-        spark.read.parquet(f"{root}/CURRENT").schema  # noqa: B018  committed version?
-    except AnalysisException:
-        build_stages(spark, root, stages(), buckets_for(spark, size))
-    _LOADED[key] = load_star(spark, root, extra_names)
-    return _LOADED[key]
+
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Remove all but the newest ``keep`` committed versions (the caller knows that no
+    reader still uses them); returns what went."""
+    gone = versions(spark, root)[:-keep] if keep else versions(spark, root)
+    for version in gone:
+        fs, path = _hadoop(spark, version)
+        fs.delete(path, True)
+    return gone
+
+
+def build_stages(spark: SparkSession, root: str, stages: Sequence[Stage]) -> str:
+    """Staged load: each stage builds one table from the tables already stored
+    (passed in as a dict), is written, and is read back for the stages after it:
+    no table recomputes its inputs. The version is committed after the last one."""
+    version = new_version(root)
+    stored: dict[str, DataFrame] = {}
+    for name, make in stages:
+        make(stored).write.parquet(f"{version}/{name}")
+        stored[name] = spark.read.parquet(f"{version}/{name}")
+    commit(spark, version)
+    return version
+
+
+def load_star(spark: SparkSession, root: str, extra_names: Sequence[str] = ()) -> Star:
+    """The newest committed version under ``root``."""
+    found = versions(spark, root)
+    if not found:
+        raise FileNotFoundError(f"no committed star under {root}")
+    t = {n: spark.read.parquet(f"{found[-1]}/{n}") for n in (*STAR_TABLES, *extra_names)}
+    return Star(t["dim_tempo"], t["dim_municipio"], t["dim_estacao"], t["dim_clima"],
+                t["dim_socioeconomico"], t["fato_tuberculose"], extras={n: t[n] for n in extra_names})
 
 
 def load_warehouse(spark: SparkSession, *, cases_csv: str, density_csv: str, stations_json: str,
                    daily_weather_csv: str, gdp_xml: str, out_root: str,
                    mode: str = "correct") -> Star:
-    """Files -> staging DataFrames -> star tables loaded stage by stage under
-    ``out_root`` (dimensions first, the fact from the stored dimensions) ->
-    refreshed region × year summary. Returns the star read back from storage.
-    ``mode`` picks the accent map used to match names (see ``accent_key``)."""
+    """Files -> staging DataFrames -> star tables loaded stage by stage into a new
+    version under ``out_root`` (dimensions first, the fact from the stored dimensions),
+    with the region x year summary and the rejects of every loader; then committed.
+    Returns the star read back from storage. ``mode`` picks the accent map used to
+    match names (see ``accent_key``)."""
+    from stellata.plans import olap
     from stellata.plans import star as st
-    from stellata.plans.views import SUMMARY_NAME, refresh_summary
-    from stellata.sources.tables import (read_cases, read_daily_weather, read_density,
-                                         read_gdp_xml, read_stations)
+    from stellata.plans.views import SUMMARY_NAME
+    from stellata.sources import tables as tb
 
-    cases, density = read_cases(spark, cases_csv), read_density(spark, density_csv)
+    cases, density = tb.read_cases(spark, cases_csv), tb.read_density(spark, density_csv)
     years = [(sk, y) for sk, y, _ in st.TIME_SEED]
-    stages = [
+
+    def planned(d: dict[str, DataFrame]) -> Star:
+        return Star(d["dim_tempo"], d["dim_municipio"], d["dim_estacao"], d["dim_clima"],
+                    d["dim_socioeconomico"], d["fato_tuberculose"],
+                    extras={"aux_regiao_estacao": d["aux_regiao_estacao"]})
+
+    build_stages(spark, out_root, [
         ("dim_tempo", lambda d: st.dim_tempo(spark)),
         ("aux_regiao_estacao", lambda d: st.region_station_map(spark)),
         ("dim_municipio", lambda d: st.dim_municipio(cases, density, mode)),
-        ("dim_estacao", lambda d: st.dim_estacao(read_stations(spark, stations_json))),
-        ("dim_clima", lambda d: st.dim_clima(read_daily_weather(spark, daily_weather_csv),
+        ("dim_estacao", lambda d: st.dim_estacao(tb.read_stations(spark, stations_json))),
+        ("dim_clima", lambda d: st.dim_clima(tb.read_daily_weather(spark, daily_weather_csv),
                                              d["dim_estacao"], d["dim_tempo"])),
         ("dim_socioeconomico", lambda d: st.dim_socioeconomico(
-            d["dim_municipio"], years, read_gdp_xml(spark, gdp_xml), density, mode)),
+            d["dim_municipio"], years, tb.read_gdp_xml(spark, gdp_xml), density, mode)),
         ("fato_tuberculose", lambda d: st.fact(
             st.cases_long(cases), d["dim_municipio"], d["dim_tempo"], d["aux_regiao_estacao"],
             d["dim_estacao"], d["dim_clima"])),
-    ]
-    inputs = [cases_csv, density_csv, stations_json, daily_weather_csv, gdp_xml]
-    build_stages(spark, out_root, stages, buckets_for(spark, _listing(spark, inputs)[1]))
-    # the source load stops on a GDP value its number mask rejects; here such
-    # values become NULL in the dimension and are listed in a rejects table
-    gdp_rejects(read_gdp_xml(spark, gdp_xml)).write.mode("overwrite").parquet(
-        f"{out_root.rstrip('/')}/rejeitos_pib")
-    stored = load_star(spark, out_root, ("aux_regiao_estacao",))
-    refresh_summary(spark, stored, path=f"{out_root.rstrip('/')}/{SUMMARY_NAME}")
-    return stored
+        (SUMMARY_NAME, lambda d: olap.region_year_summary(planned(d))),
+        # the source load stops on a value its masks reject; here such values become
+        # NULL in the dimensions and are listed
+        ("rejeitos", lambda d: gdp_rejects(tb.read_gdp_xml(spark, gdp_xml))
+         .select(F.lit("pib").alias("carga"), F.col("municipio").alias("chave"), "falhas")
+         .unionByName(daily_weather_rejects(tb.daily_weather_text(spark, daily_weather_csv)))
+         .unionByName(density_rejects(tb.density_text(spark, density_csv)))
+         .unionByName(station_rejects(tb.read_stations(spark, stations_json)))),
+    ])
+    return load_star(spark, out_root, ("aux_regiao_estacao", SUMMARY_NAME, "rejeitos"))
 
 
 def gdp_rejects(gdp: DataFrame) -> DataFrame:
@@ -245,3 +141,53 @@ def gdp_rejects(gdp: DataFrame) -> DataFrame:
     checks.update({f"pib_total_{y}": is_bad_number(f"pib_total_{y}", 20, 0) for y in YEARS})
     return domain_violations(gdp, checks, ["municipio"])
 
+
+def _listed(df: DataFrame, load: str, key, checks) -> DataFrame:
+    from stellata.operators.quality import domain_violations
+
+    return domain_violations(df.withColumn("_chave", key), checks, ["_chave"]).select(
+        F.lit(load).alias("carga"), F.col("_chave").alias("chave"), "falhas")
+
+
+def daily_weather_rejects(text: DataFrame) -> DataFrame:
+    """Rows of the daily weather text with a date or measure that the load cannot take:
+    (carga, chave = station and date text, list of failing columns)."""
+    from stellata.functions.dates import parse_mixed_date
+    from stellata.functions.numbers import is_bad_number
+    from stellata.sources.tables import DAILY_WEATHER_TYPES
+
+    blank = F.coalesce(F.trim("data"), F.lit("")) == ""
+    checks = {"ano": is_bad_number("ano", 10, 0), "data": blank | parse_mixed_date("data").isNull()}
+    checks.update({c: is_bad_number(c, p, s) for c, (p, s) in DAILY_WEATHER_TYPES.items()})
+    key = F.concat_ws(" ", F.trim("codigo_estacao"), F.trim("data"))
+    return _listed(text, "clima", key, checks)
+
+
+def density_rejects(text: DataFrame) -> DataFrame:
+    """Rows of the processed density text with a value that is not a number."""
+    from stellata.functions.numbers import is_bad_number
+    from stellata.sources.tables import YEARS
+
+    return _listed(text, "densidade", F.col("municipio"),
+                   {f"dens_{y}": is_bad_number(f"dens_{y}", 10, 2) for y in YEARS})
+
+
+def raw_density_rejects(text: DataFrame) -> DataFrame:
+    """The same for the raw export, whose numbers are written ``1.234,56``."""
+    from stellata.functions.numbers import locale_number
+    from stellata.sources.tables import YEARS
+
+    def bad(c):
+        return (F.coalesce(F.trim(c), F.lit("")) != "") & locale_number(c).isNull()
+
+    return _listed(text, "densidade bruta", F.col("municipio"), {f"dens_{y}": bad(f"dens_{y}") for y in YEARS})
+
+
+def station_rejects(stations: DataFrame) -> DataFrame:
+    """Stations with a coordinate or altitude that is not a number."""
+    from stellata.functions.numbers import is_bad_number
+
+    return _listed(stations, "estacoes", F.col("CD_ESTACAO"),
+                   {"VL_LATITUDE": is_bad_number("VL_LATITUDE", 12, 8),
+                    "VL_LONGITUDE": is_bad_number("VL_LONGITUDE", 12, 8),
+                    "VL_ALTITUDE": is_bad_number("VL_ALTITUDE", 8, 2)})

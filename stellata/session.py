@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: ANSI arithmetic (overflow and bad casts raise, as
@@ -47,14 +44,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names a shared (fault-tolerant) folder there; it is only filled in
-    here when unset, which happens in local tests and the local benchmark.
-    """
+    The cluster names a shared (fault-tolerant) folder there. Only where it is unset, as
+    in tests and local runs, a folder beside the session's warehouse is used: the
+    warehouse is shared by the driver and the executors in any deployment."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        # local runs only: a fresh scratch folder per session
-        current = tempfile.mkdtemp(prefix="stellata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(current)
+        named = sc.getConf().get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return sc.getCheckpointDir()

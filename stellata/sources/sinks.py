@@ -43,12 +43,12 @@ def write_daily_weather(daily: DataFrame, path: str) -> dict:
 
 
 def write_gdp_xml(df: DataFrame, path: str, root_tag: str = "pib_municipios",
-                  row_tag: str = "municipio", single_document: bool = True) -> None:
+                  row_tag: str = "municipio", single_document: bool = False) -> None:
     """``<pib_municipios><municipio>…</municipio>…``: every column as a child
     element; NULL becomes an empty element; number text loses a trailing ``.0``;
-    ``&`` and ``<`` are escaped by the XML writer. One document by default (one
-    writer: the table has one row per municipality, a fixed administrative set);
-    ``single_document=False`` writes one document per partition."""
+    ``&`` and ``<`` are escaped by the XML writer. One document per partition by
+    default; ``single_document=True`` has one writer make one document, for a table of
+    bounded size (an administrative set)."""
     cols = [F.coalesce(strip_dot_zero(F.col(c).cast("string")), F.lit("")).alias(c)
             for c in df.columns]
     out = df.select(*cols)

@@ -14,11 +14,17 @@ from stellata.functions.text import strip_dot_zero
 YEARS = (2018, 2019, 2020, 2021, 2022, 2023)
 
 CASES_COLUMNS = ["municipio_raw"] + [f"casos_{y}" for y in YEARS] + ["total"]
+# Names of the raw density export that are no municipalities.
+DENSITY_EXCLUDED_NAMES = ("Estado do Paraná", "Município/Estado")
 DENSITY_COLUMNS = ["municipio", "regiao"] + [f"dens_{y}" for y in YEARS]
 DAILY_WEATHER_COLUMNS = [
     "ano", "codigo_estacao", "nome_estacao", "latitude", "longitude", "altitude", "data",
     "temp_max_c", "temp_min_c", "temp_med_c", "umidade_med_pct", "precipitacao_mm",
 ]
+#: precision and scale of the numbers of the daily weather staging table
+DAILY_WEATHER_TYPES = {"latitude": (12, 8), "longitude": (12, 8), "altitude": (8, 2), "temp_max_c": (6, 2),
+                       "temp_min_c": (6, 2), "temp_med_c": (6, 2), "umidade_med_pct": (6, 2),
+                       "precipitacao_mm": (8, 2)}
 STATION_FIELDS = ["CD_ESTACAO", "DC_NOME", "SG_ESTADO", "TP_ESTACAO", "CD_SITUACAO",
                   "VL_LATITUDE", "VL_LONGITUDE", "VL_ALTITUDE"]
 GDP_FIELDS = ["municipio"] + [f"per_capita_{y}" for y in YEARS] + [f"pib_total_{y}" for y in YEARS]
@@ -47,40 +53,57 @@ def read_density(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("sep", ";").option("header", True).schema(schema).csv(path)
 
 
+def density_text(spark: SparkSession, path: str) -> DataFrame:
+    """The processed density file with every cell as text (for its rejects)."""
+    return spark.read.option("sep", ";").option("header", True).schema(_strings(DENSITY_COLUMNS)).csv(path)
+
+
+def density_raw_text(spark: SparkSession, path: str) -> DataFrame:
+    """Raw density export, cells as text: UTF-16, tab-separated. The title is the first
+    line of a file, by position; the header and the state's total are dropped by name.
+
+    UTF-16 has no splittable line ends, so a file is one row here (``binaryFile``); an
+    export holds one state's municipalities."""
+    names = ["municipio", "regiao"] + [f"dens_{y}" for y in YEARS]
+    text = (spark.read.format("binaryFile").load(path)
+            .select(F.decode("content", "UTF-16").alias("_t")))
+    lines = F.split(F.col("_t"), "\r?\n")
+    rows = text.select(F.posexplode(F.transform(lines, lambda x: F.split(x, "\t"))).alias("_n", "_c"))
+    rows = rows.where((F.col("_n") > 0) & (F.array_join("_c", "") != ""))
+    unquoted = lambda c: F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))
+    cell = [F.nullif(unquoted(F.get("_c", F.lit(i))), F.lit("")).alias(n) for i, n in enumerate(names)]
+    return rows.select(*cell).where(~F.coalesce(F.trim("municipio").isin(*DENSITY_EXCLUDED_NAMES), F.lit(False)))
+
+
 def read_density_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw density export: UTF-16 tab-separated, a one-cell title line, a header
-    line, numbers as ``1.234,56``. Drops the title, header, ``Estado do Paraná`` and
-    ``Município/Estado`` rows, parses the numbers to decimal(10,2)."""
-    raw = (spark.read.option("encoding", "UTF-16").option("sep", "\t").option("multiLine", True)
-           .option("header", False).schema(_strings(DENSITY_COLUMNS)).csv(path))
+    """Raw density export with its numbers (``1.234,56``) as decimal(10,2)."""
     nums = [f"dens_{y}" for y in YEARS]
-    title = F.coalesce(*[F.col(c) for c in ["regiao"] + nums]).isNull()
-    header = F.forall(F.array(*[F.trim(F.col(c)) for c in nums]), lambda x: x.rlike("^[0-9]{4}$"))
-    kept = raw.where(~title & ~F.coalesce(header, F.lit(False)))
-    kept = kept.where(~F.col("municipio").eqNullSafe("Estado do Paraná")
-                      & ~F.col("municipio").eqNullSafe("Município/Estado"))
-    return kept.select("municipio", "regiao", *[locale_number(c).alias(c) for c in nums])
+    return density_raw_text(spark, path).select(
+        "municipio", "regiao", *[locale_number(c).alias(c) for c in nums])
+
+
+def daily_weather_text(spark: SparkSession, path: str) -> DataFrame:
+    """The daily weather CSV with every cell as text."""
+    return spark.read.option("header", True).schema(_strings(DAILY_WEATHER_COLUMNS)).csv(path)
 
 
 def read_daily_weather(spark: SparkSession, path: str) -> DataFrame:
     """Daily weather CSV written by the hourly aggregation, loaded into the
-    staging types: mixed date layouts parsed, measures as decimals."""
-    df = spark.read.option("header", True).schema(_strings(DAILY_WEATHER_COLUMNS)).csv(path)
-    dec = lambda c, p, s: F.trim(F.col(c)).try_cast(f"decimal({p},{s})")
-    return df.select(
+    staging types (see :func:`typed_daily_weather`)."""
+    return typed_daily_weather(daily_weather_text(spark, path))
+
+
+def typed_daily_weather(text: DataFrame) -> DataFrame:
+    """Mixed date layouts parsed, measures as decimals; what does not fit is NULL here
+    and listed by ``warehouse.daily_weather_rejects``."""
+    number = {c: F.trim(F.col(c)).try_cast(f"decimal({p},{s})").alias(c)
+              for c, (p, s) in DAILY_WEATHER_TYPES.items()}
+    return text.select(
         F.col("ano").try_cast("int").alias("ano"),
-        F.trim("codigo_estacao").alias("codigo_estacao"),
-        F.col("nome_estacao"),
-        dec("latitude", 12, 8).alias("latitude"),
-        dec("longitude", 12, 8).alias("longitude"),
-        dec("altitude", 8, 2).alias("altitude"),
+        F.trim("codigo_estacao").alias("codigo_estacao"), "nome_estacao",
+        *[number[c] for c in ("latitude", "longitude", "altitude")],
         parse_mixed_date("data").alias("data_medicao"),
-        dec("temp_max_c", 6, 2).alias("temp_max_c"),
-        dec("temp_min_c", 6, 2).alias("temp_min_c"),
-        dec("temp_med_c", 6, 2).alias("temp_med_c"),
-        dec("umidade_med_pct", 6, 2).alias("umidade_med_pct"),
-        dec("precipitacao_mm", 8, 2).alias("precipitacao_mm"),
-    )
+        *[number[c] for c in list(DAILY_WEATHER_TYPES)[3:]])
 
 
 def read_stations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

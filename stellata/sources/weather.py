@@ -5,13 +5,10 @@ eight ``KEY:;value`` preamble lines (UF, ESTACAO, CODIGO (WMO), LATITUDE, …),
 header line (the first line from the ninth on whose text contains ``DATA``), then
 rows separated by ``;`` or ``,`` (whichever the header uses).
 
-Spark plan: one ``binaryFile`` scan (name filter applied in the file listing),
-bytes decoded as Latin-1 (one file = one station-year, a few MB). The per-file
-facts — metadata, header line, separator, column positions — are expressions
-over the top of the file only (a bounded prefix, a lazy regex that stops at the
-header). The body is split into lines once and each line is parsed with
-``from_csv`` (quotes honoured) inside the generator that numbers the lines
-(``posexplode``), so row filters cannot make the optimizer parse a line twice.
+Spark plan: one ``binaryFile`` scan (name filter applied in the file listing), bytes
+decoded as Latin-1 (one file = one station-year, a few MB). A file is split into lines
+once; the header is found by its position among them, and what follows is split into
+records and cells of any number, quotes honoured, with array expressions.
 Map-only: no shuffle, no second scan, no Python per row.
 """
 
@@ -50,24 +47,38 @@ STATE = "PR"
 NAME_GLOB = "*_[Pp][Rr]_*.{csv,CSV}"
 # ---------------------------------------------------------------------------
 
-MAX_CELLS = 24
-_CELLS_DDL = ", ".join(f"c{i} string" for i in range(MAX_CELLS))
+# Characters that stand for cell and record ends and for quotes inside a cell while a
+# text is taken apart; the files are Latin-1 text, where they do not occur.
+_CELL, _RECORD, _QUOTE = "\x02", "\x03", "\x04"
 
 HOURLY_COLUMNS = ["ano", "codigo_estacao", "nome_estacao", "latitude", "longitude", "altitude",
                   "data", "hora_utc", "temp_max_c", "temp_min_c", "temp_med_c", "umidade_pct",
                   "precipitacao_mm", "arquivo", "linha"]
 
 
-def _parse(line, sep_col):
-    """One CSV parse of a line with the file's separator (a struct of MAX_CELLS
-    strings; the separator must be a literal, so one parser per separator)."""
-    opts = {"mode": "PERMISSIVE"}
-    return F.when(sep_col == ";", F.from_csv(line, _CELLS_DDL, {**opts, "sep": ";"})).otherwise(
-        F.from_csv(line, _CELLS_DDL, {**opts, "sep": ","}))
+def _once(df: DataFrame, **columns) -> DataFrame:
+    """``df`` with more columns, computed once: the optimizer does not move filters below
+    a generator nor repeat its expressions."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
 
 
-def _cells_of(struct_col):
-    return F.array(*[struct_col[f"c{i}"] for i in range(MAX_CELLS)])
+def csv_records(text, sep):
+    """The records of a CSV text as an array of arrays of cells (null: null).
+
+    A cell in quotes may hold separators, line breaks and doubled quotes; a quote
+    between two other characters of a cell is an ordinary character. The text is cut
+    at its quotes: pieces at even places lie outside quoted cells, an empty one between
+    two quoted pieces is a doubled quote."""
+    text = F.replace(text, F.lit("\r\n"), F.lit("\n"))
+    text = F.regexp_replace(text, '(?<=[^;,\n"])"(?=[^;,\n"])', _QUOTE)
+    pieces = F.split(text, '"')
+    last = F.size(pieces) - 1
+    outside = lambda x: F.replace(F.replace(x, sep, F.lit(_CELL)), F.lit("\n"), F.lit(_RECORD))
+    marked = F.transform(pieces, lambda x, i: F.when(i % 2 == 1, x)
+                         .when((x == "") & (i > 0) & (i < last), F.lit(_QUOTE)).otherwise(outside(x)))
+    whole = F.array_join(marked, "")
+    return F.transform(F.split(whole, _RECORD), lambda r: F.transform(
+        F.split(r, _CELL), lambda c: F.replace(c, F.lit(_QUOTE), F.lit('"'))))
 
 
 def read_files(spark: SparkSession, root: str, years=YEARS) -> DataFrame:
@@ -88,26 +99,15 @@ def read_files(spark: SparkSession, root: str, years=YEARS) -> DataFrame:
     return files.select("arquivo", "ano", F.decode("content", "ISO-8859-1").alias("texto"))
 
 
-# The header is the first line from the ninth on whose text contains DATA (any
-# case): group 1 = everything before it, group 2 = the header line.
-_HEADER_RE = r"^((?:[^\n]*\n){%d}(?:[^\n]*\n)*?)([^\n]*(?i:data)[^\n]*)" % PREAMBLE_LINES
-# the eight preamble lines are read from a bounded prefix of the file
-_PREFIX = 16384
+#: What became of a file (column ``situacao``).
+READ, OTHER_STATE, NO_HEADER, NO_DATE = "lido", "outra uf", "sem cabecalho", "sem coluna de data"
 
 
 def file_facts(files: DataFrame) -> DataFrame:
-    """Per file: station metadata, header line number, separator and the position
-    of every logical column. Keeps files whose UF is the wanted state (a file
-    whose header has no date column yields no rows downstream).
-
-    Every fact reads only the top of the file — the preamble from a bounded
-    prefix, the header with one lazy regex that stops at it — so the facts stay
-    cheap wherever the optimizer places them (filters on them are pushed below
-    these projections with the expressions inlined). The whole file is split
-    into lines exactly once, for the body."""
-    text = F.col("texto")
-    prefix = F.substring(text, 1, _PREFIX)
-    pre = F.slice(F.split(prefix, "\r?\n"), 1, PREAMBLE_LINES)
+    """Per file: station metadata, ``situacao``, the records after the header (arrays of
+    cells, null unless the file is read) and the position of every logical column."""
+    df = _once(files, _lines=F.split("texto", "\r?\n")).drop("texto")
+    pre = F.slice("_lines", 1, PREAMBLE_LINES)
     kv = F.transform(F.filter(pre, lambda x: strip_ws(x).contains(";")),
                      lambda x: F.split(strip_ws(x), ";"))
     kv = F.transform(kv, lambda p: F.struct(
@@ -115,39 +115,47 @@ def file_facts(files: DataFrame) -> DataFrame:
         F.coalesce(F.trim(F.get(p, 1)), F.lit("")).alias("v")))
 
     def meta(key):  # the last line with the key wins
-        return F.try_element_at(F.filter(kv, lambda s: s["k"] == key), F.lit(-1))["v"]
-
-    # the header is searched in the prefix; the whole text only if it is not there
-    # (regex functions copy their input to a Java string, so this matters)
-    in_prefix = F.regexp_extract(prefix, _HEADER_RE, 2) != ""
-    source = F.when(in_prefix, prefix).otherwise(text)
-    before = F.regexp_extract(source, _HEADER_RE, 1)
-    header = F.regexp_replace(F.regexp_extract(source, _HEADER_RE, 2), "\r$", "")
-    df = files.select(
-        "arquivo", "ano", "texto",
-        meta("UF").alias("_uf"),
-        F.trim(F.coalesce(meta("CODIGO (WMO)"), meta("CODIGO"), F.lit(""))).alias("codigo_estacao"),
-        F.trim(F.coalesce(meta("ESTACAO"), F.lit(""))).alias("nome_estacao"),
-        tolerant_float(F.coalesce(meta("LATITUDE"), F.lit("")), null_sentinel=False).alias("latitude"),
-        tolerant_float(F.coalesce(meta("LONGITUDE"), F.lit("")), null_sentinel=False).alias("longitude"),
-        tolerant_float(F.coalesce(meta("ALTITUDE"), F.lit("")), null_sentinel=False).alias("altitude"),
-        F.when(F.length(header) > 0, header).alias("h_texto"),
-        # header line number (0-based) = newlines before it
-        (F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit("")))).cast("int")
-        .alias("h_linha"))
-    df = df.where(F.upper(F.trim(F.coalesce("_uf", F.lit("")))) == STATE).drop("_uf")
-    df = df.withColumn("sep", F.when(F.col("h_texto").contains(";"), F.lit(";")).otherwise(F.lit(",")))
-    df = df.withColumn("_norm", F.transform(_cells_of(_parse(F.col("h_texto"), F.col("sep"))),
-                                            lambda c: F.upper(F.trim(c))))
-    for logical, aliases in HEADER_ALIASES.items():
-        # first alias (in priority order) present in the header; its first position
-        pos = [F.when(F.array_position("_norm", a.strip().upper()) > 0,
-                      F.array_position("_norm", a.strip().upper()) - 1) for a in aliases]
-        df = df.withColumn(f"p_{logical}", F.coalesce(*pos).cast("int"))
-    # a file without a date column yields no rows: the row filter of
-    # hourly_from_files needs a non-empty date cell (no file-level filter here,
-    # which the optimizer would push down with the header parse inlined)
-    return df.drop("_norm", "h_texto")
+        return F.try_element_at(F.filter("_kv", lambda s: s["k"] == key), F.lit(-1))["v"]
+
+    # the header: the first line from the ninth on with DATA in it (any case)
+    after = F.slice("_lines", PREAMBLE_LINES + 1, F.greatest(F.size("_lines") - PREAMBLE_LINES, F.lit(0)))
+    found = F.array_position(F.transform(after, lambda x: F.upper(x).contains("DATA")), True)
+    df = _once(df, _kv=kv, _at=found.cast("int"))
+    start = F.col("_at") + PREAMBLE_LINES  # 1-based place of the header line
+    header = F.get("_lines", start - 1)
+    state = F.upper(F.trim(F.coalesce(meta("UF"), F.lit("")))) == STATE
+    usable = state & (F.col("_at") > 0)
+    df = _once(
+        df,
+        codigo_estacao=F.trim(F.coalesce(meta("CODIGO (WMO)"), meta("CODIGO"), F.lit(""))),
+        nome_estacao=F.trim(F.coalesce(meta("ESTACAO"), F.lit(""))),
+        latitude=tolerant_float(F.coalesce(meta("LATITUDE"), F.lit("")), null_sentinel=False),
+        longitude=tolerant_float(F.coalesce(meta("LONGITUDE"), F.lit("")), null_sentinel=False),
+        altitude=tolerant_float(F.coalesce(meta("ALTITUDE"), F.lit("")), null_sentinel=False),
+        h_linha=F.when(usable, start - 1), _state=state,
+        _sep=F.when(header.contains(";"), F.lit(";")).otherwise(F.lit(",")),
+        _rest=F.when(usable, F.array_join(F.slice(
+            "_lines", F.greatest(start, F.lit(1)), F.greatest(F.size("_lines") - start + 1, F.lit(0))), "\n")))
+    df = _once(df.drop("_lines", "_kv"), registros=csv_records(F.col("_rest"), F.col("_sep"))).drop("_rest", "_sep")
+    names = F.transform(F.get("registros", F.lit(0)), lambda c: F.upper(F.trim(c)))
+    df = _once(df, _norm=names)
+
+    def position(aliases):  # first alias (in priority order) present; its first position
+        at = [F.array_position("_norm", a.strip().upper()) for a in aliases]
+        return F.coalesce(*[F.when(x > 0, x - 1) for x in at]).cast("int")
+
+    df = _once(df, **{f"p_{k}": position(a) for k, a in HEADER_ALIASES.items()})
+    status = (F.when(~F.col("_state"), F.lit(OTHER_STATE)).when(F.col("_at") == 0, F.lit(NO_HEADER))
+              .when(F.col("p_data").isNull(), F.lit(NO_DATE)).otherwise(F.lit(READ)))
+    return df.withColumn("situacao", status).drop("_norm", "_at", "_state")
+
+
+def file_report(files: DataFrame) -> DataFrame:
+    """What became of each file: (arquivo, ano, situacao, registros), registros being the
+    lines after the header. One pass; a file that is not read is a row here, not an error."""
+    return file_facts(files).select(
+        "arquivo", "ano", "situacao",
+        F.when(F.col("situacao") == READ, F.size("registros") - 1).otherwise(F.lit(0)).alias("registros"))
 
 
 def read_weather_hourly(spark: SparkSession, root: str, years=YEARS) -> DataFrame:
@@ -155,22 +163,15 @@ def read_weather_hourly(spark: SparkSession, root: str, years=YEARS) -> DataFram
 
 
 def hourly_from_files(files: DataFrame) -> DataFrame:
-    """Hourly readings: every line after the header, parsed with the file's
-    separator; rows with an empty first cell or an empty date are skipped (so a
-    file without a date column yields nothing).
-
-    Each line is parsed inside the generator (``posexplode`` of the parsed line
-    array): the row filters then read generator output and stay above it, so
-    a line is parsed exactly once."""
-    facts = file_facts(files)
-    parsed = F.transform(F.split(F.col("texto"), "\r?\n"), lambda line: _parse(line, F.col("sep")))
-    body = (facts.select("*", F.posexplode(parsed).alias("linha", "_p")).drop("texto")
-            .where(F.col("linha") > F.col("h_linha")))
-    body = body.withColumn("_c", _cells_of(F.col("_p"))).drop("_p")
+    """Hourly readings: every record after the header; records with an empty first cell
+    or an empty date are skipped. ``linha`` is the record's place, counted in lines from
+    the top of the file (a quoted line break does not count)."""
+    facts = file_facts(files).where(F.col("situacao") == READ)
+    body = facts.select("*", F.posexplode("registros").alias("_n", "_c")).drop("registros").where("_n > 0")
+    body = body.withColumn("linha", F.col("h_linha") + F.col("_n"))
 
     def cell(logical):
-        p = F.col(f"p_{logical}")
-        return F.when(p.isNotNull(), F.try_element_at("_c", p + 1))
+        return F.get("_c", F.col(f"p_{logical}"))
 
     date_text = strip_ws(cell("data"))
     body = body.where((F.coalesce(F.length(strip_ws(F.col("_c")[0])), F.lit(0)) > 0)
