@@ -68,3 +68,17 @@ def numbered(df: DataFrame, **columns: Column) -> DataFrame:
     ship_code(df.sparkSession)
     return df.select(F.monotonically_increasing_id().alias("row"),
                      *[c.alias(k) for k, c in columns.items()])
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, longer if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_row(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with the row number of ``numbered`` beside all its columns, and its name."""
+    name = fresh(df, "__row")
+    return df.withColumn(name, F.monotonically_increasing_id()), name

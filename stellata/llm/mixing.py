@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stellata.llm.common import WORD, col, numbered, stored, text_of
+from stellata.llm.common import WORD, col, fresh, numbered, stored, text_of, with_row
 
 #: Rows whose prefix sums are formed in one sort, about (at most four times this).
 BUCKET = 2000
@@ -114,9 +114,10 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``docs`` must read a stored table (see ``numbered``)."""
     names = docs.columns
+    whole, row = with_row(docs)
+    copies, copy = fresh(docs, "__copies"), fresh(docs, "__copy")
     taken = (mix(docs, id_col, text_col, source_col, **kw)
-             .select(F.col("row").alias("__row"), (F.col("epochs") + F.col("picked").cast("long")).cast("int")
-                     .alias("__copies")).where("__copies > 0"))
-    whole = docs.withColumn("__row", F.monotonically_increasing_id()).join(taken, "__row")
-    once = F.explode(F.array_repeat(F.lit(1), F.col("__copies"))).alias("__copy")
-    return whole.select(*[col(c) for c in names], once).select(*[col(c) for c in names])
+             .select(F.col("row").alias(row), (F.col("epochs") + F.col("picked").cast("long")).cast("int")
+                     .alias(copies)).where(F.col(copies) > 0))
+    once = F.explode(F.array_repeat(F.lit(1), F.col(copies))).alias(copy)
+    return whole.join(taken, row).select(*[col(c) for c in names], once).select(*[col(c) for c in names])

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellata.llm.common import col, numbered, ship_code, stored, text_of
+from stellata.llm.common import col, numbered, ship_code, stored, text_of, with_row
 from stellata.llm.components import connected
 
 #: (first bit, number of bits) of each block, and the bits of a block that may differ
@@ -223,6 +223,6 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ``docs`` must read a stored table (see ``numbered``)."""
     names = docs.columns
-    gone = groups(docs, id_col, text_col, **kw).where("NOT first").select(F.col("row").alias("__row"))
-    whole = docs.withColumn("__row", F.monotonically_increasing_id())
-    return whole.join(gone, "__row", "left_anti").select(*[col(c) for c in names])
+    whole, row = with_row(docs)
+    gone = groups(docs, id_col, text_col, **kw).where("NOT first").select(F.col("row").alias(row))
+    return whole.join(gone, row, "left_anti").select(*[col(c) for c in names])

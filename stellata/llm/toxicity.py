@@ -363,4 +363,7 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: f
                 keep[begin:stop] = scorer.scores(texts[begin:stop])[0] < threshold
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    # by place, not by name: a name may hold dots
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
