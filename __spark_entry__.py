@@ -33,6 +33,7 @@ from stellata.operators.joins import nearest_lookup
 from stellata.operators.keys import dense_key
 from stellata.operators.reshape import union_all_slices, unpivot_measures, unpivot_years
 from stellata.plans import olap
+from stellata.plans import bench_texts
 from stellata.plans.bench_sql import QUERIES as _SQL
 from stellata.plans.benchstar import (ALL_CLIMATE, BENCH_LATITUDE, BENCH_REGION, BENCH_REGION_STATION,
                                       MAPPED_CLIMATE, NO_CLIMATE, bench_star,
@@ -329,13 +330,23 @@ def _quality_unique(spark, sf_dir):
 
 
 def _quality_not_null(spark, sf_dir):
+    """Cells blanked by rule (the tables have no nulls of their own)."""
     c = read_tables(spark, sf_dir, ["customer"])["customer"]
-    return _out(quality.null_counts(c, c.columns))
+    k = F.col("c_custkey")
+    blanked = c.select(
+        "c_custkey", F.when(k % 7 > 0, F.col("c_name")).alias("c_name"),
+        F.when(k % 11 > 0, F.col("c_nationkey")).alias("c_nationkey"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("c_acctbal"),
+        F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("c_mktsegment"))
+    return _out(quality.null_counts(blanked, blanked.columns))
 
 
 def _quality_foreign_keys(spark, sf_dir):
+    """Some line items refer, by rule, to orders that do not exist; some to none."""
     t = read_tables(spark, sf_dir, ["lineitem", "orders"])
-    return _out(quality.orphans(t["lineitem"].select("l_orderkey", "l_linenumber"), ["l_orderkey"],
+    k = F.col("l_orderkey")
+    broken = F.when(k % 97 == 0, -k).when(k % 89 == 0, F.lit(None).cast("bigint")).otherwise(k)
+    return _out(quality.orphans(t["lineitem"].select(broken.alias("l_orderkey"), "l_linenumber"), ["l_orderkey"],
                                 t["orders"], ["o_orderkey"]))
 
 
@@ -353,6 +364,10 @@ def _station_row_counts(spark, sf_dir):
     return _out(rows_per_group(t["lineitem"], "l_suppkey", "s_name", names))
 
 
+def _text_query(fn):
+    return lambda spark, sf_dir: _out(fn(spark, sf_dir))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: yearly totals (query 1) on the smallest benchmark star."""
     return _olap(olap.yearly_totals)(spark, SMOKE_DIR)
@@ -405,6 +420,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_foreign_keys": _quality_foreign_keys,
         "quality_domain": _quality_domain,
         "station_row_counts": _station_row_counts,
+        **{name: _text_query(fn) for name, fn in bench_texts.QUERIES.items()},
         **_LLM_QUERIES,
     }
 
