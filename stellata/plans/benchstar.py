@@ -78,18 +78,18 @@ def customer_year_orders(orders: DataFrame) -> DataFrame:
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("valor"))
 
 
-def customer_years(municipio: DataFrame, orders: DataFrame, years: list[int]) -> DataFrame:
-    """Every customer in every year with its orders and their value (0 and NULL where it
-    ordered nothing). Orders collapse to one row per customer, with a column per year,
+def customer_years(municipio: DataFrame, orders: DataFrame, years: list[int], value: bool = False) -> DataFrame:
+    """Every customer in every year with its orders and, if wanted, their value (0 and
+    NULL where it ordered nothing). Orders collapse to one row per customer, with a column per year,
     before they meet the customers; the years are then taken apart in place."""
     year = F.year("o_orderdate")
-    value = F.col("o_totalprice").cast("decimal(18,2)")
+    price = F.col("o_totalprice").cast("decimal(18,2)")
     per = orders.groupBy(F.col("o_custkey").alias("sk_municipio")).agg(
         *[F.count(F.when(year == y, F.lit(1))).alias(f"n_{y}") for y in years],
-        *[F.sum(F.when(year == y, value)).alias(f"v_{y}") for y in years])
+        *[F.sum(F.when(year == y, price)).alias(f"v_{y}") for y in years if value])
     cells = F.array(*[F.struct(F.lit(y).cast("bigint").alias("sk_tempo"), F.lit(y).cast("int").alias("ano"),
                                F.coalesce(F.col(f"n_{y}"), F.lit(0)).cast("int").alias("casos_tb"),
-                               F.col(f"v_{y}").alias("valor")) for y in years])
+                               *([F.col(f"v_{y}").alias("valor")] if value else [])) for y in years])
     return municipio.join(per, "sk_municipio", "left").select(*municipio.columns, F.inline(cells))
 
 
@@ -169,5 +169,6 @@ def bench_star(spark: SparkSession, sf_dir: str, climate: str = MAPPED_CLIMATE,
         fato = grid.select(key.alias("sk_fat"), "sk_municipio", "sk_tempo", key.alias("sk_socioeconomico"), "casos_tb")
     else:
         fato = fact(counts, dim_m, tempo, rmap, estacao, clima, keep_unmapped)
-    return Star(tempo, dim_m, estacao, clima, bench_dim_socio(grid), fato,
-                extras={"aux_regiao_estacao": rmap, "years": years, "grid": grid})
+    worth = customer_years(municipio, t["orders"], years, value=True)
+    return Star(tempo, dim_m, estacao, clima, bench_dim_socio(worth), fato,
+                extras={"aux_regiao_estacao": rmap, "years": years})

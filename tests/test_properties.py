@@ -99,8 +99,8 @@ SF = "/root/testdata/sf0.001"
 def bench(spark):
     if not os.path.exists(f"{SF}/orders.parquet"):
         pytest.skip("benchmark tables not available")
-    from stellata.plans.benchstar import stored_bench_star
-    return stored_bench_star(spark, SF)
+    from stellata.plans.benchstar import bench_star
+    return bench_star(spark, SF)
 
 
 def test_star_invariants_on_benchmark(bench):

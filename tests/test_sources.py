@@ -70,7 +70,7 @@ def test_gdp_sheet_xml_round_trip(spark, scratch):
     assert set(got) == {"Abatiá", "Curitiba & Região", "Ortigueira"}
     assert got["Abatiá"]["per_capita_2018"] == "20001" and got["Curitiba & Região"]["per_capita_2018"] == "50001.5"
     out = os.path.join(_tmp(scratch), "pib")
-    write_gdp_xml(clean, out)
+    write_gdp_xml(clean, out, single_document=True)
     docs = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(docs) == 1  # one document, as the source writes
     back = {r["municipio"]: r for r in read_gdp_xml(spark, out).collect()}

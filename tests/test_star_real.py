@@ -144,15 +144,15 @@ def test_views_summary_and_view_queries(spark, star_correct, scratch):
     n = spark.sql("SELECT count(*) FROM fato_tuberculose f JOIN dim_tempo t USING (sk_tempo)").first()[0]
     assert n == 2304
     path = os.path.join(tempfile.mkdtemp(dir=scratch), SUMMARY_NAME)
-    mv = refresh_summary(spark, star_correct, path=path)
+    mv = refresh_summary(spark, star_correct, path)
     assert mv.count() == 29 * 6
-    mv = refresh_summary(spark, star_correct, path=path)  # a second refresh replaces, not appends
+    mv = refresh_summary(spark, star_correct, path)  # a second refresh replaces, not appends
     assert mv.count() == 29 * 6
     ratio = {r["regiao"]: r for r in olap.period_ratio(spark.table(SUMMARY_NAME)).collect()}
     assert ratio["RGI de Curitiba"]["total_geral"] == 4881
-    lon = olap.with_region_mean(wide).collect()
+    lon = olap.with_region_mean(star_correct).collect()
     assert len(lon) % 6 == 0 and lon
-    above = olap.above_region_mean(wide).collect()
+    above = olap.above_region_mean(star_correct).collect()
     assert 0 < len(above) < len(lon)
     assert all(r["casos_tb"] > r["media_regiao"] for r in above)
 
@@ -198,10 +198,10 @@ def test_load_warehouse_from_files(spark, real_star_inputs, scratch):
     out = os.path.join(tempfile.mkdtemp(dir=scratch), "dw")
     star = load_warehouse(spark, out_root=out, mode="compat", **real_star_inputs["paths"])
     assert star.fato.count() == 1710
-    assert spark.read.parquet(os.path.join(out, "mv_regiao_ano")).agg(F.sum("total_casos")).first()[0] == 13327
+    assert star.extras["mv_regiao_ano"].agg(F.sum("total_casos")).first()[0] == 13327
     assert star.clima.count() == 20 * 6
-    rejects = spark.read.parquet(os.path.join(out, "rejeitos_pib")).collect()
-    assert [(r["municipio"], len(r["falhas"])) for r in rejects] == [("Município Sem Número", 6)]
+    rejects = star.extras["rejeitos"].where("carga = 'pib'").collect()
+    assert [(r["chave"], len(r["falhas"])) for r in rejects] == [("Município Sem Número", 6)]
     # the climate year with no rain readings sums to 0 and has no rainy days
     dry = star.clima.join(star.estacao.where(F.col("cd_estacao") == "A875"), "sk_estacao") \
         .where(F.col("sk_tempo") == 2).first()

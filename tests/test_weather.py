@@ -170,3 +170,66 @@ def test_header_after_a_long_block_of_notes(spark, scratch):
     rows = read_weather_hourly(spark, root).collect()
     assert sorted((r["data"], r["hora_utc"], r["temp_med_c"]) for r in rows) == \
         [("2018-01-01", "0000", 10.5), ("2018-01-01", "0100", 11.5)]
+
+
+# --- files of any shape --------------------------------------------------------------------
+
+def _rows(spark, scratch, name, lines, year=2018):
+    from weather_files import _write
+    root = os.path.join(tempfile.mkdtemp(dir=scratch), "horarios")
+    _write(root, f"{year}/INMET_S_PR_{name}.CSV", lines)
+    return root
+
+
+def test_any_number_of_columns(spark, scratch):
+    from weather_files import _pre
+    filler = [f"X{i}" for i in range(40)]
+    root = _rows(spark, scratch, "LARGO", _pre() + [
+        ";".join(["Data", *filler, "Temp. (°C)"]), ";".join(["2018-01-01", *["1"] * 40, "10,5"])])
+    assert [r["temp_med_c"] for r in read_weather_hourly(spark, root).collect()] == [10.5]
+
+
+def test_long_preamble_line_and_late_header(spark, scratch):
+    from weather_files import _pre
+    pre = _pre(name="N" * 100_000)
+    root = _rows(spark, scratch, "TARDE", pre + [f"nota {i}" for i in range(5000)] + [
+        "Data;Temp. (°C)", "2018-01-01;10,5"])
+    [row] = read_weather_hourly(spark, root).collect()
+    assert row["codigo_estacao"] == "A807" and len(row["nome_estacao"]) == 100_000
+    assert row["linha"] == 8 + 5000 + 1
+
+
+def test_file_without_a_header_is_reported(spark, scratch):
+    from weather_files import _pre
+
+    from stellata.sources.weather import file_report, read_files
+    root = _rows(spark, scratch, "SEMCABECALHO", _pre() + ["2018-01-01;1;2"] * 20_000)
+    write_weather_folder(root)
+    assert read_weather_hourly(spark, root).count() == 10  # the other files are read
+    got = {os.path.basename(r["arquivo"]): (r["situacao"], r["registros"])
+           for r in file_report(read_files(spark, root)).collect()}
+    assert got["INMET_S_PR_SEMCABECALHO.CSV"] == ("sem cabecalho", 0)
+    assert got["INMET_S_PR_A999_OUTRO.CSV"] == ("outra uf", 0)
+    assert got["INMET_S_PR_B000_SEMDATA.CSV"] == ("sem coluna de data", 0)
+    assert got["INMET_S_PR_A842_LONDRINA.CSV"][0] == "lido"
+
+
+def test_quoted_cells(spark, scratch):
+    """Line breaks, separators and doubled quotes inside quotes; a quote inside a cell."""
+    from weather_files import _pre
+    root = _rows(spark, scratch, "ASPAS", _pre() + [
+        'Data;OBS;Temp. (°C)', '2018-01-01;"a;b', 'c ""d"" e";10,5', '"2018-01-02";5"x;"11,5"', '2018-01-03;"";12,5'])
+    rows = read_weather_hourly(spark, root).collect()
+    assert sorted((r["data"], r["temp_med_c"]) for r in rows) == [
+        ("2018-01-01", 10.5), ("2018-01-02", 11.5), ("2018-01-03", 12.5)]
+
+
+def test_readings_are_rounded_once(spark):
+    cols = "ano int, codigo_estacao string, nome_estacao string, latitude double, longitude double, altitude double, " \
+           "data string, temp_max_c double, temp_min_c double, temp_med_c double, umidade_pct double, " \
+           "precipitacao_mm double, arquivo string, linha int"
+    one = lambda v, n: (2018, "A", "x", 0.0, 0.0, 0.0, "d", v, v, v, v, v, "f", n)
+    got = hourly_to_daily(spark.createDataFrame([one(0.0049999996, 1)], cols)).collect()[0]
+    assert got["temp_med_c"] == got["precipitacao_mm"] == Decimal("0.00")
+    got = hourly_to_daily(spark.createDataFrame([one(0.005, 1), one(0.005, 2), one(0.005, 3)], cols)).collect()[0]
+    assert got["temp_med_c"] == Decimal("0.01") and got["precipitacao_mm"] == Decimal("0.02")
