@@ -15,6 +15,9 @@ ACCENTED = "áàãâäéèêëíìîïóòõôöúùûüçÁÀÃÂÄÉÈÊËÍÌ
 COMPAT_PLAIN = "AAAAAAEEEEIIIIOOOOOUUUUCAAAAAAEEEEIIIIOOOOOUUUUC"
 # The aligned replacement (one plain letter per accented letter).
 CORRECT_PLAIN = "aaaaaeeeeiiiiooooouuuucAAAAAEEEEIIIIOOOOOUUUUC"
+# Cell texts that the source's table reader takes for a missing value:
+NULL_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+              "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 # ---------------------------------------------------------------------------
 
 ACCENT_MODES = ("correct", "compat")
@@ -42,6 +45,11 @@ def accent_key(c, mode: str = "correct") -> Column:
     return F.upper(fold_accents(F.trim(_col(c)), mode))
 
 
+def null_text(c) -> Column:
+    """The cell, or NULL if it is one of the texts that mean a missing value."""
+    return F.when(~_col(c).isin(*NULL_TEXTS), _col(c))
+
+
 # The ASCII whitespace set (what ``\s`` matches in Java regex).
 WHITESPACE = " \t\n\r\x0b\x0c"
 

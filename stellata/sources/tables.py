@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from stellata.functions.dates import parse_mixed_date
 from stellata.functions.numbers import locale_number
-from stellata.functions.text import strip_dot_zero
+from stellata.functions.text import null_text, strip_dot_zero
 
 YEARS = (2018, 2019, 2020, 2021, 2022, 2023)
 
@@ -36,13 +36,18 @@ def _strings(names) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
+def _null_texts(df: DataFrame) -> DataFrame:
+    """Every (text) column with the texts for a missing value as NULL."""
+    return df.select(*[null_text(c).alias(c) for c in df.columns])
+
+
 def read_cases(spark: SparkSession, path: str) -> DataFrame:
     """Case-count file: ``;`` separated UTF-8, header line, every cell kept as
     text (``-`` stays ``-``). Columns are renamed by position; the ``Total`` line
     is dropped (a NULL name is kept, as a pandas ``!=`` filter keeps it)."""
     df = (spark.read.option("sep", ";").option("header", True).option("encoding", "UTF-8")
           .schema(_strings(CASES_COLUMNS)).csv(path))
-    return df.where(~F.col("municipio_raw").eqNullSafe("Total"))
+    return _null_texts(df).where(~F.col("municipio_raw").eqNullSafe("Total"))
 
 
 def read_density(spark: SparkSession, path: str) -> DataFrame:
@@ -55,7 +60,8 @@ def read_density(spark: SparkSession, path: str) -> DataFrame:
 
 def density_text(spark: SparkSession, path: str) -> DataFrame:
     """The processed density file with every cell as text (for its rejects)."""
-    return spark.read.option("sep", ";").option("header", True).schema(_strings(DENSITY_COLUMNS)).csv(path)
+    return _null_texts(
+        spark.read.option("sep", ";").option("header", True).schema(_strings(DENSITY_COLUMNS)).csv(path))
 
 
 def density_raw_text(spark: SparkSession, path: str) -> DataFrame:
@@ -84,7 +90,7 @@ def read_density_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def daily_weather_text(spark: SparkSession, path: str) -> DataFrame:
     """The daily weather CSV with every cell as text."""
-    return spark.read.option("header", True).schema(_strings(DAILY_WEATHER_COLUMNS)).csv(path)
+    return _null_texts(spark.read.option("header", True).schema(_strings(DAILY_WEATHER_COLUMNS)).csv(path))
 
 
 def read_daily_weather(spark: SparkSession, path: str) -> DataFrame:

@@ -190,23 +190,21 @@ def hourly_from_files(files: DataFrame) -> DataFrame:
 
 
 def load_report(spark: SparkSession, root: str, years=YEARS) -> dict:
-    """Counts the source tool printed: files found under the year folders, files
-    of the state that produced readings, hourly readings, daily rows, and the
-    years without files (the source warns about a missing year folder). One
-    aggregate over the hourly readings; the file listing is metadata only (one
-    row per year)."""
-    from stellata.operators.aggregates import hourly_to_daily
-
+    """Counts the source tool printed: files found under the year folders, files of the
+    state that produced readings, hourly readings, daily rows, and the years without
+    files. The files' contents are read once: readings are counted per (station, day,
+    file) and everything else is a sum over that; the listing is metadata only (one row
+    per year)."""
     found = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", "*.{csv,CSV}").load(root).select("path"))
     tail = re.escape(root.rstrip("/").split("/")[-1])
     year = F.regexp_extract("path", f"{tail}/([0-9]{{4}})/", 1)
     per_year = {int(r[0]): r[1] for r in found.select(year.alias("y"))
                 .where(F.col("y").isin(*[str(y) for y in years])).groupBy("y").count().collect()}
-    hourly = read_weather_hourly(spark, root, years)
-    h = hourly.agg(F.count_distinct("arquivo").alias("arquivos"), F.count(F.lit(1)).alias("horas")).first()
-    n_daily = hourly_to_daily(hourly).count()
-    return {"arquivos_encontrados": sum(per_year.values()), "arquivos_lidos": h["arquivos"],
-            "registros_horarios": h["horas"], "registros_diarios": n_daily,
+    counts = read_weather_hourly(spark, root, years).groupBy("codigo_estacao", "data", "arquivo").count()
+    n = counts.agg(F.count_distinct("arquivo").alias("files"), F.sum("count").alias("hours"),
+                   F.count_distinct(F.struct("codigo_estacao", "data")).alias("days")).first()
+    return {"arquivos_encontrados": sum(per_year.values()), "arquivos_lidos": n["files"],
+            "registros_horarios": n["hours"] or 0, "registros_diarios": n["days"],
             # the source warns about a year folder that is missing
             "anos_sem_arquivos": [y for y in years if y not in per_year]}

@@ -128,9 +128,12 @@ def test_rejects_of_every_loader(spark, scratch):
     with open(f"{folder}/d.csv", "w", encoding="utf-8") as f:
         f.write(",".join(tb.DAILY_WEATHER_COLUMNS) + "\n")
         f.write("2018,A1,x,-24.1,-51,600,2018-01-01,1.5,1.5,1.5,50,0\n")
+        f.write("2018,A1,NA,NaN,null,N/A,2018-01-02,nan,,NULL,NA,None\n")  # missing, not bad
         f.write("2018,A1,x,-24.1,-51,600,31/02/2018,1.5,1.5,\"1,5\",50,123456789\n")
     got = w.daily_weather_rejects(tb.daily_weather_text(spark, f"{folder}/d.csv")).collect()
     assert [(r["chave"], r["falhas"]) for r in got] == [("A1 31/02/2018", ["data", "temp_med_c", "precipitacao_mm"])]
+    rows = tb.read_daily_weather(spark, f"{folder}/d.csv").orderBy("data_medicao").collect()
+    assert all(rows[-1][c] is None for c in tb.DAILY_WEATHER_TYPES) and rows[-1]["nome_estacao"] is None
     with open(f"{folder}/raw.csv", "w", encoding="utf-16") as f:
         f.write("Titulo\nMunicípio/Estado\tRegião" + "".join(f"\t{y}" for y in YEARS) + "\n"
                 "Bom\tr" + "\t1.234,56" * 6 + "\nRuim\tr\tn/d" + "\t1,0" * 5 + "\n")
