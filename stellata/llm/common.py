@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import uuid
 import zipfile
 
@@ -17,35 +17,42 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+
+def shared_path(spark, label: str) -> str:
+    """A new path in the shared folder that ``spark.checkpoint.dir`` names."""
+    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def ship_code(spark) -> None:
     """Send this package to the executors, once per application, so that their Python
-    workers can import it wherever the driver found it."""
+    workers can import it wherever the driver found it. The archive is written to the
+    shared folder."""
     sc = spark.sparkContext
     if getattr(sc, "_stellata_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(tempfile.mkdtemp(prefix="stellata-code-"), "stellata.zip")
-    with zipfile.ZipFile(target, "w") as z:
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as z:
         for folder, _, names in os.walk(package):
             for name in names:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     z.write(path, os.path.relpath(path, os.path.dirname(package)))
-    sc.addPyFile(target)
+    target = spark._jvm.org.apache.hadoop.fs.Path(shared_path(spark, "code") + "/stellata.zip")
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(archive.getvalue()))
+    out.close()
+    sc.addPyFile(target.toString())
     sc._stellata_shipped = True
 
 
-def shared_path(spark, label: str) -> str:
-    """A new path in the shared folder that ``spark.checkpoint.dir`` names."""
-    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: the lineage
     ends there, so a lost executor costs at most the reading of the table."""
-    path = shared_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = shared_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def col(name: str) -> Column:
