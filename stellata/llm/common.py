@@ -16,6 +16,8 @@ from stellata.session import checkpoint_dir
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Spark's setting to remove the shuffle files of a query when it ends.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_path(spark, label: str) -> str:
@@ -48,10 +50,16 @@ def ship_code(spark) -> None:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: the lineage
-    ends there, so a lost executor costs at most the reading of the table."""
+    ends there, so a lost executor costs at most the reading of the table, and the
+    shuffle files that it was made from go at once."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_DROP_SHUFFLES)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

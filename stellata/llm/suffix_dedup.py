@@ -44,13 +44,22 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     sample = np.concatenate([first, second])
     # sort the sampled triples and name them
     head = p[sample] * base + p[sample + 1]
-    if base ** 3 < 2 ** 63:
-        key = head * base + p[sample + 2]
+    if base ** 3 >= 2 ** 63:
+        head = np.unique(head, return_inverse=True)[1].astype(np.int64)
+    key = head * base + p[sample + 2]
+    if base ** 3 <= 1 << 25:  # of bytes: a counting sort
+        there = np.zeros(base ** 3, dtype=bool)
+        there[key] = True
+        named = (np.cumsum(there, dtype=np.int32) - 1)[key]
+        names = int(np.count_nonzero(there))
     else:
-        key = np.unique(head, return_inverse=True)[1].astype(np.int64) * base + p[sample + 2]
-    names, named = np.unique(key, return_inverse=True)
+        by = np.argsort(key)
+        fresh = np.concatenate([[0], (key[by[1:]] != key[by[:-1]]).astype(np.int64)])
+        named = np.empty(len(key), dtype=np.int64)
+        named[by] = np.cumsum(fresh)
+        names = int(named[by[-1]]) + 1
     # recurse on the names while some are equal
-    if len(names) < len(sample):
+    if names < len(sample):
         order = suffix_array(named.astype(np.int64) + 1)
     else:
         order = np.argsort(named)
@@ -69,8 +78,12 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     a = sorted_sample[sorted_sample % 3 == 1]
     b = sorted_sample[sorted_sample % 3 == 2]
     before = np.searchsorted(p[a] * size + rank[a + 1], one)
-    symbols = np.unique(p[:-1] * base + p[1:], return_inverse=True)[1].astype(np.int64)
-    before += np.searchsorted(symbols[b] * size + rank[b + 2], symbols[rest] * size + rank[rest + 2])
+    if base * base * size < 2 ** 63:
+        two = lambda at: (p[at] * base + p[at + 1]) * size + rank[at + 2]
+    else:
+        pairs = np.unique(p[:-1] * base + p[1:], return_inverse=True)[1].astype(np.int64)
+        two = lambda at: pairs[at] * size + rank[at + 2]
+    before += np.searchsorted(two(b), two(rest))
     out = np.empty(n, dtype=np.int64)
     at = np.arange(len(rest)) + before
     taken = np.zeros(n, dtype=bool)
@@ -249,13 +262,13 @@ def _shared_keys(table):
 
 
 def _send_pieces(parts: int, window: int, gram: int):
-    names = ["part", "chunk", "row", "start", "least", "most", "size", "key", "bytes"]
-    types = [pa.int32(), pa.int64()] + [pa.binary()] * 7
+    names = ["part", "chunk", "text", "start", "size", "least", "most", "bytes"]
+    types = [pa.int32(), pa.int64()] + [pa.binary()] * 6
 
     def run(docs, shared):
         out = []
         if docs.num_rows and shared.num_rows:
-            rows, ids, texts = _chunk_of(docs)
+            _, ids, texts = _chunk_of(docs)
             wanted = np.unique(np.concatenate(
                 [np.frombuffer(x.as_py(), dtype=np.uint64) for x in shared.column("keys")]))
             text, start, length, keys = _runs(texts, window, gram)
@@ -276,11 +289,12 @@ def _send_pieces(parts: int, window: int, gram: int):
             if kept:
                 kept, pieces = np.array(kept), list(first)
                 size = length[kept] + window - 1
-                for part, which, cols in _blobs(_part(keys[kept], parts), parts, rows[text[kept]], start[kept],
-                                                np.array(lows), np.array(highs), size, keys[kept]):
+                short = [x.astype(np.int32) for x in (text[kept], start[kept], size)]
+                for part, which, cols in _blobs(_part(keys[kept], parts), parts, *short, np.array(lows),
+                                                np.array(highs)):
                     out.append((part, int(docs.column("chunk")[0].as_py()), *[c.tobytes() for c in cols],
                                 b"".join([pieces[j] for j in which.tolist()])))
-        cols = list(zip(*out)) or [[]] * 9
+        cols = list(zip(*out)) or [[]] * 8
         return pa.table([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
     schema = "part int, chunk long, " + ", ".join(f"`{n}` binary" for n in names[2:])
@@ -289,12 +303,12 @@ def _send_pieces(parts: int, window: int, gram: int):
 
 def _sort_pieces(window: int):
     """One part: sort its suffixes, give each chunk the least ids of its pieces."""
-    names = ["chunk", "row", "start", "size", "key", "least"]
+    names = ["chunk", "text", "start", "size", "least"]
 
     def run(table):
         number = lambda name, kind: [np.frombuffer(x.as_py(), dtype=kind) for x in table.column(name)]
-        sizes, lows, highs = number("size", np.int64), number("least", np.int64), number("most", np.int64)
-        rows, starts, keys = number("row", np.int64), number("start", np.int64), number("key", np.uint64)
+        lows, highs = number("least", np.int64), number("most", np.int64)
+        texts, starts, sizes = (number(c, np.int32) for c in ("text", "start", "size"))
         index: dict[bytes, int] = {}
         low, where = [], []
         for j, blob in enumerate(table.column("bytes")):
@@ -315,10 +329,10 @@ def _sort_pieces(window: int):
             mine = np.array(where[j])
             keep = np.flatnonzero(bottom[mine] < highs[j])
             if len(keep):
-                out.append((chunk, rows[j][keep].tobytes(), starts[j][keep].tobytes(), sizes[j][keep].tobytes(),
-                            keys[j][keep].tobytes(), np.concatenate([least[k] for k in mine[keep].tolist()]).tobytes()))
-        cols = list(zip(*out)) or [[]] * 6
-        return pa.table([pa.array(c, t) for c, t in zip(cols, [pa.int64()] + [pa.binary()] * 5)], names=names)
+                out.append((chunk, texts[j][keep].tobytes(), starts[j][keep].tobytes(), sizes[j][keep].tobytes(),
+                            np.concatenate([least[k] for k in mine[keep].tolist()]).tobytes()))
+        cols = list(zip(*out)) or [[]] * 5
+        return pa.table([pa.array(c, t) for c, t in zip(cols, [pa.int64()] + [pa.binary()] * 4)], names=names)
 
     return run, "chunk long, " + ", ".join(f"`{n}` binary" for n in names[1:])
 
@@ -333,18 +347,18 @@ def _remove(window: int, gram: int, id_type: str):
         rows, ids, texts = _chunk_of(docs)
         flags: dict[int, np.ndarray] = {}
         if found.num_rows:
-            place = {r: i for i, r in enumerate(rows.tolist())}
             answers: dict[bytes, np.ndarray] = {}
-            wanted = []
-            for r in zip(*(found.column(c) for c in ("row", "start", "size", "key", "least"))):
-                row, start, size = (np.frombuffer(x.as_py(), dtype=np.int64) for x in r[:3])
-                wanted.append(np.frombuffer(r[3].as_py(), dtype=np.uint64))
-                least, at = np.frombuffer(r[4].as_py(), dtype=np.int64), 0
-                for k, s, n in zip(row.tolist(), start.tolist(), size.tolist()):
-                    answers[texts[place[k]][s:s + n]] = least[at:at + n - window + 1]
+            places = []
+            for r in zip(*(found.column(c) for c in ("text", "start", "size", "least"))):
+                which, start, size = (np.frombuffer(x.as_py(), dtype=np.int32) for x in r[:3])
+                places.append(which.astype(np.int64) << 32 | start)
+                least, at = np.frombuffer(r[3].as_py(), dtype=np.int64), 0
+                for k, s, n in zip(which.tolist(), start.tolist(), size.tolist()):
+                    answers[texts[k][s:s + n]] = least[at:at + n - window + 1]
                     at += n - window + 1
             text, start, length, keys = _runs(texts, window, gram)
-            at = np.flatnonzero(np.isin(keys, np.unique(np.concatenate(wanted))))
+            wanted = np.unique(keys[np.isin(text << 32 | start, np.concatenate(places))])
+            at = np.flatnonzero(np.isin(keys, wanted))
             for k, s, n in zip(text[at].tolist(), start[at].tolist(), length[at].tolist()):
                 least = answers.get(texts[k][s:s + n + window - 1])
                 if least is not None:
