@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellata.llm.common import SPACE, col, numbered, stored, text_of
+from stellata.llm.common import SPACE, col, numbered, stored, text_of, with_row
 
 #: Bytes of a chunk that is hashed, and of one that is compared.
 CHUNK = 1 << 20
@@ -138,7 +138,8 @@ def _verified(docs: DataFrame, text_col: str, prints: DataFrame, block: int) ->
     while True:
         # every member's blocks beside those of its leader: an inner join that reads
         # one leader block per key and streams the members past it
-        blocks = (open_.select("row", "leader")
+        # (a merge join at every size: the candidates grow with the documents)
+        blocks = (open_.select("row", "leader").hint("merge")
                   .join(texts, "row")
                   .withColumn("bytes", F.encode(F.regexp_replace("text", SPACE, ""), "UTF-8"))
                   .select("row", "leader", F.explode(_pieces(block)).alias("p"))
@@ -191,6 +192,6 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     ``docs`` must read a stored table (see ``numbered``)."""
     names = docs.columns
-    found = classes(docs, id_col, text_col, **kw).where("NOT kept").select(F.col("row").alias("__row"))
-    whole = docs.withColumn("__row", F.monotonically_increasing_id())
-    return whole.join(found, "__row", "left_anti").select(*[col(c) for c in names])
+    whole, row = with_row(docs)
+    gone = classes(docs, id_col, text_col, **kw).where("NOT kept").select(F.col("row").alias(row))
+    return whole.join(gone, row, "left_anti").select(*[col(c) for c in names])
