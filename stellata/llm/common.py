@@ -7,6 +7,7 @@ import os
 import uuid
 import zipfile
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,6 +86,20 @@ def numbered(df: DataFrame, **columns: Column) -> DataFrame:
                      *[c.alias(k) for k, c in columns.items()])
 
 
+def slices(column, size: int):
+    """Ranges (begin, end) of the rows of an Arrow string or binary column with about
+    ``size`` bytes each, one row at least: what Python objects are made of at a time."""
+    begin = total = 0
+    lengths = pc.binary_length(column).to_pylist()
+    for i, n in enumerate(lengths):
+        total += n or 0
+        if total >= size:
+            yield begin, i + 1
+            begin, total = i + 1, 0
+    if begin < len(lengths):
+        yield begin, len(lengths)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, longer if ``df`` has such a column."""
     taken = {c.lower() for c in df.columns}

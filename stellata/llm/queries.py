@@ -49,8 +49,8 @@ def op6_ann(spark, sf_dir):
 
 def op7_bpe(spark, sf_dir):
     path = public_tokenizers.path(VOCABULARY)
-    tokens = bpe.encode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(tokens, path)).withColumnRenamed("id", "doc_id")
+    tokens = bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.digests(tokens).withColumnRenamed("id", "doc_id")
 
 
 def op8_exact_dedup(spark, sf_dir):
