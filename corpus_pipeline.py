@@ -37,8 +37,8 @@ def mix_sources(spark, docs, sf_dir):
 def tokenise(spark, docs, sf_dir):
     """doc_id, n_tokens and the digests of the ids and of the decoded text."""
     path = public_tokenizers.path(VOCABULARY)
-    tokens = bpe.encode(docs, path, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(tokens, path)).withColumnRenamed("id", "doc_id")
+    tokens = bpe.round_trip(docs, path, public_tokenizers.PATTERN)
+    return bpe.digests(tokens).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stellata.llm.common import col, numbered, ship_code, text_of
+from stellata.llm.common import col, numbered, ship_code, slices, text_of
 
 #: Bounds of the training sample: toxic documents (twice as many others), code points
 #: of one, and documents of each label on which the chain itself is fitted.
@@ -29,7 +29,7 @@ SAMPLE, SAMPLE_POINTS, CHAINS = 1500, 10_000, 350
 MARKS, PURE = 6, 0.9
 _WORD = re.compile(r"[^\W\d_]+")
 #: Words whose features a worker keeps, about (a memory bound).
-_KEPT = 400_000
+_KEPT = 200_000
 
 
 def features(word: str) -> list[str]:
@@ -296,22 +296,10 @@ class _Scorer:
         return 1.0 / (1.0 + np.exp(-np.clip(x @ self.model.score, -30, 30))), marginal, sizes
 
 
-#: Texts that one call of the chain takes, in code points, about.
+#: Bytes of the texts that one call of the chain takes, about.
 _TOGETHER = 2_000_000
 
 
-def _together(texts):
-    """Ranges of rows with about _TOGETHER code points in all, one row at least."""
-    begin = total = 0
-    for i, text in enumerate(texts):
-        total += len(text)
-        if total >= _TOGETHER:
-            yield begin, i + 1
-            begin, total = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
-
-
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """row, id, score (0 to 1) and spans (array of start, end: code points of the words
     whose marginal is at least one half, end exclusive) per document.
@@ -326,11 +314,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches):
         scorer = _Scorer(model)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for begin, stop in _together(texts):
-                found, marginal, sizes = scorer.scores(texts[begin:stop])
+            column = batch.column("text")
+            for begin, stop in slices(column, _TOGETHER):
+                texts = column.slice(begin, stop - begin).to_pylist()
+                found, marginal, sizes = scorer.scores(texts)
                 spans, at = [], 0
-                for text, n in zip(texts[begin:stop], sizes.tolist()):
+                for text, n in zip(texts, sizes.tolist()):
                     tagged = np.flatnonzero(marginal[at:at + n] >= 0.5).tolist()
                     at += n
                     if tagged:
@@ -357,10 +346,11 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: f
     def run(batches):
         scorer = _Scorer(model)
         for batch in batches:
-            texts = [x or "" for x in batch.column(at).to_pylist()]
-            keep = np.ones(len(texts), dtype=bool)
-            for begin, stop in _together(texts):
-                keep[begin:stop] = scorer.scores(texts[begin:stop])[0] < threshold
+            column = batch.column(at)
+            keep = np.ones(batch.num_rows, dtype=bool)
+            for begin, stop in slices(column, _TOGETHER):
+                texts = [x or "" for x in column.slice(begin, stop - begin).to_pylist()]
+                keep[begin:stop] = scorer.scores(texts)[0] < threshold
             yield batch.filter(pa.array(keep))
 
     # by place, not by name: a name may hold dots
