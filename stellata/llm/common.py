@@ -74,16 +74,17 @@ def text_of(name: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(""))
 
 
-def numbered(df: DataFrame, **columns: Column) -> DataFrame:
+def numbered(df: DataFrame, by: str | None = None, **columns: Column) -> DataFrame:
     """The named columns of ``df`` and ``row``, a number for each row.
 
-    The numbers are those of the scan, so two passes over the same stored table give
-    the same ones: ``df`` must read a table (or another plan without random order).
-    Other columns of ``df`` are left behind, so their names cannot clash.
+    The numbers are those of the column ``by`` (see ``with_row``). Without it they are
+    those of one scan: another scan may number the rows otherwise, so they must not
+    be matched with those of a second pass. Other columns of ``df`` are left behind,
+    so their names cannot clash.
     """
     ship_code(df.sparkSession)
-    return df.select(F.monotonically_increasing_id().alias("row"),
-                     *[c.alias(k) for k, c in columns.items()])
+    row = F.monotonically_increasing_id() if by is None else col(by)
+    return df.select(row.alias("row"), *[c.alias(k) for k, c in columns.items()])
 
 
 def slices(column, size: int):
@@ -108,7 +109,45 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Bits of a row number that say the place in the file and, above them, which file it is.
+_PLACE_BITS, _FILE_BITS = 32, 31
+
+
+def _is_parquet_scan(df: DataFrame) -> bool:
+    """Whether ``df`` only reads Parquet files, each of them once."""
+    plan = df._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation" or "_metadata" in [c.lower() for c in df.columns]:
+        return False
+    relation = plan.relation()
+    if (relation.getClass().getSimpleName() != "HadoopFsRelation"
+            or relation.fileFormat().getClass().getSimpleName() != "ParquetFileFormat"):
+        return False
+    files = list(relation.location().inputFiles())
+    return len(set(files)) == len(files)
+
+
+def _number_in_files(df: DataFrame) -> Column | None:
+    """A row number made of a hash of the file's path and the place in the file, if some
+    hash tells all files of ``df`` apart."""
+    path, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    hashes = [F.xxhash64(path, F.lit(seed)).bitwiseAND(F.lit((1 << _FILE_BITS) - 1)) for seed in range(8)]
+    files = df.select(path.alias("path"), place.alias("place"), *[h.alias(f"h{k}") for k, h in enumerate(hashes)])
+    files = files.groupBy("path", *[f"h{k}" for k in range(len(hashes))]).agg(F.max("place").alias("last"))
+    n, last, *apart = files.agg(F.count("*"), F.max("last"), *[
+        F.count_distinct(f"h{k}") for k in range(len(hashes))]).first()
+    if n not in apart or (last or 0) >= 1 << _PLACE_BITS:
+        return None
+    return F.shiftleft(hashes[apart.index(n)], _PLACE_BITS).bitwiseOR(place)
+
+
 def with_row(df: DataFrame) -> tuple[DataFrame, str]:
-    """``df`` with the row number of ``numbered`` beside all its columns, and its name."""
+    """``df`` with a row number beside all its columns, and the name of that column.
+
+    Every pass over the result has the same numbers, however its scan is split: those
+    of a Parquet table are made of the file and the place in it, any other plan is
+    written once with its numbers and read back."""
     name = fresh(df, "__row")
-    return df.withColumn(name, F.monotonically_increasing_id()), name
+    row = _number_in_files(df) if _is_parquet_scan(df) else None
+    if row is None:
+        return stored(df.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+    return df.select(*[col(c) for c in df.columns], row.alias(name)), name

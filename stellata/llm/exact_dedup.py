@@ -84,15 +84,18 @@ def _combined(which: int, modulus: int):
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, chunk: int = CHUNK,
-                 moduli=MODULI) -> DataFrame:
+                 moduli=MODULI, row_col: str | None = None) -> DataFrame:
     """One row per document: row, id, n_points (code points of the text), n_bytes and
     sha256 of the normalised text, f1 and f2, its fingerprints.
 
     Texts of one chunk are hashed where they are read; the chunks of longer ones are
     dealt out, hashed in parallel and combined. Both ways give the same fingerprint.
+    ``row_col``: the row numbers, if ``docs`` has them.
     """
+    if row_col is None:
+        docs, row_col = with_row(docs)
     clean = F.encode(F.regexp_replace("text", SPACE, ""), "UTF-8")
-    rows = (numbered(docs, id=col(id_col), text=text_of(text_col))
+    rows = (numbered(docs, row_col, id=col(id_col), text=text_of(text_col))
             .withColumn("bytes", clean))
     facts = [F.length("text").cast("long").alias("n_points"),
              F.octet_length("bytes").cast("long").alias("n_bytes"),
@@ -126,14 +129,14 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, chunk: int = CHUNK
     return shorts.unionByName(longs.select(*shorts.columns))
 
 
-def _verified(docs: DataFrame, text_col: str, prints: DataFrame, block: int) -> DataFrame:
+def _verified(docs: DataFrame, text_col: str, prints: DataFrame, block: int, row_col: str) -> DataFrame:
     """(row, leader) for the rows whose fingerprint is not unique. ``leader`` is the
     first row with the same text, found by comparing blocks of bytes."""
     same = ["n_bytes", "f1", "f2"]
     groups = (prints.groupBy(*same).agg(F.count("*").alias("n"), F.min("row").alias("leader"))
               .where("n > 1").drop("n"))
     open_ = stored(prints.join(groups, same).select("row", "leader", *same), "candidates")
-    texts = numbered(docs, text=text_of(text_col))
+    texts = numbered(docs, row_col, text=text_of(text_col))
     out = None
     while True:
         # every member's blocks beside those of its leader: an inner join that reads
@@ -159,19 +162,22 @@ def _verified(docs: DataFrame, text_col: str, prints: DataFrame, block: int) ->
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK,
-            block: int = BLOCK, moduli=MODULI) -> DataFrame:
+            block: int = BLOCK, moduli=MODULI, row_col: str | None = None) -> DataFrame:
     """One row per document with its class of equal texts.
 
     Texts are equal when they are identical after all characters of
     ``[\\x20\\x09-\\x0D]`` are deleted; null counts as the empty text, and all empty
     texts are equal. Of a class, the row with the most code points in the original
-    text stays, then the one with the smallest id (null last), then the first as the
-    table is read, so of fully repeated rows exactly one stays. Returns row, id,
+    text stays, then the one with the smallest id (null last), then the one with
+    the smallest row number, so of fully repeated rows exactly one stays. Returns row, id,
     keep_id, group_size, kept, sha256 (of the normalised text); an empty table gives
-    no rows, and other columns of ``docs`` are ignored.
+    no rows, and other columns of ``docs`` are ignored. ``row_col``: the row numbers of
+    ``with_row``, if ``docs`` has them.
     """
-    prints = stored(fingerprints(docs, id_col, text_col, chunk, moduli), "prints")
-    leaders = _verified(docs, text_col, prints, block)
+    if row_col is None:
+        docs, row_col = with_row(docs)
+    prints = stored(fingerprints(docs, id_col, text_col, chunk, moduli, row_col), "prints")
+    leaders = _verified(docs, text_col, prints, block, row_col)
     member = prints.join(leaders, "row")
     order = F.struct((-F.col("n_points")).alias("p"), F.col("id").isNull().alias("none"),
                      F.col("id"), F.col("row"))
@@ -188,10 +194,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chu
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs``, all their columns, that stay of each class of equal texts.
-
-    ``docs`` must read a stored table (see ``numbered``)."""
+    """The rows of ``docs``, all their columns, that stay of each class of equal texts."""
     names = docs.columns
     whole, row = with_row(docs)
-    gone = classes(docs, id_col, text_col, **kw).where("NOT kept").select(F.col("row").alias(row))
+    gone = classes(whole, id_col, text_col, row_col=row, **kw).where("NOT kept").select(F.col("row").alias(row))
     return whole.join(gone, row, "left_anti").select(*[col(c) for c in names])

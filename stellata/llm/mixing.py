@@ -63,7 +63,8 @@ def targets(sizes: DataFrame, weights=(1, 2, 3), cap: float = 3.0) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=(1, 2, 3), cap: float = 3.0, seed: int = 7, weight=quality, bucket: int = BUCKET) -> DataFrame:
+        weights=(1, 2, 3), cap: float = 3.0, seed: int = 7, weight=quality, bucket: int = BUCKET,
+        row_col: str | None = None) -> DataFrame:
     """One row per document: row, id, source, size, source_size, target, epochs (whole
     copies of its source), picked (taken once more for the fraction) and taken.
 
@@ -76,9 +77,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     points) to a weight, taken as 1 below 1 and as 4 above 4.
 
     A source is split by ranges of its keys into parts of about ``bucket`` rows: their
-    sums are few, so no task sees a whole source.
+    sums are few, so no task sees a whole source. ``row_col``: the row numbers of
+    ``with_row``, if ``docs`` has them.
     """
-    rows = numbered(docs, id=col(id_col), source=col(source_col).cast("string"), text=text_of(text_col))
+    rows = numbered(docs, row_col, id=col(id_col), source=col(source_col).cast("string"), text=text_of(text_col))
     sized = stored(rows.select(
         "row", "id", "source", F.regexp_count("text", F.lit(WORD)).cast("long").alias("size"),
         F.length("text").cast("long").alias("points")), "sizes")
@@ -110,13 +112,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             source_col: str = "source", **kw) -> DataFrame:
-    """The rows of ``docs``, all their columns, each as often as the mix takes it.
-
-    ``docs`` must read a stored table (see ``numbered``)."""
+    """The rows of ``docs``, all their columns, each as often as the mix takes it."""
     names = docs.columns
     whole, row = with_row(docs)
     copies, copy = fresh(docs, "__copies"), fresh(docs, "__copy")
-    taken = (mix(docs, id_col, text_col, source_col, **kw)
+    taken = (mix(whole, id_col, text_col, source_col, row_col=row, **kw)
              .select(F.col("row").alias(row), (F.col("epochs") + F.col("picked").cast("long")).cast("int")
                      .alias(copies)).where(F.col(copies) > 0))
     once = F.explode(F.array_repeat(F.lit(1), F.col(copies))).alias(copy)

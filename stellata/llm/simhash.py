@@ -61,9 +61,9 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, part: int = 1 << 16) -> tup
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = SHINGLE) -> DataFrame:
+                 shingle: int = SHINGLE, row_col: str | None = None) -> DataFrame:
     """row, id, fp (the 64 bits as a signed long) and n_shingles per document."""
-    rows = numbered(docs, id=col(id_col), text=F.encode(text_of(text_col), "UTF-8"))
+    rows = numbered(docs, row_col, id=col(id_col), text=F.encode(text_of(text_col), "UTF-8"))
 
     def run(batches):
         for batch in batches:
@@ -195,7 +195,7 @@ def links(points: DataFrame, distance: int = DISTANCE, cell: int = CELL) -> Data
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-           distance: int = DISTANCE, cell: int = CELL) -> DataFrame:
+           distance: int = DISTANCE, cell: int = CELL, row_col: str | None = None) -> DataFrame:
     """One row per document: row, id, fp and component_id, the smallest id of the
     documents that chains of links reach, itself included; ``first``: whether it is
     the row that represents its group.
@@ -205,8 +205,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     and empty too) has fingerprint zero and is linked like any other. Repeated rows
     share their fingerprint and so their component; null ids come after all others.
     An empty table gives no rows. ``distance`` up to 5 keeps anchors within 4 bits.
+    ``row_col``: the row numbers of ``with_row``, if ``docs`` has them.
     """
-    prints = stored(fingerprints(docs, id_col, text_col, shingle), "prints")
+    prints = stored(fingerprints(docs, id_col, text_col, shingle, row_col), "prints")
     points = prints.select("fp").distinct()
     found = connected(links(stored(points, "points"), distance, cell))
     rooted = (prints.join(found.withColumnRenamed("node", "fp"), "fp", "left")
@@ -219,10 +220,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs``, all their columns: one of each group of near-duplicates.
-
-    ``docs`` must read a stored table (see ``numbered``)."""
+    """The rows of ``docs``, all their columns: one of each group of near-duplicates."""
     names = docs.columns
     whole, row = with_row(docs)
-    gone = groups(docs, id_col, text_col, **kw).where("NOT first").select(F.col("row").alias(row))
+    gone = groups(whole, id_col, text_col, row_col=row, **kw).where("NOT first").select(F.col("row").alias(row))
     return whole.join(gone, row, "left_anti").select(*[col(c) for c in names])

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellata.llm.common import col, numbered, stored, text_of
+from stellata.llm.common import col, numbered, stored, text_of, with_row
 
 WINDOW, GRAM = 50, 16
 #: Rows of a chunk (a power of two), text bytes per part of the keys and of the pieces.
@@ -400,7 +400,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Memory: a chunk of ``chunk_rows`` documents, or one part. A repeated string reaches
     its part once per chunk that holds it.
     """
-    rows = (numbered(docs, id=col(id_col), text=text_of(text_col))
+    docs, row = with_row(docs)
+    rows = (numbered(docs, row, id=col(id_col), text=text_of(text_col))
             .select(F.floor(F.col("row") / chunk_rows).alias("chunk"), "row", "id",
                     F.encode("text", "UTF-8").alias("text")))
     spark = docs.sparkSession

@@ -10,8 +10,10 @@ import numpy as np
 import pytest
 import xxhash
 from cases import documents, table, texts
+from pyspark.sql import functions as F
 
-from stellata.llm import exact_dedup, simhash, suffix_dedup
+from stellata.llm import exact_dedup, mixing, simhash, suffix_dedup
+from stellata.llm.common import with_row
 from stellata.llm.components import connected
 
 
@@ -195,3 +197,49 @@ def test_suffix_array():
     lambda d: simhash.representatives(d), lambda d: suffix_dedup.remove_repeats(d)])
 def test_empty_tables(spark, run):
     assert run(documents(spark, [])).count() == 0
+
+
+# --- row numbers ---------------------------------------------------------------------
+
+@pytest.fixture
+def splits(spark):
+    """A function that changes how the next scans are split."""
+    names = {"spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "1"}
+    cores = {"spark.sql.files.minPartitionNum": "64", "spark.sql.files.openCostInBytes": "4m"}
+
+    def use(changed):
+        for k, v in (cores if changed else names).items():
+            spark.conf.set(k, v)
+
+    use(False)
+    yield use
+    for k in names:
+        spark.conf.unset(k)
+
+
+def test_row_numbers_do_not_follow_the_splits(spark, tmp_path, splits):
+    docs, row = with_row(table(spark, tmp_path, parts=6))
+    here = docs.select(row, "doc_id", "text")
+    before = here.collect()
+    splits(True)
+    assert sorted(map(str, docs.select(row, "doc_id", "text").collect())) == sorted(map(str, before))
+    assert len({r[0] for r in before}) == len(texts())
+    shuffled, row = with_row(docs.orderBy(F.rand()))  # not a scan of a table
+    assert shuffled.select(row, "doc_id", "text").collect() == shuffled.select(row, "doc_id", "text").collect()
+
+
+@pytest.mark.parametrize("run", [exact_dedup.distinct_documents, simhash.representatives, mixing.mixture])
+def test_stages_with_other_splits_later(spark, tmp_path, splits, run):
+    docs = table(spark, tmp_path, parts=6)
+    want = sorted(map(str, run(docs).select("doc_id", "text").collect()))
+    out = run(docs).select("doc_id", "text")
+    splits(True)  # the last scan is planned now
+    assert sorted(map(str, out.collect())) == want
+
+
+def test_suffix_dedup_with_other_splits_later(spark, tmp_path, splits):
+    rows = [r for r in texts() if len(r[1] or "") < 100_000]
+    out = suffix_dedup.report(suffix_dedup.remove_repeats(table(spark, tmp_path, rows, parts=6), chunk_rows=4))
+    splits(True)
+    assert sorted((str(r["id"]), *[r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
+                  for r in out.collect()) == brute_removal(rows, 50)
