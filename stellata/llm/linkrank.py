@@ -9,13 +9,17 @@ reaches a threshold is blocked. DataFrame operations only.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stellata.llm.common import col, stored
 
-DAMPING, TURNS, PRECISION, THRESHOLD = 0.85, 40, 1e-6, 0.5
+#: No bound of the turns; ranks are precise to about this part of themselves.
+DAMPING, TURNS, PRECISION, THRESHOLD = 0.85, None, 1e-6, 0.5
+#: Ranks below this are too close to the smallest double to have a precision.
+_TINY = 1e-290
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -53,13 +57,14 @@ def host_links(pages: DataFrame) -> DataFrame:
             .groupBy("source", "target").agg(F.count("*").alias("n")))
 
 
-def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, turns: int = TURNS,
+def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, turns: int | None = TURNS,
               precision: float = PRECISION) -> DataFrame:
     """(host, trust, distrust), each summing to 1 over all hosts if it has a seed.
 
     ``links``: (source, target, n); ``seeds``: (host, trusted, blocked), counts of pages.
     What teleports and what reaches hosts without links goes back to the seeds. It ends
-    after ``turns`` turns, or when the ranks move by less than ``precision`` in all.
+    when a turn reaches no further host and moves no rank by more than ``precision`` of
+    itself, however small it is, or after ``turns`` turns if they are given.
     """
     both = links.select(F.explode(F.array(
         F.struct(F.lit("trust").alias("kind"), F.col("source").alias("a"), F.col("target").alias("b"), "n"),
@@ -82,7 +87,7 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, turn
         F.coalesce("seed", F.lit(0.0)).alias("rank")), "ranks")
     if flow.isEmpty():
         turns = 0  # nothing moves: all rank teleports back to the seeds
-    for _ in range(turns):
+    for _ in count() if turns is None else range(turns):
         sent = (flow.join(state.select("kind", F.col("host").alias("a"), "rank"), ["kind", "a"])
                 .groupBy("kind", F.col("b").alias("host"))
                 .agg((F.sum(F.col("rank") * F.col("w")) * damping).alias("got")))
@@ -95,15 +100,17 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, turn
             state.join(sent, ["kind", "host"], "left").join(F.broadcast(left), "kind").select(
                 "kind", "host", "seed", F.col("rank").alias("before"),
                 (F.coalesce("got", F.lit(0.0)) + F.col("seed") * F.col("home")).alias("rank")), "ranks")
-        moved = state.agg(F.sum(F.abs(F.col("rank") - F.col("before")))).first()[0] or 0.0
-        if moved < precision:
+        # a host once reached stays reached: when none is new, none will be
+        further = (F.col("before") == 0) & (F.col("rank") > 0)
+        moves = F.abs(F.col("rank") - F.col("before")) > F.col("rank") * precision + _TINY
+        if state.where(further | moves).isEmpty():
             break
     value = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(F.lit(0.0)))
     return state.groupBy("host").agg(value("trust").alias("trust"), value("distrust").alias("distrust"))
 
 
 def verdicts(pages: DataFrame, rules, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-             threshold: float = THRESHOLD, damping: float = DAMPING, turns: int = TURNS,
+             threshold: float = THRESHOLD, damping: float = DAMPING, turns: int | None = TURNS,
              precision: float = PRECISION) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, trust and distrust of its host.
 

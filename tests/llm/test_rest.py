@@ -224,6 +224,34 @@ def test_verdicts_with_links(spark):
     assert linkrank.verdicts(pages(spark, []), RULES).count() == 0
 
 
+def seeds_of(spark, rows):
+    return spark.createDataFrame(rows, "host string, trusted long, blocked long")
+
+
+def links_of(spark, rows):
+    return spark.createDataFrame(rows, "source string, target string, n long")
+
+
+def test_ranks_reach_the_end_of_a_chain(spark):
+    n = 46  # each host links to the next, the last one to the blocked host
+    chain = [(f"h{i}", f"h{i + 1}", 1) for i in range(n)]
+    ranks = {r["host"]: r for r in linkrank.propagate(
+        links_of(spark, chain), seeds_of(spark, [(f"h{n}", 0, 1), ("far", 5, 0)])).collect()}
+    for i in range(n):
+        assert ranks[f"h{i}"]["trust"] == 0
+        assert math.isclose(ranks[f"h{i}"]["distrust"], 0.85 * ranks[f"h{i + 1}"]["distrust"], rel_tol=1e-5)
+    assert ranks["h0"]["distrust"] > 0
+
+
+def test_verdicts_of_few_links_beside_many_seeds(spark):
+    links = [("a.org", "bad.net", 1), ("b.org", "a.org", 1), ("c.org", "b.org", 1)]
+    seeds = [("bad.net", 0, 1), ("alone.net", 0, 1 << 33), ("alone.com", 1 << 33, 0)]
+    ranks = {r["host"]: r["distrust"] for r in linkrank.propagate(
+        links_of(spark, links), seeds_of(spark, seeds)).collect()}
+    assert ranks["a.org"] > ranks["b.org"] > ranks["c.org"] > 0
+    assert math.isclose(ranks["c.org"], 0.85 ** 3 * ranks["bad.net"], rel_tol=1e-5)
+
+
 # --- nearest neighbours --------------------------------------------------------------
 
 def vector_rows():
