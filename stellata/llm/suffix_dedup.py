@@ -11,6 +11,11 @@ their hashes is its key, equal for equal strings. Neighbouring suffixes mostly
 share their key, so they travel as one piece of text with 49 more bytes. A key that
 only one document has cannot belong to a repeated string: those suffixes stay home.
 Documents travel in chunks, and a chunk sends equal pieces once.
+
+A short string with many different neighbours is the key of very many different
+pieces. The bytes of each key are counted before anything is sent; the suffixes of a key
+above a bound are dealt by the hash of their whole 50 bytes instead: equal strings
+still meet, and those that only one document has stay home.
 """
 
 from __future__ import annotations
@@ -28,6 +33,9 @@ CHUNK_ROWS, KEY_BYTES, PIECE_BYTES = 256, 8 << 20, 2 << 20
 #: Positions whose keys are computed together, and suffixes of one piece at most.
 _SPAN, _LONGEST = 1 << 20, 4096
 _NO_ID = np.iinfo(np.int64).max
+#: Bytes of the pieces of one key that travel together; pieces of a key in a chunk that
+#: are counted as if all were different.
+HOT_BYTES, _FEW = 2 << 20, 8
 
 
 # --- the difference-cover algorithm --------------------------------------------------
@@ -224,6 +232,35 @@ def _blobs(which: np.ndarray, parts: int, *columns):
 
 # --- the steps -----------------------------------------------------------------------
 
+def _piece_bytes(texts, text, start, length, order, edge, window):
+    """Bytes of the pieces of each key, equal ones once; a few pieces count as different."""
+    size = (length + window - 1)[order]
+    weight = np.add.reduceat(size, edge)
+    n = np.diff(np.append(edge, len(order)))
+    for k in np.flatnonzero(n > _FEW).tolist():
+        runs = order[edge[k]:edge[k] + n[k]]
+        different = {texts[t][s:s + m + window - 1] for t, s, m in zip(
+            text[runs].tolist(), start[runs].tolist(), length[runs].tolist())}
+        weight[k] = sum(map(len, different))
+    return np.minimum(weight, np.iinfo(np.int32).max).astype(np.int32)
+
+
+def _key_rows(parts: int, chunk: int, keys: np.ndarray, ids: np.ndarray, weigh):
+    """(part, chunk, keys, several, bytes) rows of a chunk; ``ids``: whose each key is."""
+    order = np.argsort(keys)
+    keys, of = keys[order], ids[order]
+    edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    several = np.minimum.reduceat(of, edge) != np.maximum.reduceat(of, edge)
+    keys = keys[edge]
+    return [(k, chunk, x.tobytes(), f.tobytes(), w.tobytes())
+            for k, _, (x, f, w) in _blobs(_part(keys, parts), parts, keys, several, weigh(order, edge))]
+
+
+_KEY_NAMES = ["part", "chunk", "keys", "several", "bytes"]
+_KEY_TYPES = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+_KEY_SCHEMA = "part int, chunk long, keys binary, several binary, bytes binary"
+
+
 def _send_keys(parts: int, window: int, gram: int):
     def run(batches):
         for batch in batches:
@@ -231,34 +268,69 @@ def _send_keys(parts: int, window: int, gram: int):
             out = []
             for chunk in np.unique(chunks).tolist():
                 _, ids, texts = _chunk_of(pa.table(batch.filter(pa.array(chunks == chunk))))
-                text, _, _, keys = _runs(texts, window, gram)
+                text, start, length, keys = _runs(texts, window, gram)
                 if not len(keys):
                     continue
-                order = np.argsort(keys)
-                keys, of = keys[order], ids[text[order]]
-                edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-                several = np.minimum.reduceat(of, edge) != np.maximum.reduceat(of, edge)
-                keys = keys[edge]
-                out += [(k, chunk, x.tobytes(), f.tobytes())
-                        for k, _, (x, f) in _blobs(_part(keys, parts), parts, keys, several)]
+                out += _key_rows(parts, chunk, keys, ids[text], lambda order, edge: _piece_bytes(
+                    texts, text, start, length, order, edge, window))
             if out:
-                cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()),
-                     pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())],
-                    names=["part", "chunk", "keys", "several"])
+                    [pa.array(c, t) for c, t in zip(zip(*out), _KEY_TYPES)], names=_KEY_NAMES)
     return run
 
 
-def _shared_keys(table):
-    """For each chunk of a part, which of its keys another document has too."""
-    keys = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column("keys")]
-    several = np.concatenate([np.frombuffer(x.as_py(), dtype=bool) for x in table.column("several")])
-    values, at, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-    shared = (n > 1) | np.bincount(at, several, minlength=len(values)).astype(bool)
-    mine = np.split(shared[at], np.cumsum([len(k) for k in keys])[:-1])
-    return pa.table({"chunk": table.column("chunk"),
-                     "keys": pa.array([k[m].tobytes() for k, m in zip(keys, mine)], pa.binary())})
+def _numbers(table, name: str = "keys") -> np.ndarray:
+    """All keys of a column of blobs, each once."""
+    return np.unique(np.concatenate([np.zeros(0, dtype=np.uint64)] + [
+        np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column(name)]))
+
+
+def _windows_of(texts, text, start, length, window: int):
+    """(text, start, hash of the whole window) of each window of the given runs."""
+    of = np.repeat(np.arange(len(text)), length)
+    first = np.cumsum(length) - length
+    at = start[of] + np.arange(len(of)) - first[of]
+    pieces = [_keys(np.frombuffer(texts[t], dtype=np.uint8)[s:s + n + window - 1], window, window)
+              for t, s, n in zip(text.tolist(), start.tolist(), length.tolist())]
+    return text[of], at, np.concatenate([np.zeros(0, dtype=np.uint64)] + pieces)
+
+
+def _send_windows(parts: int, window: int, gram: int):
+    """The keys of the second deal: hashes of the windows whose first key is hot."""
+    def run(docs, shared):
+        out = []
+        hot = _numbers(shared, "hot")
+        if docs.num_rows and len(hot):
+            _, ids, texts = _chunk_of(docs)
+            text, start, length, keys = _runs(texts, window, gram)
+            at = np.flatnonzero(np.isin(keys, hot))
+            text, _, keys = _windows_of(texts, text[at], start[at], length[at], window)
+            if len(keys):
+                out = _key_rows(parts, int(docs.column("chunk")[0].as_py()), keys, ids[text],
+                                lambda order, edge: np.zeros(len(edge), dtype=np.int32))
+        cols = list(zip(*out)) or [[]] * 5
+        return pa.table([pa.array(c, t) for c, t in zip(cols, _KEY_TYPES)], names=_KEY_NAMES)
+
+    return run
+
+
+def _shared_keys(bound: int):
+    """For each chunk of a part, which of its keys another document has too: those whose
+    pieces have at most ``bound`` bytes, and the hot ones."""
+    def run(table):
+        keys = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column("keys")]
+        several = np.concatenate([np.frombuffer(x.as_py(), dtype=bool) for x in table.column("several")])
+        size = np.concatenate([np.frombuffer(x.as_py(), dtype=np.int32) for x in table.column("bytes")])
+        values, at, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        shared = (n > 1) | np.bincount(at, several, minlength=len(values)).astype(bool)
+        heavy = np.bincount(at, size, minlength=len(values)) > bound
+        edges = np.cumsum([len(k) for k in keys])[:-1]
+        mine, hot = (np.split(x[at], edges) for x in (shared & ~heavy, shared & heavy))
+        return pa.table({"chunk": table.column("chunk"),
+                         "keys": pa.array([k[m].tobytes() for k, m in zip(keys, mine)], pa.binary()),
+                         "hot": pa.array([k[m].tobytes() for k, m in zip(keys, hot)], pa.binary())})
+
+    return run
 
 
 def _send_pieces(parts: int, window: int, gram: int):
@@ -269,16 +341,23 @@ def _send_pieces(parts: int, window: int, gram: int):
         out = []
         if docs.num_rows and shared.num_rows:
             _, ids, texts = _chunk_of(docs)
-            wanted = np.unique(np.concatenate(
-                [np.frombuffer(x.as_py(), dtype=np.uint64) for x in shared.column("keys")]))
             text, start, length, keys = _runs(texts, window, gram)
-            at = np.flatnonzero(np.isin(keys, wanted))
-            first: dict[bytes, int] = {}
+            at = np.flatnonzero(np.isin(keys, _numbers(shared, "hot")))
+            hot = [x[at] for x in (text, start, length)]
+            at = np.flatnonzero(np.isin(keys, _numbers(shared)))
+            text, start, length, keys, place = text[at], start[at], length[at], keys[at], start[at]
+            if len(hot[0]):  # windows by themselves, told from runs by a start below zero
+                t, s, h = _windows_of(texts, *hot, window)
+                both = np.isin(h, _numbers(shared, "windows"))
+                t, s, h = t[both], s[both], h[both]
+                text, start, keys = (np.concatenate(x) for x in ((text, t), (start, s), (keys, h)))
+                length = np.concatenate([length, np.ones(len(t), dtype=np.int64)])
+                place = np.concatenate([place, -1 - s])
+            first: dict[tuple[bool, bytes], int] = {}
             lows, highs, kept = [], [], []
-            for i, k, s, e in zip(at.tolist(), text[at].tolist(), start[at].tolist(),
-                                  (start + length)[at].tolist()):
-                piece = texts[k][s:e + window - 1]
-                j = first.setdefault(piece, len(kept))
+            for i, (k, s, e, p) in enumerate(zip(text.tolist(), start.tolist(), (start + length).tolist(),
+                                                 place.tolist())):
+                j = first.setdefault((p < 0, texts[k][s:e + window - 1]), len(kept))
                 own = int(ids[k])
                 if j == len(kept):
                     kept.append(i)
@@ -287,9 +366,9 @@ def _send_pieces(parts: int, window: int, gram: int):
                 else:
                     lows[j], highs[j] = min(lows[j], own), max(highs[j], own)
             if kept:
-                kept, pieces = np.array(kept), list(first)
+                kept, pieces = np.array(kept), [x for _, x in first]
                 size = length[kept] + window - 1
-                short = [x.astype(np.int32) for x in (text[kept], start[kept], size)]
+                short = [x.astype(np.int32) for x in (text[kept], place[kept], size)]
                 for part, which, cols in _blobs(_part(keys[kept], parts), parts, *short, np.array(lows),
                                                 np.array(highs)):
                     out.append((part, int(docs.column("chunk")[0].as_py()), *[c.tobytes() for c in cols],
@@ -348,13 +427,19 @@ def _remove(window: int, gram: int, id_type: str):
         flags: dict[int, np.ndarray] = {}
         if found.num_rows:
             answers: dict[bytes, np.ndarray] = {}
-            places = []
+            alone: dict[bytes, int] = {}  # windows of hot keys
+            places, lone = [], []
             for r in zip(*(found.column(c) for c in ("text", "start", "size", "least"))):
                 which, start, size = (np.frombuffer(x.as_py(), dtype=np.int32) for x in r[:3])
-                places.append(which.astype(np.int64) << 32 | start)
+                one = start < 0
+                places.append((which.astype(np.int64) << 32 | start)[~one])
+                lone.append((which.astype(np.int64) << 32 | (-1 - start))[one])
                 least, at = np.frombuffer(r[3].as_py(), dtype=np.int64), 0
                 for k, s, n in zip(which.tolist(), start.tolist(), size.tolist()):
-                    answers[texts[k][s:s + n]] = least[at:at + n - window + 1]
+                    if s < 0:
+                        alone[texts[k][-1 - s:-1 - s + n]] = int(least[at])
+                    else:
+                        answers[texts[k][s:s + n]] = least[at:at + n - window + 1]
                     at += n - window + 1
             text, start, length, keys = _runs(texts, window, gram)
             wanted = np.unique(keys[np.isin(text << 32 | start, np.concatenate(places))])
@@ -365,6 +450,20 @@ def _remove(window: int, gram: int, id_type: str):
                     if k not in flags:
                         flags[k] = np.zeros(len(texts[k]) + 1, dtype=np.int32)
                     flags[k][s:s + n] = least < ids[k]
+            if alone:
+                begin = text << 32 | start  # runs are in order
+                of = np.searchsorted(begin, np.concatenate(lone), side="right") - 1
+                at = np.flatnonzero(np.isin(keys, np.unique(keys[of])))
+                which, where, hashes = _windows_of(texts, text[at], start[at], length[at], window)
+                known = np.unique(np.concatenate([_keys(np.frombuffer(x, dtype=np.uint8), window, window)
+                                                  for x in alone]))
+                for i in np.flatnonzero(np.isin(hashes, known)).tolist():
+                    k, s = int(which[i]), int(where[i])
+                    own = alone.get(texts[k][s:s + window])
+                    if own is not None:
+                        if k not in flags:
+                            flags[k] = np.zeros(len(texts[k]) + 1, dtype=np.int32)
+                        flags[k][s] = own < ids[k]
         spans, kept = [], []
         for k, data in enumerate(texts):
             if k not in flags or not flags[k].any():
@@ -386,7 +485,7 @@ def _remove(window: int, gram: int, id_type: str):
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    gram: int = GRAM, chunk_rows: int = CHUNK_ROWS, key_bytes: int = KEY_BYTES,
-                   piece_bytes: int = PIECE_BYTES) -> DataFrame:
+                   piece_bytes: int = PIECE_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """One row per document: row, id, spans (removed ranges of bytes) and kept (the
     other bytes, joined).
 
@@ -398,7 +497,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     from each other either. An empty table gives no rows; other columns are ignored.
 
     Memory: a chunk of ``chunk_rows`` documents, or one part. A repeated string reaches
-    its part once per chunk that holds it.
+    its part once per chunk that holds it. Suffixes of a key with more than
+    ``hot_bytes`` of pieces are dealt by all their bytes.
     """
     docs, row = with_row(docs)
     rows = (numbered(docs, row, id=col(id_col), text=text_of(text_col))
@@ -408,10 +508,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = docs.agg(F.sum(F.octet_length(text_of(text_col)))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_parts, piece_parts = max(least, size // key_bytes), max(least, size // piece_bytes)
-    keys = rows.mapInArrow(_send_keys(key_parts, window, gram),
-                           "part int, chunk long, keys binary, several binary")
-    shared = stored(keys.groupBy("part").applyInArrow(_shared_keys, "chunk long, keys binary")
-                    .where(F.octet_length("keys") > 0), "shared_keys")
+    keys = rows.mapInArrow(_send_keys(key_parts, window, gram), _KEY_SCHEMA)
+    shared = stored(keys.groupBy("part").applyInArrow(_shared_keys(hot_bytes), "chunk long, keys binary, hot binary")
+                    .where("octet_length(keys) > 0 OR octet_length(hot) > 0"), "shared_keys")
+    hot = shared.where("octet_length(hot) > 0")
+    nothing = F.lit(b"")
+    if hot.isEmpty():
+        shared = shared.withColumn("windows", nothing)
+    else:
+        again = rows.groupBy("chunk").cogroup(hot.select("chunk", "hot").groupBy("chunk")).applyInArrow(
+            _send_windows(key_parts, window, gram), _KEY_SCHEMA)
+        # of equal windows there is nothing to deal out further
+        windows = stored(again.groupBy("part").applyInArrow(
+            _shared_keys(np.iinfo(np.int64).max), "chunk long, keys binary, hot binary")
+            .where("octet_length(keys) > 0").select("chunk", F.col("keys").alias("windows")), "shared_windows")
+        shared = shared.withColumn("windows", nothing).unionByName(
+            windows.select("chunk", nothing.alias("keys"), nothing.alias("hot"), "windows"))
     send, schema = _send_pieces(piece_parts, window, gram)
     pieces = rows.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(send, schema)
     sort, schema = _sort_pieces(window)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import uuid
 from collections import defaultdict
 
 import numpy as np
 import pytest
 import xxhash
-from cases import documents, table, texts
+from cases import documents, prose, table, texts
 from pyspark.sql import functions as F
 
 from stellata.llm import exact_dedup, mixing, simhash, suffix_dedup
@@ -185,6 +187,45 @@ def test_suffix_dedup(spark, tmp_path, options):
                   for r in got) == brute_removal(rows, 50)
 
 
+@pytest.mark.parametrize("options", [{"hot_bytes": 0}, {"hot_bytes": 0, "chunk_rows": 4, "piece_bytes": 500},
+                                     {"hot_bytes": 300, "chunk_rows": 4, "key_bytes": 1000, "piece_bytes": 500}])
+def test_suffix_dedup_with_hot_keys(spark, tmp_path, options):
+    rows = [r if r[1] is None or len(r[1]) < 100_000 else (r[0], r[1][:900] + r[1][-200:], r[2]) for r in texts()]
+    rng = random.Random(3)
+    rows += [(500 + i, prose(rng, 9) + " a boilerplate fragment " + prose(rng, 9 if i % 3 else 2), "a") for i in range(40)]
+    rows += [(600 + i, rows[-7][1][5:] + rows[-9][1], "a") for i in range(3)]
+    got = suffix_dedup.report(suffix_dedup.remove_repeats(table(spark, tmp_path, rows), **options)).collect()
+    assert sorted((str(r["id"]), *[r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
+                  for r in got) == brute_removal(rows, 50)
+
+
+def test_a_hot_string_spreads_over_parts(spark, monkeypatch, tmp_path):
+    """A short string in every document, with other neighbours each time: no part of the
+    last sort gets more than a few of its pieces."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    some = lambda: "".join(rng.choice(letters) for _ in range(60))
+    rows = [(i, some() + '<a href="https://www.example.org/">' + some(), "a") for i in range(600)]
+    rows += [(1000 + i, rows[i][1][40:110], "a") for i in range(0, 600, 20)]
+    sort_pieces, seen = suffix_dedup._sort_pieces, str(tmp_path)
+
+    def watched(window):
+        run, schema = sort_pieces(window)
+
+        def sort(table):
+            with open(f"{seen}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(sum(len(x.as_py()) for x in table.column("bytes"))))
+            return run(table)
+        return sort, schema
+
+    monkeypatch.setattr(suffix_dedup, "_sort_pieces", watched)
+    got = suffix_dedup.report(suffix_dedup.remove_repeats(
+        documents(spark, rows), chunk_rows=16, piece_bytes=2000, hot_bytes=2000)).collect()
+    assert sorted((str(r["id"]), *[r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
+                  for r in got) == brute_removal(rows, 50)
+    assert 0 < max(int(x.read_text()) for x in tmp_path.iterdir()) < 15_000  # one key's pieces were over 40,000 bytes
+
+
 def test_suffix_array():
     rng = np.random.default_rng(1)
     for n in range(60):
