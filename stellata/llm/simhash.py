@@ -190,7 +190,7 @@ def links(points: DataFrame, distance: int = DISTANCE, cell: int = CELL) -> Data
     cells = as_member.unionByName(as_home).groupBy("block", "anchor", "h", "m").agg(
         F.collect_list(F.when(F.col("home"), F.col("fp"))).alias("homes"),
         F.collect_list(F.when(~F.col("home"), F.col("fp"))).alias("members"))
-    return (cells.where("size(homes) > 0 AND size(members) > 1").select("homes", "members")
+    return (cells.where("size(homes) > 0 AND size(members) > 0").select("homes", "members")
             .mapInArrow(_links(distance), "a long, b long").distinct())
 
 

@@ -141,6 +141,16 @@ def test_links_at_every_distance(spark):
     assert [find(i) for i in range(len(points))] == brute_components(points)
 
 
+def test_links_of_cells_with_one_member(spark):
+    rng = np.random.default_rng(8)
+    fps = set()
+    for base in rng.integers(0, 1 << 63, 30).tolist():
+        fps |= {base, base ^ (1 << int(rng.integers(0, 63)))}
+    df = spark.createDataFrame([(x,) for x in sorted(fps)], "fp long")
+    found = connected(simhash.links(df, cell=1)).collect()
+    assert {r["node"] for r in found} == fps  # every fingerprint has its pair
+
+
 def test_golay_code_is_perfect():
     words = np.arange(1 << 23, dtype=np.uint32)[::97]
     table_, n = simhash._patterns(3)
