@@ -87,6 +87,24 @@ def numbered(df: DataFrame, by: str | None = None, **columns: Column) -> DataFra
     return df.select(row.alias("row"), *[c.alias(k) for k, c in columns.items()])
 
 
+#: A key with more than one in so many rows is hot: there are at most as many such keys.
+HOT_SHARE = 1000
+
+
+def joined(left: DataFrame, right: DataFrame, keys: list[str], weight: str, inner: bool = False) -> DataFrame:
+    """``left`` joined with ``right`` (one row per key; ``weight``: how many rows of ``left`` have
+    the key) without sending the rows of a hot key to one task.
+
+    The rows of ``right`` for keys that hold more than one in ``HOT_SHARE`` rows are fewer than
+    that; they are broadcast, and the rows of ``left`` with them stay where they are."""
+    total = right.agg(F.sum(weight)).first()[0] or 0
+    hot = F.broadcast(right.where(F.col(weight) * HOT_SHARE > total))
+    how = "inner" if inner else "left"
+    rest = left.join(hot.select(*keys), keys, "left_anti").join(
+        right.where(F.col(weight) * HOT_SHARE <= total), keys, how)
+    return left.join(hot, keys).unionByName(rest)
+
+
 def slices(column, size: int):
     """Ranges (begin, end) of the rows of an Arrow string or binary column with about
     ``size`` bytes each, one row at least: what Python objects are made of at a time."""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from stellata.llm import (ann, bpe, exact_dedup, linkrank, merkle, mixing, resample, secrets, simhash,
-                          suffix_dedup, toxicity, warc)
+                          suffix_dedup, token_groups, toxicity, warc)
 from stellata.llm.common import shared_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -74,6 +74,11 @@ def op10_simhash(spark, sf_dir):
                         "component_id")
 
 
+def op11_ngram_join(spark, sf_dir):
+    found = token_groups.groups(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
 def op12_resample(spark, sf_dir):
     drawn = resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
@@ -101,6 +106,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "op11_ngram_join": op11_ngram_join,
     "op12_resample": op12_resample,
     "op13_merkle": op13_merkle,
 }
@@ -175,6 +181,24 @@ SQL = {
                (size * (epochs + CASE WHEN ahead < budget AND ahead + size / 2 <= budget THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM c
     """,
+    "op11_ngram_join": r"""
+        WITH RECURSIVE t AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        s AS (SELECT DISTINCT r, unnest(CASE WHEN len(words) < 5 THEN list_filter([array_to_string(words, ' ')], lambda x: x <> '')
+                  ELSE list_transform(range(1, len(words) - 3),
+                                      lambda i: array_to_string(list_slice(words, i, i + 4), ' ')) END) AS g FROM t),
+        n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+        p AS (SELECT a.r AS a, b.r AS b FROM s a JOIN s b ON a.g = b.g AND a.r < b.r
+              GROUP BY a.r, b.r
+              HAVING 100 * count(*) >= 80 * ((SELECT n FROM n WHERE r = a.r) + (SELECT n FROM n WHERE r = b.r) - count(*))),
+        e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+        c(r, reached) AS (SELECT r, r FROM t UNION SELECT c.r, e.b FROM c JOIN e ON c.reached = e.a),
+        m AS (SELECT c.r, min(t.doc_id) AS component_id FROM c JOIN t ON t.r = c.reached GROUP BY c.r)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM t LEFT JOIN n USING (r) JOIN m USING (r)
+    """,
     "op12_resample": rf"""
         WITH {_CRC_TABLE},
         texts AS (SELECT 0 AS kind, rowid AS r, doc_id, coalesce(text, '') AS text
