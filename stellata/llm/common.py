@@ -61,7 +61,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_DROP_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_path = path
+    return back
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete what ``stored`` wrote for these tables, once nothing reads them any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def col(name: str) -> Column:
