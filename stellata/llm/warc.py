@@ -1,6 +1,7 @@
 """WARC archives compressed with an embedded Zstandard dictionary.
 
-Every task writes one archive. Its first frame is a skippable frame (magic
+Every task writes one archive, and there are as many tasks as the payloads' bytes ask for,
+so archives are of bounded size. An archive's first frame is a skippable frame (magic
 0x184D2A5D) that holds a dictionary built from the first records of the archive; each
 record after it is a Zstandard frame of its own, compressed with that dictionary.
 
@@ -22,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellata.llm.common import col, numbered, ship_code, text_of
+from stellata.llm.common import col, joined, numbered, ship_code, stored, text_of, with_row
 
 #: An empty skippable frame: magic 0x184D2A50, length 0. All its bytes are ASCII.
 SEPARATOR = struct.pack("<II", 0x184D2A50, 0).decode()
@@ -32,6 +33,9 @@ LEAST_REVISIT = 1000
 #: Bytes of records from which a dictionary is built (held in memory meanwhile), and
 #: its largest size.
 SAMPLE_BYTES, DICTIONARY_BYTES = 4 << 20, 64 << 10
+#: Bytes of payloads in an archive, about (pages are dealt evenly by their row numbers); and
+#: those that are worth a task of their own while there are fewer tasks than the session's.
+ARCHIVE_BYTES, TASK_BYTES = 128 << 20, 16 << 20
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -141,25 +145,37 @@ def records(archive):
 # --- on Spark --------------------------------------------------------------------
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-          date: str = "1970-01-01T00:00:00Z", least: int = LEAST_REVISIT, level: int = 3) -> None:
+          date: str = "1970-01-01T00:00:00Z", least: int = LEAST_REVISIT, level: int = 3,
+          archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write one record per row of ``pages`` to archives in the folder ``path``.
 
     Of rows with equal payloads of at least ``least`` bytes, the one with the largest id
     (then the last as the table is read) is stored as a response and the others revisit
-    it; smaller payloads are all responses. Payloads are compared by length and SHA-1,
-    as revisits are. A null payload is empty, a null url gets a placeholder, and null
+    it; smaller payloads are all responses. Payloads are equal when their lengths, SHA-1 and
+    SHA-256 are. A null payload is empty, a null url gets a placeholder, and null
     ids are the smallest. Repeated rows are records of their own. An empty table
-    writes an empty folder; other columns are ignored.
+    writes an empty folder; other columns are ignored. Any plan may stand behind
+    ``pages``: rows are numbered once. A page of more than ``archive_bytes`` has a larger archive.
     """
-    rows = numbered(pages, id=col(id_col), url=col(url_col).cast("string"), payload=text_of(payload_col))
-    rows = rows.withColumn("n", F.octet_length("payload")).withColumn("sha1", F.sha1(F.encode("payload", "UTF-8")))
-    same = (rows.where(F.col("n") >= least).groupBy("n", "sha1")
-            .agg(F.count("*").alias("copies"), F.max(F.struct("id", "row")).alias("of"))
-            .where("copies > 1").select("n", "sha1", "of"))
-    known = rows.join(same, ["n", "sha1"], "left")
-    again = F.col("of").isNotNull() & (F.col("of.row") != F.col("row"))
-    ready = known.select("row", "id", "url", "sha1", F.when(~again, F.encode("payload", "UTF-8")).alias("payload"),
-                         F.when(again, F.col("of.id")).alias("of_id"), F.when(again, F.col("of.row")).alias("of_row"))
+    spark = pages.sparkSession
+    pages, row_col = with_row(pages)
+    rows = numbered(pages, row_col, id=col(id_col), url=col(url_col).cast("string"), payload=text_of(payload_col))
+    data = F.encode("payload", "UTF-8")
+    facts = stored(rows.select("row", "id", F.octet_length("payload").alias("n"), F.sha1(data).alias("sha1"),
+                               F.unhex(F.sha2(data, 256)).alias("sha256")), "payloads")
+    same = ["n", "sha1", "sha256"]
+    big = facts.where(F.col("n") >= least)
+    copies = stored(big.groupBy(*same).agg(F.count("*").alias("copies"), F.max(F.struct("id", "row")).alias("of"))
+                    .where("copies > 1"), "copies")
+    again = (joined(big.join(copies, same, "left_semi"), copies, same, "copies", inner=True)
+             .where("of.row <> row").select("row", F.col("of.id").alias("of_id"), F.col("of.row").alias("of_row")))
+    total = facts.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-total // archive_bytes),
+                min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES)))
+    ready = (rows.withColumn("sha1", F.sha1(data)).withColumn("payload", data).repartition(parts, "row")
+             .join(again.repartition(parts, "row"), "row", "left")
+             .select("row", "id", "url", "sha1", F.when(F.col("of_row").isNull(), F.col("payload")).alias("payload"),
+                     "of_id", "of_row"))
 
     def run(batches):
         def made():
@@ -228,10 +244,11 @@ def inventory(stored_records: DataFrame, id_type: str = "bigint") -> DataFrame:
     the response that it refers to, and the digest of its header."""
     key = lambda c: F.regexp_extract(c, r"^<urn:stellata:page:(.*):[0-9]+>$", 1)
     id_of = lambda c: F.when(key(c) != "", key(c)).cast(id_type)
-    facts = stored_records.select(
+    # read once: what is kept is a few numbers per record
+    facts = stored(stored_records.select(
         "record_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.when(F.col("record_type") == "response", F.sha1("payload")).otherwise(F.col("payload_digest"))
-        .alias("payload_digest"))
+        .alias("payload_digest")), "inventory")
     target = facts.where("record_type = 'response'").select(
         F.col("record_id").alias("refers_to"), F.col("payload_bytes").alias("of_bytes"))
     return facts.join(target, "refers_to", "left").select(

@@ -122,6 +122,28 @@ def test_warc_round_trip(spark):
     assert sorted(map(key, got)) == sorted(map(key, want))
 
 
+@pytest.mark.parametrize("plan", ["scan", "repartition", "union", "join"])
+def test_warc_of_any_plan(spark, tmp_path, plan):
+    """Rows numbered by another plan than the one that reads them must not lose payloads."""
+    rows = [(i, f"http://h/{i}", f"{'x' * 1500}{i % 20}") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    if plan == "scan":
+        pages.repartition(3).write.parquet(str(tmp_path / "pages"))
+        pages = spark.read.parquet(str(tmp_path / "pages"))
+    elif plan == "repartition":
+        pages = pages.repartition(5)
+    elif plan == "union":
+        pages = pages.where("page_id % 2 = 0").unionByName(pages.where("page_id % 2 = 1").repartition(3))
+    else:
+        pages = pages.join(spark.range(400).withColumnRenamed("id", "page_id"), "page_id")
+    path = shared_path(spark, "archives")
+    warc.write(pages, path, archive_bytes=20_000)
+    got = warc.inventory(warc.read(spark, path)).collect()
+    assert sorted((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got
+                  ) == [(i, len(h), hashlib.sha1(h.encode()).hexdigest(), "response" if i >= 380 else "revisit",
+                         None if i >= 380 else 380 + i % 20) for i, _, h in rows]
+
+
 def test_archive_frames(spark):
     """A leading skippable frame with the dictionary, a frame per record, and nothing
     but empty skippable frames between them; the payloads come back whole."""
