@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 # importable however this file is loaded (by path, or from another working directory)
@@ -42,14 +43,15 @@ from stellata.plans.star import nearest_climate, remap_climate, year_grid
 from stellata.session import checkpoint_dir
 from stellata.sources.tables import GDP_FIELDS, GDP_SHEET_COLUMNS, clean_gdp_sheet, explode_xml_column
 
-# the training-data operators are an optional part: without their folder the rest works
+# the training-data operators are an optional part: without their folder, or without a package
+# that only they need, the rest works
 try:
     import corpus_pipeline
     from stellata.llm.queries import QUERIES as _LLM_QUERIES
     from stellata.llm.queries import SQL as _LLM_SQL
-except ModuleNotFoundError as error:
+except ImportError as error:
     if not (error.name or "").startswith(("stellata.llm", "corpus_pipeline")):
-        raise
+        warnings.warn(f"the training-data queries are left out: {error}", stacklevel=1)
     _LLM_QUERIES, _LLM_SQL = {}, {}
 else:
     _LLM_QUERIES = _LLM_QUERIES | {"pipeline": corpus_pipeline.run}
