@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 import warnings
 from collections.abc import Callable
 
@@ -32,15 +33,16 @@ from stellata.operators import quality
 from stellata.operators.aggregates import hourly_to_daily, rows_per_group
 from stellata.operators.joins import nearest_lookup
 from stellata.operators.keys import dense_key
+from stellata.operators.registry import register_keys, with_keys
 from stellata.operators.reshape import union_all_slices, unpivot_measures, unpivot_years
-from stellata.plans import olap
-from stellata.plans import bench_texts
+from stellata.plans import bench_texts, olap, summary_states
 from stellata.plans.bench_sql import QUERIES as _SQL
 from stellata.plans.benchstar import (ALL_CLIMATE, BENCH_LATITUDE, BENCH_REGION, BENCH_REGION_STATION,
                                       MAPPED_CLIMATE, NO_CLIMATE, bench_star,
                                       customer_year_orders, order_years, read_tables)
 from stellata.plans.star import nearest_climate, remap_climate, year_grid
 from stellata.session import checkpoint_dir
+from stellata.sources.json_arrays import read_json_array
 from stellata.sources.tables import GDP_FIELDS, GDP_SHEET_COLUMNS, clean_gdp_sheet, explode_xml_column
 
 # the training-data operators are an optional part: without their folder, or without a package
@@ -87,8 +89,22 @@ def _olap(fn, climate: str = NO_CLIMATE):
 # --- the fifteen statements on the benchmark star ---------------------------
 
 def _period_ratio(spark, sf_dir):
-    # its columns need cases and regions only
-    return _out(olap.period_ratio(olap.region_year_cases(bench_star(spark, sf_dir, NO_CLIMATE))))
+    return _out(olap.period_ratio(olap.region_year_summary(bench_star(spark, sf_dir, MAPPED_CLIMATE))))
+
+
+def _new_folder(spark, name):
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _summary_refreshed(keys):
+    """The summary's states of all years, then those of the second year computed anew: what
+    the refreshed store says by ``keys``."""
+    def run(spark, sf_dir):
+        star, root = bench_star(spark, sf_dir, MAPPED_CLIMATE), _new_folder(spark, "estados")
+        summary_states.refresh(star, root)
+        summary_states.refresh(star, root, star.extras["years"][1:2])
+        return _out(summary_states.summary(spark, root, keys))
+    return run
 
 
 # --- reshaping ---------------------------------------------------------------
@@ -323,6 +339,30 @@ def _dense_keys(spark, sf_dir):
     return _out(dense_key(o.select("o_orderkey"), ["o_orderkey"], "sk"))
 
 
+def _registered_keys(spark, sf_dir):
+    """Two loads into one key registry: customers outside one segment, then all of them."""
+    root = _new_folder(spark, "chaves")
+    cust = read_tables(spark, sf_dir, ["customer"])["customer"]
+    register_keys(cust.where(F.col("c_mktsegment") != "BUILDING"), root, ["c_name"])
+    keys = register_keys(cust, root, ["c_name"])
+    return _out(with_keys(cust.select("c_custkey", "c_name"), keys, ["c_name"]).select("c_custkey", "sk"))
+
+
+def _json_array_files(spark, sf_dir):
+    """All customers as files of JSON arrays (objects with an inner object, over many lines), read
+    back by many tasks."""
+    path = _new_folder(spark, "catalogo")
+    cust = read_tables(spark, sf_dir, ["customer"])["customer"]
+    place = F.struct(F.col("c_nationkey").alias("pais"), F.concat(F.lit('}"{'), "c_mktsegment").alias("segmento"))
+    doc = F.to_json(F.struct("c_custkey", "c_name", "c_acctbal", place.alias("local")))
+    lots = cust.groupBy(F.floor(F.col("c_custkey") / 500)).agg(F.collect_list(doc).alias("d"))
+    text = F.concat(F.lit("[\n  "), F.array_join("d", ",\n  "), F.lit("\n]"))
+    lots.select(text.alias("value")).write.text(path)
+    rows = read_json_array(spark, path, "c_custkey bigint, c_name string, c_acctbal double, "
+                                        "local struct<pais: bigint, segmento: string>")
+    return _out(rows.select("c_custkey", "c_name", "c_acctbal", "local.pais", "local.segmento"))
+
+
 # --- data quality -------------------------------------------------------------
 
 def _quality_unique(spark, sf_dir):
@@ -422,6 +462,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_foreign_keys": _quality_foreign_keys,
         "quality_domain": _quality_domain,
         "station_row_counts": _station_row_counts,
+        "registered_keys": _registered_keys,
+        "json_array_files": _json_array_files,
+        "summary_refreshed": _summary_refreshed(summary_states.KEYS),
+        "summary_by_region": _summary_refreshed(["regiao"]),
         **{name: _text_query(fn) for name, fn in bench_texts.QUERIES.items()},
         **_LLM_QUERIES,
     }

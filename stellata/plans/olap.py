@@ -270,11 +270,16 @@ def wide_view(star: Star) -> DataFrame:
 
 
 # 11 -------------------------------------------------------------------------
-def region_year_summary(star: Star) -> DataFrame:
-    """Region × year summary (the materialized view ``mv_regiao_ano``)."""
+def summary_rows(star: Star) -> DataFrame:
+    """The fact with what the summary reads of its dimensions."""
     f = (_ft(star, _fm(star))
          .join(_socio(star, "pib_per_capita", "dens_demografica"), SOCIO_KEYS, "left"))
-    f = _join_clima(f, star, "temp_med_anual", "umidade_med_anual", "precipitacao_total")
+    return _join_clima(f, star, "temp_med_anual", "umidade_med_anual", "precipitacao_total")
+
+
+def region_year_summary(star: Star) -> DataFrame:
+    """Region × year summary (the materialized view ``mv_regiao_ano``)."""
+    f = summary_rows(star)
     return f.groupBy(F.coalesce("nm_regiao", F.lit(NO_REGION)).alias("regiao"), "ano",
                      "pandemia").agg(
         F.count_distinct("sk_municipio").alias("qtd_municipios"),
@@ -288,7 +293,7 @@ def region_year_summary(star: Star) -> DataFrame:
 
 
 def region_year_cases(star: Star) -> DataFrame:
-    """The columns of the summary that statement 15 reads."""
+    """The columns of the summary that statement 15 reads, when there is no summary."""
     f = _ft(star, star.fato.groupBy("sk_municipio", "sk_tempo").agg(F.sum("casos_tb").alias("casos_tb")))
     f = f.join(star.municipio.select("sk_municipio", "nm_regiao"), "sk_municipio")
     return f.groupBy(F.coalesce("nm_regiao", F.lit(NO_REGION)).alias("regiao"), "ano", "pandemia").agg(

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from stellata.functions.dates import parse_mixed_date
 from stellata.functions.numbers import locale_number
 from stellata.functions.text import null_text, strip_dot_zero
+from stellata.sources.json_arrays import read_json_array
 
 YEARS = (2018, 2019, 2020, 2021, 2022, 2023)
 
@@ -113,10 +114,11 @@ def typed_daily_weather(text: DataFrame) -> DataFrame:
 
 
 def read_stations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Station catalogue. A top-level JSON array gives one row per object
-    (``multiLine``; such a file is read by one task, which is fine for a catalogue
-    of stations). JSON Lines input: ``multi_line=False`` (splittable)."""
-    return spark.read.option("multiLine", multi_line).schema(_strings(STATION_FIELDS)).json(path)
+    """Station catalogue. A top-level JSON array gives one row per object, whatever its size:
+    it is split over many tasks (``json_arrays``). JSON Lines input: ``multi_line=False``."""
+    if multi_line:
+        return read_json_array(spark, path, _strings(STATION_FIELDS))
+    return spark.read.schema(_strings(STATION_FIELDS)).json(path)
 
 
 def read_gdp_xml(spark: SparkSession, path: str) -> DataFrame:

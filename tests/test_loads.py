@@ -91,3 +91,36 @@ def test_array_in_many_tasks(spark, tmp_path, split, indent):
     # and as one task reads it
     whole = spark.read.option("multiLine", True).schema(SCHEMA).json(str(tmp_path / "in" / "one.json")).collect()
     assert sorted(rows, key=lambda r: r["id"]) == sorted(whole, key=lambda r: r["id"])
+
+
+# --- summary states --------------------------------------------------------------------
+
+def test_refresh_of_one_year_equals_recomputation(spark, tmp_path):
+    from dataclasses import replace
+
+    from stellata.plans import olap, summary_states
+    from stellata.plans.benchstar import MAPPED_CLIMATE, bench_star
+
+    star, root = bench_star(spark, "/root/testdata/sf0.001", MAPPED_CLIMATE), str(tmp_path / "states")
+    year = star.extras["years"][2]
+    first = summary_states.refresh(star, root)
+    # one year's cases change, and one region's rows of that year go
+    key = star.tempo.where(F.col("ano") == year).first()["sk_tempo"]
+    gone = star.municipio.where("nm_regiao = 'ASIA'").select("sk_municipio")
+    hit = star.fato.where(F.col("sk_tempo") == key).join(gone, "sk_municipio", "left_anti")
+    changed = replace(star, fato=star.fato.where(F.col("sk_tempo") != key).unionByName(
+        hit.withColumn("casos_tb", F.col("casos_tb") + 3).select(*star.fato.columns)))
+    second = summary_states.refresh(changed, root, [year])
+    where = summary_states.manifest(spark, root)
+    assert {v for y, v in where.items() if y != year} == {first} and where[year] == second
+    folders = {p.name for p in (tmp_path / "states" / second.rsplit("/", 1)[1] / "somas").iterdir() if p.is_dir()}
+    assert folders == {f"ano={year}"}
+    want = olap.region_year_summary(changed)
+    got = summary_states.summary(spark, root).select(*want.columns)
+    as_text = lambda df: sorted(str(tuple(map(str, r))) for r in df.collect())
+    assert as_text(got) == as_text(want)
+    # coarser groups follow from the states: distinct municipalities over all years
+    regions = {r["regiao"]: r["qtd_municipios"] for r in summary_states.summary(spark, root, ["regiao"]).collect()}
+    f = olap.summary_rows(changed).groupBy(F.coalesce("nm_regiao", F.lit(olap.NO_REGION)).alias("r")).agg(
+        F.count_distinct("sk_municipio").alias("n"))
+    assert regions == {r["r"]: r["n"] for r in f.collect()}
