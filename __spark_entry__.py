@@ -422,6 +422,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "risk_and_income_bands": _olap(olap.risk_and_income_bands),
         "year_over_year": _olap(olap.year_over_year),
         "rank_quartile_share": _olap(olap.rank_quartile_share),
+        "rank_quartile_share_all": _olap(olap.rank_quartile_share_of_all),
         "moving_avg_running_sum": _olap(olap.moving_avg_running_sum),
         "rollup_region_year": _olap(olap.rollup_region_year),
         "cube_period_band": _olap(olap.cube_period_band),

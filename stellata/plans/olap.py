@@ -19,6 +19,7 @@ from stellata.operators.joins import semi_join_top
 from stellata.operators.windows import (
     change_vs_previous,
     moving_average_running_sum,
+    rank_quartile_share_all,
     top_k_rank_quartile_share,
     with_group_mean,
 )
@@ -168,6 +169,12 @@ def rank_quartile_share(star: Star, k: int = 20) -> DataFrame:
                                               F.col("nm_regiao").asc_nulls_last())
 
 
+def rank_quartile_share_of_all(star: Star) -> DataFrame:
+    """The same for every municipality."""
+    out = rank_quartile_share_all(place_totals(star), "total_casos", ["nm_municipio", "nm_regiao"])
+    return out.select("nm_municipio", "nm_regiao", "total_casos", "ranking", "quartil", "pct_do_total")
+
+
 # 6 --------------------------------------------------------------------------
 def moving_avg_running_sum(star: Star, k: int = 5) -> DataFrame:
     """3-year centred moving average and running sum for the k municipalities

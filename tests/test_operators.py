@@ -142,3 +142,19 @@ def test_xml_and_json_rendering(spark):
     assert js == '{"n":"say \\"hi\\"\\n","p":0.5}'
     import json as _json
     assert _json.loads(js) == {"n": 'say "hi"\n', "p": 0.5}
+
+
+def test_rank_and_quartile_of_all_rows(spark):
+    """Ties across parts, nulls and tiny tables, against Spark's own windows."""
+    from pyspark.sql import Window
+
+    from stellata.operators.windows import rank_quartile_share_all
+
+    many = spark.range(3000).select(F.concat(F.lit("n"), F.col("id")).alias("nome"), F.when(
+        F.col("id") % 50 > 0, F.when(F.col("id") < 1800, 7).otherwise(F.col("id") % 9)).cast("bigint").alias("v"))
+    for df in (many, many.limit(3), many.where("nome = 'n51'"), many.limit(0)):
+        order = [F.col("v").desc_nulls_last(), F.col("nome").asc_nulls_last()]
+        want = df.select("nome", "v", F.rank().over(Window.orderBy(order[0])).cast("bigint").alias("ranking"),
+                         F.ntile(4).over(Window.orderBy(*order)).alias("quartil"))
+        got = rank_quartile_share_all(df, "v", ["nome"]).select("nome", "v", "ranking", "quartil")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
