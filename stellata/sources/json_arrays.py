@@ -27,7 +27,7 @@ def _change(parts, place: int):
     return (opened - closed).cast("long")
 
 
-def array_objects(spark: SparkSession, path: str, parts: int | None = None) -> DataFrame:
+def array_objects(spark: SparkSession, path: str) -> DataFrame:
     """(arquivo, objeto): the text of each object of the JSON arrays in the files of ``path``.
 
     A file holds one array or several, one after the other, over any number of lines (or a
