@@ -16,17 +16,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellata.llm.common import col, numbered, ship_code, slices, text_of
 
-#: Bounds of the training sample: toxic documents (twice as many others), code points
-#: of one, and documents of each label on which the chain itself is fitted.
-SAMPLE, SAMPLE_POINTS, CHAINS = 1500, 10_000, 350
-#: A feature marks toxic documents if it stands in at least so many and if a document
-#: with it is toxic with at least this (smoothed) probability in a balanced sample.
-MARKS, PURE = 6, 0.9
+#: Bounds of the training sample: toxic documents (twice as many others), code points of
+#: all their texts together, and documents of each label on which the chain is fitted.
+SAMPLE, SAMPLE_POINTS, CHAINS = 1500, 12_000_000, 350
+#: A feature marks toxic documents if a document with it is toxic with at least this
+#: (smoothed) probability in a balanced sample, and if chance alone is expected to give
+#: at most this many such features among all that were looked at.
+PURE, CHANCE = 0.9, 0.05
+#: Clean texts joined to one, in the fit of the score: what long clean texts look like.
+JOINED = (8, 64)
 _WORD = re.compile(r"[^\W\d_]+")
 #: Words whose features a worker keeps, about (a memory bound).
 _KEPT = 200_000
@@ -116,6 +119,7 @@ class Model:
     trans: np.ndarray
     start: float
     score: np.ndarray
+    noise: tuple[float, float] = (0.0, 0.0)  # per word of a clean text: marginal, chance of a tag
 
     def emission(self, word: str) -> float:
         get = self.weights.get
@@ -123,16 +127,28 @@ class Model:
 
 
 def _signature(words: list[str]) -> tuple[int, ...]:
-    """Equal for copies and most near copies: the lowest hashes of the set of words."""
-    return tuple(sorted({zlib.crc32(w.encode()) for w in set(words)})[:3])
+    """Equal for copies and most near copies: the lowest hashes of the set of word triples."""
+    triples = {" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))}
+    return tuple(sorted({zlib.crc32(t.encode()) for t in triples})[:3])
 
 
-def _summary(marginal: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(1, strongest word, expected number of tagged words) of each chain."""
+def _totals(marginal: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(strongest marginal, sum of the marginals, words) of each chain."""
     at = np.flatnonzero(first)
-    strongest = np.clip(np.maximum.reduceat(marginal, at), 1e-9, 1 - 1e-9)
-    return np.stack([np.ones(len(at)), np.log(strongest / (1 - strongest)) / 4,
-                     np.log1p(np.add.reduceat(marginal, at))], axis=1)
+    return np.stack([np.maximum.reduceat(marginal, at), np.add.reduceat(marginal, at),
+                     np.diff(np.append(at, len(marginal)))], axis=1)
+
+
+def _inputs(totals: np.ndarray, noise: tuple[float, float]) -> np.ndarray:
+    """What the logistic sees of each text: 1, its strongest word and its sum of marginals,
+    both against what a clean text of as many words has by chance. A longer text has a
+    stronger strongest word and a larger sum; neither says more about it for that."""
+    strongest, total, words = np.maximum(totals, 0.0).T
+    strongest = np.clip(strongest, 1e-9, 1 - 1e-9)
+    level, chance = noise
+    odds = np.log(strongest / (1 - strongest)) - np.log1p(chance * words)
+    excess = (total - level * words) / np.sqrt(1.0 + level * words)
+    return np.stack([np.ones(len(words)), odds / 4, np.log1p(np.maximum(excess, 0.0))], axis=1)
 
 
 def _chains(texts: list[list[str]]) -> tuple[list[str], np.ndarray]:
@@ -162,9 +178,16 @@ def train(sample: list[tuple[str, int]], steps: int = 60, rate: float = 0.4, rid
     (toxic, toxic2), (fair, fair2) = part(toxic), part(fair)
     in_toxic = Counter(f for t in toxic for f in {x for w in set(t) for x in features(w)})
     in_fair = Counter(f for t in fair for f in {x for w in set(t) for x in features(w)})
-    at_least = min(MARKS, max(1, len(toxic) // 10))
-    marks = sorted(f for f, n in in_toxic.items() if n >= at_least
-                   and (n / len(toxic)) / (n / len(toxic) + (in_fair[f] + 0.5) / len(fair)) >= PURE)
+    share = len(toxic) / (len(toxic) + len(fair))
+
+    def evidence(n, other):  # log likelihood ratio of the feature's own share of toxic texts
+        own = n / (n + other)
+        return n * math.log(own / share) + (other * math.log((1 - own) / (1 - share)) if other else 0.0)
+
+    needed = math.log(len(in_toxic) / CHANCE)
+    marks = sorted(f for f, n in in_toxic.items()
+                   if (n / len(toxic)) / (n / len(toxic) + (in_fair[f] + 0.5) / len(fair)) >= PURE
+                   and evidence(n, in_fair[f]) >= needed)
     number = {f: i + 1 for i, f in enumerate(marks)}
     words, first = _chains(toxic[:chains] + fair[:chains])
     n_toxic = sum(map(len, toxic[:chains]))
@@ -206,9 +229,21 @@ def train(sample: list[tuple[str, int]], steps: int = 60, rate: float = 0.4, rid
                   math.exp(theta[k + 4]), np.zeros(3))
     words, first = _chains(toxic2 + fair2)
     emit = np.array([model.emission(w) for w in words])
-    x = _summary(forward_backward(emit, first, model.trans, model.start)[0], first)
-    y = np.repeat([1.0, 0.0], [len(toxic2), len(fair2)])
-    balance = np.repeat([0.5 / len(toxic2), 0.5 / len(fair2)], [len(toxic2), len(fair2)])
+    marginal = forward_backward(emit, first, model.trans, model.start)[0]
+    totals = _totals(marginal, first)
+    clean = totals[len(toxic2):]
+    n = clean[:, 2].sum()
+    tagged = (marginal[int(totals[:len(toxic2), 2].sum()):] >= 0.5).sum()
+    model.noise = (float(clean[:, 1].sum() / n), float((tagged + 1) / n))
+    groups, weights = [totals[:len(toxic2)], clean], [0.5, 0.4]
+    for size in JOINED:
+        at = np.arange(0, len(clean), size)
+        groups.append(np.stack([np.maximum.reduceat(clean[:, 0], at), np.add.reduceat(clean[:, 1], at),
+                                np.add.reduceat(clean[:, 2], at)], axis=1))
+        weights.append(0.1 / len(JOINED))
+    x = _inputs(np.concatenate(groups), model.noise)
+    y = np.repeat([1.0, 0.0], [len(toxic2), len(x) - len(toxic2)])
+    balance = np.concatenate([np.full(len(g), w / len(g)) for g, w in zip(groups, weights)])
     theta = np.zeros(3)
     for _ in range(50):  # Newton steps of a ridge logistic regression
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ theta, -30, 30)))
@@ -228,27 +263,38 @@ def held_out(id_col: str):
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", sample: int = SAMPLE, points: int = SAMPLE_POINTS) -> Model:
     """Train on at most ``sample`` toxic and twice as many other labelled documents, of
-    at most ``points`` code points each (the documented bound of what reaches the driver).
+    at most ``points`` code points together (the documented bound of what reaches the driver).
 
-    Only rows that are not held out are read; labels other than 0 and 1 and labels
-    without a document are passed over. Without usable labels every score is the same.
+    Texts of any length are taken, whole, in the order of a hash of their ids; one that does
+    not fit into what is left of its label's half of ``points`` is passed over. Only rows that are
+    not held out are read; labels other than 0 and 1 and labels without a document are
+    passed over, and rows that repeat an id count once, as the smallest of their texts. Without
+    usable labels every score is the same.
     """
     known = (labels.select(col(id_col).alias("id"), col(label_col).cast("int").alias("label"),
                            held_out(id_col).alias("out"))
              .where("NOT out AND label IN (0, 1)").drop("out").distinct())
     chosen = None
     wanted = {0: 2 * sample, 1: sample}
-    for label, n in wanted.items():  # twice as many as needed: some texts are too long
+    for label, n in wanted.items():  # twice as many as needed: some have no document
         some = known.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(2 * n)
         chosen = some if chosen is None else chosen.unionByName(some)
-    texts = docs.select(col(id_col).alias("id"), text_of(text_col).alias("text")).where(
-        F.length("text") <= points)
-    rows = texts.join(F.broadcast(chosen), "id")  # at most 6 * sample ids
-    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id", "text"))
-    rows = rows.withColumn("place", place).where(
-        F.col("place") <= F.when(F.col("label") == 1, sample).otherwise(2 * sample)).orderBy("label", "place")
-    picked = [(r["text"], r["label"]) for r in rows.select("text", "label").collect()]
-    return train(picked)
+    texts = docs.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
+    # at most 6 * sample ids, and a row with two numbers for each of them on the driver
+    sizes = (texts.select("id", F.length("text").alias("n")).join(F.broadcast(chosen), "id")
+             .groupBy("id", "label").agg(F.max("n").alias("n"), F.xxhash64("id").alias("h")).collect())
+    taken, left, room = [], dict(wanted), {0: points // 2, 1: points // 2}
+    for r in sorted(sizes, key=lambda r: (r["h"], r["id"])):
+        if left[r["label"]] and r["n"] <= room[r["label"]]:
+            left[r["label"]] -= 1
+            room[r["label"]] -= r["n"]
+            taken.append((r["id"], r["label"]))
+    if not taken:
+        return train([])
+    ids = docs.sparkSession.createDataFrame(taken, chosen.select("id", "label").schema)
+    rows = (texts.join(F.broadcast(ids), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+            .orderBy("label", F.xxhash64("id"), "id"))
+    return train([(r["text"], r["label"]) for r in rows.select("text", "label").collect()])
 
 
 # --- scoring -----------------------------------------------------------------------
@@ -290,9 +336,10 @@ class _Scorer:
     def scores(self, texts: list[str]):
         """(scores, marginals, words per text)."""
         marginal, first, sizes = self.marginals(texts)
-        x = np.tile(np.array([1.0, math.log(1e-9) / 4, 0.0]), (len(texts), 1))  # no words at all
+        totals = np.zeros((len(texts), 3))  # no words at all
         if len(marginal):
-            x[sizes > 0] = _summary(marginal, first)
+            totals[sizes > 0] = _totals(marginal, first)
+        x = _inputs(totals, self.model.noise)
         return 1.0 / (1.0 + np.exp(-np.clip(x @ self.model.score, -30, 30))), marginal, sizes
 
 

@@ -13,6 +13,8 @@ import pytest
 import tiktoken
 from cases import documents, prose, table, texts
 
+from pyspark.sql import functions as F
+
 from stellata.llm import bpe, secrets, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -187,6 +189,33 @@ def test_toxicity(spark, tmp_path):
     assert all(flags[i] == (zlib.crc32(str(i).encode()) % 5 == 0) for i in flags)
 
 
+def test_toxicity_does_not_grow_with_length(spark, tmp_path):
+    """Clean texts joined stay clean at any length; one with many toxic words does not. Long labelled
+    texts are learned from, and the bound on all texts together holds."""
+    rows = toxic_rows()
+    clean = [t for i, t, y in rows if not y]
+    long_rows = [(1000 + i, " ".join(clean[20 * i:20 * i + 20]), 0) for i in range(15)]
+    docs = table(spark, tmp_path, [(i, t, "a") for i, t, _ in rows + long_rows])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows + long_rows], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels)
+    toxic = [t for _, t, y in rows if y]
+    tried = [" ".join(clean * n) for n in (1, 5, 40)] + [" ".join(clean + toxic)]
+    scores = {r["id"]: r["score"] for r in toxicity.score(
+        spark.createDataFrame(list(enumerate(tried)), "doc_id int, text string"), model).collect()}
+    assert len(tried[2]) > 1_000_000 and max(scores[i] for i in range(3)) < 0.5 <= scores[3]
+    few = toxicity.fit(docs, labels, points=40)  # no text fits: nothing is learned
+    assert few.weights == {}
+
+
+def test_toxicity_held_out_rows_of_the_given_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    got = toxicity.score(docs, toxicity.fit(docs, labels)).join(
+        labels.select(F.col("doc_id").alias("id"), "toxic").distinct(), "id").where(toxicity.held_out("id"))
+    n = {(r["toxic"], r["p"]): r["count"] for r in got.groupBy("toxic", (F.col("score") >= 0.5).alias("p")).count().collect()}
+    assert n[1, True] >= 0.8 * (n[1, True] + n[1, False]) and n.get((0, True), 0) <= 0.02 * n[0, False]
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     model = toxicity.fit(documents(spark), none)
