@@ -31,6 +31,8 @@ from stellata.functions.text import (fold_accents, ibge_code, ibge_name, starts_
                                      xml_escape)
 from stellata.operators import quality
 from stellata.operators.aggregates import hourly_to_daily, rows_per_group
+from stellata.operators.copy_on_write import read_parts, update_parts, write_parts
+from stellata.operators.gates import Check, NotNull, References, Unique, write_gated
 from stellata.operators.joins import nearest_lookup
 from stellata.operators.keys import dense_key
 from stellata.operators.registry import register_keys, with_keys
@@ -42,6 +44,7 @@ from stellata.plans.benchstar import (ALL_CLIMATE, BENCH_LATITUDE, BENCH_REGION,
                                       customer_year_orders, order_years, read_tables)
 from stellata.plans.star import nearest_climate, remap_climate, year_grid
 from stellata.session import checkpoint_dir
+from stellata.sources.batches import append_batch, read_batches
 from stellata.sources.json_arrays import read_json_array
 from stellata.sources.tables import GDP_FIELDS, GDP_SHEET_COLUMNS, clean_gdp_sheet, explode_xml_column
 
@@ -363,6 +366,47 @@ def _json_array_files(spark, sf_dir):
     return _out(rows.select("c_custkey", "c_name", "c_acctbal", "local.pais", "local.segmento"))
 
 
+def _appended_batches(spark, sf_dir):
+    """Orders appended in two batches, the first of which is loaded a second time."""
+    root = _new_folder(spark, "lotes")
+    o = read_tables(spark, sf_dir, ["orders"])["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
+    early = F.year("o_orderdate") < 1995
+    append_batch(o.where(early), root)
+    append_batch(o.where(~early), root)
+    append_batch(o.where(early), root)
+    return _out(read_batches(spark, root).select("o_orderkey", "o_custkey"))
+
+
+def _updated_parts(spark, sf_dir):
+    """Orders kept by years; those of 1995 with line items get their quantity, other years stay."""
+    root = _new_folder(spark, "partes")
+    t = read_tables(spark, sf_dir, ["orders", "lineitem"])
+    o = t["orders"].select("o_orderkey", F.year("o_orderdate").alias("ano"))
+    write_parts(o.withColumn("quantidade", F.lit(0).cast("decimal(28,2)")), root, "ano")
+    value = (t["lineitem"].groupBy(F.col("l_orderkey").alias("o_orderkey"))
+             .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantidade")))
+    guard = o.where("ano = 1995").join(value, "o_orderkey", "left_semi").select("o_orderkey", "ano")
+    update_parts(spark, root, "ano", value, ["o_orderkey"], "quantidade", guard, ["o_orderkey", "ano"])
+    return _out(read_parts(spark, root).select("o_orderkey", "ano", "quantidade"))
+
+
+def _refused_load(spark, sf_dir):
+    """What stops a load whose customers lack one segment and repeat a nation: the constraints that
+    its tables break, with the number of offending rows or keys."""
+    t = read_tables(spark, sf_dir, ["customer", "orders"])
+    cust = t["customer"].where(F.col("c_mktsegment") != "BUILDING").select(
+        "c_custkey", "c_nationkey", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("saldo"))
+    path, found, tables = _new_folder(spark, "recusa"), [], {}
+    for name, df, rules in (
+            ("cliente", cust, [Unique(["c_custkey"]), Unique(["c_nationkey"]), NotNull("saldo")]),
+            ("pedido", t["orders"].select("o_orderkey", "o_custkey", "o_totalprice"),
+             [Unique(["o_orderkey"]), References(["o_custkey"], "cliente", ["c_custkey"]),
+              Check("valor", F.col("o_totalprice") > 200000)])):
+        found += write_gated(df, f"{path}/{name}", name, rules, tables)
+        tables[name] = spark.read.parquet(f"{path}/{name}")
+    return _out(spark.createDataFrame(found, "tabela string, restricao string, linhas bigint"))
+
+
 # --- data quality -------------------------------------------------------------
 
 def _quality_unique(spark, sf_dir):
@@ -464,6 +508,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_domain": _quality_domain,
         "station_row_counts": _station_row_counts,
         "registered_keys": _registered_keys,
+        "appended_batches": _appended_batches,
+        "updated_parts": _updated_parts,
+        "refused_load": _refused_load,
         "json_array_files": _json_array_files,
         "summary_refreshed": _summary_refreshed(summary_states.KEYS),
         "summary_by_region": _summary_refreshed(["regiao"]),

@@ -13,16 +13,35 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stellata.operators.gates import Constraint, LoadRefused, NotNull, References, Unique, write_gated
 from stellata.plans.star import Star
 
 STAR_TABLES = ("dim_tempo", "dim_municipio", "dim_estacao", "dim_clima", "dim_socioeconomico",
                "fato_tuberculose")
-MARKER = "COMMITTED"
+MARKER, REFUSED = "COMMITTED", "REFUSED"
+
+#: What the warehouse declares of its tables: primary keys, foreign keys, value checks.
+STAR_GATES: dict[str, Sequence[Constraint]] = {
+    "dim_tempo": [Unique(["sk_tempo"]), Unique(["ano"])],
+    "dim_municipio": [Unique(["sk_municipio"]), NotNull("nm_municipio")],
+    "dim_estacao": [Unique(["sk_estacao"]), Unique(["cd_estacao"])],
+    "dim_clima": [Unique(["sk_clima"]), References(["sk_estacao"], "dim_estacao", ["sk_estacao"]),
+                  References(["sk_tempo"], "dim_tempo", ["sk_tempo"])],
+    "dim_socioeconomico": [Unique(["sk_socioeconomico"]),
+                           References(["sk_municipio"], "dim_municipio", ["sk_municipio"]),
+                           References(["sk_tempo"], "dim_tempo", ["sk_tempo"])],
+    "fato_tuberculose": [Unique(["sk_fat"]), NotNull("sk_municipio"), NotNull("sk_tempo"),
+                         References(["sk_municipio"], "dim_municipio", ["sk_municipio"]),
+                         References(["sk_tempo"], "dim_tempo", ["sk_tempo"]),
+                         References(["sk_estacao"], "dim_estacao", ["sk_estacao"]),
+                         References(["sk_socioeconomico"], "dim_socioeconomico", ["sk_socioeconomico"]),
+                         References(["sk_clima"], "dim_clima", ["sk_clima"])],
+}
 
 Stage = tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]
 
@@ -62,14 +81,25 @@ def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str
     return gone
 
 
-def build_stages(spark: SparkSession, root: str, stages: Sequence[Stage]) -> str:
+def build_stages(spark: SparkSession, root: str, stages: Sequence[Stage],
+                 gates: Mapping[str, Sequence[Constraint]] | None = None) -> str:
     """Staged load: each stage builds one table from the tables already stored
     (passed in as a dict), is written, and is read back for the stages after it:
-    no table recomputes its inputs. The version is committed after the last one."""
+    no table recomputes its inputs. The version is committed after the last one.
+
+    ``gates`` names the constraints of tables. A table that breaks one ends the load:
+    ``LoadRefused`` says which; the version is not committed but marked ``REFUSED``, with the
+    offending keys under ``_rejected``, and readers keep the version before it."""
     version = new_version(root)
     stored: dict[str, DataFrame] = {}
     for name, make in stages:
-        make(stored).write.parquet(f"{version}/{name}")
+        found = write_gated(make(stored), f"{version}/{name}", name, (gates or {}).get(name, ()), stored)
+        if found:
+            fs, path = _hadoop(spark, f"{version}/{REFUSED}")
+            out = fs.create(path, False)
+            out.write(bytearray("".join(f"{t}\t{c}\t{n}\n" for t, c, n in found).encode()))
+            out.close()
+            raise LoadRefused(found, version)
         stored[name] = spark.read.parquet(f"{version}/{name}")
     commit(spark, version)
     return version
@@ -87,12 +117,13 @@ def load_star(spark: SparkSession, root: str, extra_names: Sequence[str] = ()) -
 
 def load_warehouse(spark: SparkSession, *, cases_csv: str, density_csv: str, stations_json: str,
                    daily_weather_csv: str, gdp_xml: str, out_root: str,
-                   mode: str = "correct") -> Star:
+                   mode: str = "correct", gates: Mapping[str, Sequence[Constraint]] | None = STAR_GATES) -> Star:
     """Files -> staging DataFrames -> star tables loaded stage by stage into a new
     version under ``out_root`` (dimensions first, the fact from the stored dimensions),
     with the region x year summary and the rejects of every loader; then committed.
     Returns the star read back from storage. ``mode`` picks the accent map used to
-    match names (see ``accent_key``)."""
+    match names (see ``accent_key``); ``gates`` the constraints without which the load
+    is refused (see ``build_stages``)."""
     from stellata.plans import olap
     from stellata.plans import star as st
     from stellata.plans.views import SUMMARY_NAME
@@ -126,7 +157,7 @@ def load_warehouse(spark: SparkSession, *, cases_csv: str, density_csv: str, sta
          .unionByName(daily_weather_rejects(tb.daily_weather_text(spark, daily_weather_csv)))
          .unionByName(density_rejects(tb.density_text(spark, density_csv)))
          .unionByName(station_rejects(tb.read_stations(spark, stations_json)))),
-    ])
+    ], gates)
     return load_star(spark, out_root, ("aux_regiao_estacao", SUMMARY_NAME, "rejeitos"))
 
 

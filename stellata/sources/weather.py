@@ -86,21 +86,26 @@ def read_files(spark: SparkSession, root: str, years=YEARS) -> DataFrame:
 
     The name filter runs in the file listing; the year is the folder right under
     the root. Unreadable files are skipped (``ignoreCorruptFiles``)."""
+    files = _listed(spark, root, years, "content")
+    return files.select("arquivo", "ano", F.decode("content", "ISO-8859-1").alias("texto"))
+
+
+def _listed(spark: SparkSession, root: str, years, *columns: str) -> DataFrame:
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", True)
              .option("pathGlobFilter", NAME_GLOB)
              .option("ignoreCorruptFiles", True)  # a broken file is skipped, not fatal
              .load(root)
-             .select(F.col("path").alias("arquivo"), "content"))
+             .select(F.col("path").alias("arquivo"), *columns))
     tail = re.escape(root.rstrip("/").split("/")[-1])
     year = F.regexp_extract("arquivo", f"{tail}/([0-9]{{4}})/", 1)
-    files = (files.withColumn("ano", F.when(year != "", year.cast("int")))
-             .where(F.col("ano").isin(*years)))
-    return files.select("arquivo", "ano", F.decode("content", "ISO-8859-1").alias("texto"))
+    return (files.withColumn("ano", F.when(year != "", year.cast("int")))
+            .where(F.col("ano").isin(*years)))
 
 
 #: What became of a file (column ``situacao``).
 READ, OTHER_STATE, NO_HEADER, NO_DATE = "lido", "outra uf", "sem cabecalho", "sem coluna de data"
+UNREADABLE = "ilegivel"
 
 
 def file_facts(files: DataFrame) -> DataFrame:
@@ -158,6 +163,18 @@ def file_report(files: DataFrame) -> DataFrame:
         F.when(F.col("situacao") == READ, F.size("registros") - 1).otherwise(F.lit(0)).alias("registros"))
 
 
+def folder_report(spark: SparkSession, root: str, years=YEARS) -> DataFrame:
+    """``file_report`` of a folder, with a row for each listed file that could not be read
+    (``situacao`` UNREADABLE): the listing, which reads no contents, without what was read.
+    The contents are read once; files that are broken now may be read by a later load."""
+    read = file_report(read_files(spark, root, years))
+    # the length keeps the scan to the listing
+    listed = _listed(spark, root, years, "length").select("arquivo", "ano")
+    whole = listed.join(read.withColumnRenamed("ano", "_ano"), "arquivo", "left")
+    return whole.select("arquivo", "ano", F.coalesce("situacao", F.lit(UNREADABLE)).alias("situacao"),
+                        F.coalesce("registros", F.lit(0)).alias("registros"))
+
+
 def read_weather_hourly(spark: SparkSession, root: str, years=YEARS) -> DataFrame:
     return hourly_from_files(read_files(spark, root, years))
 
