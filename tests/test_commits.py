@@ -85,6 +85,12 @@ def test_refused_load_leaves_the_current_version(spark, tmp_path):
         assert spark.read.parquet(f"{refused.value.version}/_rejected/*").count() >= 1
 
 
+def test_empty_tables_pass_the_gate(spark, tmp_path):
+    full, rules = spark.createDataFrame([(1,)], "k int"), [gates.NotNull("k"), gates.Unique(["k"])]
+    for i, df in enumerate([full.limit(0), full.where("1 = 0"), full.where("k > 5").groupBy("k").count().select("k")]):
+        assert gates.write_gated(df, str(tmp_path / f"t{i}"), "t", rules, {}) == []
+
+
 # --- updates ---------------------------------------------------------------------------
 
 def test_update_writes_the_parts_it_changes(spark, tmp_path):
