@@ -12,9 +12,13 @@ share their key, so they travel as one piece of text with 49 more bytes. A key t
 only one document has cannot belong to a repeated string: those suffixes stay home.
 Documents travel in chunks, and a chunk sends equal pieces once.
 
+A key whose pieces are all equal needs no sort: its strings occur in copies of that piece
+only. The suffixes of all other pieces are sorted.
+
 A short string with many different neighbours is the key of very many different
-pieces. The bytes of each key are counted before anything is sent; the suffixes of a key
-above a bound are dealt by the hash of their whole 50 bytes instead: equal strings
+pieces. The bytes of the different pieces of each key are counted before anything is sent
+(equal ones once, however many chunks hold them); the suffixes of a key above what one
+task should sort are dealt by the hash of their whole 50 bytes instead: equal strings
 still meet, and those that only one document has stay home.
 """
 
@@ -33,9 +37,13 @@ CHUNK_ROWS, KEY_BYTES, PIECE_BYTES = 256, 8 << 20, 2 << 20
 #: Positions whose keys are computed together, and suffixes of one piece at most.
 _SPAN, _LONGEST = 1 << 20, 4096
 _NO_ID = np.iinfo(np.int64).max
-#: Bytes of the pieces of one key that travel together; pieces of a key in a chunk that
-#: are counted as if all were different.
-HOT_BYTES, _FEW = 2 << 20, 8
+#: Bytes of different pieces of one key that one task sorts at most.
+HOT_BYTES = 2 << 20
+#: The pieces of a key in a chunk are told by 32 bits: their bytes in units, and a hash.
+_UNIT, _TAG = 16, 12
+#: An odd base of the hash of pieces, and its inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 1 << 64)
 
 
 # --- the difference-cover algorithm --------------------------------------------------
@@ -155,8 +163,22 @@ def _keys(data: np.ndarray, window: int, gram: int) -> np.ndarray:
     return h
 
 
-def _runs(texts: list[bytes], window: int, gram: int):
-    """(text, start, windows, key) arrays of the runs of windows with equal keys.
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out)
+
+
+def _hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each range: differences of prefix sums, shifted back."""
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(
+        _mixed(np.arange(1, 257, dtype=np.uint64))[data] * _powers(_BASE, len(data)))])
+    return _mixed((sums[end] - sums[begin]) * _powers(_BACK, len(data) + 1)[begin] + (end - begin).astype(np.uint64))
+
+
+def _runs(texts: list[bytes], window: int, gram: int, hashed: bool = False):
+    """(text, start, windows, key) arrays of the runs of windows with equal keys, and
+    if asked for a hash of the bytes of each.
 
     Longer runs are cut; every window of every text is in exactly one run."""
     def pieces():
@@ -200,10 +222,11 @@ def _runs(texts: list[bytes], window: int, gram: int):
             length = np.minimum(length[of] - nth * _LONGEST, _LONGEST)
         number = np.array([k for k, _, _ in held], dtype=np.int64)
         shift = np.array([a for _, a, _ in held], dtype=np.int64)
-        found.append((number[which], at - begin[which] + shift[which], length, keys[at]))
+        found.append((number[which], at - begin[which] + shift[which], length, keys[at],
+                      *([_hashes(data, at, at + length + window - 1)] if hashed else [])))
     if not found:
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none, none.astype(np.uint64)
+        return none, none, none, *[none.astype(np.uint64)] * (1 + hashed)
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -232,21 +255,24 @@ def _blobs(which: np.ndarray, parts: int, *columns):
 
 # --- the steps -----------------------------------------------------------------------
 
-def _piece_bytes(texts, text, start, length, order, edge, window):
-    """Bytes of the pieces of each key, equal ones once; a few pieces count as different."""
-    size = (length + window - 1)[order]
-    weight = np.add.reduceat(size, edge)
-    n = np.diff(np.append(edge, len(order)))
-    for k in np.flatnonzero(n > _FEW).tolist():
-        runs = order[edge[k]:edge[k] + n[k]]
-        different = {texts[t][s:s + m + window - 1] for t, s, m in zip(
-            text[runs].tolist(), start[runs].tolist(), length[runs].tolist())}
-        weight[k] = sum(map(len, different))
-    return np.minimum(weight, np.iinfo(np.int32).max).astype(np.int32)
+def _pieces_of_keys(size: np.ndarray, tags: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """What a chunk says about the pieces of each of its keys (``edge``: where a key begins): the
+    bytes of the different ones in units and a hash of them all, in 32 bits."""
+    n = np.diff(np.append(edge, len(size)))
+    several = np.flatnonzero(np.repeat(n > 1, n))
+    if len(several):  # equal pieces count once
+        of = np.repeat(np.arange(len(n)), n)[several]
+        order = np.lexsort((tags[several], of))
+        at = several[order]
+        again = at[1:][(of[order][1:] == of[order][:-1]) & (tags[at[1:]] == tags[at[:-1]])]
+        size, tags = size.copy(), tags.copy()
+        size[again], tags[again] = 0, 0
+    units = np.minimum(-(-np.add.reduceat(size, edge) // _UNIT), (1 << 32 - _TAG) - 1).astype(np.uint32)
+    return units << np.uint32(_TAG) | (np.add.reduceat(tags, edge) >> np.uint64(64 - _TAG)).astype(np.uint32)
 
 
 def _key_rows(parts: int, chunk: int, keys: np.ndarray, ids: np.ndarray, weigh):
-    """(part, chunk, keys, several, bytes) rows of a chunk; ``ids``: whose each key is."""
+    """(part, chunk, keys, several, pieces) rows of a chunk; ``ids``: whose each key is."""
     order = np.argsort(keys)
     keys, of = keys[order], ids[order]
     edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -256,9 +282,9 @@ def _key_rows(parts: int, chunk: int, keys: np.ndarray, ids: np.ndarray, weigh):
             for k, _, (x, f, w) in _blobs(_part(keys, parts), parts, keys, several, weigh(order, edge))]
 
 
-_KEY_NAMES = ["part", "chunk", "keys", "several", "bytes"]
+_KEY_NAMES = ["part", "chunk", "keys", "several", "pieces"]
 _KEY_TYPES = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-_KEY_SCHEMA = "part int, chunk long, keys binary, several binary, bytes binary"
+_KEY_SCHEMA = "part int, chunk long, keys binary, several binary, pieces binary"
 
 
 def _send_keys(parts: int, window: int, gram: int):
@@ -268,11 +294,11 @@ def _send_keys(parts: int, window: int, gram: int):
             out = []
             for chunk in np.unique(chunks).tolist():
                 _, ids, texts = _chunk_of(pa.table(batch.filter(pa.array(chunks == chunk))))
-                text, start, length, keys = _runs(texts, window, gram)
+                text, _, length, keys, tags = _runs(texts, window, gram, hashed=True)
                 if not len(keys):
                     continue
-                out += _key_rows(parts, chunk, keys, ids[text], lambda order, edge: _piece_bytes(
-                    texts, text, start, length, order, edge, window))
+                out += _key_rows(parts, chunk, keys, ids[text], lambda order, edge: _pieces_of_keys(
+                    (length + window - 1)[order], tags[order], edge))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), _KEY_TYPES)], names=_KEY_NAMES)
@@ -307,7 +333,7 @@ def _send_windows(parts: int, window: int, gram: int):
             text, _, keys = _windows_of(texts, text[at], start[at], length[at], window)
             if len(keys):
                 out = _key_rows(parts, int(docs.column("chunk")[0].as_py()), keys, ids[text],
-                                lambda order, edge: np.zeros(len(edge), dtype=np.int32))
+                                lambda order, edge: np.zeros(len(edge), dtype=np.uint32))
         cols = list(zip(*out)) or [[]] * 5
         return pa.table([pa.array(c, t) for c, t in zip(cols, _KEY_TYPES)], names=_KEY_NAMES)
 
@@ -316,14 +342,16 @@ def _send_windows(parts: int, window: int, gram: int):
 
 def _shared_keys(bound: int):
     """For each chunk of a part, which of its keys another document has too: those whose
-    pieces have at most ``bound`` bytes, and the hot ones."""
+    different pieces have at most ``bound`` bytes, and the hot ones."""
     def run(table):
         keys = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column("keys")]
         several = np.concatenate([np.frombuffer(x.as_py(), dtype=bool) for x in table.column("several")])
-        size = np.concatenate([np.frombuffer(x.as_py(), dtype=np.int32) for x in table.column("bytes")])
+        pieces = np.concatenate([np.frombuffer(x.as_py(), dtype=np.uint32) for x in table.column("pieces")])
         values, at, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
         shared = (n > 1) | np.bincount(at, several, minlength=len(values)).astype(bool)
-        heavy = np.bincount(at, size, minlength=len(values)) > bound
+        told = shared[at]
+        told = np.unique(at[told] << 32 | pieces[told])
+        heavy = np.bincount(told >> 32, ((told & 0xFFFFFFFF) >> _TAG) * _UNIT, minlength=len(values)) > bound
         edges = np.cumsum([len(k) for k in keys])[:-1]
         mine, hot = (np.split(x[at], edges) for x in (shared & ~heavy, shared & heavy))
         return pa.table({"chunk": table.column("chunk"),
@@ -380,8 +408,9 @@ def _send_pieces(parts: int, window: int, gram: int):
     return run, schema
 
 
-def _sort_pieces(window: int):
-    """One part: sort its suffixes, give each chunk the least ids of its pieces."""
+def _sort_pieces(window: int, gram: int):
+    """One part: sort its suffixes, give each chunk the least ids of its pieces (one id and a
+    size below zero where all windows of a piece have the same)."""
     names = ["chunk", "text", "start", "size", "least"]
 
     def run(table):
@@ -401,14 +430,24 @@ def _sort_pieces(window: int):
                     low[k] = least
                 mine.append(k)
             where.append(mine)
-        least = least_ids(list(index), np.array(low, dtype=np.int64), window)
-        bottom = np.array([x.min() for x in least])
+        pieces, low = list(index), np.array(low, dtype=np.int64)
+        # the key of a piece is that of its first window; a piece that has it alone is not sorted
+        heads = np.frombuffer(b"".join([x[:window] for x in pieces]), dtype=np.uint8)
+        _, of, n = np.unique(_keys(heads, window, gram)[::window], return_inverse=True, return_counts=True)
+        least, bottom, flat = list(low[:, None]), low.copy(), np.ones(len(low), dtype=bool)
+        some = np.flatnonzero(n[of] > 1)
+        if len(some):
+            for k, x in zip(some.tolist(), least_ids([pieces[k] for k in some.tolist()], low[some], window)):
+                bottom[k] = x.min()
+                flat[k] = bottom[k] == x.max()
+                least[k] = x[:1] if flat[k] else x
         out = []
         for j, chunk in enumerate(table.column("chunk").to_pylist()):
             mine = np.array(where[j])
             keep = np.flatnonzero(bottom[mine] < highs[j])
             if len(keep):
-                out.append((chunk, texts[j][keep].tobytes(), starts[j][keep].tobytes(), sizes[j][keep].tobytes(),
+                size = np.where(flat[mine[keep]], -sizes[j][keep], sizes[j][keep])
+                out.append((chunk, texts[j][keep].tobytes(), starts[j][keep].tobytes(), size.tobytes(),
                             np.concatenate([least[k] for k in mine[keep].tolist()]).tobytes()))
         cols = list(zip(*out)) or [[]] * 5
         return pa.table([pa.array(c, t) for c, t in zip(cols, [pa.int64()] + [pa.binary()] * 4)], names=names)
@@ -436,11 +475,13 @@ def _remove(window: int, gram: int, id_type: str):
                 lone.append((which.astype(np.int64) << 32 | (-1 - start))[one])
                 least, at = np.frombuffer(r[3].as_py(), dtype=np.int64), 0
                 for k, s, n in zip(which.tolist(), start.tolist(), size.tolist()):
+                    given = 1 if n < 0 else n - window + 1
+                    n = abs(n)
                     if s < 0:
                         alone[texts[k][-1 - s:-1 - s + n]] = int(least[at])
                     else:
-                        answers[texts[k][s:s + n]] = least[at:at + n - window + 1]
-                    at += n - window + 1
+                        answers[texts[k][s:s + n]] = least[at:at + given]
+                    at += given
             text, start, length, keys = _runs(texts, window, gram)
             wanted = np.unique(keys[np.isin(text << 32 | start, np.concatenate(places))])
             at = np.flatnonzero(np.isin(keys, wanted))
@@ -498,7 +539,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Memory: a chunk of ``chunk_rows`` documents, or one part. A repeated string reaches
     its part once per chunk that holds it. Suffixes of a key with more than
-    ``hot_bytes`` of pieces are dealt by all their bytes.
+    ``hot_bytes`` of different pieces are dealt by all their bytes.
     """
     docs, row = with_row(docs)
     rows = (numbered(docs, row, id=col(id_col), text=text_of(text_col))
@@ -526,7 +567,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             windows.select("chunk", nothing.alias("keys"), nothing.alias("hot"), "windows"))
     send, schema = _send_pieces(piece_parts, window, gram)
     pieces = rows.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(send, schema)
-    sort, schema = _sort_pieces(window)
+    sort, schema = _sort_pieces(window, gram)
     found = stored(pieces.groupBy("part").applyInArrow(sort, schema), "repeats")
     remove, schema = _remove(window, gram, rows.schema["id"].dataType.simpleString())
     return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(remove, schema)

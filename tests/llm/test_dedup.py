@@ -9,6 +9,7 @@ import uuid
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from cases import documents, prose, table, texts
@@ -219,8 +220,8 @@ def test_a_hot_string_spreads_over_parts(spark, monkeypatch, tmp_path):
     rows += [(1000 + i, rows[i][1][40:110], "a") for i in range(0, 600, 20)]
     sort_pieces, seen = suffix_dedup._sort_pieces, str(tmp_path)
 
-    def watched(window):
-        run, schema = sort_pieces(window)
+    def watched(*options):
+        run, schema = sort_pieces(*options)
 
         def sort(table):
             with open(f"{seen}/{uuid.uuid4().hex}", "w") as f:
@@ -294,3 +295,37 @@ def test_suffix_dedup_with_other_splits_later(spark, tmp_path, splits):
     splits(True)
     assert sorted((str(r["id"]), *[r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
                   for r in out.collect()) == brute_removal(rows, 50)
+
+
+def test_copies_do_not_make_a_key_hot():
+    """Equal pieces of a key count once, however many chunks hold them; different ones add up."""
+    rng = random.Random(6)
+    passage = prose(rng, 40).encode()
+    copies = [[passage] for _ in range(60)]
+    varied = [[prose(rng, 9).encode() + b" one string that is the same among others " + prose(rng, 9).encode()] for _ in range(60)]
+
+    def most(chunks):
+        rows = []
+        for chunk, texts_ in enumerate(chunks):
+            _, _, length, keys, tags = suffix_dedup._runs(texts_, 50, 16, hashed=True)
+            rows += suffix_dedup._key_rows(1, chunk, keys, np.full(len(keys), chunk),
+                                           lambda order, edge: suffix_dedup._pieces_of_keys(
+                                               (length + 49)[order], tags[order], edge))
+        table_ = pa.table([pa.array(c, t) for c, t in zip(zip(*rows), suffix_dedup._KEY_TYPES)],
+                          names=suffix_dedup._KEY_NAMES)
+        for bound in (100, 200, 400, 800, 1600, 3200, 6400):
+            if not any(len(x.as_py()) for x in suffix_dedup._shared_keys(bound)(table_).column("hot")):
+                return bound
+
+    assert most(copies) <= 400 < 1600 <= most(varied)
+
+
+def test_pieces_alone_in_their_key_and_sorted_ones_agree(spark, tmp_path):
+    """A passage that only whole copies hold (not sorted) beside ones cut at any place (sorted)."""
+    rng = random.Random(8)
+    whole, cut = prose(rng, 60), prose(rng, 60)
+    rows = [(i, whole, "a") for i in (9, 3, 7)]
+    rows += [(20 + i, prose(rng, 5) + cut[i:90 + 7 * i] + prose(rng, 5), "a") for i in range(20)]
+    got = suffix_dedup.report(suffix_dedup.remove_repeats(table(spark, tmp_path, rows), chunk_rows=4)).collect()
+    assert sorted((str(r["id"]), *[r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
+                  for r in got) == brute_removal(rows, 50)
