@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stellata.functions.text import strip_dot_zero
+from stellata.functions.text import strip_dot_zero, xml_escape
 from stellata.operators.aggregates import observed_counts
 
 
@@ -58,6 +58,47 @@ def write_gdp_xml(df: DataFrame, path: str, root_tag: str = "pib_municipios",
      .option("rootTag", root_tag).option("rowTag", row_tag).save(path))
 
 
+def _write_document(df: DataFrame, path: str, value: Column, sort_by: Sequence[str],
+                    head: str, tail: str | None) -> None:
+    """Part files that, one after the other in the order of their names, are one document:
+    ``head``, the rows' texts by ``sort_by``, ``tail``. Head and tail are rows that sort
+    first and last, so a range partition places them and no task sees the whole."""
+    if not sort_by:
+        raise ValueError("a document needs an order: give sort_by")
+    keys = [f"k{i}" for i in range(len(sort_by))]
+    body = df.select(F.lit(1).alias("place"), value.alias("value"),
+                     *[F.col(c).alias(k) for c, k in zip(sort_by, keys)])
+    ends = [(0, head)] + ([] if tail is None else [(2, tail)])
+    ends = df.sparkSession.createDataFrame(ends, "place int, value string")
+    order = [F.col("place"), *[F.col(k).asc_nulls_last() for k in keys]]
+    (body.unionByName(ends, allowMissingColumns=True).repartitionByRange(*order)
+     .sortWithinPartitions(*order).select("value").write.mode("overwrite").text(path))
+
+
+def write_csv_document(df: DataFrame, path: str, sort_by: Sequence[str], sep: str = ";") -> None:
+    """One ordered CSV written by many tasks: the part files joined in the order of their
+    names (``hadoop fs -getmerge``) are the file that ``write_csv`` makes with one task, its
+    header once at the top. An empty table gives the header alone."""
+    head = df.sparkSession.range(1).select(
+        F.to_csv(F.struct(*[F.lit(c).alias(c) for c in df.columns]), {"sep": sep})).first()[0]
+    _write_document(df, path, F.to_csv(F.struct(*[F.col(c) for c in df.columns]), {"sep": sep}),
+                    sort_by, head, None)
+
+
+def write_xml_document(df: DataFrame, path: str, sort_by: Sequence[str], root_tag: str = "pib_municipios",
+                       row_tag: str = "municipio") -> None:
+    """One ordered XML document written by many tasks, values as in ``write_gdp_xml``: the part
+    files joined in the order of their names are the document, declaration and root at its
+    ends only. An empty table gives an empty root."""
+    def element(c):
+        value = F.coalesce(strip_dot_zero(F.col(c).cast("string")), F.lit(""))
+        return F.concat(F.lit(f"        <{c}>"), xml_escape(value), F.lit(f"</{c}>\n"))
+
+    row = F.concat(F.lit(f"    <{row_tag}>\n"), *[element(c) for c in df.columns], F.lit(f"    </{row_tag}>"))
+    _write_document(df, path, row, sort_by,
+                    f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n<{root_tag}>', f"</{root_tag}>")
+
+
 def write_table(df: DataFrame, path: str | None = None, table: str | None = None,
                 partition_by: Sequence[str] = ()) -> None:
     """Load a staging or star table (``INSERT INTO … SELECT`` / bulk insert):

@@ -7,11 +7,13 @@ import json
 import os
 import tempfile
 from decimal import Decimal
+from xml.etree import ElementTree
 
 from pyspark.sql import functions as F
 
 from stellata.plans.star import dim_estacao
-from stellata.sources.sinks import write_csv, write_gdp_xml, write_table
+from stellata.sources.sinks import (write_csv, write_csv_document, write_gdp_xml, write_table,
+                                    write_xml_document)
 from stellata.sources.tables import (GDP_SHEET_COLUMNS, clean_gdp_sheet, explode_json_column,
                                      read_cases, read_density, read_density_raw, read_gdp_xml,
                                      read_stations)
@@ -108,3 +110,53 @@ def test_write_table_is_idempotent(spark, scratch):
     write_table(df, out, partition_by=["ano"])
     write_table(df, out, partition_by=["ano"])
     assert spark.read.parquet(out).count() == 5
+
+
+def _joined(path):
+    """(part files with bytes, their bytes joined in the order of the names)."""
+    names = sorted(n for n in os.listdir(path) if n.startswith("part-"))
+    texts = [open(os.path.join(path, n), "rb").read() for n in names]
+    return sum(map(bool, texts)), b"".join(texts)
+
+
+def _places(spark, n):
+    """Rows in no order, with nulls, empty texts, separators, quotes, markup and ties."""
+    odd = ["São José; d'Oeste", 'a "b" c', "x & y <z>", "", None, "line\nbreak", "7.0"]
+    return spark.createDataFrame([((i * 7919) % n // 2 if i % 50 else None, i, odd[i % len(odd)], i / 4) for i in range(n)],
+                                 "chave int, n int, nome string, valor double").repartition(6)
+
+
+def test_csv_document_equals_the_file_of_one_task(spark, scratch):
+    whole, parts = os.path.join(_tmp(scratch), "um"), os.path.join(_tmp(scratch), "varios")
+    df = _places(spark, 3000)
+    with_aqe = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_csv_document(df, parts, ["chave", "n"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_aqe)
+    one_task = df.coalesce(1).sortWithinPartitions(F.col("chave").asc_nulls_last(), F.col("n").asc_nulls_last())
+    write_csv(one_task, whole)
+    files, text = _joined(parts)
+    assert files > 3
+    assert _joined(whole) == (1, text)
+    write_csv_document(df.limit(0), parts, ["chave"])
+    assert _joined(parts)[1] == b"chave;n;nome;valor\n"
+
+
+def test_xml_document_from_many_tasks(spark, scratch):
+    parts = os.path.join(_tmp(scratch), "pib")
+    df = _places(spark, 400)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_xml_document(df, parts, ["n"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files, text = _joined(parts)
+    assert files > 3 and text.count(b"<pib_municipios>") == text.count(b"</pib_municipios>") == 1
+    rows = ElementTree.fromstring(text).findall("municipio")
+    assert [int(r.findtext("n")) for r in rows] == list(range(400))
+    told = {r["n"]: r["nome"] for r in df.collect()}
+    assert all((r.findtext("nome") or "") == (told[int(r.findtext("n"))] or "").removesuffix(".0") for r in rows)
+    write_xml_document(df.limit(0), parts, ["n"])
+    assert len(ElementTree.fromstring(_joined(parts)[1])) == 0
