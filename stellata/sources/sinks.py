@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stellata.functions.text import strip_dot_zero, xml_escape
+from stellata.functions.text import strip_dot_zero
 from stellata.operators.aggregates import observed_counts
 
 
@@ -88,11 +88,14 @@ def write_csv_document(df: DataFrame, path: str, sort_by: Sequence[str], sep: st
 def write_xml_document(df: DataFrame, path: str, sort_by: Sequence[str], root_tag: str = "pib_municipios",
                        row_tag: str = "municipio") -> None:
     """One ordered XML document written by many tasks, values as in ``write_gdp_xml``: the part
-    files joined in the order of their names are the document, declaration and root at its
-    ends only. An empty table gives an empty root."""
+    files joined in the order of their names are the document that one task writes, with a
+    line break after it; declaration and root are at its ends only. An empty table gives an
+    empty root."""
     def element(c):
         value = F.coalesce(strip_dot_zero(F.col(c).cast("string")), F.lit(""))
-        return F.concat(F.lit(f"        <{c}>"), xml_escape(value), F.lit(f"</{c}>\n"))
+        for mark, entity in (("&", "&amp;"), ("<", "&lt;"), ("]]>", "]]&gt;")):  # as the XML writer does
+            value = F.replace(value, F.lit(mark), F.lit(entity))
+        return F.concat(F.lit(f"        <{c}>"), value, F.lit(f"</{c}>\n"))
 
     row = F.concat(F.lit(f"    <{row_tag}>\n"), *[element(c) for c in df.columns], F.lit(f"    </{row_tag}>"))
     _write_document(df, path, row, sort_by,

@@ -158,5 +158,8 @@ def test_xml_document_from_many_tasks(spark, scratch):
     assert [int(r.findtext("n")) for r in rows] == list(range(400))
     told = {r["n"]: r["nome"] for r in df.collect()}
     assert all((r.findtext("nome") or "") == (told[int(r.findtext("n"))] or "").removesuffix(".0") for r in rows)
+    whole = os.path.join(_tmp(scratch), "um")
+    write_gdp_xml(df.coalesce(1).sortWithinPartitions("n"), whole, single_document=True)
+    assert text == _joined(whole)[1] + b"\n"
     write_xml_document(df.limit(0), parts, ["n"])
     assert len(ElementTree.fromstring(_joined(parts)[1])) == 0
