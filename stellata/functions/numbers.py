@@ -46,11 +46,12 @@ def tolerant_float(c, null_sentinel: bool = True) -> Column:
     ``MISSING_READINGS`` and unparsable text are NULL. With ``null_sentinel`` any
     value equal to -9999 (``-9999,00`` etc.) is NULL too. NaN/Infinity text is NULL."""
     s = F.replace(strip_ws(c), F.lit(","), F.lit("."))
-    v = s.try_cast("double")
-    v = F.when(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(None).cast("double")).otherwise(v)
+    v = F.when(~s.isin(*MISSING_READINGS), s).try_cast("double")
+    # the number stands in a condition that is always evaluated, so that a text is parsed once
+    good = F.abs(v) < float("inf")
     if null_sentinel:
-        v = F.when(v == SENTINEL, F.lit(None).cast("double")).otherwise(v)
-    return F.when(s.isin(*MISSING_READINGS), F.lit(None).cast("double")).otherwise(v)
+        good &= v != SENTINEL
+    return F.when(good, v)
 
 
 def locale_number(c, precision: int = 10, scale: int = 2) -> Column:

@@ -6,9 +6,9 @@ header line (the first line from the ninth on whose text contains ``DATA``), the
 rows separated by ``;`` or ``,`` (whichever the header uses).
 
 Spark plan: one ``binaryFile`` scan (name filter applied in the file listing), bytes
-decoded as Latin-1 (one file = one station-year, a few MB). A file is split into lines
-once; the header is found by its position among them, and what follows is split into
-records and cells of any number, quotes honoured, with array expressions.
+decoded as Latin-1 (one file = one station-year, a few MB). The header is found by its
+place in the text; what follows is split into records, quotes honoured, and each record
+into its cells, of any number, after the records have become rows.
 Map-only: no shuffle, no second scan, no Python per row.
 """
 
@@ -63,22 +63,30 @@ def _once(df: DataFrame, **columns) -> DataFrame:
 
 
 def csv_records(text, sep):
-    """The records of a CSV text as an array of arrays of cells (null: null).
+    """The records of a CSV text as an array of texts (null: null), which ``csv_cells``
+    takes apart.
 
     A cell in quotes may hold separators, line breaks and doubled quotes; a quote
     between two other characters of a cell is an ordinary character. The text is cut
     at its quotes: pieces at even places lie outside quoted cells, an empty one between
-    two quoted pieces is a doubled quote."""
+    two quoted pieces is a doubled quote. A text without quotes is marked as it is."""
     text = F.replace(text, F.lit("\r\n"), F.lit("\n"))
-    text = F.regexp_replace(text, '(?<=[^;,\n"])"(?=[^;,\n"])', _QUOTE)
-    pieces = F.split(text, '"')
+    pieces = F.split(F.regexp_replace(text, '(?<=[^;,\n"])"(?=[^;,\n"])', _QUOTE), '"')
     last = F.size(pieces) - 1
     outside = lambda x: F.replace(F.replace(x, sep, F.lit(_CELL)), F.lit("\n"), F.lit(_RECORD))
     marked = F.transform(pieces, lambda x, i: F.when(i % 2 == 1, x)
                          .when((x == "") & (i > 0) & (i < last), F.lit(_QUOTE)).otherwise(outside(x)))
-    whole = F.array_join(marked, "")
-    return F.transform(F.split(whole, _RECORD), lambda r: F.transform(
-        F.split(r, _CELL), lambda c: F.replace(c, F.lit(_QUOTE), F.lit('"'))))
+    whole = F.when(text.contains('"'), F.array_join(marked, "")).otherwise(outside(text))
+    return F.split(whole, _RECORD)
+
+
+def csv_cells(record):
+    """The cells of a record of ``csv_records``; ``csv_text`` gives what a cell says."""
+    return F.split(record, _CELL)
+
+
+def csv_text(cell):
+    return F.replace(cell, F.lit(_QUOTE), F.lit('"'))
 
 
 def read_files(spark: SparkSession, root: str, years=YEARS) -> DataFrame:
@@ -109,40 +117,38 @@ UNREADABLE = "ilegivel"
 
 
 def file_facts(files: DataFrame) -> DataFrame:
-    """Per file: station metadata, ``situacao``, the records after the header (arrays of
-    cells, null unless the file is read) and the position of every logical column."""
-    df = _once(files, _lines=F.split("texto", "\r?\n")).drop("texto")
-    pre = F.slice("_lines", 1, PREAMBLE_LINES)
-    kv = F.transform(F.filter(pre, lambda x: strip_ws(x).contains(";")),
-                     lambda x: F.split(strip_ws(x), ";"))
+    """Per file: station metadata, ``situacao``, the records from the header on (texts for
+    ``csv_cells``, null unless the file is read) and the position of every logical column."""
+    head = F.substring_index("texto", "\n", PREAMBLE_LINES)
+    df = _once(files, _pre=F.transform(F.split(head, "\n"), strip_ws),
+               _body=F.substr("texto", F.length(head) + 2)).drop("texto")
+    kv = F.transform(F.filter("_pre", lambda x: x.contains(";")), lambda x: F.split(x, ";"))
     kv = F.transform(kv, lambda p: F.struct(
         F.upper(F.trim(F.replace(p[0], F.lit(":"), F.lit("")))).alias("k"),
         F.coalesce(F.trim(F.get(p, 1)), F.lit("")).alias("v")))
+    df = _once(df, _kv=kv, _upper=F.upper("_body"))
 
     def meta(key):  # the last line with the key wins
         return F.try_element_at(F.filter("_kv", lambda s: s["k"] == key), F.lit(-1))["v"]
 
     # the header: the first line from the ninth on with DATA in it (any case)
-    after = F.slice("_lines", PREAMBLE_LINES + 1, F.greatest(F.size("_lines") - PREAMBLE_LINES, F.lit(0)))
-    found = F.array_position(F.transform(after, lambda x: F.upper(x).contains("DATA")), True)
-    df = _once(df, _kv=kv, _at=found.cast("int"))
-    start = F.col("_at") + PREAMBLE_LINES  # 1-based place of the header line
-    header = F.get("_lines", start - 1)
-    state = F.upper(F.trim(F.coalesce(meta("UF"), F.lit("")))) == STATE
-    usable = state & (F.col("_at") > 0)
+    found = F.when(F.col("_upper").contains("DATA"), F.size(F.split(F.substring_index("_upper", "DATA", 1), "\n")))
+    df = _once(df, _state=F.upper(F.trim(F.coalesce(meta("UF"), F.lit("")))) == STATE,
+               _at=F.coalesce(found, F.lit(0)), _latitude=F.coalesce(meta("LATITUDE"), F.lit("")),
+               _longitude=F.coalesce(meta("LONGITUDE"), F.lit("")), _altitude=F.coalesce(meta("ALTITUDE"), F.lit("")),
+               codigo_estacao=F.trim(F.coalesce(meta("CODIGO (WMO)"), meta("CODIGO"), F.lit(""))),
+               nome_estacao=F.trim(F.coalesce(meta("ESTACAO"), F.lit("")))).drop("_kv", "_upper")
+    usable = F.col("_state") & (F.col("_at") > 0)
+    above = F.expr("substring_index(_body, '\n', _at - 1)")
+    rest = F.when(F.col("_at") > 1, F.substr("_body", F.length(above) + 2)).otherwise(F.col("_body"))
     df = _once(
-        df,
-        codigo_estacao=F.trim(F.coalesce(meta("CODIGO (WMO)"), meta("CODIGO"), F.lit(""))),
-        nome_estacao=F.trim(F.coalesce(meta("ESTACAO"), F.lit(""))),
-        latitude=tolerant_float(F.coalesce(meta("LATITUDE"), F.lit("")), null_sentinel=False),
-        longitude=tolerant_float(F.coalesce(meta("LONGITUDE"), F.lit("")), null_sentinel=False),
-        altitude=tolerant_float(F.coalesce(meta("ALTITUDE"), F.lit("")), null_sentinel=False),
-        h_linha=F.when(usable, start - 1), _state=state,
-        _sep=F.when(header.contains(";"), F.lit(";")).otherwise(F.lit(",")),
-        _rest=F.when(usable, F.array_join(F.slice(
-            "_lines", F.greatest(start, F.lit(1)), F.greatest(F.size("_lines") - start + 1, F.lit(0))), "\n")))
-    df = _once(df.drop("_lines", "_kv"), registros=csv_records(F.col("_rest"), F.col("_sep"))).drop("_rest", "_sep")
-    names = F.transform(F.get("registros", F.lit(0)), lambda c: F.upper(F.trim(c)))
+        df.select(*[c for c in df.columns if c not in ("_latitude", "_longitude", "_altitude")],
+                  *[tolerant_float(f"_{c}", null_sentinel=False).alias(c) for c in ("latitude", "longitude", "altitude")]),
+        h_linha=F.when(usable, F.col("_at") + PREAMBLE_LINES - 1),
+        _rest=F.when(usable, F.replace(rest, F.lit("\r\n"), F.lit("\n")))).drop("_body")
+    sep = F.when(F.substring_index("_rest", "\n", 1).contains(";"), F.lit(";")).otherwise(F.lit(","))
+    df = _once(_once(df, _sep=sep), registros=csv_records(F.col("_rest"), F.col("_sep"))).drop("_rest", "_sep")
+    names = F.transform(csv_cells(F.get("registros", F.lit(0))), lambda c: F.upper(F.trim(csv_text(c))))
     df = _once(df, _norm=names)
 
     def position(aliases):  # first alias (in priority order) present; its first position
@@ -184,14 +190,14 @@ def hourly_from_files(files: DataFrame) -> DataFrame:
     or an empty date are skipped. ``linha`` is the record's place, counted in lines from
     the top of the file (a quoted line break does not count)."""
     facts = file_facts(files).where(F.col("situacao") == READ)
-    body = facts.select("*", F.posexplode("registros").alias("_n", "_c")).drop("registros").where("_n > 0")
-    body = body.withColumn("linha", F.col("h_linha") + F.col("_n"))
+    body = facts.select("*", F.posexplode("registros").alias("_n", "_r")).drop("registros").where("_n > 0")
+    body = _once(body, linha=F.col("h_linha") + F.col("_n"), _c=csv_cells(F.col("_r"))).drop("_r")
 
     def cell(logical):
-        return F.get("_c", F.col(f"p_{logical}"))
+        return csv_text(F.get("_c", F.col(f"p_{logical}")))
 
     date_text = strip_ws(cell("data"))
-    body = body.where((F.coalesce(F.length(strip_ws(F.col("_c")[0])), F.lit(0)) > 0)
+    body = body.where((F.coalesce(F.length(strip_ws(csv_text(F.col("_c")[0]))), F.lit(0)) > 0)
                       & (F.coalesce(F.length(date_text), F.lit(0)) > 0))
     return body.select(
         "ano", "codigo_estacao", "nome_estacao", "latitude", "longitude", "altitude",

@@ -233,3 +233,14 @@ def test_readings_are_rounded_once(spark):
     assert got["temp_med_c"] == got["precipitacao_mm"] == Decimal("0.00")
     got = hourly_to_daily(spark.createDataFrame([one(0.005, 1), one(0.005, 2), one(0.005, 3)], cols)).collect()[0]
     assert got["temp_med_c"] == Decimal("0.01") and got["precipitacao_mm"] == Decimal("0.02")
+
+
+def test_a_report_takes_no_cells_apart_and_a_reading_is_parsed_once(spark):
+    from stellata.functions.numbers import tolerant_float
+    from stellata.sources.weather import file_facts, file_report
+    text = "\r\n".join(["UF:;PR"] + ["X:;1"] * 7 + ["Data;Temp. (°C)", "2020-01-01;1,5", '2020-01-02;"2;5"', ""])
+    files = spark.createDataFrame([("f", 2020, text), ("n", 2020, None)], "arquivo string, ano int, texto string")
+    assert dict(file_facts(files).dtypes)["registros"] == "array<string>"
+    assert sorted(map(tuple, file_report(files).collect())) == [("f", 2020, "lido", 3), ("n", 2020, "outra uf", 0)]
+    plan = spark.createDataFrame([("1,5",)], "x string").select(tolerant_float("x"))._jdf.queryExecution().analyzed()
+    assert plan.toString().count("as double") <= 3
