@@ -57,8 +57,7 @@ def weather_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     def line(values, filler):
         extra = F.when(k % WIDE_EVERY == 0, F.array_repeat(F.lit(filler), EXTRA_COLUMNS)).otherwise(
             F.array().cast("array<string>"))
-        whole = F.concat(extra, turned(values))
-        return F.when(semicolon, F.array_join(whole, ";")).otherwise(F.array_join(whole, ","))
+        return F.call_function("concat_ws", F.when(semicolon, F.lit(";")).otherwise(F.lit(",")), extra, turned(values))
 
     def spelled(logical):
         spellings = HEADER_ALIASES[logical]
@@ -67,7 +66,9 @@ def weather_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = t["lineitem"].join(t["orders"], F.col("l_orderkey") == k)
     own = ["o_orderkey", "o_custkey", F.year("o_orderdate").alias("ano")]
-    lines = rows.select(*own, "l_linenumber", line([cells[c] for c in names], "x").alias("_line"))
+    # the cells first: a line names each of them in every order of the columns
+    lines = rows.select(*own, "l_linenumber", *[cells[c].alias(c) for c in names]).select(
+        "o_orderkey", "o_custkey", "ano", "l_linenumber", line([F.col(c) for c in names], "x").alias("_line"))
     files = lines.groupBy("o_orderkey", "o_custkey", "ano").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "_line"))), lambda s: s["_line"]).alias("_body"))
     c = F.col("o_custkey")
@@ -81,7 +82,8 @@ def weather_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("ALTITUDE:;"), (c % 1000).cast("string")), F.lit("FUNDACAO:;22/05/06"))
     notes = F.array_repeat(F.lit("nota;"), (k % 4).cast("int"))
     header = F.when(k % NO_HEADER_EVERY == 0, F.array().cast("array<string>")).otherwise(
-        F.array(line([spelled(x) for x in names], "EXTRA")))
+        F.array(line([F.col(x) for x in names], "EXTRA")))
+    files = files.select("*", *[spelled(x).alias(x) for x in names])
     return files.select(F.concat(F.lit("pedido-"), k.cast("string")).alias("arquivo"), "ano",
                         F.array_join(F.concat(pre, notes, header, "_body"), "\r\n").alias("texto"))
 
