@@ -7,12 +7,34 @@ inside each task before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stellata.functions.numbers import avg_half_up, sum_exact
 
+#: Readings below the bound that have at most four fractional digits are summed as whole
+#: numbers of their last digit; 9e9 of them fit into a long.
+_UNIT, _BOUND = 10_000, 1e5
+
+
+def _sum_of_readings(df: DataFrame, name: str) -> Column:
+    """Sum of a column as decimal(38,18), each reading as the decimal that it is written as."""
+    x = F.col(name)
+    if not isinstance(df.schema[name].dataType, T.DoubleType):
+        return F.sum(x.cast("decimal(38,18)"))
+    units = F.rint(x * _UNIT)
+    short = (F.abs(x) < _BOUND) & (units / float(_UNIT) == x)
+    whole = F.sum(F.when(short, units.cast("bigint"))).cast("decimal(20,0)") * F.lit(Decimal(1) / _UNIT)
+    rest = F.sum(F.when(~short, x.cast("decimal(38,18)")))
+    # the sum of two decimals of 37 digits keeps all 18 fractional ones
+    both = F.coalesce(whole.cast("decimal(37,18)") + rest.try_cast("decimal(37,18)"),
+                      (whole + rest).cast("decimal(38,18)"))
+    return F.when(rest.isNull(), whole.cast("decimal(38,18)")).when(whole.isNull(), rest).otherwise(both)
+
+
 def hourly_to_daily(hourly: DataFrame, station: str = "codigo_estacao", day: str = "data",
                     first_seen: Sequence[str] = ("ano", "nome_estacao", "latitude", "longitude", "altitude"),
                     seen_order: Sequence[str] = ("ano", "arquivo", "linha")) -> DataFrame:
@@ -24,9 +46,9 @@ def hourly_to_daily(hourly: DataFrame, station: str = "codigo_estacao", day: str
     double of this size holds, so sums do not depend on the order of the rows; the mean
     is divided to 18 digits and rounded half-up to 2 (the source rounds binary
     floats half-even, which differs only on exact ties)."""
-    total = lambda c: F.sum(F.col(c).cast("decimal(38,18)"))
-    meta = F.min_by(F.struct(*[F.col(c) for c in first_seen]),
-                    F.struct(*[F.col(c) for c in seen_order])).alias("_m")
+    total = lambda c: _sum_of_readings(hourly, c)
+    # the least of one struct: what orders the readings stands first
+    meta = F.min(F.struct(*seen_order, *[c for c in first_seen if c not in seen_order])).alias("_m")
     daily = hourly.groupBy(station, day).agg(
         meta,
         F.max("temp_max_c").alias("temp_max_c"),

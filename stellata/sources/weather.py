@@ -71,7 +71,8 @@ def csv_records(text, sep):
     at its quotes: pieces at even places lie outside quoted cells, an empty one between
     two quoted pieces is a doubled quote. A text without quotes is marked as it is."""
     text = F.replace(text, F.lit("\r\n"), F.lit("\n"))
-    pieces = F.split(F.regexp_replace(text, '(?<=[^;,\n"])"(?=[^;,\n"])', _QUOTE), '"')
+    # the pattern begins with the quote: other characters are passed over at once
+    pieces = F.split(F.regexp_replace(text, '"(?=[^;,\n"])(?<=[^;,\n"]")', _QUOTE), '"')
     last = F.size(pieces) - 1
     outside = lambda x: F.replace(F.replace(x, sep, F.lit(_CELL)), F.lit("\n"), F.lit(_RECORD))
     marked = F.transform(pieces, lambda x, i: F.when(i % 2 == 1, x)
@@ -126,10 +127,11 @@ def file_facts(files: DataFrame) -> DataFrame:
     kv = F.transform(kv, lambda p: F.struct(
         F.upper(F.trim(F.replace(p[0], F.lit(":"), F.lit("")))).alias("k"),
         F.coalesce(F.trim(F.get(p, 1)), F.lit("")).alias("v")))
-    df = _once(df, _kv=kv, _upper=F.upper("_body"))
+    df = _once(df, _kv=F.reverse(kv), _upper=F.upper("_body"))
+    df = _once(df, _k=F.col("_kv")["k"], _v=F.col("_kv")["v"]).drop("_kv")
 
-    def meta(key):  # the last line with the key wins
-        return F.try_element_at(F.filter("_kv", lambda s: s["k"] == key), F.lit(-1))["v"]
+    def meta(key):  # the last line with the key wins; without one, place -1 gives null
+        return F.get("_v", (F.array_position("_k", key) - 1).cast("int"))
 
     # the header: the first line from the ninth on with DATA in it (any case)
     found = F.when(F.col("_upper").contains("DATA"), F.size(F.split(F.substring_index("_upper", "DATA", 1), "\n")))
@@ -137,7 +139,7 @@ def file_facts(files: DataFrame) -> DataFrame:
                _at=F.coalesce(found, F.lit(0)), _latitude=F.coalesce(meta("LATITUDE"), F.lit("")),
                _longitude=F.coalesce(meta("LONGITUDE"), F.lit("")), _altitude=F.coalesce(meta("ALTITUDE"), F.lit("")),
                codigo_estacao=F.trim(F.coalesce(meta("CODIGO (WMO)"), meta("CODIGO"), F.lit(""))),
-               nome_estacao=F.trim(F.coalesce(meta("ESTACAO"), F.lit("")))).drop("_kv", "_upper")
+               nome_estacao=F.trim(F.coalesce(meta("ESTACAO"), F.lit("")))).drop("_k", "_v", "_upper")
     usable = F.col("_state") & (F.col("_at") > 0)
     above = F.expr("substring_index(_body, '\n', _at - 1)")
     rest = F.when(F.col("_at") > 1, F.substr("_body", F.length(above) + 2)).otherwise(F.col("_body"))
