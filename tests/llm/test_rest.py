@@ -349,7 +349,7 @@ def test_probes_come_in_order_of_cost():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_queries_equal_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     cur = con.execute(SQL[name])
     columns = [c[0] for c in cur.description]

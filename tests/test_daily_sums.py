@@ -31,6 +31,6 @@ def test_short_and_long_fractions_sum_exactly(spark):
         assert got["precipitacao_mm"] == whole, values
 
 
-def test_no_struct_is_kept_twice_and_short_readings_are_sums_of_longs(spark):
+def test_short_readings_are_summed_as_longs_beside_one_struct(spark):
     plan = hourly_to_daily(spark.createDataFrame([_row(1.0)], SCHEMA))._jdf.queryExecution().optimizedPlan().toString()
     assert "min_by" not in plan and "as bigint)" in plan
