@@ -12,6 +12,9 @@ share their key, so they travel as one piece of text with 49 more bytes. A key t
 only one document has cannot belong to a repeated string: those suffixes stay home.
 Documents travel in chunks, and a chunk sends equal pieces once.
 
+What a chunk learns of its keys is their last 32 bits: a key that is taken for a shared
+one by them sends a piece too many, which changes no result. Pieces travel packed.
+
 A key whose pieces are all equal needs no sort: its strings occur in copies of that piece
 only. The suffixes of all other pieces are sorted.
 
@@ -19,7 +22,9 @@ A short string with many different neighbours is the key of very many different
 pieces. The bytes of the different pieces of each key are counted before anything is sent
 (equal ones once, however many chunks hold them); the suffixes of a key above what one
 task should sort are dealt by the hash of their whole 50 bytes instead: equal strings
-still meet, and those that only one document has stay home.
+still meet, and those that only one document has stay home. There is at most one such key
+for each ``HOT_BYTES`` of pieces; all tasks are told them, so that the documents need not be
+dealt out once more to find them.
 """
 
 from __future__ import annotations
@@ -32,8 +37,8 @@ from pyspark.sql import functions as F
 from stellata.llm.common import col, numbered, stored, text_of, with_row
 
 WINDOW, GRAM = 50, 16
-#: Rows of a chunk (a power of two), text bytes per part of the keys and of the pieces.
-CHUNK_ROWS, KEY_BYTES, PIECE_BYTES = 256, 8 << 20, 2 << 20
+#: Text bytes of a chunk on average and its rows at most, text bytes per part of the keys and of the pieces.
+CHUNK_BYTES, CHUNK_ROWS, KEY_BYTES, PIECE_BYTES = 4 << 20, 4096, 8 << 20, 2 << 20
 #: Positions whose keys are computed together, and suffixes of one piece at most.
 _SPAN, _LONGEST = 1 << 20, 4096
 _NO_ID = np.iinfo(np.int64).max
@@ -287,28 +292,41 @@ _KEY_TYPES = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 _KEY_SCHEMA = "part int, chunk long, keys binary, several binary, pieces binary"
 
 
-def _send_keys(parts: int, window: int, gram: int):
+def _of_chunks(key_rows):
+    """A step over batches of documents; ``key_rows`` makes the rows of a chunk, or of what a batch has of it."""
     def run(batches):
         for batch in batches:
             chunks = np.asarray(batch.column("chunk"))
             out = []
             for chunk in np.unique(chunks).tolist():
                 _, ids, texts = _chunk_of(pa.table(batch.filter(pa.array(chunks == chunk))))
-                text, _, length, keys, tags = _runs(texts, window, gram, hashed=True)
-                if not len(keys):
-                    continue
-                out += _key_rows(parts, chunk, keys, ids[text], lambda order, edge: _pieces_of_keys(
-                    (length + window - 1)[order], tags[order], edge))
+                out += key_rows(chunk, ids, texts)
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), _KEY_TYPES)], names=_KEY_NAMES)
     return run
 
 
-def _numbers(table, name: str = "keys") -> np.ndarray:
-    """All keys of a column of blobs, each once."""
-    return np.unique(np.concatenate([np.zeros(0, dtype=np.uint64)] + [
-        np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column(name)]))
+def _send_keys(parts: int, window: int, gram: int):
+    def key_rows(chunk, ids, texts):
+        text, _, length, keys, tags = _runs(texts, window, gram, hashed=True)
+        if not len(keys):
+            return []
+        return _key_rows(parts, chunk, keys, ids[text], lambda order, edge: _pieces_of_keys(
+            (length + window - 1)[order], tags[order], edge))
+
+    return _of_chunks(key_rows)
+
+
+def _short(keys: np.ndarray) -> np.ndarray:
+    """The bits of keys by which a chunk is told which of its own are meant."""
+    return keys.astype(np.uint32)
+
+
+def _numbers(table, name: str, kind=np.uint64) -> np.ndarray:
+    """All numbers of a column of blobs, each once."""
+    return np.unique(np.concatenate([np.zeros(0, dtype=kind)] + [
+        np.frombuffer(x.as_py(), dtype=kind) for x in table.column(name)]))
 
 
 def _windows_of(texts, text, start, length, window: int):
@@ -321,28 +339,23 @@ def _windows_of(texts, text, start, length, window: int):
     return text[of], at, np.concatenate([np.zeros(0, dtype=np.uint64)] + pieces)
 
 
-def _send_windows(parts: int, window: int, gram: int):
+def _send_windows(parts: int, window: int, gram: int, hot: np.ndarray):
     """The keys of the second deal: hashes of the windows whose first key is hot."""
-    def run(docs, shared):
-        out = []
-        hot = _numbers(shared, "hot")
-        if docs.num_rows and len(hot):
-            _, ids, texts = _chunk_of(docs)
-            text, start, length, keys = _runs(texts, window, gram)
-            at = np.flatnonzero(np.isin(keys, hot))
-            text, _, keys = _windows_of(texts, text[at], start[at], length[at], window)
-            if len(keys):
-                out = _key_rows(parts, int(docs.column("chunk")[0].as_py()), keys, ids[text],
-                                lambda order, edge: np.zeros(len(edge), dtype=np.uint32))
-        cols = list(zip(*out)) or [[]] * 5
-        return pa.table([pa.array(c, t) for c, t in zip(cols, _KEY_TYPES)], names=_KEY_NAMES)
+    def key_rows(chunk, ids, texts):
+        text, start, length, keys = _runs(texts, window, gram)
+        at = np.flatnonzero(np.isin(keys, hot))
+        if not len(at):
+            return []
+        text, _, keys = _windows_of(texts, text[at], start[at], length[at], window)
+        return _key_rows(parts, chunk, keys, ids[text], lambda order, edge: np.zeros(len(edge), dtype=np.uint32))
 
-    return run
+    return _of_chunks(key_rows)
 
 
-def _shared_keys(bound: int):
+def _shared_keys(bound: int, short=_short):
     """For each chunk of a part, which of its keys another document has too: those whose
-    different pieces have at most ``bound`` bytes, and the hot ones."""
+    different pieces have at most ``bound`` bytes (in short) and the hot ones. Beside the
+    first chunk, all hot ones of the part."""
     def run(table):
         keys = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column("keys")]
         several = np.concatenate([np.frombuffer(x.as_py(), dtype=bool) for x in table.column("several")])
@@ -354,16 +367,38 @@ def _shared_keys(bound: int):
         heavy = np.bincount(told >> 32, ((told & 0xFFFFFFFF) >> _TAG) * _UNIT, minlength=len(values)) > bound
         edges = np.cumsum([len(k) for k in keys])[:-1]
         mine, hot = (np.split(x[at], edges) for x in (shared & ~heavy, shared & heavy))
+        every = [values[shared & heavy].tobytes()] + [b""] * (len(keys) - 1)
         return pa.table({"chunk": table.column("chunk"),
-                         "keys": pa.array([k[m].tobytes() for k, m in zip(keys, mine)], pa.binary()),
-                         "hot": pa.array([k[m].tobytes() for k, m in zip(keys, hot)], pa.binary())})
+                         "keys": pa.array([short(k[m]).tobytes() for k, m in zip(keys, mine)], pa.binary()),
+                         "hot": pa.array([k[m].tobytes() for k, m in zip(keys, hot)], pa.binary()),
+                         "every_hot": pa.array(every, pa.binary())})
 
     return run
 
 
+def _packed(blobs: list[bytes]) -> tuple[int, bytes]:
+    """The length of all blobs together, and them as one Zstandard frame."""
+    data = b"".join(blobs)
+    return len(data), pa.compress(data, codec="zstd", asbytes=True)
+
+
+#: What is sent of a piece before its bytes: text, start, size, and the least and greatest id that have it.
+_PIECE = [np.int32] * 3 + [np.int64] * 2
+
+
+def _unpacked(n: int, size: int, packed: bytes):
+    """(text, start, size, least, most, bytes) of ``n`` pieces."""
+    data = pa.decompress(packed, size, codec="zstd", asbytes=True)
+    out, at = [], 0
+    for kind in _PIECE:
+        out.append(np.frombuffer(data, dtype=kind, count=n, offset=at))
+        at += out[-1].nbytes
+    return *out, data[at:]
+
+
 def _send_pieces(parts: int, window: int, gram: int):
-    names = ["part", "chunk", "text", "start", "size", "least", "most", "bytes"]
-    types = [pa.int32(), pa.int64()] + [pa.binary()] * 6
+    names = ["part", "chunk", "n", "size", "bytes"]
+    types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 
     def run(docs, shared):
         out = []
@@ -372,7 +407,7 @@ def _send_pieces(parts: int, window: int, gram: int):
             text, start, length, keys = _runs(texts, window, gram)
             at = np.flatnonzero(np.isin(keys, _numbers(shared, "hot")))
             hot = [x[at] for x in (text, start, length)]
-            at = np.flatnonzero(np.isin(keys, _numbers(shared)))
+            at = np.flatnonzero(np.isin(_short(keys), _numbers(shared, "keys", np.uint32)))
             text, start, length, keys, place = text[at], start[at], length[at], keys[at], start[at]
             if len(hot[0]):  # windows by themselves, told from runs by a start below zero
                 t, s, h = _windows_of(texts, *hot, window)
@@ -396,16 +431,15 @@ def _send_pieces(parts: int, window: int, gram: int):
             if kept:
                 kept, pieces = np.array(kept), [x for _, x in first]
                 size = length[kept] + window - 1
-                short = [x.astype(np.int32) for x in (text[kept], place[kept], size)]
-                for part, which, cols in _blobs(_part(keys[kept], parts), parts, *short, np.array(lows),
-                                                np.array(highs)):
-                    out.append((part, int(docs.column("chunk")[0].as_py()), *[c.tobytes() for c in cols],
-                                b"".join([pieces[j] for j in which.tolist()])))
-        cols = list(zip(*out)) or [[]] * 8
+                columns = [np.asarray(x).astype(kind) for kind, x in zip(
+                    _PIECE, (text[kept], place[kept], size, lows, highs))]
+                for part, which, cols in _blobs(_part(keys[kept], parts), parts, *columns):
+                    out.append((part, int(docs.column("chunk")[0].as_py()), len(which), *_packed(
+                        [c.tobytes() for c in cols] + [pieces[j] for j in which.tolist()])))
+        cols = list(zip(*out)) or [[]] * 5
         return pa.table([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
-    schema = "part int, chunk long, " + ", ".join(f"`{n}` binary" for n in names[2:])
-    return run, schema
+    return run, "part int, chunk long, n int, size int, bytes binary"
 
 
 def _sort_pieces(window: int, gram: int):
@@ -414,14 +448,15 @@ def _sort_pieces(window: int, gram: int):
     names = ["chunk", "text", "start", "size", "least"]
 
     def run(table):
-        number = lambda name, kind: [np.frombuffer(x.as_py(), dtype=kind) for x in table.column(name)]
-        lows, highs = number("least", np.int64), number("most", np.int64)
-        texts, starts, sizes = (number(c, np.int32) for c in ("text", "start", "size"))
         index: dict[bytes, int] = {}
         low, where = [], []
-        for j, blob in enumerate(table.column("bytes")):
-            data, at, mine = blob.as_py(), 0, []
-            for size, least in zip(sizes[j].tolist(), lows[j].tolist()):
+        texts, starts, sizes, highs = [], [], [], []
+        for n, size, packed in zip(*(table.column(c) for c in ("n", "size", "bytes"))):
+            text, start, long, lows, most, data = _unpacked(n.as_py(), size.as_py(), packed.as_py())
+            for held, x in zip((texts, starts, sizes, highs), (text, start, long, most)):
+                held.append(x.copy())  # else each would keep all the bytes of its row
+            at, mine = 0, []
+            for size, least in zip(long.tolist(), lows.tolist()):
                 k = index.setdefault(data[at:at + size], len(low))
                 at += size
                 if k == len(low):
@@ -525,7 +560,7 @@ def _remove(window: int, gram: int, id_type: str):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   gram: int = GRAM, chunk_rows: int = CHUNK_ROWS, key_bytes: int = KEY_BYTES,
+                   gram: int = GRAM, chunk_rows: int | None = None, key_bytes: int = KEY_BYTES,
                    piece_bytes: int = PIECE_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """One row per document: row, id, spans (removed ranges of bytes) and kept (the
     other bytes, joined).
@@ -537,33 +572,39 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     they do not remove from each other; null ids come after all others and do not remove
     from each other either. An empty table gives no rows; other columns are ignored.
 
-    Memory: a chunk of ``chunk_rows`` documents, or one part. A repeated string reaches
+    Memory: a chunk of ``chunk_rows`` documents (by themselves, as many as have about
+    ``CHUNK_BYTES`` of text, a power of two), or one part. A repeated string reaches
     its part once per chunk that holds it. Suffixes of a key with more than
-    ``hot_bytes`` of different pieces are dealt by all their bytes.
+    ``hot_bytes`` of different pieces are dealt by all their bytes; the driver gathers
+    these keys, 8 bytes each.
     """
     docs, row = with_row(docs)
+    size, n = docs.agg(F.sum(F.octet_length(text_of(text_col))), F.count("*")).first()
+    size = size or 0
+    if chunk_rows is None:
+        fit = min(CHUNK_ROWS, max(1, CHUNK_BYTES * n // max(size, 1)))
+        chunk_rows = 1 << fit.bit_length() - 1
     rows = (numbered(docs, row, id=col(id_col), text=text_of(text_col))
             .select(F.floor(F.col("row") / chunk_rows).alias("chunk"), "row", "id",
                     F.encode("text", "UTF-8").alias("text")))
     spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length(text_of(text_col)))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_parts, piece_parts = max(least, size // key_bytes), max(least, size // piece_bytes)
     keys = rows.mapInArrow(_send_keys(key_parts, window, gram), _KEY_SCHEMA)
-    shared = stored(keys.groupBy("part").applyInArrow(_shared_keys(hot_bytes), "chunk long, keys binary, hot binary")
-                    .where("octet_length(keys) > 0 OR octet_length(hot) > 0"), "shared_keys")
-    hot = shared.where("octet_length(hot) > 0")
+    answer = "chunk long, keys binary, hot binary, every_hot binary"
+    shared = stored(keys.groupBy("part").applyInArrow(_shared_keys(hot_bytes), answer).where(
+        "octet_length(keys) > 0 OR octet_length(hot) > 0 OR octet_length(every_hot) > 0"), "shared_keys")
+    hot = np.frombuffer(b"".join([x[0] for x in shared.where("octet_length(every_hot) > 0").select(
+        "every_hot").collect()]), dtype=np.uint64)
     nothing = F.lit(b"")
-    if hot.isEmpty():
-        shared = shared.withColumn("windows", nothing)
-    else:
-        again = rows.groupBy("chunk").cogroup(hot.select("chunk", "hot").groupBy("chunk")).applyInArrow(
-            _send_windows(key_parts, window, gram), _KEY_SCHEMA)
+    shared = shared.select("chunk", "keys", "hot", nothing.alias("windows"))
+    if len(hot):
+        again = rows.mapInArrow(_send_windows(key_parts, window, gram, hot), _KEY_SCHEMA)
         # of equal windows there is nothing to deal out further
         windows = stored(again.groupBy("part").applyInArrow(
-            _shared_keys(np.iinfo(np.int64).max), "chunk long, keys binary, hot binary")
+            _shared_keys(np.iinfo(np.int64).max, short=lambda keys: keys), answer)
             .where("octet_length(keys) > 0").select("chunk", F.col("keys").alias("windows")), "shared_windows")
-        shared = shared.withColumn("windows", nothing).unionByName(
+        shared = shared.unionByName(
             windows.select("chunk", nothing.alias("keys"), nothing.alias("hot"), "windows"))
     send, schema = _send_pieces(piece_parts, window, gram)
     pieces = rows.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(send, schema)

@@ -329,3 +329,54 @@ def test_pieces_alone_in_their_key_and_sorted_ones_agree(spark, tmp_path):
     got = suffix_dedup.report(suffix_dedup.remove_repeats(table(spark, tmp_path, rows), chunk_rows=4)).collect()
     assert sorted((str(r["id"]), *[r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
                   for r in got) == brute_removal(rows, 50)
+
+
+def test_hot_keys_do_not_deal_the_documents_out_again(spark, monkeypatch):
+    """The documents are dealt by chunk to send pieces and to lose bytes, whether there are hot keys or not."""
+    rng = random.Random(10)
+    rows = [(i, prose(rng, 9) + " one string that is the same among others " + prose(rng, 9), "a") for i in range(40)]
+    rows += [(100 + i, rows[i][1][20:110], "a") for i in range(0, 40, 4)]
+    docs = documents(spark, rows)
+    grouped = type(docs.groupBy("doc_id"))
+    cogroup, calls = grouped.cogroup, []
+    monkeypatch.setattr(grouped, "cogroup", lambda self, other: calls.append(1) or cogroup(self, other))
+    for hot_bytes in (1 << 20, 300, 0):
+        got = suffix_dedup.report(suffix_dedup.remove_repeats(docs, chunk_rows=4, hot_bytes=hot_bytes)).collect()
+        assert sorted((str(r["id"]), *[r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
+                      for r in got) == brute_removal(rows, 50)
+    assert len(calls) == 3 * 2
+
+
+def test_keys_and_pieces_travel_short():
+    """A chunk gets 4 bytes a shared key and sends less than the bytes of its pieces; a key that is
+    taken for a shared one changes nothing."""
+    rng = random.Random(12)
+    common = prose(rng, 30)
+    texts_ = [(prose(rng, 12) + common[i % 7:] + prose(rng, 12)).encode() for i in range(24)]
+    docs = [pa.table({"chunk": [c] * 6, "row": range(6 * c, 6 * c + 6), "id": range(6 * c, 6 * c + 6),
+                      "text": pa.array(texts_[6 * c:6 * c + 6], pa.binary())}) for c in range(4)]
+    send_keys = suffix_dedup._send_keys(1, 50, 16)
+    keys = pa.concat_tables(pa.Table.from_batches(list(send_keys(x.to_batches()))) for x in docs)
+    shared = suffix_dedup._shared_keys(1 << 20)(keys)
+    mine = [set(np.frombuffer(x.as_py(), dtype=np.uint64).tolist()) for x in keys.column("keys")]
+    assert [len(x.as_py()) for x in shared.column("keys")] == [
+        4 * len(k & set().union(*mine[:c], *mine[c + 1:])) for c, k in enumerate(mine)]
+    send, _ = suffix_dedup._send_pieces(1, 50, 16)
+    sort, _ = suffix_dedup._sort_pieces(50, 16)
+    remove, _ = suffix_dedup._remove(50, 16, "bigint")
+    every = keys.select(["chunk"]).append_column("keys", pa.array(
+        [np.frombuffer(x.as_py(), dtype=np.uint64).astype(np.uint32).tobytes() for x in keys.column("keys")]))
+    every = every.append_column("hot", pa.array([b""] * 4)).append_column("windows", pa.array([b""] * 4))
+    some = every.set_column(1, "keys", shared.column("keys"))
+    out = []
+    for told in (some, every):
+        pieces = [send(d, told.slice(c, 1)) for c, d in enumerate(docs)]
+        runs = suffix_dedup._runs(texts_, 50, 16)
+        if told is every:
+            assert sum(x.nbytes for x in pieces) < int((runs[2] + 49).sum())
+        found = sort(pa.concat_tables(pieces))
+        kept = [remove(d, found.filter(pa.array(np.asarray(found.column("chunk")) == c))) for c, d in enumerate(docs)]
+        out.append([x.as_py() for k in kept for x in k.column("kept")])
+    assert out[0] == out[1]
+    assert [hashlib.sha256(x).hexdigest() for x in out[0]] == [
+        r[4] for r in sorted(brute_removal([(i, t.decode(), "a") for i, t in enumerate(texts_)], 50), key=lambda r: int(r[0]))]
