@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellata.llm.common import col, numbered, slices, text_of
+from stellata.llm.common import col, numbered, slices, text_of, tidy
 
 #: Bytes from which a pre-token has a queue of its own, bytes of pre-tokens that share one,
 #: and bytes of texts that are taken together: memory bounds of a task.
@@ -344,7 +344,7 @@ def _encoded(docs, ranks_path, pattern, id_col, text_col, decoded: bool) -> Data
                     yield pa.RecordBatch.from_arrays(out, names=["row", "id", "ids", "bytes"][:len(out)])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row long, id {kind}, ids array<int>" + ", bytes binary" * decoded)
+    return rows.mapInArrow(tidy(run), f"row long, id {kind}, ids array<int>" + ", bytes binary" * decoded)
 
 
 def _decoder(ranks: dict[bytes, int]):

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellata.llm.common import SPACE, col, numbered, stored, text_of, with_row
+from stellata.llm.common import SPACE, col, numbered, stored, text_of, tidy, with_row, without
 
 #: Bytes of a chunk that is hashed, and of one that is compared.
 CHUNK = 1 << 20
@@ -118,11 +118,11 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, chunk: int = CHUNK
 
     id_type = rows.schema["id"].dataType.simpleString()
     shorts = short.select("row", "id", *facts, "bytes").mapInArrow(
-        hash_short, f"row long, id {id_type}, n_points long, n_bytes long, sha256 string, "
+        tidy(hash_short), f"row long, id {id_type}, n_points long, n_bytes long, sha256 string, "
                     "f1 long, f2 long")
     dealt = (long.select("row", F.explode(_pieces(chunk)).alias("p"))
              .select("row", "p.chunk", "p.bytes").repartition("row", "chunk"))
-    parts = (dealt.mapInArrow(run, schema).groupBy("row")
+    parts = (dealt.mapInArrow(tidy(run), schema).groupBy("row")
              .agg(F.sort_array(F.collect_list(F.struct("chunk", "h1", "s1", "h2", "s2"))).alias("parts"))
              .select("row", _combined(1, moduli[0][0]).alias("f1"), _combined(2, moduli[1][0]).alias("f2")))
     longs = long.select("row", "id", *facts).join(parts, "row")
@@ -198,4 +198,4 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     names = docs.columns
     whole, row = with_row(docs)
     gone = classes(whole, id_col, text_col, row_col=row, **kw).where("NOT kept").select(F.col("row").alias(row))
-    return whole.join(gone, row, "left_anti").select(*[col(c) for c in names])
+    return without(whole, gone, row).select(*[col(c) for c in names])

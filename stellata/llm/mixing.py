@@ -120,4 +120,5 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select(F.col("row").alias(row), (F.col("epochs") + F.col("picked").cast("long")).cast("int")
                      .alias(copies)).where(F.col(copies) > 0))
     once = F.explode(F.array_repeat(F.lit(1), F.col(copies))).alias(copy)
-    return whole.join(taken, row).select(*[col(c) for c in names], once).select(*[col(c) for c in names])
+    # the few bytes of `taken` are hashed: a merge join would hold and sort whole texts in memory
+    return whole.join(taken.hint("shuffle_hash"), row).select(*[col(c) for c in names], once).select(*[col(c) for c in names])

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellata.llm.common import col, numbered, ship_code, stored, text_of, with_row
+from stellata.llm.common import col, numbered, ship_code, stored, text_of, tidy, with_row, without
 from stellata.llm.components import connected
 
 #: (first bit, number of bits) of each block, and the bits of a block that may differ
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  pa.array([f[1] for f in found], pa.int64())], names=["row", "id", "fp", "n_shingles"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row long, id {kind}, fp long, n_shingles long")
+    return rows.mapInArrow(tidy(run), f"row long, id {kind}, fp long, n_shingles long")
 
 
 # --- anchors -------------------------------------------------------------------
@@ -175,7 +175,7 @@ def links(points: DataFrame, distance: int = DISTANCE, cell: int = CELL) -> Data
     which chains of links of at most ``distance`` differing bits connect."""
     ship_code(points.sparkSession)
     reach = RADIUS + distance // len(BLOCKS)
-    spread = stored(points.mapInArrow(_members(reach), "block int, anchor int, fp long, home boolean"), "anchors")
+    spread = stored(points.mapInArrow(tidy(_members(reach)), "block int, anchor int, fp long, home boolean"), "anchors")
     # at most 3 * 4096 anchors, whatever the input: safe to broadcast
     sizes = spread.groupBy("block", "anchor").agg(
         F.ceil(F.sum(F.col("home").cast("int")) / cell).cast("int").alias("n_home"),
@@ -191,7 +191,7 @@ def links(points: DataFrame, distance: int = DISTANCE, cell: int = CELL) -> Data
         F.collect_list(F.when(F.col("home"), F.col("fp"))).alias("homes"),
         F.collect_list(F.when(~F.col("home"), F.col("fp"))).alias("members"))
     return (cells.where("size(homes) > 0 AND size(members) > 0").select("homes", "members")
-            .mapInArrow(_links(distance), "a long, b long").distinct())
+            .mapInArrow(tidy(_links(distance)), "a long, b long").distinct())
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -224,4 +224,4 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names = docs.columns
     whole, row = with_row(docs)
     gone = groups(whole, id_col, text_col, row_col=row, **kw).where("NOT first").select(F.col("row").alias(row))
-    return whole.join(gone, row, "left_anti").select(*[col(c) for c in names])
+    return without(whole, gone, row).select(*[col(c) for c in names])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellata.llm.common import col, numbered, ship_code, slices, text_of
+from stellata.llm.common import col, numbered, ship_code, slices, text_of, tidy
 
 #: Bounds of the training sample: toxic documents (twice as many others), code points of
 #: all their texts together, and documents of each label on which the chain is fitted.
@@ -380,13 +380,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"row long, id {kind}, score double, spans array<struct<start:int,end:int>>")
+        tidy(run), f"row long, id {kind}, score double, spans array<struct<start:int,end:int>>")
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all their columns, whose score is below ``threshold``.
 
-    One pass, no shuffle: the rows that fail are left out of each batch."""
+    One pass, no shuffle: the rows that fail are left out of each slice of a batch."""
     at = docs.columns.index(text_col)
     ship_code(docs.sparkSession)
 
@@ -394,13 +394,12 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: f
         scorer = _Scorer(model)
         for batch in batches:
             column = batch.column(at)
-            keep = np.ones(batch.num_rows, dtype=bool)
             for begin, stop in slices(column, _TOGETHER):
                 texts = [x or "" for x in column.slice(begin, stop - begin).to_pylist()]
-                keep[begin:stop] = scorer.scores(texts)[0] < threshold
-            yield batch.filter(pa.array(keep))
+                keep = scorer.scores(texts)[0] < threshold
+                yield batch.slice(begin, stop - begin).filter(pa.array(keep))
 
     # by place, not by name: a name may hold dots
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    return plain.mapInArrow(run, plain.schema).toDF(*names)
+    return plain.mapInArrow(tidy(run), plain.schema).toDF(*names)

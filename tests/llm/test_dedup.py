@@ -15,7 +15,7 @@ import xxhash
 from cases import documents, prose, table, texts
 from pyspark.sql import functions as F
 
-from stellata.llm import exact_dedup, mixing, simhash, suffix_dedup
+from stellata.llm import common, exact_dedup, mixing, simhash, suffix_dedup
 from stellata.llm.common import with_row
 from stellata.llm.components import connected
 
@@ -289,6 +289,33 @@ def test_stages_with_other_splits_later(spark, tmp_path, splits, run):
     assert sorted(map(str, out.collect())) == want
 
 
+@pytest.mark.parametrize("run", [exact_dedup.distinct_documents, simhash.representatives, mixing.mixture])
+def test_stages_do_not_sort_whole_rows(spark, tmp_path, run):
+    """The few bytes known of a row are hashed, and whole rows with their texts stream past them."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = run(table(spark, tmp_path, parts=6))._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ShuffledHashJoin [__row" in plan and "SortMergeJoin [__row" not in plan
+
+
+def test_tasks_give_their_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "release", lambda: calls.append("released"))
+
+    def run(batches):
+        for batch in batches:
+            calls.append(batch)
+            yield -batch
+
+    assert list(common.tidy(run)([1, 2])) == [-1, -2]
+    assert calls == [1, 2, "released"]
+    monkeypatch.undo()
+    common.release()
+
+
 def test_suffix_dedup_with_other_splits_later(spark, tmp_path, splits):
     rows = [r for r in texts() if len(r[1] or "") < 100_000]
     out = suffix_dedup.report(suffix_dedup.remove_repeats(table(spark, tmp_path, rows, parts=6), chunk_rows=4))
