@@ -7,7 +7,9 @@ the string of names is sorted recursively, the remaining suffixes are merged in,
 neighbours in the order are compared by their first 50 bytes.
 
 How suffixes are dealt: a 50-byte string has 35 substrings of 16 bytes; the least of
-their hashes is its key, equal for equal strings. Neighbouring suffixes mostly
+their hashes is its key, equal for equal strings. In larger tables more substrings of 16 bytes are
+in two documents by chance, which would send and sort ever more of the text: there the substrings
+are longer, by a byte for each time that the text doubles. Neighbouring suffixes mostly
 share their key, so they travel as one piece of text with 49 more bytes. A key that
 only one document has cannot belong to a repeated string: those suffixes stay home.
 Documents travel in chunks, and a chunk sends equal pieces once.
@@ -29,6 +31,8 @@ dealt out once more to find them.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,10 +41,15 @@ from pyspark.sql import functions as F
 from stellata.llm.common import col, numbered, stored, text_of, with_row
 
 WINDOW, GRAM = 50, 16
-#: Text bytes of a chunk on average and its rows at most, text bytes per part of the keys and of the pieces.
-CHUNK_BYTES, CHUNK_ROWS, KEY_BYTES, PIECE_BYTES = 4 << 20, 4096, 8 << 20, 2 << 20
+#: Text bytes of a chunk on average and its rows at most, text bytes per part of the keys and of the pieces
+#: at least, and at most where there would be more than ``FEW`` parts.
+CHUNK_BYTES, CHUNK_ROWS, KEY_BYTES, PIECE_BYTES, PART_BYTES, FEW = 4 << 20, 4096, 8 << 20, 2 << 20, 16 << 20, 256
+#: Text bytes above which keys have a byte more for each time that the text doubles.
+_PLAIN = 4 << 20
 #: Positions whose keys are computed together, and suffixes of one piece at most.
-_SPAN, _LONGEST = 1 << 20, 4096
+_SPAN, _LONGEST = 1 << 16, 4096
+#: Bytes of pieces of a part that are sorted together.
+_SORTED = 1 << 20
 _NO_ID = np.iinfo(np.int64).max
 #: Bytes of different pieces of one key that one task sorts at most.
 HOT_BYTES = 2 << 20
@@ -63,11 +72,12 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     extra = n + (n % 3 == 1)  # one triple more keeps the two halves of names apart
     first, second = np.arange(1, extra, 3), np.arange(2, extra, 3)
     sample = np.concatenate([first, second])
+    size = len(sample) + 1
+    pairs = p[:-1] * base + p[1:]
+    if base * base * max(base, size) >= 2 ** 63:
+        pairs = np.unique(pairs, return_inverse=True)[1].astype(np.int64)
     # sort the sampled triples and name them
-    head = p[sample] * base + p[sample + 1]
-    if base ** 3 >= 2 ** 63:
-        head = np.unique(head, return_inverse=True)[1].astype(np.int64)
-    key = head * base + p[sample + 2]
+    key = np.concatenate([pairs[k:extra:3] * base + p[k + 2:extra + 2:3] for k in (1, 2)])
     if base ** 3 <= 1 << 25:  # of bytes: a counting sort
         there = np.zeros(base ** 3, dtype=bool)
         there[key] = True
@@ -87,24 +97,16 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     rank = np.zeros(n + 3, dtype=np.int64)
     rank[sample[order]] = np.arange(1, len(sample) + 1)
     rank[n:] = 0
-    size = len(sample) + 1
     sorted_sample = sample[order]
     sorted_sample = sorted_sample[sorted_sample < n]
     # the remaining suffixes: by their first symbol and the rank of what follows
+    one, two = p[:n] * size + rank[1:n + 1], pairs[:n] * size + rank[2:n + 2]
     rest = np.arange(0, n, 3)
-    one = p[rest] * size + rank[rest + 1]
-    by_one = np.argsort(one)
-    rest, one = rest[by_one], one[by_one]
+    rest = rest[np.argsort(one[::3])]
     # merge: against the first half one symbol decides, against the second two
-    a = sorted_sample[sorted_sample % 3 == 1]
-    b = sorted_sample[sorted_sample % 3 == 2]
-    before = np.searchsorted(p[a] * size + rank[a + 1], one)
-    if base * base * size < 2 ** 63:
-        two = lambda at: (p[at] * base + p[at + 1]) * size + rank[at + 2]
-    else:
-        pairs = np.unique(p[:-1] * base + p[1:], return_inverse=True)[1].astype(np.int64)
-        two = lambda at: pairs[at] * size + rank[at + 2]
-    before += np.searchsorted(two(b), two(rest))
+    nth = sorted_sample % 3
+    before = np.searchsorted(one[sorted_sample[nth == 1]], one[rest])
+    before += np.searchsorted(two[sorted_sample[nth == 2]], two[rest])
     out = np.empty(n, dtype=np.int64)
     at = np.arange(len(rest)) + before
     taken = np.zeros(n, dtype=bool)
@@ -114,30 +116,35 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def least_ids(pieces: list[bytes], ids: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
-    """For each piece, the least id of the pieces that hold each of its windows."""
-    lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-    data = np.frombuffer(b"\0".join(pieces) + b"\0" * 8, dtype=np.uint8)
+def least_ids(data: bytes, lengths: np.ndarray, ids: np.ndarray, window: int = WINDOW):
+    """For the windows of each piece, one after the other, the least id of the pieces that hold the
+    window; and where those of each piece begin. ``data``: the pieces, each with a zero byte behind it."""
+    data = np.frombuffer(data + b"\0" * 8, dtype=np.uint8)
     begin = np.cumsum(lengths + 1) - lengths - 1
     symbols = data[:-8].astype(np.int64) + 2
-    symbols[(begin + lengths)[:-1]] = 1
+    symbols[begin + lengths] = 1
+    # only symbols that occur: triples are named by counting
+    symbols = np.cumsum(np.bincount(symbols) > 0)[symbols[:-1]]
     counts = lengths - window + 1
-    owner = np.repeat(np.arange(len(pieces)), counts)
+    owner = np.repeat(np.arange(len(lengths), dtype=np.int32), counts)
     offset = np.cumsum(counts) - counts
-    starts = np.arange(int(counts.sum())) - offset[owner] + begin[owner]
-    slot = np.full(len(symbols), -1, dtype=np.int64)
-    slot[starts] = np.arange(len(starts))
+    starts = np.arange(len(owner)) + (begin - offset)[owner]
+    slot = np.full(len(symbols), -1, dtype=np.int32)
+    slot[starts] = np.arange(len(starts), dtype=np.int32)
     order = suffix_array(symbols)
-    order = order[slot[order] >= 0]
+    slots = slot[order]
+    valid = slots >= 0
+    order, slots = order[valid], slots[valid]
     words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)).view(np.uint64).ravel()
     same = np.ones(max(0, len(order) - 1), dtype=bool)
     for o in [*range(0, window - 7, 8), window - 8]:  # compare adjacent prefixes
-        same &= words[order[1:] + o] == words[order[:-1] + o]
+        at = words[order + o]
+        same &= at[1:] == at[:-1]
     groups = np.concatenate([[True], ~same])
-    least = np.minimum.reduceat(ids[owner[slot[order]]], np.flatnonzero(groups))
+    least = np.minimum.reduceat(ids[owner[slots]], np.flatnonzero(groups))
     out = np.empty(len(starts), dtype=np.int64)
-    out[slot[order]] = least[np.cumsum(groups) - 1]
-    return np.split(out, offset[1:])
+    out[slots] = least[np.cumsum(groups) - 1]
+    return out, offset
 
 
 # --- keys and runs -------------------------------------------------------------------
@@ -168,12 +175,17 @@ def _keys(data: np.ndarray, window: int, gram: int) -> np.ndarray:
     return h
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+@functools.lru_cache(maxsize=8)
+def _power_table(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
     out[:1] = 1
     return np.cumprod(out)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    return _power_table(base, 1 << n.bit_length())[:n]
+
+
 def _hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash of the bytes of each range: differences of prefix sums, shifted back."""
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(
@@ -258,6 +270,18 @@ def _blobs(which: np.ndarray, parts: int, *columns):
             yield k, at, [c[at] for c in columns]
 
 
+def key_length(size: int, window: int = WINDOW) -> int:
+    """Bytes of the substrings that decide where the windows of a text of ``size`` bytes go: in a larger text longer
+    ones are in two documents by chance."""
+    return max(GRAM, min(window * 2 // 3, GRAM + (size // _PLAIN).bit_length()))
+
+
+def part_bytes(size: int, least: int) -> int:
+    """Text bytes per part: with few parts ``least``. Each chunk sends a row to each part, so more parts become larger
+    instead, up to ``PART_BYTES``."""
+    return min(PART_BYTES, max(least, size // FEW))
+
+
 # --- the steps -----------------------------------------------------------------------
 
 def _pieces_of_keys(size: np.ndarray, tags: np.ndarray, edge: np.ndarray) -> np.ndarray:
@@ -329,6 +353,33 @@ def _numbers(table, name: str, kind=np.uint64) -> np.ndarray:
         np.frombuffer(x.as_py(), dtype=kind) for x in table.column(name)]))
 
 
+def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where ``keys`` have one of ``wanted``: a table of bits first, the exact test for what it lets through."""
+    wide = np.uint64((1 << max(16, len(wanted).bit_length() + 3)) - 1)
+    there = np.zeros(int(wide) + 1, dtype=bool)
+    there[wanted & wide] = True
+    at = np.flatnonzero(there[keys & wide])
+    return at[np.isin(keys[at], wanted)]
+
+
+def _firsts(data: bytes, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each range of bytes the number of the first one equal to it."""
+    index: dict[bytes, int] = {}
+    return np.array([index.setdefault(data[a:b], k) for k, (a, b) in enumerate(
+        zip(begin.tolist(), (begin + size).tolist()))], dtype=np.int64)
+
+
+def _ranges(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges that begin there and have so many."""
+    return np.arange(int(n.sum())) + np.repeat(begin - np.cumsum(n) + n, n)
+
+
+def _joined(texts: list[bytes]):
+    """All texts as one, and where each begins."""
+    sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    return b"".join(texts), np.cumsum(sizes) - sizes
+
+
 def _windows_of(texts, text, start, length, window: int):
     """(text, start, hash of the whole window) of each window of the given runs."""
     of = np.repeat(np.arange(len(text)), length)
@@ -405,37 +456,33 @@ def _send_pieces(parts: int, window: int, gram: int):
         if docs.num_rows and shared.num_rows:
             _, ids, texts = _chunk_of(docs)
             text, start, length, keys = _runs(texts, window, gram)
-            at = np.flatnonzero(np.isin(keys, _numbers(shared, "hot")))
+            at = _among(keys, _numbers(shared, "hot"))
             hot = [x[at] for x in (text, start, length)]
-            at = np.flatnonzero(np.isin(_short(keys), _numbers(shared, "keys", np.uint32)))
+            at = _among(_short(keys), _numbers(shared, "keys", np.uint32))
             text, start, length, keys, place = text[at], start[at], length[at], keys[at], start[at]
+            data, begin = _joined(texts)
+            size = length + window - 1
+            first = _firsts(data, begin[text] + start, size)
             if len(hot[0]):  # windows by themselves, told from runs by a start below zero
                 t, s, h = _windows_of(texts, *hot, window)
-                both = np.isin(h, _numbers(shared, "windows"))
+                both = _among(h, _numbers(shared, "windows"))
                 t, s, h = t[both], s[both], h[both]
-                text, start, keys = (np.concatenate(x) for x in ((text, t), (start, s), (keys, h)))
-                length = np.concatenate([length, np.ones(len(t), dtype=np.int64)])
-                place = np.concatenate([place, -1 - s])
-            first: dict[tuple[bool, bytes], int] = {}
-            lows, highs, kept = [], [], []
-            for i, (k, s, e, p) in enumerate(zip(text.tolist(), start.tolist(), (start + length).tolist(),
-                                                 place.tolist())):
-                j = first.setdefault((p < 0, texts[k][s:e + window - 1]), len(kept))
-                own = int(ids[k])
-                if j == len(kept):
-                    kept.append(i)
-                    lows.append(own)
-                    highs.append(own)
-                else:
-                    lows[j], highs[j] = min(lows[j], own), max(highs[j], own)
-            if kept:
-                kept, pieces = np.array(kept), [x for _, x in first]
-                size = length[kept] + window - 1
-                columns = [np.asarray(x).astype(kind) for kind, x in zip(
-                    _PIECE, (text[kept], place[kept], size, lows, highs))]
-                for part, which, cols in _blobs(_part(keys[kept], parts), parts, *columns):
-                    out.append((part, int(docs.column("chunk")[0].as_py()), len(which), *_packed(
-                        [c.tobytes() for c in cols] + [pieces[j] for j in which.tolist()])))
+                n = np.full(len(t), window, dtype=np.int64)
+                first = np.concatenate([first, len(first) + _firsts(data, begin[t] + s, n)])
+                text, start, size, keys, place = (np.concatenate(x) for x in (
+                    (text, t), (start, s), (size, n), (keys, h), (place, -1 - s)))
+            if len(first):
+                least, most = ids[text], ids[text]
+                np.minimum.at(least, first, ids[text])
+                np.maximum.at(most, first, ids[text])
+                kept = np.flatnonzero(first == np.arange(len(first)))
+                place, where = place[kept], (begin[text] + start)[kept]
+                columns = [x.astype(kind) for kind, x in zip(
+                    _PIECE, (text[kept], place, size[kept], least[kept], most[kept]))]
+                for part, _, (*cols, where) in _blobs(_part(keys[kept], parts), parts, *columns, where):
+                    out.append((part, int(docs.column("chunk")[0].as_py()), len(where), *_packed(
+                        [c.tobytes() for c in cols] + [data[a:b] for a, b in zip(
+                            where.tolist(), (where + cols[2]).tolist())])))
         cols = list(zip(*out)) or [[]] * 5
         return pa.table([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
@@ -447,43 +494,55 @@ def _sort_pieces(window: int, gram: int):
     size below zero where all windows of a piece have the same)."""
     names = ["chunk", "text", "start", "size", "least"]
 
+    def keys_of(data, begin):
+        """The key of each piece is that of its first window."""
+        held = [_keys(data[begin[k:k + _SPAN // window, None] + np.arange(window)].ravel(), window, gram)[::window]
+                for k in range(0, len(begin), _SPAN // window)]
+        return np.concatenate([np.zeros(0, dtype=np.uint64), *held])
+
     def run(table):
-        index: dict[bytes, int] = {}
-        low, where = [], []
-        texts, starts, sizes, highs = [], [], [], []
-        for n, size, packed in zip(*(table.column(c) for c in ("n", "size", "bytes"))):
-            text, start, long, lows, most, data = _unpacked(n.as_py(), size.as_py(), packed.as_py())
-            for held, x in zip((texts, starts, sizes, highs), (text, start, long, most)):
-                held.append(x.copy())  # else each would keep all the bytes of its row
-            at, mine = 0, []
-            for size, least in zip(long.tolist(), lows.tolist()):
-                k = index.setdefault(data[at:at + size], len(low))
-                at += size
-                if k == len(low):
-                    low.append(least)
-                elif least < low[k]:
-                    low[k] = least
-                mine.append(k)
-            where.append(mine)
-        pieces, low = list(index), np.array(low, dtype=np.int64)
-        # the key of a piece is that of its first window; a piece that has it alone is not sorted
-        heads = np.frombuffer(b"".join([x[:window] for x in pieces]), dtype=np.uint8)
-        _, of, n = np.unique(_keys(heads, window, gram)[::window], return_inverse=True, return_counts=True)
-        least, bottom, flat = list(low[:, None]), low.copy(), np.ones(len(low), dtype=bool)
-        some = np.flatnonzero(n[of] > 1)
-        if len(some):
-            for k, x in zip(some.tolist(), least_ids([pieces[k] for k in some.tolist()], low[some], window)):
-                bottom[k] = x.min()
-                flat[k] = bottom[k] == x.max()
-                least[k] = x[:1] if flat[k] else x
+        rows = [_unpacked(*(x.as_py() for x in r)) for r in zip(*(table.column(c) for c in ("n", "size", "bytes")))]
+        text, start, size, low, high = (np.concatenate(x) for x in list(zip(*rows))[:5])
+        edges = np.cumsum([0] + [len(r[0]) for r in rows])
+        data = b"".join([r[5] for r in rows])
+        del rows
+        begin = np.cumsum(size, dtype=np.int64) - size
+        keys = keys_of(np.frombuffer(data, dtype=np.uint8), begin)
+        # for each piece: the least id of it, or of its windows if they differ (where they are among ``windows``)
+        bottom, at, differ = low.copy(), np.zeros(len(low), dtype=np.int64), np.zeros(len(low), dtype=bool)
+        windows, done = [], 0
+        units = max(1, len(data) // _SORTED)
+        for _, mine, _ in _blobs(_part(_mixed(keys), units), units):
+            first = _firsts(data, begin[mine], size[mine])
+            least = low[mine]
+            np.minimum.at(least, first, low[mine])
+            kept = np.flatnonzero(first == np.arange(len(first)))
+            # a piece that has its key alone is not sorted
+            _, of, n = np.unique(keys[mine[kept]], return_inverse=True, return_counts=True)
+            some = kept[n[of] > 1]
+            lowest, place, several = least.copy(), np.zeros(len(mine), dtype=np.int64), np.zeros(len(mine), dtype=bool)
+            if len(some):
+                a, n = begin[mine[some]], size[mine[some]].astype(np.int64)
+                found, offset = least_ids(b"\0".join([data[x:y] for x, y in zip(
+                    a.tolist(), (a + n).tolist())]) + b"\0", n, least[some], window)
+                lowest[some] = np.minimum.reduceat(found, offset)
+                several[some] = lowest[some] != np.maximum.reduceat(found, offset)
+                some, offset, n = some[several[some]], offset[several[some]], (n - window + 1)[several[some]]
+                place[some] = done + np.cumsum(n) - n
+                windows.append(found[_ranges(offset, n)])
+                done += len(windows[-1])
+            bottom[mine], at[mine], differ[mine] = lowest[first], place[first], several[first]
+        windows = np.concatenate([np.zeros(0, dtype=np.int64), *windows])
         out = []
-        for j, chunk in enumerate(table.column("chunk").to_pylist()):
-            mine = np.array(where[j])
-            keep = np.flatnonzero(bottom[mine] < highs[j])
+        for chunk, a, b in zip(table.column("chunk").to_pylist(), edges[:-1].tolist(), edges[1:].tolist()):
+            keep = a + np.flatnonzero(bottom[a:b] < high[a:b])
             if len(keep):
-                size = np.where(flat[mine[keep]], -sizes[j][keep], sizes[j][keep])
-                out.append((chunk, texts[j][keep].tobytes(), starts[j][keep].tobytes(), size.tobytes(),
-                            np.concatenate([least[k] for k in mine[keep].tolist()]).tobytes()))
+                mixed = differ[keep]
+                given = np.where(mixed, size[keep] - window + 1, 1)
+                least = np.repeat(bottom[keep], given)
+                least[np.repeat(mixed, given)] = windows[_ranges(at[keep[mixed]], given[mixed])]
+                out.append((chunk, text[keep].tobytes(), start[keep].tobytes(),
+                            np.where(mixed, size[keep], -size[keep]).tobytes(), least.tobytes()))
         cols = list(zip(*out)) or [[]] * 5
         return pa.table([pa.array(c, t) for c, t in zip(cols, [pa.int64()] + [pa.binary()] * 4)], names=names)
 
@@ -498,70 +557,71 @@ def _remove(window: int, gram: int, id_type: str):
             return pa.table({"row": pa.array([], pa.int64()), "id": docs.column("id"),
                              "spans": pa.array([], span), "kept": pa.array([], pa.binary())})
         rows, ids, texts = _chunk_of(docs)
-        flags: dict[int, np.ndarray] = {}
+        data, begin = _joined(texts)
+        flags = np.zeros(len(data), dtype=bool)  # windows that go
         if found.num_rows:
-            answers: dict[bytes, np.ndarray] = {}
-            alone: dict[bytes, int] = {}  # windows of hot keys
-            places, lone = [], []
-            for r in zip(*(found.column(c) for c in ("text", "start", "size", "least"))):
-                which, start, size = (np.frombuffer(x.as_py(), dtype=np.int32) for x in r[:3])
-                one = start < 0
-                places.append((which.astype(np.int64) << 32 | start)[~one])
-                lone.append((which.astype(np.int64) << 32 | (-1 - start))[one])
-                least, at = np.frombuffer(r[3].as_py(), dtype=np.int64), 0
-                for k, s, n in zip(which.tolist(), start.tolist(), size.tolist()):
-                    given = 1 if n < 0 else n - window + 1
-                    n = abs(n)
-                    if s < 0:
-                        alone[texts[k][-1 - s:-1 - s + n]] = int(least[at])
-                    else:
-                        answers[texts[k][s:s + n]] = least[at:at + given]
-                    at += given
-            text, start, length, keys = _runs(texts, window, gram)
-            wanted = np.unique(keys[np.isin(text << 32 | start, np.concatenate(places))])
-            at = np.flatnonzero(np.isin(keys, wanted))
-            for k, s, n in zip(text[at].tolist(), start[at].tolist(), length[at].tolist()):
-                least = answers.get(texts[k][s:s + n + window - 1])
-                if least is not None:
-                    if k not in flags:
-                        flags[k] = np.zeros(len(texts[k]) + 1, dtype=np.int32)
-                    flags[k][s:s + n] = least < ids[k]
-            if alone:
-                begin = text << 32 | start  # runs are in order
-                of = np.searchsorted(begin, np.concatenate(lone), side="right") - 1
-                at = np.flatnonzero(np.isin(keys, np.unique(keys[of])))
-                which, where, hashes = _windows_of(texts, text[at], start[at], length[at], window)
+            which, start, size, least = (np.frombuffer(b"".join([x.as_py() for x in found.column(c)]), dtype=kind)
+                                         for c, kind in zip(("text", "start", "size", "least"), [np.int32] * 3 + [np.int64]))
+            given = np.where(size < 0, 1, size - window + 1)
+            at = np.cumsum(given) - given
+            n = np.abs(size).astype(np.int64)
+            one = start < 0  # windows of hot keys
+            place = np.where(one, -1 - start, start).astype(np.int64)
+            where = begin[which] + place
+            text, first, length, keys = _runs(texts, window, gram)
+            starts = begin[text] + first  # runs are in order
+            told = np.flatnonzero(~one)
+            if len(told):
+                index = {data[a:b]: k for k, a, b in zip(
+                    told.tolist(), where[told].tolist(), (where + n)[told].tolist())}
+                own = _among(keys, np.unique(keys[np.searchsorted(starts, where[told])]))
+                answer = np.array([index.get(data[a:b], -1) for a, b in zip(
+                    starts[own].tolist(), (starts + length + window - 1)[own].tolist())], dtype=np.int64)
+                own, answer = own[answer >= 0], answer[answer >= 0]
+                runs = length[own]
+                nth = _ranges(np.zeros(len(own), dtype=np.int64), runs)
+                of = np.repeat(answer, runs)
+                flags[np.repeat(starts[own], runs) + nth] = (
+                    least[at[of] + np.where(size[of] < 0, 0, nth)] < np.repeat(ids[text[own]], runs))
+            told = np.flatnonzero(one)
+            if len(told):
+                index = {data[a:a + window]: k for k, a in zip(told.tolist(), where[told].tolist())}
+                of = np.searchsorted(starts, where[told], side="right") - 1
+                own = _among(keys, np.unique(keys[of]))
+                t, s, hashes = _windows_of(texts, text[own], first[own], length[own], window)
                 known = np.unique(np.concatenate([_keys(np.frombuffer(x, dtype=np.uint8), window, window)
-                                                  for x in alone]))
-                for i in np.flatnonzero(np.isin(hashes, known)).tolist():
-                    k, s = int(which[i]), int(where[i])
-                    own = alone.get(texts[k][s:s + window])
-                    if own is not None:
-                        if k not in flags:
-                            flags[k] = np.zeros(len(texts[k]) + 1, dtype=np.int32)
-                        flags[k][s] = own < ids[k]
-        spans, kept = [], []
-        for k, data in enumerate(texts):
-            if k not in flags or not flags[k].any():
-                spans.append([])
-                kept.append(data)
-                continue
-            n = len(data)
-            total = np.concatenate([np.zeros(window, dtype=np.int64), np.cumsum(flags[k][:n])])
-            covered = total[window:] > total[:n]
-            edge = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]).astype(np.int8)))
-            spans.append([{"start": a, "end": b} for a, b in edge.reshape(-1, 2).tolist()])
-            kept.append(np.frombuffer(data, dtype=np.uint8)[~covered].tobytes())
+                                                  for x in index]))
+                own = _among(hashes, known)
+                t, s = t[own], begin[t[own]] + s[own]
+                answer = np.array([index.get(data[a:a + window], -1) for a in s.tolist()], dtype=np.int64)
+                t, s, answer = t[answer >= 0], s[answer >= 0], answer[answer >= 0]
+                flags[s] = least[at[answer]] < ids[t]
+        total = np.concatenate([np.zeros(window, dtype=np.int32), np.cumsum(flags, dtype=np.int32)])
+        covered = np.zeros(len(data) + 1, dtype=bool)
+        covered[:-1] = total[window:] > total[:-window]
+        edge = np.zeros(len(data) + 1, dtype=bool)  # where a text begins
+        edge[begin] = True
+        before = np.concatenate([[False], covered[:-1]])
+        a, b = np.flatnonzero(covered & (~before | edge)), np.flatnonzero(before & (~covered | edge))
+        sizes = np.diff(np.append(begin, len(data)))
+        nth = np.searchsorted(begin + sizes, a, side="right")  # whose each span is
+        spans = pa.ListArray.from_arrays(
+            pa.array(np.searchsorted(nth, np.arange(len(texts) + 1)).astype(np.int32)),
+            pa.StructArray.from_arrays([pa.array(a - begin[nth]), pa.array(b - begin[nth])], ["start", "end"]))
+        gone = np.bincount(nth, b - a, minlength=len(texts)).astype(np.int64)
+        left = np.frombuffer(data, dtype=np.uint8)[~covered[:-1]].tobytes()
+        kept = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(
+            np.concatenate([[0], np.cumsum(sizes - gone)]).astype(np.int32).tobytes()), pa.py_buffer(left)])
         order = np.argsort(np.asarray(docs.column("row")), kind="stable")
         return pa.table({"row": pa.array(rows), "id": docs.column("id").take(pa.array(order)),
-                         "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary())})
+                         "spans": spans.cast(span), "kept": kept})
 
     return run, f"row long, id {id_type}, spans array<struct<start:long,end:long>>, kept binary"
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   gram: int = GRAM, chunk_rows: int | None = None, key_bytes: int = KEY_BYTES,
-                   piece_bytes: int = PIECE_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
+                   gram: int | None = None, chunk_rows: int | None = None, key_bytes: int | None = None,
+                   piece_bytes: int | None = None, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """One row per document: row, id, spans (removed ranges of bytes) and kept (the
     other bytes, joined).
 
@@ -573,8 +633,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     from each other either. An empty table gives no rows; other columns are ignored.
 
     Memory: a chunk of ``chunk_rows`` documents (by themselves, as many as have about
-    ``CHUNK_BYTES`` of text, a power of two), or one part. A repeated string reaches
-    its part once per chunk that holds it. Suffixes of a key with more than
+    ``CHUNK_BYTES`` of text, a power of two), or one part (by itself, see ``part_bytes``).
+    A repeated string reaches its part once per chunk that holds it. No result depends on
+    ``gram`` (by itself, see ``key_length``) or the bytes of parts. Suffixes of a key with more than
     ``hot_bytes`` of different pieces are dealt by all their bytes; the driver gathers
     these keys, 8 bytes each.
     """
@@ -587,6 +648,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = (numbered(docs, row, id=col(id_col), text=text_of(text_col))
             .select(F.floor(F.col("row") / chunk_rows).alias("chunk"), "row", "id",
                     F.encode("text", "UTF-8").alias("text")))
+    if gram is None:
+        gram = key_length(size, window)
+    key_bytes, piece_bytes = key_bytes or part_bytes(size, KEY_BYTES), piece_bytes or part_bytes(size, PIECE_BYTES)
     spark = docs.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_parts, piece_parts = max(least, size // key_bytes), max(least, size // piece_bytes)

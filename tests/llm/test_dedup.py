@@ -407,3 +407,80 @@ def test_keys_and_pieces_travel_short():
     assert out[0] == out[1]
     assert [hashlib.sha256(x).hexdigest() for x in out[0]] == [
         r[4] for r in sorted(brute_removal([(i, t.decode(), "a") for i, t in enumerate(texts_)], 50), key=lambda r: int(r[0]))]
+
+
+def chunks_of(texts_, each):
+    """Tables of documents as chunks, the id being the row."""
+    return [pa.table({"chunk": [c] * len(t), "row": range(c * each, c * each + len(t)),
+                      "id": range(c * each, c * each + len(t)), "text": pa.array(t, pa.binary())})
+            for c, t in enumerate(texts_[k:k + each] for k in range(0, len(texts_), each))]
+
+
+def removed_by_steps(texts_, gram, hot_bytes=1 << 20, each=6):
+    """What the steps leave of each text, all in this process, and the bytes of the pieces that are sent."""
+    docs = chunks_of(texts_, each)
+    keys = pa.concat_tables(pa.Table.from_batches(list(suffix_dedup._send_keys(1, 50, gram)(x.to_batches()))) for x in docs)
+    shared = suffix_dedup._shared_keys(hot_bytes)(keys)
+    hot = suffix_dedup._numbers(shared, "every_hot")
+    again = pa.concat_tables(pa.Table.from_batches(
+        list(suffix_dedup._send_windows(1, 50, gram, hot)(x.to_batches())), schema=keys.schema) for x in docs)
+    told = {}
+    if again.num_rows:
+        both = suffix_dedup._shared_keys(np.iinfo(np.int64).max, short=lambda k: k)(again)
+        told = dict(zip(both.column("chunk").to_pylist(), both.column("keys").to_pylist()))
+    shared = shared.append_column("windows", pa.array(
+        [told.get(c, b"") for c in shared.column("chunk").to_pylist()], pa.binary()))
+    send, _ = suffix_dedup._send_pieces(1, 50, gram)
+    pieces = pa.concat_tables(send(d, shared.filter(pa.array(np.asarray(shared.column("chunk")) == c)))
+                              for c, d in enumerate(docs))
+    found = suffix_dedup._sort_pieces(50, gram)[0](pieces)
+    remove, _ = suffix_dedup._remove(50, gram, "bigint")
+    out = [remove(d, found.filter(pa.array(np.asarray(found.column("chunk")) == c))) for c, d in enumerate(docs)]
+    return [x.as_py() for k in out for x in k.column("kept")], len(hot), sum(pieces.column("size").to_pylist())
+
+
+def test_a_larger_text_is_told_apart_by_longer_substrings():
+    """Texts of few syllables have 16 bytes in common by chance, few of them 50: as the text grows, what is sent
+    of such texts shrinks, and the same bytes go."""
+    rng = random.Random(13)
+    syllables = ["tion", "an", "ther", "ing", "on", "re", "al", "con"]
+    texts_ = ["".join(rng.choice(syllables) for _ in range(300)).encode() for _ in range(40)]
+    texts_ += [t[100:100 + 7 * k] + b"." + texts_[0][k:k + 90] for k, t in enumerate(texts_[:12])]
+    lengths = [suffix_dedup.key_length(size) for size in (0, 64 << 20, 1 << 30, 16 << 30, 1 << 50)]
+    assert lengths == sorted(set(lengths)) and lengths[0] == 16 and lengths[-1] <= 35
+    done = [removed_by_steps(texts_, n) for n in lengths]
+    assert [hashlib.sha256(x).hexdigest() for x in done[0][0]] == [
+        r[4] for r in sorted(brute_removal([(i, t.decode(), "a") for i, t in enumerate(texts_)], 50), key=lambda r: int(r[0]))]
+    assert all(x[0] == done[0][0] for x in done)
+    assert done[2][2] < done[0][2] / 2
+
+
+def test_a_larger_text_has_larger_parts():
+    """Each chunk sends a row to each part: their number must not grow with the square of the text."""
+    def rows(size, least):
+        return size // suffix_dedup.CHUNK_BYTES * (size // suffix_dedup.part_bytes(size, least))
+
+    for least in (suffix_dedup.KEY_BYTES, suffix_dedup.PIECE_BYTES):
+        assert suffix_dedup.part_bytes(1 << 20, least) == least
+        assert rows(10 << 30, least) < 2_000_000  # with parts of 2 MB 13 million
+        assert max(suffix_dedup.part_bytes(1 << k, least) for k in range(50)) <= 16 << 20
+
+
+@pytest.mark.parametrize("hot_bytes", [1 << 20, 200, 0])
+def test_a_part_is_sorted_by_units(monkeypatch, hot_bytes):
+    """The units in which a part is sorted, and the blocks in which keys are found, change no result."""
+    rng = random.Random(14)
+    passage = prose(rng, 60)
+    texts_ = [(prose(rng, 9) + passage[k % 50:150 + 3 * k] + " a boilerplate fragment " + prose(rng, 9)).encode()
+              for k in range(30)]
+    texts_ += [b"", b"x" * 49, texts_[3], texts_[3][5:], "größer ".encode() * 30, b"x" * 300, b"x" * 120]
+    want = [r[4] for r in sorted(brute_removal([(i, t.decode(), "a") for i, t in enumerate(texts_)], 50),
+                                 key=lambda r: int(r[0]))]
+    hots = set()
+    for span, unit in ((1 << 16, 1 << 20), (1 << 16, 300), (256, 300)):
+        monkeypatch.setattr(suffix_dedup, "_SPAN", span)
+        monkeypatch.setattr(suffix_dedup, "_SORTED", unit)
+        kept, hot, _ = removed_by_steps(texts_, 16, hot_bytes)
+        assert [hashlib.sha256(x).hexdigest() for x in kept] == want
+        hots.add(hot > 0)
+    assert hots == {hot_bytes < 1 << 20}
