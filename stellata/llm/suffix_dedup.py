@@ -442,7 +442,7 @@ def _unpacked(n: int, size: int, packed: bytes):
     data = pa.decompress(packed, size, codec="zstd", asbytes=True)
     out, at = [], 0
     for kind in _PIECE:
-        out.append(np.frombuffer(data, dtype=kind, count=n, offset=at))
+        out.append(np.frombuffer(data, dtype=kind, count=n, offset=at).copy())  # else it would keep all of ``data``
         at += out[-1].nbytes
     return *out, data[at:]
 
